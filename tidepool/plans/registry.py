@@ -100,3 +100,211 @@ def q_tag_text(spark: SparkSession, sf: str) -> DataFrame:
 def q_search_entries(spark: SparkSession, sf: str) -> DataFrame:
     parsed = _parsed_docs(spark, sf)
     return catalog.search_entries(catalog.tables(parsed), catalog.columns(parsed))
+
+
+# --- reshape / scalar functions ---------------------------------------------
+
+from tidepool.functions import codes, casts  # noqa: E402
+from tidepool.operators import load, reshape  # noqa: E402
+
+MEASURE_RULES = [("%_qty", "qty"), ("%_price", "price"), ("%_disc", "disc"), ("%_tax", "tax")]
+
+
+@query("unpivot_measures")
+def q_unpivot_measures(spark: SparkSession, sf: str) -> DataFrame:
+    li = table(spark, sf, "lineitem")
+    wide = li.select(
+        "l_orderkey",
+        "l_linenumber",
+        F.col("l_quantity").alias("gross_qty"),
+        F.col("l_extendedprice").alias("gross_price"),
+        F.nullif(F.col("l_discount"), F.lit(0.0)).alias("net_disc"),
+        F.nullif(F.col("l_tax"), F.lit(0.0)).alias("net_tax"),
+    )
+    long = reshape.unpivot_drop_nulls(
+        wide, ["l_orderkey", "l_linenumber"], ["gross_qty", "gross_price", "net_disc", "net_tax"],
+        "label", "amount",
+    )
+    return long.select(
+        "l_orderkey",
+        "l_linenumber",
+        reshape.label_case("label", [("gross_%", "gross")], "net").alias("kind"),
+        reshape.label_case("label", MEASURE_RULES).alias("measure"),
+        "amount",
+    )
+
+
+@query("check_digit")
+def q_check_digit(spark: SparkSession, sf: str) -> DataFrame:
+    cust = table(spark, sf, "customer")
+    code5 = codes.zero_pad(F.col("c_custkey") % 100000, 5)
+    return cust.select(
+        "c_custkey", code5.alias("code5"), codes.with_check_digit(code5).alias("lg_code")
+    )
+
+
+def _qty_text(suffix: str) -> F.Column:
+    return F.concat(F.col("l_quantity").cast("bigint").cast("string"), F.lit(suffix))
+
+
+@query("soft_cast")
+def q_soft_cast(spark: SparkSession, sf: str) -> DataFrame:
+    li = table(spark, sf, "lineitem")
+    n = F.col("l_linenumber")
+    price_text = (
+        F.when(n == 1, F.lit("n/a")).when(n == 2, F.lit("")).when(n == 3, _qty_text(".5"))
+        .when(n == 4, F.concat(F.lit("-"), _qty_text(".5"))).when(n == 5, _qty_text("e2"))
+        .when(n == 6, F.concat(F.lit("1,"), _qty_text(""))).otherwise(_qty_text(".25"))
+    )
+    area_text = (
+        F.when(n == 1, _qty_text(".5d")).when(n == 2, F.lit(".5")).when(n == 3, _qty_text("."))
+        .when(n == 4, _qty_text("")).when(n == 5, F.lit("abc")).when(n == 6, _qty_text("E-1"))
+        .otherwise(F.lit(""))
+    )
+    raw = li.select("l_orderkey", "l_linenumber", price_text.alias("price_text"), area_text.alias("area_text"))
+    return reshape.rename_cast(
+        raw,
+        [
+            ("l_orderkey", "order_key", None),
+            ("l_linenumber", "line_no", None),
+            ("price_text", "price_text", None),
+            ("area_text", "area_text", None),
+            ("price_text", "trade_price", "bigint"),
+            ("area_text", "area", "double"),
+        ],
+    )
+
+
+@query("text_dates_arrays")
+def q_text_dates_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders")
+    status = F.col("o_orderstatus")
+    prio = F.col("o_orderpriority")
+    raw = orders.select(
+        F.col("o_orderkey").alias("slug"),
+        F.when(status != "P", prio).alias("title"),
+        F.concat(F.lit("status "), status).alias("description"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_text"),
+        F.when(status == "O", F.lit("[]")).otherwise(F.concat(F.lit("["), status, F.lit("]"))).alias("datasources_text"),
+        F.when(status == "F", F.concat(F.lit('["'), F.replace(prio, F.lit("-"), F.lit('","')), F.lit('"]')))
+        .otherwise(F.concat(F.lit("["), F.replace(prio, F.lit("-"), F.lit(", ")), F.lit("]")))
+        .alias("tags_text"),
+    )
+    articles = raw.select(
+        "slug", "title", "description",
+        casts.text_date("date_text").alias("date"),
+        casts.text_array("datasources_text").alias("datasources"),
+        casts.text_array("tags_text").alias("tags"),
+    )
+    return articles.select(
+        "slug", "title", "description", "date",
+        F.array_join("datasources", "|").alias("datasources_list"),
+        F.size("datasources").alias("n_datasources"),
+        F.array_join("tags", "|").alias("tags_list"),
+        F.concat_ws(" ", "title", "description", F.array_join("tags", " ")).alias("search_text"),
+    )
+
+
+SURVEY_YEARS = [1995, 1997, 1999, 2001]
+
+
+@query("union_periods")
+def q_union_periods(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders")
+    return reshape.tag_periods(orders, F.year("o_orderdate"), SURVEY_YEARS).select(
+        "period", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
+    )
+
+
+# --- loads ------------------------------------------------------------------
+
+
+def _completed(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
+    cust = table(spark, sf, "customer")
+    return (
+        orders.join(cust, orders.o_custkey == cust.c_custkey)
+        .select(
+            codes.zero_pad(F.col("c_nationkey") + F.lit(1), 2).alias("area_code"),
+            F.year("o_orderdate").alias("year"),
+            F.quarter("o_orderdate").alias("quarter"),
+        )
+        .distinct()
+    )
+
+
+WORK_START, WORK_END = (1995, 1), (2002, 2)
+
+
+@query("completed_keys")
+def q_completed_keys(spark: SparkSession, sf: str) -> DataFrame:
+    return _completed(spark, sf)
+
+
+@query("work_list")
+def q_work_list(spark: SparkSession, sf: str) -> DataFrame:
+    areas = load.area_codes(table(spark, sf, "nation"), "n_nationkey", offset=1)
+    return load.quarter_work_list(areas, "area_code", WORK_START, WORK_END, _completed(spark, sf))
+
+
+def _orders_by_year(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "orders").withColumn("o_year", F.year("o_orderdate"))
+
+
+@query("replace_partitions")
+def q_replace_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    base = _orders_by_year(spark, sf)
+    batch = base.where(
+        (F.col("o_year") == 1997)
+        & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+        & (F.col("o_orderstatus") != "P")
+    ).withColumn("o_orderstatus", F.lit("R"))
+    return load.replace_partitions(base, batch, ["o_year", "o_orderpriority"])
+
+
+_ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+
+
+@query("upsert")
+def q_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders")
+    open_2000 = (F.col("o_orderstatus") == "O") & (F.year("o_orderdate") == 2000)
+    b1 = orders.where(open_2000).withColumn("o_orderstatus", F.lit("U")).withColumn("_seq", F.lit(1))
+    b2 = (
+        orders.where(open_2000 & (F.col("o_orderpriority") == "1-URGENT"))
+        .withColumn("o_orderstatus", F.lit("V")).withColumn("_seq", F.lit(2))
+    )
+    b3 = (
+        orders.where((F.year("o_orderdate") == 2001) & (F.col("o_orderpriority") == "5-LOW"))
+        .withColumn("o_orderkey", F.col("o_orderkey") + F.lit(10_000_000_000))
+        .withColumn("o_orderstatus", F.lit("I")).withColumn("_seq", F.lit(1))
+    )
+    batch = reshape.union_all(b.select(*_ORDER_COLS, "_seq") for b in (b1, b2, b3))
+    return load.upsert(orders.select(*_ORDER_COLS), batch, ["o_orderkey"], "_seq")
+
+
+CURSOR_START = "2024-01-16 00:00:00"
+
+
+@query("incremental")
+def q_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    events = table(spark, sf, "events")
+    state = events.where(F.col("ts") < F.lit(CURSOR_START).cast("timestamp_ntz"))
+    source = events.withColumn("event_type", F.upper("event_type"))
+    return load.incremental(state, source, "ts", ["event_id"])
+
+
+@query("state_skip")
+def q_state_skip(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "source", "lang", "n_chars")
+    return load.state_skip(docs, table(spark, sf, "labels"), ["doc_id"])
+
+
+@query("keyed_replace")
+def q_keyed_replace(spark: SparkSession, sf: str) -> DataFrame:
+    cust = table(spark, sf, "customer")
+    rows = cust.select(
+        F.concat_ws("/", "c_mktsegment", F.col("c_nationkey").cast("string")).alias("id"),
+        "c_custkey", "c_name", "c_acctbal",
+    )
+    return load.keyed_replace(rows, "id", "c_custkey")
