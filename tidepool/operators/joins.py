@@ -1,0 +1,29 @@
+"""Join helpers with an explicit size check before broadcasting."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Broadcast only sides proven to hold at most this many rows.
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def join_small(
+    big: DataFrame,
+    small: DataFrame,
+    on: str | Sequence[str] | Column,
+    how: str = "inner",
+    max_rows: int = DEFAULT_BROADCAST_ROWS,
+) -> DataFrame:
+    """Join with ``small`` broadcast when its row count is within
+    ``max_rows``; otherwise a plain join (shuffle / AQE decides)."""
+    side = F.broadcast(small) if is_small(small, max_rows) else small
+    return big.join(side, on, how)

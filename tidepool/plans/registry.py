@@ -308,3 +308,341 @@ def q_keyed_replace(spark: SparkSession, sf: str) -> DataFrame:
         "c_custkey", "c_name", "c_acctbal",
     )
     return load.keyed_replace(rows, "id", "c_custkey")
+
+
+# --- export -----------------------------------------------------------------
+
+from tidepool.functions import text as textf  # noqa: E402
+from tidepool.operators import (  # noqa: E402
+    export,
+    information_schema,
+    lineage,
+    maintain,
+    survey,
+)
+
+
+@query("sql_literals")
+def q_sql_literals(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    labels = table(spark, sf, "labels").select("doc_id", "quality")
+    rows = docs.join(labels, "doc_id", "left")
+    stmt = export.insert_statement(
+        "documents",
+        [
+            ("doc_id", textf.sql_value("doc_id")),
+            ("source", textf.sql_value("source")),
+            ("lang", textf.sql_value("lang")),
+            ("text", textf.sql_value("text")),
+            ("is_quality", textf.sql_bool(F.col("quality") == 1)),
+            ("tags", textf.sql_json(F.array("lang", "source"))),
+        ],
+    )
+    return rows.select("doc_id", stmt.alias("statement"))
+
+
+@query("export_rows")
+def q_export_rows(spark: SparkSession, sf: str) -> DataFrame:
+    parsed = _parsed_docs(spark, sf)
+    return export.export_columns(catalog.tables(parsed), catalog.columns(parsed))
+
+
+@query("export_tables")
+def q_export_tables(spark: SparkSession, sf: str) -> DataFrame:
+    return export.export_tables(catalog.tables(_parsed_docs(spark, sf)))
+
+
+@query("self_fallback")
+def q_self_fallback(spark: SparkSession, sf: str) -> DataFrame:
+    rich = table(spark, sf, "customer").where(F.col("c_acctbal") > 9900).select(
+        F.col("c_nationkey").alias("nationkey"), F.col("c_name").alias("name"),
+        F.lit("export").alias("origin"),
+    )
+    nations = table(spark, sf, "nation").select(
+        F.col("n_nationkey").alias("nationkey"), F.col("n_name").alias("name"),
+        F.lit("fallback").alias("origin"),
+    )
+    return export.with_fallback(rich, nations, ["nationkey"])
+
+
+# --- maintenance ------------------------------------------------------------
+
+
+@query("active_files")
+def q_active_files(spark: SparkSession, sf: str) -> DataFrame:
+    sup = table(spark, sf, "supplier")
+    files = sup.select(
+        F.when(F.col("s_acctbal") > 5000, F.lit("shared.parquet"))
+        .otherwise(F.concat("s_name", F.lit(".parquet"))).alias("path"),
+        F.col("s_nationkey").alias("table_id"),
+        F.when(F.col("s_acctbal") < 0, F.lit(7)).alias("end_snapshot"),
+    )
+    tables_ = table(spark, sf, "nation").select(
+        F.col("n_nationkey").alias("table_id"), F.col("n_regionkey").alias("schema_id"),
+        F.concat(F.lower("n_name"), F.lit("/")).alias("path"),
+    )
+    schemas_ = table(spark, sf, "region").select(
+        F.col("r_regionkey").alias("schema_id"), F.concat(F.lower("r_name"), F.lit("/")).alias("path")
+    )
+    return maintain.active_files(files, tables_, schemas_)
+
+
+LISTING_EPOCH = "2024-01-01 00:00:00"
+ORPHAN_CUTOFF = "2024-02-10 00:00:00"
+
+
+def _listing_and_active(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    docs = table(spark, sf, "documents")
+    listing = docs.select(
+        F.concat(F.lit("data/"), F.col("doc_id").cast("string"), F.lit(".parquet")).alias("path"),
+        (F.col("n_chars") * 37).alias("size"),
+        (F.lit(LISTING_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("doc_id").cast("int"))).alias("modified"),
+    )
+    active = table(spark, sf, "labels").where(F.col("toxic") == 0).select(
+        F.concat(F.lit("data/"), F.col("doc_id").cast("string"), F.lit(".parquet")).alias("full_path")
+    )
+    return listing, active
+
+
+@query("orphan_files")
+def q_orphan_files(spark: SparkSession, sf: str) -> DataFrame:
+    listing, active = _listing_and_active(spark, sf)
+    return maintain.orphan_files(listing, active, F.lit(ORPHAN_CUTOFF).cast("timestamp_ntz"))
+
+
+@query("orphan_summary")
+def q_orphan_summary(spark: SparkSession, sf: str) -> DataFrame:
+    listing, active = _listing_and_active(spark, sf)
+    orphans = maintain.orphan_files(listing, active, F.lit(ORPHAN_CUTOFF).cast("timestamp_ntz"))
+    return maintain.orphan_summary(listing, active, orphans)
+
+
+CUSTOMER_CONTRACT = [
+    ("c_custkey", "bigint", True),
+    ("c_name", "string", True),
+    ("c_mktsegment", "string", True),
+    ("c_acctbal", "double", False),
+    ("c_nationkey", "bigint", True),
+    ("c_phone", "string", False),
+]
+
+
+@query("contract_check")
+def q_contract_check(spark: SparkSession, sf: str) -> DataFrame:
+    cust = table(spark, sf, "customer").select(
+        "c_custkey", "c_name",
+        F.nullif("c_mktsegment", F.lit("HOUSEHOLD")).alias("c_mktsegment"),
+        F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("c_acctbal"),
+        "c_nationkey",
+    )
+    return maintain.contract_violations(cust, CUSTOMER_CONTRACT)
+
+
+INFO_SCHEMAS = ["NATION_1", "nation_2", "Nation_3", "NATION_10"]
+
+
+@query("information_schema")
+def q_information_schema(spark: SparkSession, sf: str) -> DataFrame:
+    nation = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    sup = table(spark, sf, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    cust = table(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    tables_ = sup.select(
+        F.when(F.col("s_acctbal") < 0, F.lit("system")).otherwise(F.lit("lake")).alias("database_name"),
+        F.col("n_name").alias("schema_name"), F.col("s_name").alias("table_name"),
+        F.lit(None).cast("string").alias("comment"),
+    )
+    views = cust.select(
+        F.when(F.col("c_mktsegment") == "MACHINERY", F.lit("__ducklake_metadata_lake"))
+        .otherwise(F.lit("lake")).alias("database_name"),
+        F.lower("n_name").alias("schema_name"), F.col("c_name").alias("table_name"),
+        F.col("c_mktsegment").alias("comment"),
+    )
+    li = table(spark, sf, "lineitem").join(
+        sup.select("s_suppkey", "s_name", "n_name"), F.col("l_suppkey") == F.col("s_suppkey")
+    )
+    cols_t = li.select(
+        F.lit("lake").alias("database_name"), F.col("n_name").alias("schema_name"),
+        F.col("s_name").alias("table_name"),
+        F.concat(F.lit("l_"), F.col("l_orderkey").cast("string"), F.lit("_"), F.col("l_linenumber").cast("string")).alias("column_name"),
+        F.col("l_linenumber").alias("column_index"), F.lit("DOUBLE").alias("data_type"),
+        F.lit(None).cast("string").alias("comment"),
+    )
+    od = table(spark, sf, "orders").join(
+        cust.select("c_custkey", "c_name", "n_name"), F.col("o_custkey") == F.col("c_custkey")
+    )
+    cols_v = od.select(
+        F.lit("lake").alias("database_name"), F.lower("n_name").alias("schema_name"),
+        F.col("c_name").alias("table_name"),
+        F.concat(F.lit("o_"), F.col("o_orderkey").cast("string")).alias("column_name"),
+        F.lit(1).alias("column_index"), F.lit("BIGINT").alias("data_type"),
+        F.col("o_orderpriority").alias("comment"),
+    )
+    return information_schema.relation_columns(tables_, views, cols_t.unionByName(cols_v), INFO_SCHEMAS)
+
+
+# --- manifest / metadata ----------------------------------------------------
+
+
+def _manifest(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    p = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("k"), "p_size", "p_type",
+        F.concat(F.lit("b"), F.replace(F.lower("p_brand"), F.lit("brand#"), F.lit(""))).alias("ds"),
+    )
+    model_id = lambda ds, key: F.concat(F.lit("model."), ds, F.lit(".p"), key.cast("string"))
+    pm_models = p.select(
+        model_id(F.col("ds"), F.col("k")).alias("child"),
+        F.array(
+            model_id(F.col("ds"), F.col("k") + 1),
+            F.concat(F.lit("source."), F.col("ds"), F.lit(".raw_p"), F.col("k").cast("string")),
+            model_id(F.concat(F.lit("b"), F.col("p_size").cast("string")), F.col("k") + 2),
+        ).alias("parents"),
+    )
+    pm_seeds = p.where(F.col("p_size") < 5).select(
+        F.concat(F.lit("seed."), F.col("ds"), F.lit(".s"), F.col("k").cast("string")).alias("child"),
+        F.array().cast("array<string>").alias("parents"),
+    )
+    nodes = p.where(F.col("p_size") > 10).select(
+        model_id(F.col("ds"), F.col("k")).alias("unique_id"),
+        F.array("ds", F.lit("main"), F.concat(F.lit("p"), F.col("k").cast("string"))).alias("fqn"),
+        F.lit("model").alias("resource_type"),
+        F.when(F.col("p_size") > 40, F.lit("table")).otherwise(F.lit("view")).alias("materialized"),
+        F.when(F.col("p_size") > 30, F.create_map(F.lit("owner"), F.col("p_type")))
+        .otherwise(F.create_map().cast("map<string,string>")).alias("meta"),
+    )
+    return pm_models.unionByName(pm_seeds), nodes
+
+
+@query("lineage_extract")
+def q_lineage_extract(spark: SparkSession, sf: str) -> DataFrame:
+    _, nodes = lineage.extract_lineage(*_manifest(spark, sf))
+    return nodes.select(
+        "datasource", "name", F.to_json("fqn").alias("fqn_json"), "resource_type", "materialized",
+        F.to_json("meta").alias("meta_json"),
+    )
+
+
+@query("lineage_extract_edges")
+def q_lineage_extract_edges(spark: SparkSession, sf: str) -> DataFrame:
+    edges, _ = lineage.extract_lineage(*_manifest(spark, sf))
+    return edges
+
+
+@query("column_types")
+def q_column_types(spark: SparkSession, sf: str) -> DataFrame:
+    p = table(spark, sf, "part")
+    node = F.concat(F.lit("model.x.p"), F.col("p_partkey").cast("string"))
+    c = lambda t: F.struct(F.lit(t).alias("type"))
+    no_constraints = F.array().cast("array<struct<type:string>>")
+    manifest_cols = p.select(
+        node.alias("node_id"),
+        F.inline(F.array(
+            F.struct(
+                F.lit("p_name").alias("column_name"),
+                F.when(F.col("p_size") % 2 == 0, F.lit("VARCHAR")).alias("data_type"),
+                F.when(F.col("p_size") > 20, F.lit("Name")).alias("title"),
+                F.concat(F.lit("  "), F.col("p_name"), F.lit(" ")).alias("description"),
+                F.when(F.col("p_size") > 25, F.array(c("not_null"))).otherwise(no_constraints).alias("constraints"),
+            ),
+            F.struct(
+                F.lit("p_brand").alias("column_name"), F.lit(None).cast("string").alias("data_type"),
+                F.lit("Brand").alias("title"), F.lit("   ").alias("description"),
+                F.array(c("unique")).alias("constraints"),
+            ),
+            F.struct(
+                F.lit("p_retailprice").alias("column_name"), F.lit("DOUBLE").alias("data_type"),
+                F.lit(None).cast("string").alias("title"), F.col("p_type").alias("description"),
+                F.when(F.col("p_size") % 3 == 0, F.array(c("unique"), c("not_null")))
+                .otherwise(F.array(c("check"))).alias("constraints"),
+            ),
+        )),
+    )
+    catalog_cols = p.where(F.col("p_size") % 3 != 1).select(
+        node.alias("node_id"),
+        F.inline(F.array(
+            F.struct(F.lit("p_name").alias("column_name"), F.lit("VARCHAR").alias("type")),
+            F.struct(
+                F.lit("p_brand").alias("column_name"),
+                F.when(F.col("p_size") % 3 == 2, F.lit("")).otherwise(F.lit("VARCHAR")).alias("type"),
+            ),
+        )),
+    )
+    return lineage.resolve_column_types(manifest_cols, catalog_cols)
+
+
+@query("group_to_list")
+def q_group_to_list(spark: SparkSession, sf: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    t = catalog.tables(_parsed_docs(spark, sf))
+    g = t.groupBy("datasource", "schema_name").agg(
+        F.array_join(
+            F.transform(F.array_sort(F.collect_list(F.struct("node_index", "name"))), lambda x: x["name"]), ","
+        ).alias("table_list"),
+        F.count(F.lit(1)).alias("n_tables"),
+    )
+    return g.withColumn("total_tables", F.sum("n_tables").over(Window.partitionBy("datasource")))
+
+
+# --- survey -----------------------------------------------------------------
+
+DOC_TIERS = [("licensed", ["License", "license"]), ("contact", ["@"])]
+
+
+@query("classify")
+def q_classify(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    classed = survey.classify(docs, ["source", "lang", "text"], DOC_TIERS)
+    return survey.count_per(classed, ["source", "category"])
+
+
+@query("latest_per_group")
+def q_latest_per_group(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders").withColumn("d", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return survey.survey_summary(
+        orders, group="o_orderpriority", position="o_orderkey", code="o_custkey", date="d",
+        item="o_orderkey",
+    )
+
+
+def _class_json(n: F.Column) -> F.Column:
+    item = lambda i: F.concat(
+        F.lit('{"@code":"c'), i.cast("string"), F.lit('","@name":"N'), i.cast("string"), F.lit('"}')
+    )
+    many = F.concat(F.lit("["), F.array_join(F.transform(F.sequence(F.lit(1), n), item), ","), F.lit("]"))
+    return F.when(n == 1, item(F.lit(1))).otherwise(many)
+
+
+@query("object_or_list")
+def q_object_or_list(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "events")
+    label = F.concat(F.col("event_type"), F.lit(" "), F.col("event_id").cast("string"))
+    uid = F.col("user_id").cast("string")
+
+    def obj(axis_id: str, name: str, classes: F.Column) -> F.Column:
+        return F.concat(F.lit(f'{{"@id":"{axis_id}","@name":"{name}","CLASS":'), classes, F.lit("}"))
+
+    area_class = F.concat(F.lit('{"@code":"a'), uid, F.lit('","@name":"Area '), uid, F.lit('"}'))
+    raw = e.select(
+        "event_id",
+        F.when(F.col("event_type").isin("click", "view"), F.concat(F.lit('{"$":"'), label, F.lit('"}')))
+        .otherwise(F.concat(F.lit('"'), label, F.lit('"'))).alias("title_json"),
+        F.when(
+            F.col("user_id") % 2 == 0,
+            F.concat(F.lit('{"$":"survey '), uid, F.lit('","@code":"'), F.lpad(uid, 8, "0"), F.lit('"}')),
+        ).otherwise(F.concat(F.lit('"survey '), uid, F.lit('"'))).alias("stat_json"),
+        F.when(
+            F.col("value") >= 50,
+            F.concat(F.lit("["), obj("cat01", "Category", _class_json((F.col("event_id") % 7 + 1).cast("int"))),
+                     F.lit(","), obj("area", "Area", area_class), F.lit("]")),
+        ).otherwise(obj("time", "Time", _class_json((F.col("event_id") % 7 + 1).cast("int")))).alias("class_inf"),
+    )
+    from tidepool.functions.jsonx import polymorphic_code, polymorphic_text
+
+    tagged = raw.select(
+        "event_id",
+        polymorphic_text("title_json").alias("title"),
+        polymorphic_text("stat_json").alias("stat_name"),
+        polymorphic_code("stat_json").alias("stat_code"),
+        "class_inf",
+    )
+    return survey.axis_summary(tagged, ["event_id", "title", "stat_name", "stat_code"], "class_inf")
