@@ -1,0 +1,85 @@
+import json
+
+from pyspark.sql import functions as F
+
+from tidepool.operators import catalog, lineage, metadata
+
+
+def test_documents_from_manifest_round_trip(spark):
+    nodes = spark.createDataFrame(
+        [
+            ("model.stats.pop", "model", ["stats", "main", "pop"], "main", "pop", "people", "table",
+             " select 1 ", {"title": "Population", "published": "true", "tags": '["a","b"]'}),
+            ("model.stats.raw", "model", ["stats", "raw", "raw"], "raw", "raw", None, "view", "", {}),
+            ("model.other.x", "model", ["other", "x"], "main", "x", "", "view", None, {}),
+            ("seed.stats.s", "seed", ["stats", "s"], "main", "s", "", "seed", None, {}),
+        ],
+        "unique_id string, resource_type string, fqn array<string>, schema string, name string, "
+        "description string, materialized string, compiled_code string, meta map<string,string>",
+    )
+    models = metadata.model_rows(nodes)
+    rows = {r.name: r for r in models.collect()}
+    assert set(rows) == {"pop", "raw", "x"}
+    assert rows["pop"].published is True and rows["pop"].sql == "select 1" and rows["raw"].sql is None
+    assert rows["raw"].title == "" and rows["pop"].tags == ["a", "b"]
+
+    manifest_cols = spark.createDataFrame(
+        [("model.stats.pop", "area", "VARCHAR", "Area", " code ", [{"type": "not_null"}]),
+         ("model.stats.pop", "n", "", None, "", [])],
+        "node_id string, column_name string, data_type string, title string, description string, "
+        "constraints array<struct<type:string>>",
+    )
+    catalog_cols = spark.createDataFrame([("model.stats.pop", "n", "BIGINT")], "node_id string, column_name string, type string")
+    resolved = {r.column_name: r for r in lineage.resolve_column_types(manifest_cols, catalog_cols).collect()}
+    assert resolved["area"].data_type == "VARCHAR" and resolved["area"].nullable is False
+    assert resolved["n"].data_type == "BIGINT" and resolved["n"].description is None
+
+    cols = resolved_cols = spark.createDataFrame(
+        [("model.stats.pop", 1, "area", "Area", "code", "VARCHAR", False),
+         ("model.stats.pop", 2, "n", "", "", "BIGINT", True)],
+        "unique_id string, position int, name string, title string, description string, "
+        "data_type string, nullable boolean",
+    )
+    configs = spark.createDataFrame(
+        [("stats", "Stats", "desc", None, ["t"], "https://x/stats", [{"name": "main", "title": "Main"},
+                                                                     {"name": "empty", "title": "Empty"}],
+          None, None)],
+        "datasource string, title string, description string, cover string, tags array<string>, "
+        "ducklake_url string, schemas array<struct<name:string,title:string>>, "
+        "dependencies array<struct<alias:string,ducklake_url:string>>, readme string",
+    )
+    pmap = spark.createDataFrame([("stats", "pop", ["raw"]), ("stats", "raw", [])],
+                                 "datasource string, child string, parents array<string>")
+    lnodes = spark.createDataFrame(
+        [("stats", "pop", ["stats", "main", "pop"], "model", "table", {}),
+         ("stats", "raw", [], "model", "view", {})],
+        "datasource string, name string, fqn array<string>, resource_type string, materialized string, "
+        "meta map<string,string>",
+    )
+    docs = metadata.build_documents(configs, models.where(F.col("datasource") == "stats"), resolved_cols, pmap, lnodes)
+    row = docs.collect()[0]
+    doc = json.loads(row.document)
+    assert list(doc["schemas"]) == ["main", "empty", "raw"]  # declared first, then undeclared
+    assert doc["schemas"]["empty"]["tables"] == [] and doc["schemas"]["raw"]["title"] == ""
+    assert row.total_tables == 2
+    assert "dependencies" not in doc and "readme" not in doc  # NULL fields left out
+    # the document flattens back through the catalog jobs
+    as_row = docs.select(
+        F.lit("stats").alias("datasource"),
+        *[F.get_json_object("document", f"$.{c}").alias(c) for c in
+          ("title", "description", "cover", "tags", "ducklake_url", "schemas", "dependencies", "lineage", "readme")],
+    )
+    parsed = catalog.parse_documents(as_row)
+    assert catalog.tables(parsed).count() == 2
+    assert catalog.columns(parsed).count() == 2
+    assert sorted(tuple(r) for r in catalog.lineage_edges(parsed).collect()) == [("stats", "pop", "raw")]
+    assert cols is resolved_cols
+
+
+def test_schema_name_rule(spark):
+    df = spark.createDataFrame(
+        [(" custom ", ["p", "a", "m"]), (None, ["p", "stg", "m"]), (None, ["p", "m"])],
+        "custom string, fqn array<string>",
+    )
+    got = [r[0] for r in df.select(metadata.schema_name(F.col("custom"), F.col("fqn"), F.lit("main"))).collect()]
+    assert got == ["custom", "stg", "main"]

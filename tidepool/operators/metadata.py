@@ -97,7 +97,7 @@ def build_documents(
                 F.array_sort(F.collect_list(F.struct("_pos", "schema_name", F.struct("title", "tables").alias("v")))),
                 lambda x: F.struct(x["schema_name"], x["v"]),
             )
-        ).alias("schemas")
+        ).alias("_schema_map")
     )
     pmap = parent_map.groupBy("datasource").agg(
         F.map_from_entries(F.collect_list(F.struct("child", "parents"))).alias("parent_map")
@@ -111,7 +111,7 @@ def build_documents(
         ).alias("nodes")
     )
     doc = (
-        configs.join(schemas, "datasource", "left")
+        configs.drop("schemas").join(schemas, "datasource", "left")
         .join(pmap, "datasource", "left")
         .join(nmap, "datasource", "left")
     )
@@ -120,7 +120,7 @@ def build_documents(
         F.to_json(
             F.struct(
                 "title", "description", F.coalesce("cover", F.lit("")).alias("cover"), "tags",
-                "ducklake_url", "schemas",
+                "ducklake_url", F.col("_schema_map").alias("schemas"),
                 F.struct(
                     F.coalesce("parent_map", F.create_map().cast(pmap.schema["parent_map"].dataType)).alias("parent_map"),
                     F.coalesce("nodes", F.create_map().cast(nmap.schema["nodes"].dataType)).alias("nodes"),
@@ -129,6 +129,6 @@ def build_documents(
             )
         ).alias("document"),
         F.aggregate(
-            F.map_values("schemas"), F.lit(0), lambda acc, s: acc + F.size(s["tables"])
+            F.map_values("_schema_map"), F.lit(0), lambda acc, s: acc + F.size(s["tables"])
         ).alias("total_tables"),
     )
