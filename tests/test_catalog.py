@@ -85,8 +85,11 @@ def test_search_entries_fan_out_and_tags(spark, tmp):
     parsed = catalog.parse_documents(read_metadata_documents(spark, [str(tmp / n / "metadata.json") for n in DOCS]))
     t, c = catalog.tables(parsed), catalog.columns(parsed)
     tags = {r.name: r.tags_text for r in catalog.table_tag_text(t).collect()}
+    assert tags == {r.name: r.tags_text for r in catalog.tag_text_local(parsed).collect()}
     assert tags["pop"] == "x y z"  # both schemas, ordered by schema then index
-    entries = catalog.search_entries(t, c).collect()
+    entries = catalog.search_entries_joined(t, c).collect()
+    local = catalog.search_entries(parsed).collect()
+    assert sorted(map(tuple, local), key=str) == sorted(map(tuple, entries), key=str)
     col_rows = [e for e in entries if e.entry_type == "column"]
     # same table name in two schemas: each column appears once per schema
     assert len(col_rows) == 4
@@ -94,7 +97,8 @@ def test_search_entries_fan_out_and_tags(spark, tmp):
     table_rows = [e for e in entries if e.entry_type == "table"]
     assert len(table_rows) == 3
     assert any(e.search_text == "pop Population people x y z" for e in table_rows)
-    exported = export.export_columns(t, c).collect()
+    exported = export.export_columns_joined(t, c).collect()
+    assert sorted(map(tuple, export.export_columns(parsed).collect())) == sorted(map(tuple, exported))
     assert {e.id for e in exported} == {"stats/main/pop/area_code", "stats/main/pop/n",
                                         "stats/stg/pop/area_code", "stats/stg/pop/n"}
     assert all(e.statement.startswith("INSERT OR REPLACE INTO catalog_columns") for e in exported)

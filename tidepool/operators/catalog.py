@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepool.functions.text import underscore_words
 
@@ -42,6 +43,21 @@ LINEAGE_SCHEMA = (
 )
 
 
+_COLUMN_T = T.StructType([T.StructField(n, T.StringType()) for n in
+                          ("name", "title", "description", "data_type", "nullable")])
+_TABLE_T = T.StructType(
+    [T.StructField(n, T.StringType()) for n in
+     ("name", "title", "description", "materialized", "license", "license_url", "source_url",
+      "published", "tags", "sql")]
+    + [T.StructField("columns", T.ArrayType(_COLUMN_T))]
+)
+_DOC_TABLE_T = T.StructType([
+    T.StructField("schema_name", T.StringType()),
+    T.StructField("node_index", T.IntegerType()),
+    T.StructField("t", _TABLE_T),
+])
+
+
 def parse_documents(docs: DataFrame) -> DataFrame:
     """Parse the JSON parts of each document once (typed, partial results)."""
     return docs.select(
@@ -183,8 +199,9 @@ def _text_or_blank(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
-def search_entries(table_rows: DataFrame, column_rows: DataFrame) -> DataFrame:
-    """One search row per table and per column (tables ∪ columns)."""
+def search_entries_joined(table_rows: DataFrame, column_rows: DataFrame) -> DataFrame:
+    """Search entries from table and column rows with joins (general form,
+    for row sets where one datasource spans several documents)."""
     tags = table_tag_text(table_rows)
     t = table_rows.alias("t")
     table_entries = t.join(tags.alias("ta"), ["datasource", "name"], "left").select(
@@ -235,3 +252,141 @@ def search_entries(table_rows: DataFrame, column_rows: DataFrame) -> DataFrame:
         ).alias("href"),
     )
     return table_entries.unionByName(column_entries)
+
+
+# --- row-local forms --------------------------------------------------------
+#
+# Every join and grouping of the catalog marts has the datasource in its
+# key, and a datasource is described by exactly one document. So the
+# joins (columns ⟕ tables, tables ⟕ tag text) and groupings (tags by table
+# name, tables by schema) can run inside each document row with array
+# functions: one scan, one parse, no shuffle, whatever the catalog size.
+
+
+def doc_tables(parsed: DataFrame) -> Column:
+    """array<struct<schema_name, node_index, t>> of a document, in document order."""
+    empty = F.array().cast(T.ArrayType(_TABLE_T))
+    return F.flatten(
+        F.transform(
+            F.map_entries(F.coalesce("_schemas", F.create_map().cast(parsed.schema["_schemas"].dataType))),
+            lambda e: F.transform(
+                F.coalesce(e["value"]["tables"], empty),
+                lambda t, i: F.struct(
+                    e["key"].alias("schema_name"), (i + 1).cast("int").alias("node_index"), t.alias("t")
+                ),
+            ),
+        )
+    )
+
+
+def _tag_rows(tabs: Column) -> Column:
+    return F.transform(
+        tabs,
+        lambda u: F.struct(
+            u["schema_name"].alias("s"), u["node_index"].alias("i"), u["t"]["name"].alias("name"),
+            F.coalesce(F.from_json(u["t"]["tags"], "array<string>"), F.array().cast("array<string>")).alias("tags"),
+        ),
+    )
+
+
+def _tags_of(tag_rows: Column, name: Column, null_safe: bool) -> Column:
+    """Tags of all tables named ``name``, ordered by schema, index, position."""
+    match = (lambda x: x["name"].eqNullSafe(name)) if null_safe else (lambda x: x["name"] == name)
+    return F.flatten(F.transform(F.array_sort(F.filter(tag_rows, match)), lambda x: x["tags"]))
+
+
+def tag_text_local(parsed: DataFrame) -> DataFrame:
+    """:func:`table_tag_text` without a shuffle (one row per table name with tags)."""
+    with_tabs = parsed.select("datasource", doc_tables(parsed).alias("_tabs"))
+    tags = _tag_rows(F.col("_tabs"))
+    per_name = F.transform(
+        F.array_distinct(F.transform("_tabs", lambda u: u["t"]["name"])),
+        lambda n: F.struct(n.alias("name"), _tags_of(tags, n, True).alias("tags")),
+    )
+    return with_tabs.select("datasource", F.explode(F.filter(per_name, lambda x: F.size(x["tags"]) > 0)).alias("_x")).select(
+        "datasource", F.col("_x.name").alias("name"), F.array_join("_x.tags", " ").alias("tags_text")
+    )
+
+
+def _blank(c: Column) -> Column:
+    return F.coalesce(c, F.lit(""))
+
+
+def _href(ds: Column, schema: Column, table: Column) -> Column:
+    return F.concat(F.lit("/datasets/"), ds, F.lit("/"), schema, F.lit("/"), table)
+
+
+def search_entries(parsed: DataFrame) -> DataFrame:
+    """One search row per table and per column, computed inside each
+    document (same rows as :func:`search_entries_joined`)."""
+    ds = F.col("datasource")
+    tabs = F.col("_tabs")
+    tags = _tag_rows(tabs)
+    entry = lambda kind, schema, table, title, column, desc, text: F.struct(
+        F.lit(kind).alias("entry_type"), schema.alias("schema_name"), table.alias("table_name"),
+        title.alias("table_title"), column.alias("column_name"), desc.alias("description"),
+        text.alias("search_text"), _href(ds, schema, table).alias("href"),
+    )
+    table_entries = F.transform(
+        tabs,
+        lambda u: entry(
+            "table", u["schema_name"], u["t"]["name"], u["t"]["title"], F.lit(None).cast("string"),
+            u["t"]["description"],
+            F.concat_ws(" ", _blank(underscore_words(u["t"]["name"])), _blank(u["t"]["title"]),
+                        _blank(u["t"]["description"]),
+                        _blank(F.nullif(F.array_join(_tags_of(tags, u["t"]["name"], False), " "), F.lit("")))),
+        ),
+    )
+    cols = F.flatten(F.transform(
+        tabs,
+        lambda u: F.transform(
+            F.coalesce(u["t"]["columns"], F.array().cast(T.ArrayType(_COLUMN_T))),
+            lambda c: F.struct(u["t"]["name"].alias("table_name"), c.alias("c")),
+        ),
+    ))
+
+    def column_entry(ce: Column, u: Column | None) -> Column:
+        c = ce["c"]
+        schema = u["schema_name"] if u is not None else F.lit(None).cast("string")
+        title = u["t"]["title"] if u is not None else F.lit(None).cast("string")
+        return entry(
+            "column", schema, ce["table_name"], title, c["name"], c["description"],
+            F.concat_ws(" ", _blank(underscore_words(c["name"])), _blank(F.coalesce(c["title"], F.lit(""))),
+                        _blank(c["description"]), _blank(underscore_words(ce["table_name"]))),
+        )
+
+    column_entries = F.flatten(F.transform(
+        cols,
+        lambda ce: F.when(
+            F.size(F.filter(tabs, lambda u: u["t"]["name"] == ce["table_name"])) == 0,
+            F.array(column_entry(ce, None)),
+        ).otherwise(
+            F.transform(F.filter(tabs, lambda u: u["t"]["name"] == ce["table_name"]), lambda u: column_entry(ce, u))
+        ),
+    ))
+    return (
+        parsed.select("datasource", doc_tables(parsed).alias("_tabs"))
+        .select("datasource", F.explode(F.concat(table_entries, column_entries)).alias("_e"))
+        .select("_e.entry_type", "datasource", "_e.schema_name", "_e.table_name", "_e.table_title",
+                "_e.column_name", "_e.description", "_e.search_text", "_e.href")
+    )
+
+
+def tables_by_schema(parsed: DataFrame) -> DataFrame:
+    """Per (datasource, schema) holding tables: table names in index order,
+    table count, and the dataset's total table count."""
+    empty = F.array().cast(T.ArrayType(_TABLE_T))
+    per_schema = F.transform(
+        F.map_entries(F.coalesce("_schemas", F.create_map().cast(parsed.schema["_schemas"].dataType))),
+        lambda e: F.struct(
+            e["key"].alias("schema_name"),
+            F.array_join(F.transform(F.coalesce(e["value"]["tables"], empty), lambda t: t["name"]), ",").alias("table_list"),
+            F.size(F.coalesce(e["value"]["tables"], empty)).cast("bigint").alias("n_tables"),
+        ),
+    )
+    with_list = parsed.select("datasource", per_schema.alias("_s"))
+    total = F.aggregate("_s", F.lit(0).cast("bigint"), lambda acc, x: acc + x["n_tables"])
+    return with_list.select(
+        "datasource", total.alias("total_tables"),
+        F.explode(F.filter("_s", lambda x: x["n_tables"] > 0)).alias("_x"),
+    ).select("datasource", "_x.schema_name", "_x.table_list", "_x.n_tables", "total_tables")

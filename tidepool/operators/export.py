@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepool.functions.text import path_key, sql_bool, sql_json, sql_value
 
@@ -31,7 +32,7 @@ def insert_statement(table: str, values: Sequence[tuple[str, Column]]) -> Column
     return F.concat(*parts)
 
 
-def export_columns(table_rows: DataFrame, column_rows: DataFrame) -> DataFrame:
+def export_columns_joined(table_rows: DataFrame, column_rows: DataFrame) -> DataFrame:
     """Column export rows: columns ⋈ tables on (node_id, datasource).
 
     A node id carries no schema, so a table name present in two schemas
@@ -53,6 +54,10 @@ def export_columns(table_rows: DataFrame, column_rows: DataFrame) -> DataFrame:
         "data_type",
         F.coalesce("column_index", F.lit(0)).alias("column_index"),
     )
+    return _with_column_statement(out)
+
+
+def _with_column_statement(out: DataFrame) -> DataFrame:
     return out.withColumn(
         "statement",
         insert_statement(
@@ -119,3 +124,41 @@ def push_batches(
             send(chunk)
 
     df.select(column).foreachPartition(per_partition)
+
+
+def export_columns(parsed: DataFrame) -> DataFrame:
+    """Column export rows computed inside each parsed document (the
+    columns ⋈ tables join keys include the datasource; no shuffle)."""
+    from tidepool.operators.catalog import _COLUMN_T, doc_tables
+
+    tabs = F.col("_tabs")
+    pairs = F.flatten(F.transform(
+        tabs,
+        lambda u: F.flatten(F.transform(
+            F.coalesce(u["t"]["columns"], F.array().cast(T.ArrayType(_COLUMN_T))),
+            lambda c, j: F.transform(
+                F.filter(tabs, lambda v: v["t"]["name"] == u["t"]["name"]),
+                lambda v: F.struct(
+                    v["schema_name"].alias("schema_name"), u["t"]["name"].alias("table_name"),
+                    c["name"].alias("column_name"), F.coalesce(c["title"], F.lit("")).alias("title"),
+                    c["description"].alias("description"), c["data_type"].alias("data_type"),
+                    (j + 1).cast("int").alias("column_index"),
+                ),
+            ),
+        )),
+    ))
+    rows = parsed.select("datasource", doc_tables(parsed).alias("_tabs")).select(
+        "datasource", F.explode(pairs).alias("_p")
+    )
+    out = rows.select(
+        path_key("datasource", "_p.schema_name", "_p.table_name", "_p.column_name").alias("id"),
+        "datasource",
+        F.col("_p.schema_name").alias("schema_name"),
+        F.col("_p.table_name").alias("table_name"),
+        F.col("_p.column_name").alias("column_name"),
+        F.col("_p.title").alias("title"),
+        F.coalesce("_p.description", F.lit("")).alias("description"),
+        F.col("_p.data_type").alias("data_type"),
+        F.coalesce("_p.column_index", F.lit(0)).alias("column_index"),
+    )
+    return _with_column_statement(out)

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions.text import human_size
-from tidepool.operators.joins import join_small
 
 
 def active_files(data_files: DataFrame, tables: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -16,14 +15,16 @@ def active_files(data_files: DataFrame, tables: DataFrame, schemas: DataFrame) -
     still current (``end_snapshot IS NULL``).
 
     data_files(path, table_id, end_snapshot), tables(table_id, schema_id,
-    path), schemas(schema_id, path). Tables and schemas are broadcast when
-    their row counts are within the checked bound."""
+    path), schemas(schema_id, path). No hint: the planner broadcasts the
+    table and schema lists when their estimated size is under
+    ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-plans from measured
+    shuffle sizes, so a large side falls back to a shuffled join."""
     f = data_files.where(F.col("end_snapshot").isNull()).select(
         F.col("path").alias("_fpath"), "table_id"
     )
     t = tables.select("table_id", "schema_id", F.col("path").alias("_tpath"))
     s = schemas.select("schema_id", F.col("path").alias("_spath"))
-    joined = join_small(join_small(f, t, "table_id"), s, "schema_id")
+    joined = f.join(t, "table_id").join(s, "schema_id")
     return joined.select(F.concat("_spath", "_tpath", "_fpath").alias("full_path")).distinct()
 
 

@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.functions.jsonx import as_json_list
 from tidepool.functions.text import classify_keywords
 
 # Keyword tiers of the small-area survey (mesh first, then
@@ -75,18 +74,31 @@ def survey_summary(
     ).orderBy(F.desc("n_items"), group)
 
 
+AXIS_SCHEMA = "array<struct<`@id`:string,`@name`:string,CLASS:string>>"
+CLASS_SCHEMA = "array<struct<`@code`:string,`@name`:string>>"
+
+
 def axis_summary(df: DataFrame, keys: Sequence[str], class_inf: str) -> DataFrame:
     """One row per class object (axis) of ``class_inf`` JSON (one object or a
-    list): id, name, number of classes, first codes and names."""
-    axes = df.select(*keys, F.posexplode(as_json_list(class_inf)).alias("_axis_pos", "_obj"))
-    classes = as_json_list(F.get_json_object("_obj", "$.CLASS"))
-    first = F.slice(classes, 1, SAMPLE_SIZE)
+    list): id, name, number of classes, first codes and names.
+
+    A typed ``from_json`` with an array schema reads a single object as a
+    one-element array, so each level is parsed once whatever its shape."""
+    no_axes = F.array().cast(AXIS_SCHEMA)
+    axes = df.select(
+        *keys,
+        F.posexplode(F.coalesce(F.from_json(class_inf, AXIS_SCHEMA), no_axes)).alias("_axis_pos", "_obj"),
+    )
+    classes = F.coalesce(F.from_json(F.col("_obj")["CLASS"], CLASS_SCHEMA), F.array().cast(CLASS_SCHEMA))
     return axes.select(
         *keys,
         (F.col("_axis_pos") + 1).cast("int").alias("axis_pos"),
-        F.coalesce(F.get_json_object("_obj", "$['@id']"), F.lit("")).alias("axis_id"),
-        F.coalesce(F.get_json_object("_obj", "$['@name']"), F.lit("")).alias("axis_name"),
-        F.size(classes).alias("num_classes"),
-        F.array_join(F.transform(first, lambda c: F.coalesce(F.get_json_object(c, "$['@code']"), F.lit(""))), ",").alias("sample_codes"),
-        F.array_join(F.transform(first, lambda c: F.coalesce(F.get_json_object(c, "$['@name']"), F.lit(""))), ",").alias("sample_names"),
+        F.coalesce(F.col("_obj")["@id"], F.lit("")).alias("axis_id"),
+        F.coalesce(F.col("_obj")["@name"], F.lit("")).alias("axis_name"),
+        classes.alias("_classes"),
+    ).select(
+        *keys, "axis_pos", "axis_id", "axis_name",
+        F.size("_classes").alias("num_classes"),
+        F.array_join(F.transform(F.slice("_classes", 1, SAMPLE_SIZE), lambda c: F.coalesce(c["@code"], F.lit(""))), ",").alias("sample_codes"),
+        F.array_join(F.transform(F.slice("_classes", 1, SAMPLE_SIZE), lambda c: F.coalesce(c["@name"], F.lit(""))), ",").alias("sample_names"),
     )

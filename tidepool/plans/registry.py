@@ -93,13 +93,12 @@ def q_lineage_nodes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("tag_text")
 def q_tag_text(spark: SparkSession, sf: str) -> DataFrame:
-    return catalog.table_tag_text(catalog.tables(_parsed_docs(spark, sf)))
+    return catalog.tag_text_local(_parsed_docs(spark, sf))
 
 
 @query("search_entries")
 def q_search_entries(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = _parsed_docs(spark, sf)
-    return catalog.search_entries(catalog.tables(parsed), catalog.columns(parsed))
+    return catalog.search_entries(_parsed_docs(spark, sf))
 
 
 # --- reshape / scalar functions ---------------------------------------------
@@ -220,17 +219,28 @@ def q_union_periods(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _completed(spark: SparkSession, sf: str) -> DataFrame:
-    orders = table(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
-    cust = table(spark, sf, "customer")
-    return (
-        orders.join(cust, orders.o_custkey == cust.c_custkey)
+    """(area, year, quarter) already loaded: finished orders by customer area.
+
+    Orders are first reduced to distinct (customer, year, quarter) — a
+    partial aggregation before any shuffle, which also collapses a customer
+    holding a large share of the orders — and only then joined to customers.
+    """
+    per_customer = (
+        table(spark, sf, "orders")
+        .where(F.col("o_orderstatus") == "F")
         .select(
-            codes.zero_pad(F.col("c_nationkey") + F.lit(1), 2).alias("area_code"),
+            F.col("o_custkey").alias("c_custkey"),
             F.year("o_orderdate").alias("year"),
             F.quarter("o_orderdate").alias("quarter"),
         )
         .distinct()
     )
+    cust = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    return (
+        per_customer.join(cust, "c_custkey")
+        .select(codes.zero_pad(F.col("c_nationkey") + F.lit(1), 2).alias("area_code"), "year", "quarter")
+        .distinct()
+    )
 
 
 WORK_START, WORK_END = (1995, 1), (2002, 2)
@@ -343,8 +353,7 @@ def q_sql_literals(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("export_rows")
 def q_export_rows(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = _parsed_docs(spark, sf)
-    return export.export_columns(catalog.tables(parsed), catalog.columns(parsed))
+    return export.export_columns(_parsed_docs(spark, sf))
 
 
 @query("export_tables")
@@ -571,16 +580,7 @@ def q_column_types(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("group_to_list")
 def q_group_to_list(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    t = catalog.tables(_parsed_docs(spark, sf))
-    g = t.groupBy("datasource", "schema_name").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("node_index", "name"))), lambda x: x["name"]), ","
-        ).alias("table_list"),
-        F.count(F.lit(1)).alias("n_tables"),
-    )
-    return g.withColumn("total_tables", F.sum("n_tables").over(Window.partitionBy("datasource")))
+    return catalog.tables_by_schema(_parsed_docs(spark, sf))
 
 
 # --- survey -----------------------------------------------------------------
