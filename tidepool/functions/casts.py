@@ -41,15 +41,15 @@ def text_array(c: str | Column) -> Column:
     """Array text → array<string>.
 
     Accepts JSON (``'["a","b"]'``) and the bare form (``'[a, b]'``);
-    elements are trimmed, ``'[]'`` gives an empty array, NULL stays NULL.
+    elements are trimmed, ``'[]'`` gives an empty array, NULL (or text that
+    is not bracketed) gives NULL. The form is chosen from the text's shape,
+    so bare lists never go through a failing JSON parse.
     """
     x = F.trim(_col(c))
-    parsed = F.from_json(x, "array<string>")
-    inner = F.regexp_extract(x, r"^\[(.*)\]$", 1)
-    bare = F.when(
-        x.rlike(r"^\[.*\]$"),
-        F.when(F.trim(inner) == "", F.array().cast("array<string>")).otherwise(
-            F.transform(F.split(inner, ","), lambda e: F.trim(e))
-        ),
+    json_like = x.startswith('["') | x.startswith("[{") | x.startswith("[[")
+    bracketed = x.startswith("[") & x.endswith("]")
+    inner = F.substring(x, F.lit(2), F.length(x) - F.lit(2))
+    bare = F.when(F.trim(inner) == "", F.array().cast("array<string>")).otherwise(
+        F.transform(F.split(inner, ","), lambda e: F.trim(e))
     )
-    return F.when(x.isNull(), F.lit(None).cast("array<string>")).otherwise(F.coalesce(parsed, bare))
+    return F.when(json_like, F.from_json(x, "array<string>")).when(bracketed, bare)
