@@ -14,7 +14,9 @@ def spark():
 
     from tidepool.session import build_session
 
-    s = build_session(4, app="tidepool-tests", shuffle_partitions=4, driver_memory="8g")
+    warehouse = tempfile.mkdtemp(prefix="tidepool-test-warehouse-")
+    s = build_session(4, app="tidepool-tests", shuffle_partitions=4, driver_memory="8g",
+                      extra={"spark.sql.warehouse.dir": warehouse})
     if not s.conf.get("spark.checkpoint.dir", None):
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidepool-test-ckpt-"))
     yield s

@@ -70,3 +70,33 @@ def test_keyed_replace_and_state_skip(spark):
     assert _rows(load.keyed_replace(rows, "id", "seq")) == [("a", 2, "y"), ("b", 1, "z")]
     done = spark.createDataFrame([("a",)], "id string")
     assert _rows(load.state_skip(rows.select("id").distinct(), done, ["id"])) == [("b",)]
+
+
+def test_copy_namespace(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS lake_src")
+    spark.createDataFrame([(1, "a")], "k long, v string").write.mode("overwrite").saveAsTable("lake_src.t1")
+    spark.createDataFrame([(2,)], "k long").write.mode("overwrite").saveAsTable("lake_src.t2")
+    copied = load.copy_namespace(spark, "lake_src", "lake_dst")
+    assert sorted(copied) == ["t1", "t2"]
+    assert _rows(spark.table("lake_dst.t1")) == [(1, "a")]
+    load.copy_namespace(spark, "lake_src", "lake_dst")  # rerun replaces, no duplicates
+    assert spark.table("lake_dst.t2").count() == 1
+
+
+def test_push_batches_chunks_on_executors(spark, tmp):
+    import os
+    import uuid
+
+    from tidepool.operators.export import push_batches
+
+    out = str(tmp / "pushed")
+    os.makedirs(out)
+
+    def send(chunk):  # runs in executor Python workers
+        with open(os.path.join(out, uuid.uuid4().hex), "w") as fh:
+            fh.write("\n".join(chunk))
+
+    df = spark.range(0, 1000, numPartitions=3).selectExpr("concat('INSERT ', id, ';') AS statement")
+    push_batches(df, send, batch_rows=200)
+    sizes = sorted(len(open(os.path.join(out, f)).read().splitlines()) for f in os.listdir(out))
+    assert sum(sizes) == 1000 and max(sizes) == 200

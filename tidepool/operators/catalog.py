@@ -80,9 +80,19 @@ def datasets(parsed: DataFrame) -> DataFrame:
     )
 
 
+def _schema_map(parsed: DataFrame) -> Column:
+    return F.coalesce("_schemas", F.create_map().cast(parsed.schema["_schemas"].dataType))
+
+
 def schemas(parsed: DataFrame) -> DataFrame:
-    return parsed.select("datasource", F.explode("_schemas").alias("schema_name", "_s")).select(
-        "datasource", "schema_name", F.col("_s.title").alias("title")
+    # entries are slimmed to (key, title) before exploding, so the nested
+    # tables are not copied into every output row
+    slim = F.transform(
+        F.map_entries(_schema_map(parsed)),
+        lambda e: F.struct(e["key"].alias("schema_name"), e["value"]["title"].alias("title")),
+    )
+    return parsed.select("datasource", F.explode(slim).alias("_s")).select(
+        "datasource", "_s.schema_name", "_s.title"
     )
 
 
@@ -90,56 +100,49 @@ def _node_id(datasource: Column, name: Column) -> Column:
     return F.concat(F.lit("model."), datasource, F.lit("."), name)
 
 
-def _exploded_tables(parsed: DataFrame) -> DataFrame:
-    return (
-        parsed.select("datasource", F.explode("_schemas").alias("schema_name", "_s"))
-        .select("datasource", "schema_name", F.posexplode("_s.tables").alias("_pos", "_t"))
-    )
-
-
 def tables(parsed: DataFrame) -> DataFrame:
-    t = F.col("_t")
-    return _exploded_tables(parsed).select(
-        "datasource",
-        _node_id(F.col("datasource"), t["name"]).alias("node_id"),
-        (F.col("_pos") + 1).cast("int").alias("node_index"),
-        t["name"].alias("name"),
-        "schema_name",
-        t["description"].alias("description"),
-        t["materialized"].alias("materialized"),
-        t["title"].alias("title"),
-        t["license"].alias("license"),
-        t["license_url"].alias("license_url"),
-        t["source_url"].alias("source_url"),
-        F.coalesce(t["published"].try_cast("boolean"), F.lit(False)).alias("is_published"),
-        t["tags"].alias("tags_json"),
-        t["sql"].alias("sql"),
+    ds = F.col("datasource")
+    slim = F.transform(
+        doc_tables(parsed),
+        lambda u: F.struct(
+            _node_id(ds, u["t"]["name"]).alias("node_id"),
+            u["node_index"].alias("node_index"),
+            u["t"]["name"].alias("name"),
+            u["schema_name"].alias("schema_name"),
+            u["t"]["description"].alias("description"),
+            u["t"]["materialized"].alias("materialized"),
+            u["t"]["title"].alias("title"),
+            u["t"]["license"].alias("license"),
+            u["t"]["license_url"].alias("license_url"),
+            u["t"]["source_url"].alias("source_url"),
+            F.coalesce(u["t"]["published"].try_cast("boolean"), F.lit(False)).alias("is_published"),
+            u["t"]["tags"].alias("tags_json"),
+            u["t"]["sql"].alias("sql"),
+        ),
     )
+    return parsed.select("datasource", F.explode(slim).alias("_t")).select("datasource", "_t.*")
 
 
 def columns(parsed: DataFrame) -> DataFrame:
-    t = F.col("_t")
-    c = F.col("_c")
-    return (
-        _exploded_tables(parsed)
-        .select(
-            "datasource",
-            _node_id(F.col("datasource"), t["name"]).alias("node_id"),
-            t["name"].alias("table_name"),
-            F.posexplode(t["columns"]).alias("_cpos", "_c"),
-        )
-        .select(
-            "datasource",
-            "node_id",
-            "table_name",
-            c["name"].alias("column_name"),
-            (F.col("_cpos") + 1).cast("int").alias("column_index"),
-            F.coalesce(c["title"], F.lit("")).alias("title"),
-            c["description"].alias("description"),
-            c["data_type"].alias("data_type"),
-            F.coalesce(c["nullable"], F.lit("true")).try_cast("boolean").alias("nullable"),
-        )
-    )
+    ds = F.col("datasource")
+    no_columns = F.array().cast(T.ArrayType(_COLUMN_T))
+    slim = F.flatten(F.transform(
+        doc_tables(parsed),
+        lambda u: F.transform(
+            F.coalesce(u["t"]["columns"], no_columns),
+            lambda c, j: F.struct(
+                _node_id(ds, u["t"]["name"]).alias("node_id"),
+                u["t"]["name"].alias("table_name"),
+                c["name"].alias("column_name"),
+                (j + 1).cast("int").alias("column_index"),
+                F.coalesce(c["title"], F.lit("")).alias("title"),
+                c["description"].alias("description"),
+                c["data_type"].alias("data_type"),
+                F.coalesce(c["nullable"], F.lit("true")).try_cast("boolean").alias("nullable"),
+            ),
+        ),
+    ))
+    return parsed.select("datasource", F.explode(slim).alias("_c")).select("datasource", "_c.*")
 
 
 def dependencies(parsed: DataFrame) -> DataFrame:
@@ -159,18 +162,20 @@ def lineage_edges(parsed: DataFrame) -> DataFrame:
 
 
 def lineage_nodes(parsed: DataFrame) -> DataFrame:
-    n = F.col("_n")
+    slim = F.transform(
+        F.map_entries("_lineage.nodes"),
+        lambda e: F.struct(
+            e["key"].alias("name"),
+            e["value"]["resource_type"].alias("resource_type"),
+            e["value"]["config"]["materialized"].alias("materialized"),
+            e["value"]["fqn"].alias("fqn_json"),
+            e["value"]["meta"].alias("meta_json"),
+        ),
+    )
     return (
         parsed.where(F.col("_lineage").isNotNull())
-        .select("datasource", F.explode("_lineage.nodes").alias("name", "_n"))
-        .select(
-            "datasource",
-            "name",
-            n["resource_type"].alias("resource_type"),
-            n["config"]["materialized"].alias("materialized"),
-            n["fqn"].alias("fqn_json"),
-            n["meta"].alias("meta_json"),
-        )
+        .select("datasource", F.explode(slim).alias("_n"))
+        .select("datasource", "_n.*")
     )
 
 

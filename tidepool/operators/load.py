@@ -175,3 +175,17 @@ def current_version(spark: SparkSession, table_root: str) -> str | None:
     except Exception:  # noqa: BLE001 - no pointer yet
         return None
     return rows[0][0] if rows else None
+
+
+def copy_namespace(spark: SparkSession, source_db: str, target_db: str) -> list[str]:
+    """Copy every table of ``source_db`` into ``target_db`` (truncate +
+    insert per table, i.e. overwrite). Only the table list passes through
+    the driver; each copy is a distributed read and write."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {target_db}")
+    copied = []
+    for t in spark.catalog.listTables(source_db):
+        if t.tableType == "TEMPORARY":
+            continue
+        spark.table(f"{source_db}.{t.name}").write.mode("overwrite").saveAsTable(f"{target_db}.{t.name}")
+        copied.append(t.name)
+    return copied

@@ -6,8 +6,9 @@ document (so the number of documents grows with the data while each
 document stays bounded). The shapes cover the cases the flattening must
 handle: 0-3 tables per schema, a schema whose ``tables`` is not an array,
 an empty ``tables``, the same table name in two schemas, columns that are
-not an array, missing titles / flags, dependencies absent / empty /
-partial, and documents without lineage.
+not an array (in the second schema), missing titles / flags, dependencies
+absent / empty / partial, and documents without lineage. Each schema is
+rendered by one typed ``to_json``.
 
 ``part_documents`` builds them in Spark; ``PART_DOCUMENTS_SQL`` is the same
 construction in DuckDB SQL for the oracle.
@@ -19,17 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _json_str(c: Column) -> Column:
-    """Scalar → its JSON text (``"x"``), NULL → ``null``."""
-    return F.coalesce(F.regexp_extract(F.to_json(F.array(c)), r"^\[(.*)\]$", 1), F.lit("null"))
-
-
-def _json_array_of(items: list[Column], n: Column) -> Column:
-    """JSON array text of the first ``n`` JSON texts in ``items``."""
-    return F.concat(F.lit("["), F.array_join(F.slice(F.array(*items), 1, n), ","), F.lit("]"))
-
-
-
 def part_documents(part: DataFrame) -> DataFrame:
     k = F.col("p_partkey")
     s = F.col("p_size")
@@ -41,57 +31,43 @@ def part_documents(part: DataFrame) -> DataFrame:
     def word(i: int) -> Column:
         return w1 if i % 2 == 0 else w2
 
-    def column_json(j: int) -> Column:
-        return F.to_json(
-            F.struct(
-                F.concat(F.lit(f"c{j}_"), w1).alias("name"),
-                (F.lit(None).cast("string") if j == 0 else F.lit(f"Column {j}")).alias("title"),
-                F.concat(F.col("p_type"), F.lit(f" {j}")).alias("description"),
-                F.lit("BIGINT" if j % 2 == 0 else "VARCHAR").alias("data_type"),
-                (
-                    F.lit(None).cast("boolean") if j == 0 else F.lit(j != 1)
-                ).alias("nullable"),
-            )
+    def column(j: int) -> Column:
+        return F.struct(
+            F.concat(F.lit(f"c{j}_"), w1).alias("name"),
+            (F.lit(None).cast("string") if j == 0 else F.lit(f"Column {j}")).alias("title"),
+            F.concat(F.col("p_type"), F.lit(f" {j}")).alias("description"),
+            F.lit("BIGINT" if j % 2 == 0 else "VARCHAR").alias("data_type"),
+            (F.lit(None).cast("boolean") if j == 0 else F.lit(j != 1)).alias("nullable"),
         )
 
-    def table_json(i: int) -> Column:
+    def table(i: int, columns: Column | None = None) -> Column:
         r = (s + F.lit(i)) % 3
-        base = F.to_json(
-            F.struct(
-                F.concat(word(i), F.lit(f"_{i}")).alias("name"),
-                (
-                    F.lit(None).cast("string") if i == 1 else F.concat(F.col("p_name"), F.lit(f" {i}"))
-                ).alias("title"),
-                F.col("p_type").alias("description"),
-                F.lit("table" if i % 2 == 0 else "view").alias("materialized"),
-                F.lit("CC-BY-4.0").alias("license"),
-                F.concat(F.lit("https://src.example/"), k.cast("string")).alias("source_url"),
-                F.when(r == 0, F.lit(True)).when(r == 1, F.lit(False)).alias("published"),
-                F.array(F.col("p_brand"), word(i)).alias("tags"),
-                (
-                    F.lit(None).cast("string") if i == 2 else F.lit(f"select * from t{i}")
-                ).alias("sql"),
-            )
+        if columns is None:
+            columns = F.slice(F.array(*[column(j) for j in range(3)]), 1, ((k + F.lit(i)) % 4).cast("int"))
+        return F.struct(
+            F.concat(word(i), F.lit(f"_{i}")).alias("name"),
+            (F.lit(None).cast("string") if i == 1 else F.concat(F.col("p_name"), F.lit(f" {i}"))).alias("title"),
+            F.col("p_type").alias("description"),
+            F.lit("table" if i % 2 == 0 else "view").alias("materialized"),
+            F.lit("CC-BY-4.0").alias("license"),
+            F.concat(F.lit("https://src.example/"), k.cast("string")).alias("source_url"),
+            F.when(r == 0, F.lit(True)).when(r == 1, F.lit(False)).alias("published"),
+            F.array(F.col("p_brand"), word(i)).alias("tags"),
+            (F.lit(None).cast("string") if i == 2 else F.lit(f"select * from t{i}")).alias("sql"),
+            columns.alias("columns"),
         )
-        m = (k + F.lit(i)) % 4
-        cols = F.when((k + F.lit(i)) % 5 == 4, F.lit('"n/a"')).otherwise(
-            _json_array_of([column_json(j) for j in range(3)], m.cast("int"))
-        )
-        return F.concat(F.regexp_replace(base, r"\}$", ""), F.lit(',"columns":'), cols, F.lit("}"))
-
-    tables3 = [table_json(i) for i in range(3)]
-    main_tables = _json_array_of(tables3, (s % 4).cast("int"))
-    extra_tables = (
-        F.when(s % 3 == 0, F.lit('"none"'))
-        .when(s % 3 == 1, F.lit("[]"))
-        .otherwise(F.concat(F.lit("["), tables3[0], F.lit("]")))
-    )
-    schemas = F.concat(
-        F.lit('{"main":{"title":'), _json_str(F.col("p_brand")),
-        F.lit(',"tables":'), main_tables,
-        F.lit('},"extra":{"title":'), _json_str(F.col("p_type")),
-        F.lit(',"tables":'), extra_tables, F.lit("}}"),
+
+    main = F.to_json(F.struct(
+        F.col("p_brand").alias("title"),
+        F.slice(F.array(*[table(i) for i in range(3)]), 1, (s % 4).cast("int")).alias("tables"),
+    ))
+    extra_title = F.col("p_type").alias("title")
+    extra = (
+        F.when(s % 3 == 0, F.to_json(F.struct(extra_title, F.lit("none").alias("tables"))))
+        .when(s % 3 == 1, F.to_json(F.struct(extra_title, F.array().cast("array<string>").alias("tables"))))
+        .otherwise(F.to_json(F.struct(extra_title, F.array(table(0, F.lit("n/a"))).alias("tables"))))
     )
+    schemas = F.concat(F.lit('{"main":'), main, F.lit(',"extra":'), extra, F.lit("}"))
     dependencies = (
         F.when(s % 3 == 1, F.lit("[]"))
         .when(
@@ -159,20 +135,21 @@ def _sql_column(j: int) -> str:
     )
 
 
-def _sql_table(i: int) -> str:
+def _sql_table(i: int, columns: str | None = None) -> str:
     w = "w1" if i % 2 == 0 else "w2"
     title = "NULL" if i == 1 else f"p_name || ' {i}'"
     sql = "NULL" if i == 2 else f"'select * from t{i}'"
     mat = "table" if i % 2 == 0 else "view"
-    cols = ", ".join(_sql_column(j) for j in range(3))
+    if columns is None:
+        cols = ", ".join(_sql_column(j) for j in range(3))
+        columns = f"to_json(list_slice([{cols}], 1, CAST((k + {i}) % 4 AS INTEGER)))"
     return (
         f"json_object('name', {w} || '_{i}', 'title', {title}, 'description', p_type, "
         f"'materialized', '{mat}', 'license', 'CC-BY-4.0', "
         f"'source_url', 'https://src.example/' || k, "
         f"'published', CASE (s + {i}) % 3 WHEN 0 THEN true WHEN 1 THEN false END, "
         f"'tags', json_array(p_brand, {w}), 'sql', {sql}, "
-        f"'columns', CASE WHEN (k + {i}) % 5 = 4 THEN to_json('n/a') "
-        f"ELSE to_json(list_slice([{cols}], 1, CAST((k + {i}) % 4 AS INTEGER))) END)"
+        f"'columns', {columns})"
     )
 
 
@@ -190,7 +167,7 @@ stg_catalog AS (
                           to_json(list_slice([t0, t1, t2], 1, CAST(s % 4 AS INTEGER)))),
       'extra', json_object('title', p_type, 'tables',
                            CASE s % 3 WHEN 0 THEN to_json('none') WHEN 1 THEN json_array()
-                                ELSE to_json([t0]) END)
+                                ELSE to_json([t0_cols_text]) END)
     ) AS schemas,
     CASE s % 3
       WHEN 1 THEN json_array()
@@ -216,7 +193,8 @@ stg_catalog AS (
     ) END AS lineage,
     CASE WHEN s % 5 <> 0 THEN 'About ' || p_name END AS readme
   FROM (
-    SELECT *, {_sql_table(0)} AS t0, {_sql_table(1)} AS t1, {_sql_table(2)} AS t2
+    SELECT *, {_sql_table(0)} AS t0, {_sql_table(1)} AS t1, {_sql_table(2)} AS t2,
+           {_sql_table(0, "'n/a'")} AS t0_cols_text
     FROM (
       SELECT p_partkey AS k, p_name, p_brand, p_type, p_size AS s,
              string_split(p_name, ' ')[1] AS w1,

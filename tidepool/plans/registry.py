@@ -646,3 +646,15 @@ def q_object_or_list(spark: SparkSession, sf: str) -> DataFrame:
         "class_inf",
     )
     return survey.axis_summary(tagged, ["event_id", "title", "stat_name", "stat_code"], "class_inf")
+
+
+@query("top_sources")
+def q_top_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Top-k report (the LIMIT is the feature): largest sources by text size."""
+    docs = table(spark, sf, "documents")
+    return (
+        docs.groupBy("source")
+        .agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_chars").alias("total_chars"))
+        .orderBy(F.desc("total_chars"), "source")
+        .limit(10)
+    )

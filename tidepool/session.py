@@ -48,6 +48,7 @@ def build_session(
     app: str = "tidepool",
     shuffle_partitions: int | None = None,
     driver_memory: str = "16g",
+    extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """Local session for tests and the bench; clusters bring their own."""
     n = (os.cpu_count() or 8) if cores == "*" else int(cores)
@@ -64,7 +65,7 @@ def build_session(
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
-    for key, value in _RESULT_SETTINGS.items():
+    for key, value in {**_RESULT_SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
