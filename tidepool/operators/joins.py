@@ -1,4 +1,4 @@
-"""Join helpers with an explicit size check before broadcasting."""
+"""Partitioning helpers: size-checked broadcast joins, spreading narrow inputs."""
 
 from __future__ import annotations
 
@@ -27,3 +27,15 @@ def join_small(
     ``max_rows``; otherwise a plain join (shuffle / AQE decides)."""
     side = F.broadcast(small) if is_small(small, max_rows) else small
     return big.join(side, on, how)
+
+
+def spread_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster when its scan yields fewer
+    partitions than the default parallelism (e.g. one small file with one
+    row group), so CPU-heavy row work is not left to a single task. Inputs
+    that are already split (any large table) are returned unchanged: no
+    extra shuffle at scale. Only planning happens here, no job."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

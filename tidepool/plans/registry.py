@@ -52,13 +52,13 @@ def q_item_catalogue(spark: SparkSession, sf: str) -> DataFrame:
 # --- catalog from metadata documents ----------------------------------------
 
 
-def _parsed_docs(spark: SparkSession, sf: str) -> DataFrame:
-    return catalog.parse_documents(part_documents(table(spark, sf, "part")))
+def _parsed_docs(spark: SparkSession, sf: str, spread: bool = True) -> DataFrame:
+    return catalog.parse_documents(part_documents(table(spark, sf, "part", spread=spread)))
 
 
 @query("catalog_datasets")
 def q_catalog_datasets(spark: SparkSession, sf: str) -> DataFrame:
-    return catalog.datasets(_parsed_docs(spark, sf))
+    return catalog.datasets(_parsed_docs(spark, sf, spread=False))
 
 
 @query("schemas_from_json")
@@ -111,7 +111,7 @@ MEASURE_RULES = [("%_qty", "qty"), ("%_price", "price"), ("%_disc", "disc"), ("%
 
 @query("unpivot_measures")
 def q_unpivot_measures(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem")
+    li = table(spark, sf, "lineitem", spread=True)
     wide = li.select(
         "l_orderkey",
         "l_linenumber",
@@ -614,7 +614,7 @@ def _class_json(n: F.Column) -> F.Column:
 
 @query("object_or_list")
 def q_object_or_list(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "events")
+    e = table(spark, sf, "events", spread=True)
     label = F.concat(F.col("event_type"), F.lit(" "), F.col("event_id").cast("string"))
     uid = F.col("user_id").cast("string")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidepool.operators.joins import spread_narrow
 from tidepool.session import prepare
 
 TABLES = (
@@ -12,6 +13,10 @@ TABLES = (
 ).split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Scan one driver table. ``spread`` round-robins a scan that yields
+    fewer partitions than the cluster's parallelism before CPU-heavy row
+    work (no-op for inputs already split into many partitions)."""
     prepare(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_narrow(df) if spread else df
