@@ -658,3 +658,80 @@ def q_top_sources(spark: SparkSession, sf: str) -> DataFrame:
         .orderBy(F.desc("total_chars"), "source")
         .limit(10)
     )
+
+
+# --- sinks, readers and streams on the driver's data --------------------------
+#
+# These write data Spark derives from the tables into a fresh folder under
+# the cluster's shared ``spark.checkpoint.dir`` and read it back, so the
+# real readers / sinks / streams run over the whole tables.
+
+import uuid  # noqa: E402
+
+from pyspark.sql import types as T  # noqa: E402
+
+from tidepool.session import checkpoint_root  # noqa: E402
+from tidepool.sources.csv import read_csv_named  # noqa: E402
+from tidepool.streaming.incremental import start_keyed_load  # noqa: E402
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_root(spark).rstrip('/')}/tidepool-runs/{name}-{uuid.uuid4().hex}"
+
+
+@query("csv_reader")
+def q_csv_reader(spark: SparkSession, sf: str) -> DataFrame:
+    """Header CSV in Shift-JIS, typed by column name; codes keep leading zeros."""
+    out = _scratch(spark, "csv")
+    cust = table(spark, sf, "customer").select(
+        "c_custkey", F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("code"),
+        "c_name", "c_acctbal", "c_mktsegment", "c_nationkey",
+    )
+    cust.write.option("header", True).option("encoding", "Shift_JIS").csv(out)
+    return read_csv_named(
+        spark, out, {"c_custkey": "bigint", "c_acctbal": "double", "c_nationkey": "int"}, encoding="Shift_JIS"
+    )
+
+
+@query("replace_partitions_sink")
+def q_replace_partitions_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """Delete-insert on disk: base written partitioned, batch swapped in by
+    dynamic partition overwrite, result read back."""
+    out = _scratch(spark, "partitions")
+    keys = ["o_year", "o_orderpriority"]
+    base = _orders_by_year(spark, sf)
+    load.write_replacing_partitions(base, out, keys)
+    batch = base.where(
+        (F.col("o_year") == 1997)
+        & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+        & (F.col("o_orderstatus") != "P")
+    ).withColumn("o_orderstatus", F.lit("R"))
+    load.write_replacing_partitions(batch, out, keys)
+    return spark.read.schema(base.schema).parquet(out).select(*base.columns)
+
+
+STREAM_SPLIT, STREAM_OVERLAP = "2024-01-16 00:00:00", "2024-01-15 00:00:00"
+
+
+@query("stream_keyed_load")
+def q_stream_keyed_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Two landed batches of events loaded by a file stream (availableNow)
+    into a bucketed keyed table; the second batch re-delivers one day with
+    changed rows, which replace the first delivery by key."""
+    root = _scratch(spark, "stream")
+    landing, target, ckpt = f"{root}/landing", f"{root}/table", f"{root}/checkpoint"
+    events = table(spark, sf, "events")
+    ts = F.col("ts")
+    first = events.where(ts < F.lit(STREAM_SPLIT).cast("timestamp_ntz")).withColumn("_seq", F.lit(1))
+    second = (
+        events.where(ts >= F.lit(STREAM_OVERLAP).cast("timestamp_ntz"))
+        .withColumn("event_type", F.upper("event_type")).withColumn("_seq", F.lit(2))
+    )
+    schema = T.StructType(first.schema.fields)
+    for batch in (first, second):
+        batch.write.mode("append").parquet(landing)
+        start_keyed_load(
+            spark, landing, schema, target, ["event_id"], order_col="_seq", fmt="parquet",
+            checkpoint=ckpt, partitioned=True, buckets=16,
+        ).awaitTermination()
+    return spark.read.parquet(target).select(*events.columns)

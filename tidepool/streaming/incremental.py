@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidepool.operators.load import write_merged, write_replacing_partitions
+from tidepool.operators.load import write_merged, write_merged_partitions, write_replacing_partitions
 from tidepool.session import checkpoint_root
 
 
@@ -42,15 +42,26 @@ def start_keyed_load(
     fmt: str = "json",
     name: str = "keyed_load",
     checkpoint: str | None = None,
+    partitioned: bool = False,
+    partition_cols: Sequence[str] | None = None,
+    buckets: int = 64,
 ) -> StreamingQuery:
     """Stream landed rows into a keyed table (merge by ``keys``; the row with
-    the greatest ``order_col`` — else ``cursor_col`` — wins)."""
+    the greatest ``order_col`` — else ``cursor_col`` — wins).
+
+    ``partitioned=False`` keeps whole-table versions behind a pointer
+    (:func:`write_merged`); ``partitioned=True`` rewrites only the
+    partitions each micro-batch touches (:func:`write_merged_partitions`)."""
     order = order_col or cursor_col
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        write_merged(batch.sparkSession, batch, table_root, keys, order)
+        if partitioned:
+            write_merged_partitions(batch.sparkSession, batch, table_root, keys, order,
+                                    partition_cols=partition_cols, buckets=buckets)
+        else:
+            write_merged(batch.sparkSession, batch, table_root, keys, order)
 
     return (
         _source(spark, source_path, schema, fmt)
