@@ -3,8 +3,6 @@ import io
 import json
 import zipfile
 
-from pyspark.sql import functions as F
-
 from tidepool.operators import datasets
 from tidepool.sources.api_rows import read_batches, rows_frame
 from tidepool.sources.csv import read_csv_named, read_zipped_csv
@@ -122,4 +120,3 @@ def test_statistics_views_push_prefix(spark):
     b = views["B"].collect()
     assert b[0].area_name is None and b[0].time_name is None
     assert views["K"].count() == 0
-    assert F is not None
