@@ -735,3 +735,14 @@ def q_stream_keyed_load(spark: SparkSession, sf: str) -> DataFrame:
             checkpoint=ckpt, partitioned=True, buckets=16,
         ).awaitTermination()
     return spark.read.parquet(target).select(*events.columns)
+
+
+@query("metadata_reader")
+def q_metadata_reader(spark: SparkSession, sf: str) -> DataFrame:
+    """Metadata documents written as JSON lines (nested parts as JSON values)
+    and read back by the document reader, then flattened to tables."""
+    from tidepool.sources.documents import document_lines, read_metadata_lines
+
+    out = _scratch(spark, "documents")
+    document_lines(part_documents(table(spark, sf, "part", spread=True))).write.text(out)
+    return catalog.tables(catalog.parse_documents(read_metadata_lines(spark, out)))

@@ -55,6 +55,34 @@ def read_metadata_documents(
              "dependencies", "lineage", "readme")
 
 
+def read_metadata_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Read metadata documents stored one per line (JSON lines, splittable),
+    each carrying its ``datasource``; same columns as
+    :func:`read_metadata_documents`."""
+    prepare(spark)
+    schema = T.StructType([T.StructField("datasource", T.StringType())] + DOCUMENT_SCHEMA.fields)
+    raw = spark.read.schema(schema).json([paths] if isinstance(paths, str) else list(paths))
+    return raw.select(
+        "datasource",
+        *[F.col(c) for c in TEXT_PARTS],
+        *[F.get_json_object(c, "$").alias(c) for c in JSON_PARTS],
+    ).select("datasource", "title", "description", "cover", "tags", "ducklake_url", "schemas",
+             "dependencies", "lineage", "readme")
+
+
+def document_lines(docs: DataFrame) -> DataFrame:
+    """Documents (nested parts as JSON text) → one JSON line each, the nested
+    parts embedded as JSON values (inverse of :func:`read_metadata_lines`)."""
+    parts = []
+    for i, c in enumerate(("datasource",) + TEXT_PARTS + JSON_PARTS):
+        value = (
+            F.coalesce(F.col(c), F.lit("null")) if c in JSON_PARTS
+            else F.coalesce(F.regexp_extract(F.to_json(F.array(F.col(c))), r"^\[(.*)\]$", 1), F.lit("null"))
+        )
+        parts += [F.lit(("{" if i == 0 else ",") + f'"{c}":'), value]
+    return docs.select(F.concat(*parts, F.lit("}")).alias("value"))
+
+
 def _uri(path: str) -> str:
     return path if "://" in path else "file:" + path
 
