@@ -565,7 +565,7 @@ def q_column_types(spark: SparkSession, sf: str) -> DataFrame:
             ),
         )),
     )
-    catalog_cols = p.where(F.col("p_size") % 3 != 1).select(
+    catalog_cols = p.where(F.col("p_type") != "PROMO").select(
         node.alias("node_id"),
         F.inline(F.array(
             F.struct(F.lit("p_name").alias("column_name"), F.lit("VARCHAR").alias("type")),

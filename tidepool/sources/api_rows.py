@@ -16,11 +16,11 @@ from pyspark.sql import types as T
 
 # Fields of a property-price row (all optional text).
 TRADE_PRICE_FIELDS = [
-    "PriceCategory", "Type", "Region", "MunicipalityCode", "Prefecture", "Municipality",
-    "DistrictName", "TradePrice", "PricePerUnit", "FloorPlan", "Area", "UnitPrice",
-    "LandShape", "Frontage", "TotalFloorArea", "BuildingYear", "Structure", "Use", "Purpose",
-    "Direction", "Classification", "Breadth", "CityPlanning", "CoverageRatio",
-    "FloorAreaRatio", "Period", "Renovation", "Remarks", "DistrictCode",
+    "Type", "Region", "MunicipalityCode", "Prefecture", "Municipality", "DistrictName",
+    "TradePrice", "PricePerUnit", "FloorPlan", "Area", "UnitPrice", "LandShape", "Frontage",
+    "TotalFloorArea", "BuildingYear", "Structure", "Use", "Purpose", "Direction",
+    "Classification", "Breadth", "CityPlanning", "CoverageRatio", "FloorAreaRatio", "Period",
+    "Renovation", "Remarks", "PriceCategory", "DistrictCode",
 ]
 REQUEST_KEYS = T.StructType(
     [
