@@ -35,7 +35,9 @@ def spread_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame
     row group), so CPU-heavy row work is not left to a single task. Inputs
     that are already split (any large table) are returned unchanged: no
     extra shuffle at scale. Only planning happens here, no job."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API (e.g. Spark Connect): leave as is
         return df
-    return df.repartition(target)
+    return df if current >= target else df.repartition(target)

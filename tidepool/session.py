@@ -35,11 +35,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder is used only when nothing is configured (local tests).
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
+        # nothing configured (local tests): a private folder, never on a cluster
         root = tempfile.mkdtemp(prefix="tidepool-ckpt-")
-    spark.sparkContext.setCheckpointDir(root)
+        spark.conf.set("spark.checkpoint.dir", root)
+    if sc is not None:
+        sc.setCheckpointDir(root)
     return root
 
 
