@@ -44,7 +44,6 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         # nothing configured (local tests): a private folder, never on a cluster
         root = tempfile.mkdtemp(prefix="tidepool-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None:
         sc.setCheckpointDir(root)
     return root
