@@ -117,3 +117,20 @@ def test_write_merged_partitions_touches_only_needed_buckets(spark, tmp):
     after = {d: os.path.getmtime(os.path.join(path, d)) for d in os.listdir(path) if d.startswith("_bucket=")}
     untouched = [d for d in before if before[d] == after.get(d)]
     assert len(untouched) >= 5  # at most the 2 touched buckets were rewritten
+
+
+def test_bucketed_merge_shuffles_only_the_batch(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS lake")
+    base = spark.range(0, 2000).selectExpr("id AS k", "concat('v', id) AS v")
+    load.write_keyed_table(base, "lake.keyed", ["k"], 8)
+    batch = spark.createDataFrame([(5, "new5", 2), (5, "newer5", 3), (5000, "v5000", 1)],
+                                  "k long, v string, seq int")
+    table = spark.table("lake.keyed")
+    plan = load.upsert(table, batch, ["k"], "seq")._jdf.queryExecution().executedPlan().toString()
+    # the anti join reads the table in its buckets: no exchange above its scan
+    scan_branch = plan.split("FileScan parquet spark_catalog.lake.keyed")[0].splitlines()[-1]
+    assert "Exchange" not in scan_branch
+    prev = load.merge_into_bucketed(spark, "lake.keyed", batch, ["k"], "seq")
+    got = {r.k: r.v for r in spark.table("lake.keyed").collect()}
+    assert len(got) == 2001 and got[5] == "newer5" and got[5000] == "v5000"
+    assert spark.table(prev).count() == 2000

@@ -251,3 +251,42 @@ def copy_namespace(spark: SparkSession, source_db: str, target_db: str) -> list[
         spark.table(f"{source_db}.{t.name}").write.mode("overwrite").saveAsTable(f"{target_db}.{t.name}")
         copied.append(t.name)
     return copied
+
+
+# --- bucketed keyed tables ----------------------------------------------------
+
+
+def write_keyed_table(df: DataFrame, name: str, keys: Sequence[str], buckets: int) -> None:
+    """Save ``df`` as a catalog table bucketed (and sorted) by ``keys``, so
+    later joins / merges on the key read it without shuffling it."""
+    (
+        df.write.mode("overwrite")
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .format("parquet")
+        .saveAsTable(name)
+    )
+
+
+def merge_into_bucketed(
+    spark: SparkSession,
+    name: str,
+    batch: DataFrame,
+    keys: Sequence[str],
+    order_col: str | None = None,
+) -> str:
+    """Keyed merge into a bucketed table: the table side of the anti join
+    keeps its bucket partitioning, so only the batch is shuffled (into the
+    table's buckets). The merged rows go to a new bucketed table that then
+    replaces the old one (the table being read is never overwritten).
+    Returns the name of the table holding the previous version."""
+    table = spark.table(name)
+    spec = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Num Buckets'").collect()
+    buckets = int(spec[0]["data_type"]) if spec else 200
+    merged = upsert(table, batch, keys, order_col)
+    staged = f"{name}__next"
+    write_keyed_table(merged, staged, keys, buckets)
+    previous = f"{name}__prev_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"ALTER TABLE {name} RENAME TO {previous}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    return previous
