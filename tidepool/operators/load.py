@@ -128,10 +128,12 @@ def area_codes(df: DataFrame, number_col: str, width: int = 2, offset: int = 0)
 
 def write_replacing_partitions(batch: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Delete-insert on disk: only the partitions present in ``batch`` are
-    rewritten (dynamic partition overwrite); rows are clustered by the
-    partition keys first so each partition is written by few tasks."""
+    rewritten (dynamic partition overwrite). Rows are clustered by the
+    partition keys with a ``rebalance`` hint: each partition is written by
+    few tasks (few files), and AQE splits a partition holding a large share
+    of the rows over several tasks instead of one."""
     (
-        batch.repartition(*keys)
+        batch.hint("rebalance", *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
@@ -211,7 +213,7 @@ def write_merged_partitions(
     else:
         merged = batch
     staging = f"{(staging_root or table_path).rstrip('/')}/_staging/{uuid.uuid4().hex}"
-    merged.repartition(*parts).write.partitionBy(*parts).parquet(staging)
+    merged.hint("rebalance", *parts).write.partitionBy(*parts).parquet(staging)
     staged = spark.read.schema(merged.schema).parquet(staging)
     (
         staged.write.mode("overwrite")
