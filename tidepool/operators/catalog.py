@@ -5,8 +5,10 @@ Input is one row per dataset document with the nested parts kept as JSON
 text (``tags``, ``schemas``, ``dependencies``, ``lineage``), as written by
 :func:`tidepool.sources.documents.read_metadata_documents`. Each JSON part
 is parsed once per row with a full typed schema (:func:`parse_documents`);
-every mart below is then a projection / ``posexplode`` of that parse, so
-the whole flattening is map-side (no shuffle) until the search-entry joins.
+every mart below is then a projection / ``explode`` of that parse. The
+joins and groupings between marts run inside each document row (see the
+row-local section), so the whole catalog is built without a shuffle; join
+forms are kept for row sets where a datasource spans several rows.
 
 Semantics kept from the publishing SQL:
 * schemas whose ``tables`` is not an array, tables whose ``columns`` is not
@@ -26,15 +28,19 @@ from pyspark.sql import types as T
 
 from tidepool.functions.text import underscore_words
 
-COLUMN_SCHEMA = (
-    "struct<name:string,title:string,description:string,data_type:string,nullable:string>"
+_COLUMN_T = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("name", "title", "description", "data_type", "nullable")]
 )
-TABLE_SCHEMA = (
-    "struct<name:string,title:string,description:string,materialized:string,"
-    "license:string,license_url:string,source_url:string,published:string,"
-    f"tags:string,sql:string,columns:array<{COLUMN_SCHEMA}>>"
+_TABLE_T = T.StructType(
+    [T.StructField(n, T.StringType()) for n in
+     ("name", "title", "description", "materialized", "license", "license_url", "source_url",
+      "published", "tags", "sql")]
+    + [T.StructField("columns", T.ArrayType(_COLUMN_T))]
 )
-SCHEMAS_SCHEMA = f"map<string,struct<title:string,tables:array<{TABLE_SCHEMA}>>>"
+# Nested values typed as string (tags, fqn, meta, published, nullable) come
+# back as compact JSON text; a value of the wrong shape becomes NULL without
+# failing the rest of the document.
+SCHEMAS_SCHEMA = f"map<string,struct<title:string,tables:array<{_TABLE_T.simpleString()}>>>"
 DEPENDENCIES_SCHEMA = "array<struct<alias:string,ducklake_url:string>>"
 LINEAGE_SCHEMA = (
     "struct<parent_map:map<string,array<string>>,"
@@ -43,21 +49,6 @@ LINEAGE_SCHEMA = (
 )
 
 
-_COLUMN_T = T.StructType([T.StructField(n, T.StringType()) for n in
-                          ("name", "title", "description", "data_type", "nullable")])
-_TABLE_T = T.StructType(
-    [T.StructField(n, T.StringType()) for n in
-     ("name", "title", "description", "materialized", "license", "license_url", "source_url",
-      "published", "tags", "sql")]
-    + [T.StructField("columns", T.ArrayType(_COLUMN_T))]
-)
-_DOC_TABLE_T = T.StructType([
-    T.StructField("schema_name", T.StringType()),
-    T.StructField("node_index", T.IntegerType()),
-    T.StructField("t", _TABLE_T),
-])
-
-
 def parse_documents(docs: DataFrame) -> DataFrame:
     """Parse the JSON parts of each document once (typed, partial results)."""
     return docs.select(
