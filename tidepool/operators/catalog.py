@@ -264,7 +264,7 @@ def doc_tables(parsed: DataFrame) -> Column:
     empty = F.array().cast(T.ArrayType(_TABLE_T))
     return F.flatten(
         F.transform(
-            F.map_entries(F.coalesce("_schemas", F.create_map().cast(parsed.schema["_schemas"].dataType))),
+            F.map_entries(_schema_map(parsed)),
             lambda e: F.transform(
                 F.coalesce(e["value"]["tables"], empty),
                 lambda t, i: F.struct(
@@ -330,7 +330,7 @@ def search_entries(parsed: DataFrame) -> DataFrame:
             u["t"]["description"],
             F.concat_ws(" ", _blank(underscore_words(u["t"]["name"])), _blank(u["t"]["title"]),
                         _blank(u["t"]["description"]),
-                        _blank(F.nullif(F.array_join(_tags_of(tags, u["t"]["name"], False), " "), F.lit("")))),
+                        F.array_join(_tags_of(tags, u["t"]["name"], False), " ")),
         ),
     )
     cols = F.flatten(F.transform(
@@ -373,7 +373,7 @@ def tables_by_schema(parsed: DataFrame) -> DataFrame:
     table count, and the dataset's total table count."""
     empty = F.array().cast(T.ArrayType(_TABLE_T))
     per_schema = F.transform(
-        F.map_entries(F.coalesce("_schemas", F.create_map().cast(parsed.schema["_schemas"].dataType))),
+        F.map_entries(_schema_map(parsed)),
         lambda e: F.struct(
             e["key"].alias("schema_name"),
             F.array_join(F.transform(F.coalesce(e["value"]["tables"], empty), lambda t: t["name"]), ",").alias("table_list"),
