@@ -29,15 +29,23 @@ def join_small(
     return big.join(side, on, how)
 
 
-def spread_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster when its scan yields fewer
+def spread_narrow(
+    df: DataFrame, by: Sequence[str] | None = None, min_partitions: int | None = None
+) -> DataFrame:
+    """Hash-partition ``df`` over the cluster when its scan yields fewer
     partitions than the default parallelism (e.g. one small file with one
-    row group), so CPU-heavy row work is not left to a single task. Inputs
-    that are already split (any large table) are returned unchanged: no
+    row group), so CPU-heavy row work is not left to a single task.
+
+    ``by`` should be a well-spread key (default: the first column, the row
+    key of the driver tables); hashing avoids the local sort a round-robin
+    repartition needs to stay deterministic on retries. Inputs already split
+    into enough partitions (any large table) are returned unchanged: no
     extra shuffle at scale. Only planning happens here, no job."""
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD API (e.g. Spark Connect): leave as is
         return df
-    return df if current >= target else df.repartition(target)
+    if current >= target:
+        return df
+    return df.repartition(target, *(by or df.columns[:1]))
