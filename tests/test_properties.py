@@ -35,8 +35,12 @@ def test_soft_casts_agree_with_duckdb(spark, values):
     assert got_d == want_d
 
 
-element = st.text(alphabet=st.characters(whitelist_categories=("Ll", "Lu", "Nd"), whitelist_characters=" -_"),
-                  min_size=1, max_size=8).map(str.strip).filter(bool)
+element = st.text(alphabet=st.characters(whitelist_categories=("Ll", "Lu", "Nd"), whitelist_characters=" -_,"),
+                  min_size=1, max_size=8).map(str.strip).filter(bool).filter(lambda e: e.upper() != "NULL")
+
+
+def _bare(item: str) -> str:
+    return f'"{item}"' if "," in item else item
 
 
 @SETTINGS
@@ -44,7 +48,7 @@ element = st.text(alphabet=st.characters(whitelist_categories=("Ll", "Lu", "Nd")
 def test_text_arrays_agree_with_duckdb(spark, lists):
     import json
 
-    texts = [json.dumps(items, ensure_ascii=False) if as_json else "[" + ", ".join(items) + "]"
+    texts = [json.dumps(items, ensure_ascii=False) if as_json else "[" + ", ".join(map(_bare, items)) + "]"
              for items, as_json in lists]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
     got = {i: list(v) for i, v in df.select("i", text_array("x")).collect()}

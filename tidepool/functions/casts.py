@@ -37,19 +37,37 @@ def text_date(c: str | Column) -> Column:
     return _col(c).cast("date")
 
 
+# Commas outside double and single quotes (balanced quotes assumed).
+_LIST_SEPARATOR = r""",(?=(?:[^"]*"[^"]*")*[^"]*$)(?=(?:[^']*'[^']*')*[^']*$)"""
+
+
+def _bare_list(inner: Column) -> Column:
+    """Items of a bare ``a, "b, c", 'd', NULL`` list: trimmed, one layer of
+    quotes removed, unquoted NULL → NULL."""
+
+    def item(e: Column) -> Column:
+        t = F.trim(e)
+        quoted = t.rlike(r'^".*"$') | t.rlike(r"^'.*'$")
+        unquoted = F.when(quoted & (F.length(t) >= 2), F.substring(t, F.lit(2), F.length(t) - F.lit(2))).otherwise(t)
+        return F.when(F.upper(t) == "NULL", F.lit(None).cast("string")).otherwise(unquoted)
+
+    return F.when(F.trim(inner) == "", F.array().cast("array<string>")).otherwise(
+        F.transform(F.split(inner, _LIST_SEPARATOR), item)
+    )
+
+
 def text_array(c: str | Column) -> Column:
-    """Array text → array<string>.
+    """Array text → array<string>, like the lake engine's ``VARCHAR[]`` cast.
 
-    Accepts JSON (``'["a","b"]'``) and the bare form (``'[a, b]'``);
-    elements are trimmed, ``'[]'`` gives an empty array, NULL (or text that
-    is not bracketed) gives NULL. The form is chosen from the text's shape,
-    so bare lists never go through a failing JSON parse.
+    JSON text (``'["a","b"]'``, nested ``'[[1,2],[3]]'``) is parsed as JSON;
+    the bare form (``'[a, "b, c", NULL]'``) is split on commas outside
+    quotes, items trimmed and unquoted; ``'[]'`` gives an empty array and
+    NULL (or text that is not bracketed) gives NULL. The form is chosen from
+    the text's shape, so bare lists never go through a failing JSON parse.
     """
     x = F.trim(_col(c))
-    json_like = x.startswith('["') | x.startswith("[{") | x.startswith("[[")
+    json_like = x.startswith('["') | x.startswith("[{") | x.startswith("[[") | (x == "[null]")
     bracketed = x.startswith("[") & x.endswith("]")
     inner = F.substring(x, F.lit(2), F.length(x) - F.lit(2))
-    bare = F.when(F.trim(inner) == "", F.array().cast("array<string>")).otherwise(
-        F.transform(F.split(inner, ","), lambda e: F.trim(e))
-    )
-    return F.when(json_like, F.from_json(x, "array<string>")).when(bracketed, bare)
+    bare = _bare_list(inner)
+    return F.when(json_like, F.coalesce(F.from_json(x, "array<string>"), bare)).when(bracketed, bare)
