@@ -72,7 +72,8 @@ def test_text_array_forms(spark):
     cases = {'["a","b"]': ["a", "b"], "[a, b]": ["a", "b"], "[]": [], '["x y", "c,d"]': ["x y", "c,d"],
              "[5, 7]": ["5", "7"], '[a, "b c", d]': ["a", "b c", "d"], "[a, 'b c']": ["a", "b c"],
              "[ a ,b ]": ["a", "b"], "[a,,b]": ["a", "", "b"], '["a,b", c]': ["a,b", "c"],
-             "[NULL, a]": [None, "a"], "[null]": [None], "[[1,2],[3]]": ["[1,2]", "[3]"]}
+             "[NULL, a]": [None, "a"], "[null]": [None], "[[1,2],[3]]": ["[1,2]", "[3]"],
+             '["a", "it\'s, b"]': ["a", "it's, b"], '["q\\"x", "y"]': ['q"x', "y"]}
     df = spark.createDataFrame([(k,) for k in cases] + [(None,)], "x string")
     got = {r.x: r.v for r in df.select("x", text_array("x").alias("v")).collect()}
     assert got.pop(None) is None

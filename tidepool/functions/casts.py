@@ -37,8 +37,9 @@ def text_date(c: str | Column) -> Column:
     return _col(c).cast("date")
 
 
-# Commas outside double and single quotes (balanced quotes assumed).
-_LIST_SEPARATOR = r""",(?=(?:[^"]*"[^"]*")*[^"]*$)(?=(?:[^']*'[^']*')*[^']*$)"""
+# Commas outside double quotes / outside single quotes (balanced quotes assumed).
+_SEP_DOUBLE = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+_SEP_SINGLE = r",(?=(?:[^']*'[^']*')*[^']*$)"
 
 
 def _bare_list(inner: Column) -> Column:
@@ -47,27 +48,33 @@ def _bare_list(inner: Column) -> Column:
 
     def item(e: Column) -> Column:
         t = F.trim(e)
-        quoted = t.rlike(r'^".*"$') | t.rlike(r"^'.*'$")
-        unquoted = F.when(quoted & (F.length(t) >= 2), F.substring(t, F.lit(2), F.length(t) - F.lit(2))).otherwise(t)
+        quoted = (F.length(t) >= 2) & (
+            (t.startswith('"') & t.endswith('"')) | (t.startswith("'") & t.endswith("'"))
+        )
+        unquoted = F.when(quoted, F.substring(t, F.lit(2), F.length(t) - F.lit(2))).otherwise(t)
         return F.when(F.upper(t) == "NULL", F.lit(None).cast("string")).otherwise(unquoted)
 
-    return F.when(F.trim(inner) == "", F.array().cast("array<string>")).otherwise(
-        F.transform(F.split(inner, _LIST_SEPARATOR), item)
+    items = (
+        F.when(F.contains(inner, F.lit('"')), F.split(inner, _SEP_DOUBLE))
+        .when(F.contains(inner, F.lit("'")), F.split(inner, _SEP_SINGLE))
+        .otherwise(F.split(inner, ","))
     )
+    return F.when(F.trim(inner) == "", F.array().cast("array<string>")).otherwise(F.transform(items, item))
 
 
 def text_array(c: str | Column) -> Column:
     """Array text → array<string>, like the lake engine's ``VARCHAR[]`` cast.
 
-    JSON text (``'["a","b"]'``, nested ``'[[1,2],[3]]'``) is parsed as JSON;
-    the bare form (``'[a, "b, c", NULL]'``) is split on commas outside
-    quotes, items trimmed and unquoted; ``'[]'`` gives an empty array and
-    NULL (or text that is not bracketed) gives NULL. The form is chosen from
-    the text's shape, so bare lists never go through a failing JSON parse.
+    Lists of plain items — bare (``'[a, "b, c", NULL]'``) or JSON strings
+    without escapes (``'["a","b"]'``) — are split on commas outside quotes,
+    items trimmed, unquoted, and unquoted NULL/null made NULL; this needs no
+    JSON parser. Text with escapes or nested brackets (``'[[1,2],[3]]'``)
+    goes through ``from_json``. ``'[]'`` gives an empty array; NULL, or text
+    that is not bracketed, gives NULL.
     """
     x = F.trim(_col(c))
-    json_like = x.startswith('["') | x.startswith("[{") | x.startswith("[[") | (x == "[null]")
     bracketed = x.startswith("[") & x.endswith("]")
     inner = F.substring(x, F.lit(2), F.length(x) - F.lit(2))
+    needs_json = F.contains(inner, F.lit("\\")) | F.contains(inner, F.lit("[")) | F.contains(inner, F.lit("{"))
     bare = _bare_list(inner)
-    return F.when(json_like, F.coalesce(F.from_json(x, "array<string>"), bare)).when(bracketed, bare)
+    return F.when(bracketed & needs_json, F.coalesce(F.from_json(x, "array<string>"), bare)).when(bracketed, bare)

@@ -176,7 +176,7 @@ def q_soft_cast(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("text_dates_arrays")
 def q_text_dates_arrays(spark: SparkSession, sf: str) -> DataFrame:
-    orders = table(spark, sf, "orders")
+    orders = table(spark, sf, "orders", spread=True)
     status = F.col("o_orderstatus")
     prio = F.col("o_orderpriority")
     raw = orders.select(
