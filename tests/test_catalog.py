@@ -112,3 +112,16 @@ def test_registry_and_stale_sources(spark, tmp):
     present = spark.createDataFrame([("raw_stats.sql",), ("raw_old.sql",), ("_schema.yml",)], "name string")
     expected = spark.createDataFrame([("raw_stats.sql",), ("raw_bare.sql",), ("_schema.yml",)], "name string")
     assert [r.name for r in stale_sources(present, expected).collect()] == ["raw_old.sql"]
+
+
+def test_publish_writes_every_mart_from_one_parse(spark, tmp):
+    (tmp / "docs").mkdir()
+    _write(tmp / "docs", DOCS)
+    docs = read_metadata_documents(spark, [str(tmp / "docs" / n / "metadata.json") for n in DOCS])
+    paths = catalog.publish(docs, str(tmp / "catalog"))
+    assert set(paths) == set(catalog.MARTS)
+    counts = {k: spark.read.parquet(p).count() for k, p in paths.items()}
+    parsed = catalog.parse_documents(docs)
+    assert counts["mart_tables"] == catalog.tables(parsed).count() == 3
+    assert counts["mart_columns"] == 2 and counts["mart_search_entries"] == 7
+    assert counts["mart_lineage_edges"] == 1 and counts["mart_datasets"] == 2

@@ -386,3 +386,37 @@ def tables_by_schema(parsed: DataFrame) -> DataFrame:
         "datasource", total.alias("total_tables"),
         F.explode(F.filter("_s", lambda x: x["n_tables"] > 0)).alias("_x"),
     ).select("datasource", "_x.schema_name", "_x.table_list", "_x.n_tables", "total_tables")
+
+
+# --- publishing ----------------------------------------------------------------
+
+MARTS = {
+    "mart_datasets": datasets,
+    "mart_schemas": schemas,
+    "mart_tables": tables,
+    "mart_columns": columns,
+    "mart_dependencies": dependencies,
+    "mart_lineage_edges": lineage_edges,
+    "mart_lineage_nodes": lineage_nodes,
+    "mart_search_entries": search_entries,
+}
+
+
+def publish(docs: DataFrame, root: str) -> dict[str, str]:
+    """Write every catalog mart under ``root`` (parquet, overwrite).
+
+    The documents are parsed once and the typed parse is written to
+    ``root/_parsed``; each mart is then computed from that columnar copy
+    (nested-column pruning reads only what a mart needs) instead of
+    re-parsing the JSON per mart, and the lineage back to the raw documents
+    is cut. Returns mart name → path."""
+    spark = docs.sparkSession
+    parsed_path = f"{root.rstrip('/')}/_parsed"
+    parse_documents(docs).write.mode("overwrite").parquet(parsed_path)
+    parsed = spark.read.parquet(parsed_path)
+    out = {}
+    for name, build in MARTS.items():
+        path = f"{root.rstrip('/')}/{name}"
+        build(parsed).write.mode("overwrite").parquet(path)
+        out[name] = path
+    return out
