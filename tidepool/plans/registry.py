@@ -397,7 +397,7 @@ def q_active_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 LISTING_EPOCH = "2024-01-01 00:00:00"
-ORPHAN_CUTOFF = "2024-02-10 00:00:00"
+ORPHAN_CUTOFF = "2024-01-08 00:00:00"
 
 
 def _listing_and_active(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -405,7 +405,7 @@ def _listing_and_active(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFr
     listing = docs.select(
         F.concat(F.lit("data/"), F.col("doc_id").cast("string"), F.lit(".parquet")).alias("path"),
         (F.col("n_chars") * 37).alias("size"),
-        (F.lit(LISTING_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("doc_id").cast("int"))).alias("modified"),
+        (F.lit(LISTING_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("n_chars").cast("int"))).alias("modified"),
     )
     active = table(spark, sf, "labels").where(F.col("toxic") == 0).select(
         F.concat(F.lit("data/"), F.col("doc_id").cast("string"), F.lit(".parquet")).alias("full_path")
