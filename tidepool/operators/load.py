@@ -27,12 +27,18 @@ from tidepool.functions.codes import zero_pad
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
-    """Row with the greatest ``order_col`` per key (ties: any one)."""
+    """Row with the greatest ``order_col`` per key.
+
+    Ties on ``order_col`` are broken by a hash of the row, so the same row
+    wins whatever the partitioning or task order (retries and replays give
+    the same table). ``max_by`` combines map-side, so a key holding a large
+    share of the rows is reduced before the shuffle."""
     others = [c for c in df.columns if c not in keys]
     packed = F.struct(*[F.col(c) for c in others])
+    rank = F.struct(F.col(order_col), F.xxhash64(*[F.col(c) for c in others]))
     return (
         df.groupBy(*keys)
-        .agg(F.max_by(packed, F.col(order_col)).alias("_row"))
+        .agg(F.max_by(packed, rank).alias("_row"))
         .select(*keys, *[F.col("_row")[c].alias(c) for c in others])
     )
 
