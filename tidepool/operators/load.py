@@ -17,6 +17,7 @@ Scale notes:
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -156,10 +157,11 @@ def write_merged(
 ) -> str:
     """Keyed merge into a versioned parquet table under ``table_root``.
 
-    The merged result is written to a fresh version folder and the
-    ``_CURRENT`` pointer is switched afterwards, so the version being read
-    is never overwritten and a failed run leaves the old version current.
-    Returns the new version path.
+    The merged result is written to a fresh version folder; then one commit
+    record (version path, time) is appended under ``_CURRENT``. Records are
+    only ever appended, each through Spark's commit protocol, so a job lost
+    at any point leaves the previous version current, and the version being
+    read is never overwritten. Returns the new version path.
     """
     current = current_version(spark, table_root)
     if current is None:
@@ -169,12 +171,26 @@ def write_merged(
         merged = upsert(base, batch, keys, order_col)
     version = f"{table_root.rstrip('/')}/v-{uuid.uuid4().hex}"
     merged.write.parquet(version)
-    spark.createDataFrame([(version,)], "path string").coalesce(1).write.mode("overwrite").text(
-        f"{table_root.rstrip('/')}/_CURRENT"
+    record = spark.range(1).select(
+        F.lit(version).alias("version"), F.current_timestamp().cast("long").alias("committed_at"),
+        F.lit(time.time_ns()).alias("seq"),
     )
+    record.coalesce(1).write.mode("append").json(f"{table_root.rstrip('/')}/_CURRENT")
     return version
 
 
+def current_version(spark: SparkSession, table_root: str) -> str | None:
+    """Path of the current version of a table written by :func:`write_merged`."""
+    pointer = f"{table_root.rstrip('/')}/_CURRENT"
+    if not _path_exists(spark, pointer):
+        return None
+    rows = (
+        spark.read.schema("version string, committed_at long, seq long").json(pointer)
+        .orderBy(F.desc("seq"), F.desc("version")).select("version").take(1)
+    )
+    return rows[0][0] if rows else None
+
+
 def _path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -237,16 +253,6 @@ def _delete(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
-def current_version(spark: SparkSession, table_root: str) -> str | None:
-    """Path of the current version of a table written by :func:`write_merged`."""
-    pointer = f"{table_root.rstrip('/')}/_CURRENT"
-    try:
-        rows = spark.read.text(pointer).take(1)
-    except Exception:  # noqa: BLE001 - no pointer yet
-        return None
-    return rows[0][0] if rows else None
-
-
 def copy_namespace(spark: SparkSession, source_db: str, target_db: str) -> list[str]:
     """Copy every table of ``source_db`` into ``target_db`` (truncate +
     insert per table, i.e. overwrite). Only the table list passes through
