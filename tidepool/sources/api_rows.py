@@ -36,11 +36,11 @@ def text_schema(fields: Sequence[str]) -> T.StructType:
 
 
 def read_batches(
-    spark: SparkSession, root: str, fields: Sequence[str] = TRADE_PRICE_FIELDS
+    spark: SparkSession, root: str, fields: Sequence[str] = TRADE_PRICE_FIELDS, fmt: str = "json"
 ) -> DataFrame:
     """All landed batches with their request keys (partition columns)."""
     schema = T.StructType(text_schema(fields).fields + REQUEST_KEYS.fields)
-    return spark.read.schema(schema).option("basePath", root).json(root)
+    return spark.read.schema(schema).option("basePath", root).format(fmt).load(root)
 
 
 def rows_frame(
