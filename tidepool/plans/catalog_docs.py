@@ -16,113 +16,89 @@ construction in DuckDB SQL for the oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
-def part_documents(part: DataFrame) -> DataFrame:
-    k = F.col("p_partkey")
-    s = F.col("p_size")
-    words = F.split(F.col("p_name"), " ")
-    w1 = F.get(words, 0)
-    w2 = F.coalesce(F.get(words, 1), w1)
-    ds = F.concat(F.lit("ds"), k.cast("string"))
-
-    def word(i: int) -> Column:
-        return w1 if i % 2 == 0 else w2
-
-    def column(j: int) -> Column:
-        return F.struct(
-            F.concat(F.lit(f"c{j}_"), w1).alias("name"),
-            (F.lit(None).cast("string") if j == 0 else F.lit(f"Column {j}")).alias("title"),
-            F.concat(F.col("p_type"), F.lit(f" {j}")).alias("description"),
-            F.lit("BIGINT" if j % 2 == 0 else "VARCHAR").alias("data_type"),
-            (F.lit(None).cast("boolean") if j == 0 else F.lit(j != 1)).alias("nullable"),
-        )
-
-    def table(i: int, columns: Column | None = None) -> Column:
-        r = (s + F.lit(i)) % 3
-        if columns is None:
-            columns = F.slice(F.array(*[column(j) for j in range(3)]), 1, ((k + F.lit(i)) % 4).cast("int"))
-        return F.struct(
-            F.concat(word(i), F.lit(f"_{i}")).alias("name"),
-            (F.lit(None).cast("string") if i == 1 else F.concat(F.col("p_name"), F.lit(f" {i}"))).alias("title"),
-            F.col("p_type").alias("description"),
-            F.lit("table" if i % 2 == 0 else "view").alias("materialized"),
-            F.lit("CC-BY-4.0").alias("license"),
-            F.concat(F.lit("https://src.example/"), k.cast("string")).alias("source_url"),
-            F.when(r == 0, F.lit(True)).when(r == 1, F.lit(False)).alias("published"),
-            F.array(F.col("p_brand"), word(i)).alias("tags"),
-            (F.lit(None).cast("string") if i == 2 else F.lit(f"select * from t{i}")).alias("sql"),
-            columns.alias("columns"),
-        )
-
-    main = F.to_json(F.struct(
-        F.col("p_brand").alias("title"),
-        F.slice(F.array(*[table(i) for i in range(3)]), 1, (s % 4).cast("int")).alias("tables"),
-    ))
-    extra_title = F.col("p_type").alias("title")
-    extra = (
-        F.when(s % 3 == 0, F.to_json(F.struct(extra_title, F.lit("none").alias("tables"))))
-        .when(s % 3 == 1, F.to_json(F.struct(extra_title, F.array().cast("array<string>").alias("tables"))))
-        .otherwise(F.to_json(F.struct(extra_title, F.array(table(0, F.lit("n/a"))).alias("tables"))))
-    )
-    schemas = F.concat(F.lit('{"main":'), main, F.lit(',"extra":'), extra, F.lit("}"))
-    dependencies = (
-        F.when(s % 3 == 1, F.lit("[]"))
-        .when(
-            s % 3 == 2,
-            F.to_json(
-                F.array(
-                    F.struct(
-                        F.concat(F.lit("a_"), w1).alias("alias"),
-                        F.concat(F.lit("https://lake.example.org/"), F.col("p_brand")).alias("ducklake_url"),
-                    ),
-                    F.struct(
-                        F.concat(F.lit("b_"), w2).alias("alias"),
-                        F.lit(None).cast("string").alias("ducklake_url"),
-                    ),
-                )
-            ),
-        )
-    )
-    stg, mart, raw = (F.concat(F.lit(p), w) for p, w in (("stg_", w1), ("mart_", w2), ("raw_", w1)))
-    empty = F.array().cast("array<string>")
-    node = lambda fqn, rtype, mat, meta: F.struct(
-        fqn.alias("fqn"), F.lit(rtype).alias("resource_type"),
-        F.struct(F.lit(mat).alias("materialized")).alias("config"), meta.alias("meta"),
+# The document is declared as Spark SQL expression text: the JVM parses each
+# expression once, instead of one py4j call per Column node.
+
+
+def _spark_column(j: int) -> str:
+    title = "CAST(NULL AS STRING)" if j == 0 else f"'Column {j}'"
+    nullable = "CAST(NULL AS BOOLEAN)" if j == 0 else ("false" if j == 1 else "true")
+    dtype = "BIGINT" if j % 2 == 0 else "VARCHAR"
+    return (
+        f"named_struct('name', concat('c{j}_', w1), 'title', {title}, "
+        f"'description', concat(p_type, ' {j}'), 'data_type', '{dtype}', 'nullable', {nullable})"
     )
-    no_meta = F.create_map().cast("map<string,string>")
-    lineage = F.when(
-        s % 7 != 0,
-        F.to_json(
-            F.struct(
-                F.create_map(
-                    stg, F.array(F.concat(F.lit("raw_"), w1)),
-                    mart, F.array(stg, F.concat(F.lit("raw_"), w2)),
-                    raw, empty,
-                ).alias("parent_map"),
-                F.create_map(
-                    stg, node(F.array(ds, F.lit("stg"), stg), "model", "view", no_meta),
-                    mart, node(F.array(ds, F.lit("mart"), mart), "model", "table",
-                               F.create_map(F.lit("title"), F.col("p_name"))),
-                    raw, node(empty, "seed", "seed", no_meta),
-                ).alias("nodes"),
-            )
-        ),
+
+
+def _spark_table(i: int, columns: str | None = None) -> str:
+    w = "w1" if i % 2 == 0 else "w2"
+    title = "CAST(NULL AS STRING)" if i == 1 else f"concat(p_name, ' {i}')"
+    sql = "CAST(NULL AS STRING)" if i == 2 else f"'select * from t{i}'"
+    mat = "table" if i % 2 == 0 else "view"
+    if columns is None:
+        cols = ", ".join(_spark_column(j) for j in range(3))
+        columns = f"slice(array({cols}), 1, CAST((p_partkey + {i}) % 4 AS INT))"
+    return (
+        f"named_struct('name', concat({w}, '_{i}'), 'title', {title}, 'description', p_type, "
+        f"'materialized', '{mat}', 'license', 'CC-BY-4.0', "
+        f"'source_url', concat('https://src.example/', p_partkey), "
+        f"'published', CASE (p_size + {i}) % 3 WHEN 0 THEN true WHEN 1 THEN false END, "
+        f"'tags', array(p_brand, {w}), 'sql', {sql}, 'columns', {columns})"
     )
-    return part.select(
-        ds.alias("datasource"),
-        F.col("p_name").alias("title"),
-        F.col("p_type").alias("description"),
-        F.when(s % 4 != 0, F.col("p_brand")).alias("cover"),
-        F.to_json(words).alias("tags"),
-        F.concat(F.lit("https://lake.example.org/"), ds, F.lit("/lake.db")).alias("ducklake_url"),
-        schemas.alias("schemas"),
-        dependencies.alias("dependencies"),
-        lineage.alias("lineage"),
-        F.when(s % 5 != 0, F.concat(F.lit("About "), F.col("p_name"))).alias("readme"),
+
+
+_NODE = (
+    "named_struct('fqn', {fqn}, 'resource_type', '{rtype}', "
+    "'config', named_struct('materialized', '{mat}'), 'meta', {meta})"
+)
+_NO_META = "CAST(map() AS MAP<STRING, STRING>)"
+_NO_LIST = "CAST(array() AS ARRAY<STRING>)"
+
+_DOCUMENT_EXPRS = [
+    "concat('ds', p_partkey) AS datasource",
+    "p_name AS title",
+    "p_type AS description",
+    "CASE WHEN p_size % 4 <> 0 THEN p_brand END AS cover",
+    "to_json(split(p_name, ' ')) AS tags",
+    "concat('https://lake.example.org/ds', p_partkey, '/lake.db') AS ducklake_url",
+    "concat('{\"main\":', to_json(named_struct('title', p_brand, 'tables', "
+    f"slice(array({_spark_table(0)}, {_spark_table(1)}, {_spark_table(2)}), 1, CAST(p_size % 4 AS INT)))), "
+    "',\"extra\":', CASE p_size % 3 "
+    "WHEN 0 THEN to_json(named_struct('title', p_type, 'tables', 'none')) "
+    f"WHEN 1 THEN to_json(named_struct('title', p_type, 'tables', {_NO_LIST})) "
+    f"ELSE to_json(named_struct('title', p_type, 'tables', array({_spark_table(0, chr(39) + 'n/a' + chr(39))}))) END, "
+    "'}') AS schemas",
+    "CASE p_size % 3 WHEN 1 THEN '[]' WHEN 2 THEN to_json(array("
+    "named_struct('alias', concat('a_', w1), 'ducklake_url', concat('https://lake.example.org/', p_brand)), "
+    "named_struct('alias', concat('b_', w2), 'ducklake_url', CAST(NULL AS STRING)))) END AS dependencies",
+    "CASE WHEN p_size % 7 <> 0 THEN to_json(named_struct("
+    "'parent_map', map(concat('stg_', w1), array(concat('raw_', w1)), "
+    "concat('mart_', w2), array(concat('stg_', w1), concat('raw_', w2)), "
+    f"concat('raw_', w1), {_NO_LIST}), "
+    "'nodes', map("
+    "concat('stg_', w1), "
+    + _NODE.format(fqn="array(concat('ds', p_partkey), 'stg', concat('stg_', w1))", rtype="model", mat="view",
+                   meta=_NO_META)
+    + ", concat('mart_', w2), "
+    + _NODE.format(fqn="array(concat('ds', p_partkey), 'mart', concat('mart_', w2))", rtype="model",
+                   mat="table", meta="map('title', p_name)")
+    + ", concat('raw_', w1), "
+    + _NODE.format(fqn=_NO_LIST, rtype="seed", mat="seed", meta=_NO_META)
+    + "))) END AS lineage",
+    "CASE WHEN p_size % 5 <> 0 THEN concat('About ', p_name) END AS readme",
+]
+
+
+def part_documents(part: DataFrame) -> DataFrame:
+    words = part.selectExpr(
+        "*",
+        "split(p_name, ' ')[0] AS w1",
+        "coalesce(get(split(p_name, ' '), 1), split(p_name, ' ')[0]) AS w2",
     )
+    return words.selectExpr(*_DOCUMENT_EXPRS)
 
 
 def _sql_column(j: int) -> str:
