@@ -40,18 +40,23 @@ def orphan_files(
     return orphans.withColumn("size_text", human_size("size"))
 
 
-def orphan_summary(listing: DataFrame, active: DataFrame, orphans: DataFrame) -> DataFrame:
-    """One row: active, listed and orphaned counts plus orphaned bytes."""
-    return orphans.agg(
-        F.count(F.lit(1)).alias("orphan_count"),
-        F.coalesce(F.sum("size"), F.lit(0)).cast("bigint").alias("orphan_bytes"),
-    ).select(
-        active.select(F.count_distinct("full_path")).scalar().alias("active_count"),
-        listing.select(F.count(F.lit(1))).scalar().alias("listed_count"),
-        "orphan_count",
-        "orphan_bytes",
-        human_size("orphan_bytes").alias("orphan_size_text"),
-    )
+def orphan_summary(listing: DataFrame, active: DataFrame, cutoff: Column | None = None) -> DataFrame:
+    """One row: active, listed and orphaned file counts plus orphaned bytes.
+
+    One pass: the listing is full-outer-joined to the distinct active paths
+    and a single aggregation counts all four figures (listed paths are
+    unique object keys)."""
+    act = active.select(F.col("full_path").alias("path")).distinct().withColumn("_active", F.lit(True))
+    both = listing.withColumn("_listed", F.lit(True)).join(act, "path", "full_outer")
+    orphan = F.col("_listed") & F.col("_active").isNull()
+    if cutoff is not None:
+        orphan = orphan & (F.col("modified") <= cutoff)
+    return both.agg(
+        F.count_if(F.col("_active")).cast("bigint").alias("active_count"),
+        F.count_if(F.col("_listed")).cast("bigint").alias("listed_count"),
+        F.count_if(orphan).cast("bigint").alias("orphan_count"),
+        F.coalesce(F.sum(F.when(orphan, F.col("size"))), F.lit(0)).cast("bigint").alias("orphan_bytes"),
+    ).withColumn("orphan_size_text", human_size("orphan_bytes"))
 
 
 def contract_violations(

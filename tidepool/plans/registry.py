@@ -422,8 +422,7 @@ def q_orphan_files(spark: SparkSession, sf: str) -> DataFrame:
 @query("orphan_summary")
 def q_orphan_summary(spark: SparkSession, sf: str) -> DataFrame:
     listing, active = _listing_and_active(spark, sf)
-    orphans = maintain.orphan_files(listing, active, F.lit(ORPHAN_CUTOFF).cast("timestamp_ntz"))
-    return maintain.orphan_summary(listing, active, orphans)
+    return maintain.orphan_summary(listing, active, F.lit(ORPHAN_CUTOFF).cast("timestamp_ntz"))
 
 
 CUSTOMER_CONTRACT = [
