@@ -120,3 +120,30 @@ def test_statistics_views_push_prefix(spark):
     b = views["B"].collect()
     assert b[0].area_name is None and b[0].time_name is None
     assert views["K"].count() == 0
+
+
+def test_dataset_configs_from_yaml(spark, tmp):
+    from tidepool.sources.configs import read_dataset_configs
+
+    (tmp / "maps").mkdir()
+    (tmp / "maps" / "dataset.yml").write_text(
+        'title: "地図データ"\n'
+        'cover: "🗾"\n'
+        'tags: ["GIS", "境界"]\n'
+        'public_url: "https://lake.example.org"\n'
+        "s3_url: \"s3://{{ env_var('LAKE_BUCKET', 'fallback') }}\"\n"
+        "dependencies:\n  - alias: \"dwh\"\n    ducklake_url: \"https://x.example/dwh.ducklake\"\n"
+        "schemas:\n  boundaries:\n    title: \"Boundaries\"\n  stats: {}\n",
+        encoding="utf-8",
+    )
+    (tmp / "named").mkdir()
+    (tmp / "named" / "dataset.yml").write_text('name: "own_name"\npublic_url: "https://p.example"\n')
+    rows = {r.name: r for r in read_dataset_configs(
+        spark, [str(tmp / "maps" / "dataset.yml"), str(tmp / "named" / "dataset.yml")]).collect()}
+    maps = rows["maps"]  # name from the folder
+    assert maps.ducklake_url == "https://lake.example.org/maps/ducklake.duckdb"
+    assert maps.s3_url == "s3://fallback" and maps.tags == ["GIS", "境界"]
+    assert [(s.name, s.title) for s in maps.schemas] == [("boundaries", "Boundaries"), ("stats", "")]
+    assert [(d.alias, d.ducklake_url) for d in maps.dependencies] == [("dwh", "https://x.example/dwh.ducklake")]
+    own = rows["own_name"]
+    assert own.dependencies is None and own.schemas == [] and own.title == ""
