@@ -9,7 +9,8 @@ import __spark_entry__ as entry
 SF = "/root/testdata/sf0.001"
 MAP_ONLY = ["catalog_datasets", "schemas_from_json", "tables_from_json", "columns_from_json",
             "dependencies_from_json", "lineage_edges", "lineage_nodes", "tag_text", "search_entries",
-            "export_rows", "export_tables", "group_to_list", "object_or_list", "unpivot_measures",
+            "export_rows", "export_tables", "export_datasets", "export_schemas", "export_dependencies",
+            "group_to_list", "object_or_list", "unpivot_measures",
             "category_view", "check_digit", "soft_cast", "text_dates_arrays", "union_periods"]
 
 

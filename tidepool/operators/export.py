@@ -162,3 +162,40 @@ def export_columns(parsed: DataFrame) -> DataFrame:
         F.coalesce("_p.column_index", F.lit(0)).alias("column_index"),
     )
     return _with_column_statement(out)
+
+
+def export_datasets(dataset_rows: DataFrame) -> DataFrame:
+    """Dataset export rows; tags re-rendered as a JSON list (NULL when absent)."""
+    tags = F.from_json(F.col("tags_json"), "array<string>")
+    return dataset_rows.select(
+        "datasource", "title", "description", "cover", "ducklake_url",
+        insert_statement(
+            "catalog_datasets",
+            [(n, sql_value(n)) for n in ("datasource", "title", "description", "cover", "ducklake_url")]
+            + [("tags", sql_json(tags))],
+        ).alias("statement"),
+    )
+
+
+def export_schemas(schema_rows: DataFrame) -> DataFrame:
+    """Schema export rows: id ``ds/schema``, title defaulting to ''."""
+    out = schema_rows.select(
+        path_key("datasource", "schema_name").alias("id"), "datasource", "schema_name",
+        F.coalesce("title", F.lit("")).alias("title"),
+    )
+    return out.withColumn(
+        "statement",
+        insert_statement("catalog_schemas", [(n, sql_value(n)) for n in ("id", "datasource", "schema_name", "title")]),
+    )
+
+
+def export_dependencies(dependency_rows: DataFrame) -> DataFrame:
+    """Dependency export rows: id ``ds/alias``."""
+    out = dependency_rows.select(
+        path_key("datasource", "alias").alias("id"), "datasource", "alias", "ducklake_url"
+    )
+    return out.withColumn(
+        "statement",
+        insert_statement("catalog_dependencies",
+                         [(n, sql_value(n)) for n in ("id", "datasource", "alias", "ducklake_url")]),
+    )

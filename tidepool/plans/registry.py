@@ -787,3 +787,18 @@ def q_price_mart(spark: SparkSession, sf: str) -> DataFrame:
     refetched = rows.where(F.col("_year") == 2001).withColumn("Type", F.lower("Type"))
     load.write_replacing_partitions(refetched, landing, PRICE_KEYS)
     return datasets.trade_prices(read_batches(spark, landing, fmt="parquet"))
+
+
+@query("export_datasets")
+def q_export_datasets(spark: SparkSession, sf: str) -> DataFrame:
+    return export.export_datasets(catalog.datasets(_parsed_docs(spark, sf, spread=False)))
+
+
+@query("export_schemas")
+def q_export_schemas(spark: SparkSession, sf: str) -> DataFrame:
+    return export.export_schemas(catalog.schemas(_parsed_docs(spark, sf)))
+
+
+@query("export_dependencies")
+def q_export_dependencies(spark: SparkSession, sf: str) -> DataFrame:
+    return export.export_dependencies(catalog.dependencies(_parsed_docs(spark, sf)))
