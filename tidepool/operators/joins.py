@@ -30,7 +30,10 @@ def join_small(
 
 
 def spread_narrow(
-    df: DataFrame, by: Sequence[str] | None = None, min_partitions: int | None = None
+    df: DataFrame,
+    by: Sequence[str] | None = None,
+    min_partitions: int | None = None,
+    current: int | None = None,
 ) -> DataFrame:
     """Hash-partition ``df`` over the cluster when its scan yields fewer
     partitions than the default parallelism (e.g. one small file with one
@@ -40,10 +43,12 @@ def spread_narrow(
     key of the driver tables); hashing avoids the local sort a round-robin
     repartition needs to stay deterministic on retries. Inputs already split
     into enough partitions (any large table) are returned unchanged: no
-    extra shuffle at scale. Only planning happens here, no job."""
+    extra shuffle at scale. Only planning happens here, no job; ``current``
+    (the scan's known split count) skips even that."""
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
+        if current is None:
+            current = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD API (e.g. Spark Connect): leave as is
         return df
     if current >= target:

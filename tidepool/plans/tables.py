@@ -15,6 +15,7 @@ TABLES = (
 
 
 _SCHEMAS: dict[tuple, StructType] = {}
+_SPLITS: dict[tuple, int] = {}
 
 
 def _file_version(spark: SparkSession, path: str) -> tuple | None:
@@ -46,4 +47,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
         df = spark.read.parquet(path)
         if version is not None:
             _SCHEMAS[key] = df.schema
-    return spread_narrow(df) if spread else df
+    if not spread:
+        return df
+    if version is None:
+        return spread_narrow(df)
+    # the scan's split count depends only on the file and the session's sizing
+    split_key = (key, spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    if split_key not in _SPLITS:
+        _SPLITS[split_key] = df.rdd.getNumPartitions()
+    return spread_narrow(df, current=_SPLITS[split_key])
