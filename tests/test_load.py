@@ -134,3 +134,24 @@ def test_bucketed_merge_shuffles_only_the_batch(spark):
     got = {r.k: r.v for r in spark.table("lake.keyed").collect()}
     assert len(got) == 2001 and got[5] == "newer5" and got[5000] == "v5000"
     assert spark.table(prev).count() == 2000
+
+
+def test_write_merged_partitions_by_key_prefix(spark, tmp):
+    path = str(tmp / "by_tab")
+    b1 = spark.createDataFrame([("t1", "A", 1.0, 1), ("t2", "A", 2.0, 1)], "tab string, cat string, v double, seq int")
+    load.write_merged_partitions(spark, b1, path, ["tab", "cat"], "seq", partition_cols=["tab"])
+    b2 = spark.createDataFrame([("t1", "A", 9.0, 2), ("t1", "B", 3.0, 2)], b1.schema)
+    load.write_merged_partitions(spark, b2, path, ["tab", "cat"], "seq", partition_cols=["tab"])
+    got = sorted((r.tab, r.cat, r.v) for r in spark.read.parquet(path).collect())
+    assert got == [("t1", "A", 9.0), ("t1", "B", 3.0), ("t2", "A", 2.0)]
+
+
+def test_join_small_checks_size(spark):
+    from tidepool.operators.joins import is_small, join_small
+
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+    assert is_small(small, 10) and not is_small(small, 9)
+    plan = join_small(big, small, "k", max_rows=10)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in plan
+    assert join_small(big, small, "k", max_rows=5).count() == 10

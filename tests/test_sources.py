@@ -147,3 +147,24 @@ def test_dataset_configs_from_yaml(spark, tmp):
     assert [(d.alias, d.ducklake_url) for d in maps.dependencies] == [("dwh", "https://x.example/dwh.ducklake")]
     own = rows["own_name"]
     assert own.dependencies is None and own.schemas == [] and own.title == ""
+
+
+def test_positional_csv_and_population_periods(spark, tmp):
+    from tidepool.sources.csv import read_csv_positional
+
+    (tmp / "z.csv").write_text('"01101","060","0600000"\n"13101","100","1000001","extra"\n"47382"\n', encoding="utf-8")
+    rows = read_csv_positional(spark, str(tmp / "z.csv"), "lg_code string, old string, zipcode string").collect()
+    assert [tuple(r) for r in rows] == [("01101", "060", "0600000"), ("13101", "100", "1000001"), ("47382", None, None)]
+
+    ages = [str(i) for i in range(36)]
+    for n, date in enumerate(["2024-04-01", "2024-10-01"]):
+        _population_csv(tmp / f"p{n}.csv", [["082201", "0001", "つくば市", date, "吾妻", "1", "1", "0"] + ages + ["1", ""]])
+    periods = [read_csv_named(spark, str(tmp / f"p{n}.csv"), datasets.population_csv_types(), encoding="shift_jis")
+               for n in range(2)]
+    long = datasets.population_all_periods(periods)
+    assert long.count() == 72
+    assert sorted(str(r.reference_date) for r in long.select("reference_date").distinct().collect()) == [
+        "2024-04-01", "2024-10-01"]
+    one_scan = datasets.population_long(read_csv_named(
+        spark, [str(tmp / "p0.csv"), str(tmp / "p1.csv")], datasets.population_csv_types(), encoding="shift_jis"))
+    assert sorted(map(tuple, one_scan.collect())) == sorted(map(tuple, long.collect()))
