@@ -105,9 +105,9 @@ def read_zipped_csv(
     """CSV member of ZIP archives (headerless, declared schema).
 
     An archive cannot be split, so each is inflated by one task
-    (``mapInPandas``, streamed in chunks); the lines are then spread over
-    ``partitions`` and parsed by ``from_csv`` on the JVM (quoted commas
-    handled)."""
+    (``mapInPandas``, streamed in chunks); the lines are then hash-spread
+    over ``partitions`` (default: the cluster's parallelism) and parsed by
+    ``from_csv`` on the JVM (quoted commas handled)."""
     prepare(spark)
     ddl = schema if isinstance(schema, str) else schema.simpleString()[len("struct<"):-1].replace(":", " ")
     lines = (
@@ -115,7 +115,7 @@ def read_zipped_csv(
         .select("path", "content")
         .mapInPandas(_unzip_lines(member, encoding, chunk_lines), "archive string, line string")
     )
-    if partitions:
-        lines = lines.repartition(partitions)
+    n = partitions or spark.sparkContext.defaultParallelism
+    lines = lines.repartition(n, F.xxhash64("archive", "line"))
     parsed = lines.select(F.from_csv("line", ddl, {"mode": "PERMISSIVE"}).alias("r"))
     return parsed.select("r.*")
