@@ -21,6 +21,7 @@ import time
 import uuid
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -227,15 +228,21 @@ def write_merged_partitions(
         )
     if order_col is not None:
         batch = latest_per_key(batch, keys, order_col)
-    if _path_exists(spark, table_path):
+    if not _path_exists(spark, table_path):
+        # first load: nothing is read, so the batch is written in place
+        batch.hint("rebalance", *parts).write.partitionBy(*parts).parquet(table_path)
+        return
+    # the batch feeds the touched-partition list, the anti join and the union
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
         touched = batch.select(*parts).distinct()
         current = spark.read.schema(batch.schema).parquet(table_path)
         current = current.join(touched, parts, "left_semi")
         merged = upsert(current, batch.select(*current.columns), keys)
-    else:
-        merged = batch
-    staging = f"{(staging_root or table_path).rstrip('/')}/_staging/{uuid.uuid4().hex}"
-    merged.hint("rebalance", *parts).write.partitionBy(*parts).parquet(staging)
+        staging = f"{(staging_root or table_path).rstrip('/')}/_staging/{uuid.uuid4().hex}"
+        merged.hint("rebalance", *parts).write.partitionBy(*parts).parquet(staging)
+    finally:
+        batch.unpersist()
     staged = spark.read.schema(merged.schema).parquet(staging)
     (
         staged.write.mode("overwrite")
