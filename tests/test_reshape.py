@@ -48,10 +48,10 @@ def test_survey_summary_ties_and_last_dates(spark):
 
 def test_articles_job_types_and_search_text(spark):
     raw = spark.createDataFrame(
-        [("a", "Title", "Desc", "2024-05-01", '["tsukuba"]', "[x, y]"),
+        [("a", "Title", "Desc", "2024-05-01", '["population"]', "[x, y]"),
          ("b", None, "D2", "2024-06-01", "[]", '["z"]')],
         "slug string, title string, description string, date string, datasources string, tags string")
     rows = datasets.articles(raw).collect()
     assert [r.slug for r in rows] == ["b", "a"]  # newest first
     assert rows[1].search_text == "Title Desc x y" and rows[0].search_text == "D2 z"
-    assert rows[1].datasources == ["tsukuba"] and rows[0].datasources == []
+    assert rows[1].datasources == ["population"] and rows[0].datasources == []
