@@ -145,10 +145,10 @@ def dependencies(parsed: DataFrame) -> DataFrame:
 
 
 def lineage_edges(parsed: DataFrame) -> DataFrame:
-    return (
-        parsed.where(F.col("_lineage").isNotNull())
-        .select("datasource", F.explode("_lineage.parent_map").alias("child", "_parents"))
-        .select("datasource", "child", F.explode("_parents").alias("parent"))
+    # documents without lineage explode to no rows; referencing only
+    # parent_map lets the JSON parse skip the nodes
+    return parsed.select("datasource", F.explode("_lineage.parent_map").alias("child", "_parents")).select(
+        "datasource", "child", F.explode("_parents").alias("parent")
     )
 
 
@@ -163,11 +163,7 @@ def lineage_nodes(parsed: DataFrame) -> DataFrame:
             e["value"]["meta"].alias("meta_json"),
         ),
     )
-    return (
-        parsed.where(F.col("_lineage").isNotNull())
-        .select("datasource", F.explode(slim).alias("_n"))
-        .select("datasource", "_n.*")
-    )
+    return parsed.select("datasource", F.explode(slim).alias("_n")).select("datasource", "_n.*")
 
 
 def table_tag_text(table_rows: DataFrame) -> DataFrame:
