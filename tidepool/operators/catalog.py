@@ -71,69 +71,69 @@ def datasets(parsed: DataFrame) -> DataFrame:
     )
 
 
-def _schema_map(parsed: DataFrame) -> Column:
-    return F.coalesce("_schemas", F.create_map().cast(parsed.schema["_schemas"].dataType))
+# The row-level expressions below are Spark SQL text (higher-order functions
+# over the parsed document): the JVM parses each once, instead of one py4j
+# call per expression node.
+
+# array<struct<schema_name, node_index, t>> of one document, in document order
+DOC_TABLES = (
+    "flatten(transform(map_entries(coalesce(_schemas, map())), e -> "
+    "transform(coalesce(e.value.tables, array()), (t, i) -> "
+    "named_struct('schema_name', e.key, 'node_index', i + 1, 't', t))))"
+)
+
+
+def with_doc_tables(parsed: DataFrame) -> DataFrame:
+    """(datasource, _tabs): the document's tables flattened over its schemas."""
+    return parsed.selectExpr("datasource", f"{DOC_TABLES} AS _tabs")
 
 
 def schemas(parsed: DataFrame) -> DataFrame:
     # entries are slimmed to (key, title) before exploding, so the nested
     # tables are not copied into every output row
-    slim = F.transform(
-        F.map_entries(_schema_map(parsed)),
-        lambda e: F.struct(e["key"].alias("schema_name"), e["value"]["title"].alias("title")),
-    )
-    return parsed.select("datasource", F.explode(slim).alias("_s")).select(
-        "datasource", "_s.schema_name", "_s.title"
-    )
-
-
-def _node_id(datasource: Column, name: Column) -> Column:
-    return F.concat(F.lit("model."), datasource, F.lit("."), name)
+    return parsed.selectExpr(
+        "datasource",
+        "explode(transform(map_entries(coalesce(_schemas, map())), "
+        "e -> named_struct('schema_name', e.key, 'title', e.value.title))) AS _s",
+    ).select("datasource", "_s.schema_name", "_s.title")
+
+
+_TABLE_ROW = (
+    "named_struct('node_id', concat('model.', datasource, '.', u.t.name), 'node_index', u.node_index, "
+    "'name', u.t.name, 'schema_name', u.schema_name, 'description', u.t.description, "
+    "'materialized', u.t.materialized, 'title', u.t.title, 'license', u.t.license, "
+    "'license_url', u.t.license_url, 'source_url', u.t.source_url, "
+    "'is_published', coalesce(try_cast(u.t.published AS BOOLEAN), false), "
+    "'tags_json', u.t.tags, 'sql', u.t.sql)"
+)
 
 
 def tables(parsed: DataFrame) -> DataFrame:
-    ds = F.col("datasource")
-    slim = F.transform(
-        doc_tables(parsed),
-        lambda u: F.struct(
-            _node_id(ds, u["t"]["name"]).alias("node_id"),
-            u["node_index"].alias("node_index"),
-            u["t"]["name"].alias("name"),
-            u["schema_name"].alias("schema_name"),
-            u["t"]["description"].alias("description"),
-            u["t"]["materialized"].alias("materialized"),
-            u["t"]["title"].alias("title"),
-            u["t"]["license"].alias("license"),
-            u["t"]["license_url"].alias("license_url"),
-            u["t"]["source_url"].alias("source_url"),
-            F.coalesce(u["t"]["published"].try_cast("boolean"), F.lit(False)).alias("is_published"),
-            u["t"]["tags"].alias("tags_json"),
-            u["t"]["sql"].alias("sql"),
-        ),
+    return (
+        with_doc_tables(parsed)
+        .selectExpr("datasource", f"explode(transform(_tabs, u -> {_TABLE_ROW})) AS _t")
+        .select("datasource", "_t.*")
     )
-    return parsed.select("datasource", F.explode(slim).alias("_t")).select("datasource", "_t.*")
+
+
+_COLUMN_ROW = (
+    "named_struct('node_id', concat('model.', datasource, '.', u.t.name), 'table_name', u.t.name, "
+    "'column_name', c.name, 'column_index', j + 1, 'title', coalesce(c.title, ''), "
+    "'description', c.description, 'data_type', c.data_type, "
+    "'nullable', try_cast(coalesce(c.nullable, 'true') AS BOOLEAN))"
+)
 
 
 def columns(parsed: DataFrame) -> DataFrame:
-    ds = F.col("datasource")
-    no_columns = F.array().cast(T.ArrayType(_COLUMN_T))
-    slim = F.flatten(F.transform(
-        doc_tables(parsed),
-        lambda u: F.transform(
-            F.coalesce(u["t"]["columns"], no_columns),
-            lambda c, j: F.struct(
-                _node_id(ds, u["t"]["name"]).alias("node_id"),
-                u["t"]["name"].alias("table_name"),
-                c["name"].alias("column_name"),
-                (j + 1).cast("int").alias("column_index"),
-                F.coalesce(c["title"], F.lit("")).alias("title"),
-                c["description"].alias("description"),
-                c["data_type"].alias("data_type"),
-                F.coalesce(c["nullable"], F.lit("true")).try_cast("boolean").alias("nullable"),
-            ),
-        ),
-    ))
-    return parsed.select("datasource", F.explode(slim).alias("_c")).select("datasource", "_c.*")
+    return (
+        with_doc_tables(parsed)
+        .selectExpr(
+            "datasource",
+            "explode(flatten(transform(_tabs, u -> transform(coalesce(u.t.columns, array()), "
+            f"(c, j) -> {_COLUMN_ROW})))) AS _c",
+        )
+        .select("datasource", "_c.*")
+    )
 
 
 def dependencies(parsed: DataFrame) -> DataFrame:
@@ -153,17 +153,13 @@ def lineage_edges(parsed: DataFrame) -> DataFrame:
 
 
 def lineage_nodes(parsed: DataFrame) -> DataFrame:
-    slim = F.transform(
-        F.map_entries("_lineage.nodes"),
-        lambda e: F.struct(
-            e["key"].alias("name"),
-            e["value"]["resource_type"].alias("resource_type"),
-            e["value"]["config"]["materialized"].alias("materialized"),
-            e["value"]["fqn"].alias("fqn_json"),
-            e["value"]["meta"].alias("meta_json"),
-        ),
-    )
-    return parsed.select("datasource", F.explode(slim).alias("_n")).select("datasource", "_n.*")
+    # documents without lineage explode to no rows
+    return parsed.selectExpr(
+        "datasource",
+        "explode(transform(map_entries(_lineage.nodes), e -> named_struct('name', e.key, "
+        "'resource_type', e.value.resource_type, 'materialized', e.value.config.materialized, "
+        "'fqn_json', e.value.fqn, 'meta_json', e.value.meta))) AS _n",
+    ).select("datasource", "_n.*")
 
 
 def table_tag_text(table_rows: DataFrame) -> DataFrame:
@@ -255,110 +251,72 @@ def search_entries_joined(table_rows: DataFrame, column_rows: DataFrame) -> Data
 # functions: one scan, one parse, no shuffle, whatever the catalog size.
 
 
-def doc_tables(parsed: DataFrame) -> Column:
-    """array<struct<schema_name, node_index, t>> of a document, in document order."""
-    empty = F.array().cast(T.ArrayType(_TABLE_T))
-    return F.flatten(
-        F.transform(
-            F.map_entries(_schema_map(parsed)),
-            lambda e: F.transform(
-                F.coalesce(e["value"]["tables"], empty),
-                lambda t, i: F.struct(
-                    e["key"].alias("schema_name"), (i + 1).cast("int").alias("node_index"), t.alias("t")
-                ),
-            ),
-        )
-    )
+# tag rows of a document's tables: (schema, index, name, tags array)
+_TAG_ROWS = (
+    "transform(_tabs, u -> named_struct('s', u.schema_name, 'i', u.node_index, 'name', u.t.name, "
+    "'tags', coalesce(from_json(u.t.tags, 'array<string>'), array())))"
+)
 
 
-def _tag_rows(tabs: Column) -> Column:
-    return F.transform(
-        tabs,
-        lambda u: F.struct(
-            u["schema_name"].alias("s"), u["node_index"].alias("i"), u["t"]["name"].alias("name"),
-            F.coalesce(F.from_json(u["t"]["tags"], "array<string>"), F.array().cast("array<string>")).alias("tags"),
-        ),
-    )
+def _tags_of(name: str, null_safe: bool) -> str:
+    """Tags of all tables named ``name``, ordered by schema, index, position."""
+    match = f"x.name <=> {name}" if null_safe else f"x.name = {name}"
+    return f"flatten(transform(array_sort(filter(_tags, x -> {match})), x -> x.tags))"
 
 
-def _tags_of(tag_rows: Column, name: Column, null_safe: bool) -> Column:
-    """Tags of all tables named ``name``, ordered by schema, index, position."""
-    match = (lambda x: x["name"].eqNullSafe(name)) if null_safe else (lambda x: x["name"] == name)
-    return F.flatten(F.transform(F.array_sort(F.filter(tag_rows, match)), lambda x: x["tags"]))
+def _with_tags(parsed: DataFrame) -> DataFrame:
+    return with_doc_tables(parsed).selectExpr("datasource", "_tabs", f"{_TAG_ROWS} AS _tags")
 
 
 def tag_text_local(parsed: DataFrame) -> DataFrame:
     """:func:`table_tag_text` without a shuffle (one row per table name with tags)."""
-    with_tabs = parsed.select("datasource", doc_tables(parsed).alias("_tabs"))
-    tags = _tag_rows(F.col("_tabs"))
-    per_name = F.transform(
-        F.array_distinct(F.transform("_tabs", lambda u: u["t"]["name"])),
-        lambda n: F.struct(n.alias("name"), _tags_of(tags, n, True).alias("tags")),
-    )
-    return with_tabs.select("datasource", F.explode(F.filter(per_name, lambda x: F.size(x["tags"]) > 0)).alias("_x")).select(
-        "datasource", F.col("_x.name").alias("name"), F.array_join("_x.tags", " ").alias("tags_text")
+    per_name = (
+        "transform(array_distinct(transform(_tabs, u -> u.t.name)), "
+        f"n -> named_struct('name', n, 'tags', {_tags_of('n', True)}))"
     )
+    return _with_tags(parsed).selectExpr(
+        "datasource", f"explode(filter({per_name}, x -> size(x.tags) > 0)) AS _x"
+    ).selectExpr("datasource", "_x.name AS name", "array_join(_x.tags, ' ') AS tags_text")
 
 
-def _blank(c: Column) -> Column:
-    return F.coalesce(c, F.lit(""))
+def _entry(kind: str, schema: str, table: str, title: str, column: str, desc: str, text: str) -> str:
+    return (
+        f"named_struct('entry_type', '{kind}', 'schema_name', {schema}, 'table_name', {table}, "
+        f"'table_title', {title}, 'column_name', {column}, 'description', {desc}, "
+        f"'search_text', {text}, 'href', concat('/datasets/', datasource, '/', {schema}, '/', {table}))"
+    )
 
 
-def _href(ds: Column, schema: Column, table: Column) -> Column:
-    return F.concat(F.lit("/datasets/"), ds, F.lit("/"), schema, F.lit("/"), table)
+_TABLE_ENTRIES = "transform(_tabs, u -> " + _entry(
+    "table", "u.schema_name", "u.t.name", "u.t.title", "CAST(NULL AS STRING)", "u.t.description",
+    "concat_ws(' ', coalesce(replace(u.t.name, '_', ' '), ''), coalesce(u.t.title, ''), "
+    f"coalesce(u.t.description, ''), array_join({_tags_of('u.t.name', False)}, ' '))",
+) + ")"
+
+_COLUMN_TEXT = (
+    "concat_ws(' ', coalesce(replace(ce.c.name, '_', ' '), ''), coalesce(ce.c.title, ''), "
+    "coalesce(ce.c.description, ''), coalesce(replace(ce.table_name, '_', ' '), ''))"
+)
+_COLUMN_ENTRIES = (
+    "flatten(transform("
+    "flatten(transform(_tabs, u -> transform(coalesce(u.t.columns, array()), "
+    "c -> named_struct('table_name', u.t.name, 'c', c)))), "
+    "ce -> CASE WHEN size(filter(_tabs, v -> v.t.name = ce.table_name)) = 0 THEN array("
+    + _entry("column", "CAST(NULL AS STRING)", "ce.table_name", "CAST(NULL AS STRING)", "ce.c.name",
+             "ce.c.description", _COLUMN_TEXT)
+    + ") ELSE transform(filter(_tabs, v -> v.t.name = ce.table_name), v -> "
+    + _entry("column", "v.schema_name", "ce.table_name", "v.t.title", "ce.c.name", "ce.c.description",
+             _COLUMN_TEXT)
+    + ") END))"
+)
 
 
 def search_entries(parsed: DataFrame) -> DataFrame:
     """One search row per table and per column, computed inside each
     document (same rows as :func:`search_entries_joined`)."""
-    ds = F.col("datasource")
-    tabs = F.col("_tabs")
-    tags = _tag_rows(tabs)
-    entry = lambda kind, schema, table, title, column, desc, text: F.struct(
-        F.lit(kind).alias("entry_type"), schema.alias("schema_name"), table.alias("table_name"),
-        title.alias("table_title"), column.alias("column_name"), desc.alias("description"),
-        text.alias("search_text"), _href(ds, schema, table).alias("href"),
-    )
-    table_entries = F.transform(
-        tabs,
-        lambda u: entry(
-            "table", u["schema_name"], u["t"]["name"], u["t"]["title"], F.lit(None).cast("string"),
-            u["t"]["description"],
-            F.concat_ws(" ", _blank(underscore_words(u["t"]["name"])), _blank(u["t"]["title"]),
-                        _blank(u["t"]["description"]),
-                        F.array_join(_tags_of(tags, u["t"]["name"], False), " ")),
-        ),
-    )
-    cols = F.flatten(F.transform(
-        tabs,
-        lambda u: F.transform(
-            F.coalesce(u["t"]["columns"], F.array().cast(T.ArrayType(_COLUMN_T))),
-            lambda c: F.struct(u["t"]["name"].alias("table_name"), c.alias("c")),
-        ),
-    ))
-
-    def column_entry(ce: Column, u: Column | None) -> Column:
-        c = ce["c"]
-        schema = u["schema_name"] if u is not None else F.lit(None).cast("string")
-        title = u["t"]["title"] if u is not None else F.lit(None).cast("string")
-        return entry(
-            "column", schema, ce["table_name"], title, c["name"], c["description"],
-            F.concat_ws(" ", _blank(underscore_words(c["name"])), _blank(F.coalesce(c["title"], F.lit(""))),
-                        _blank(c["description"]), _blank(underscore_words(ce["table_name"]))),
-        )
-
-    column_entries = F.flatten(F.transform(
-        cols,
-        lambda ce: F.when(
-            F.size(F.filter(tabs, lambda u: u["t"]["name"] == ce["table_name"])) == 0,
-            F.array(column_entry(ce, None)),
-        ).otherwise(
-            F.transform(F.filter(tabs, lambda u: u["t"]["name"] == ce["table_name"]), lambda u: column_entry(ce, u))
-        ),
-    ))
     return (
-        parsed.select("datasource", doc_tables(parsed).alias("_tabs"))
-        .select("datasource", F.explode(F.concat(table_entries, column_entries)).alias("_e"))
+        _with_tags(parsed)
+        .selectExpr("datasource", f"explode(concat({_TABLE_ENTRIES}, {_COLUMN_ENTRIES})) AS _e")
         .select("_e.entry_type", "datasource", "_e.schema_name", "_e.table_name", "_e.table_title",
                 "_e.column_name", "_e.description", "_e.search_text", "_e.href")
     )
@@ -367,21 +325,20 @@ def search_entries(parsed: DataFrame) -> DataFrame:
 def tables_by_schema(parsed: DataFrame) -> DataFrame:
     """Per (datasource, schema) holding tables: table names in index order,
     table count, and the dataset's total table count."""
-    empty = F.array().cast(T.ArrayType(_TABLE_T))
-    per_schema = F.transform(
-        F.map_entries(_schema_map(parsed)),
-        lambda e: F.struct(
-            e["key"].alias("schema_name"),
-            F.array_join(F.transform(F.coalesce(e["value"]["tables"], empty), lambda t: t["name"]), ",").alias("table_list"),
-            F.size(F.coalesce(e["value"]["tables"], empty)).cast("bigint").alias("n_tables"),
-        ),
+    per_schema = (
+        "transform(map_entries(coalesce(_schemas, map())), e -> named_struct('schema_name', e.key, "
+        "'table_list', array_join(transform(coalesce(e.value.tables, array()), t -> t.name), ','), "
+        "'n_tables', CAST(size(coalesce(e.value.tables, array())) AS BIGINT)))"
+    )
+    return (
+        parsed.selectExpr("datasource", f"{per_schema} AS _s")
+        .selectExpr(
+            "datasource",
+            "aggregate(_s, CAST(0 AS BIGINT), (acc, x) -> acc + x.n_tables) AS total_tables",
+            "explode(filter(_s, x -> x.n_tables > 0)) AS _x",
+        )
+        .select("datasource", "_x.schema_name", "_x.table_list", "_x.n_tables", "total_tables")
     )
-    with_list = parsed.select("datasource", per_schema.alias("_s"))
-    total = F.aggregate("_s", F.lit(0).cast("bigint"), lambda acc, x: acc + x["n_tables"])
-    return with_list.select(
-        "datasource", total.alias("total_tables"),
-        F.explode(F.filter("_s", lambda x: x["n_tables"] > 0)).alias("_x"),
-    ).select("datasource", "_x.schema_name", "_x.table_list", "_x.n_tables", "total_tables")
 
 
 # --- publishing ----------------------------------------------------------------

@@ -12,7 +12,6 @@ from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidepool.functions.text import path_key, sql_bool, sql_json, sql_value
 
@@ -126,30 +125,21 @@ def push_batches(
     df.select(column).foreachPartition(per_partition)
 
 
+_COLUMN_EXPORT_PAIRS = (
+    "explode(flatten(transform(_tabs, u -> flatten(transform(coalesce(u.t.columns, array()), (c, j) -> "
+    "transform(filter(_tabs, v -> v.t.name = u.t.name), v -> named_struct("
+    "'schema_name', v.schema_name, 'table_name', u.t.name, 'column_name', c.name, "
+    "'title', coalesce(c.title, ''), 'description', c.description, 'data_type', c.data_type, "
+    "'column_index', j + 1))))))) AS _p"
+)
+
+
 def export_columns(parsed: DataFrame) -> DataFrame:
     """Column export rows computed inside each parsed document (the
     columns ⋈ tables join keys include the datasource; no shuffle)."""
-    from tidepool.operators.catalog import _COLUMN_T, doc_tables
-
-    tabs = F.col("_tabs")
-    pairs = F.flatten(F.transform(
-        tabs,
-        lambda u: F.flatten(F.transform(
-            F.coalesce(u["t"]["columns"], F.array().cast(T.ArrayType(_COLUMN_T))),
-            lambda c, j: F.transform(
-                F.filter(tabs, lambda v: v["t"]["name"] == u["t"]["name"]),
-                lambda v: F.struct(
-                    v["schema_name"].alias("schema_name"), u["t"]["name"].alias("table_name"),
-                    c["name"].alias("column_name"), F.coalesce(c["title"], F.lit("")).alias("title"),
-                    c["description"].alias("description"), c["data_type"].alias("data_type"),
-                    (j + 1).cast("int").alias("column_index"),
-                ),
-            ),
-        )),
-    ))
-    rows = parsed.select("datasource", doc_tables(parsed).alias("_tabs")).select(
-        "datasource", F.explode(pairs).alias("_p")
-    )
+    from tidepool.operators.catalog import with_doc_tables
+
+    rows = with_doc_tables(parsed).selectExpr("datasource", _COLUMN_EXPORT_PAIRS)
     out = rows.select(
         path_key("datasource", "_p.schema_name", "_p.table_name", "_p.column_name").alias("id"),
         "datasource",
