@@ -7,14 +7,35 @@ the whole tables. Column names equal those of the matching SQL in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from tidepool.operators import catalog, statistics
+from pyspark.sql import types as T
+
+from tidepool.functions import casts, codes
+from tidepool.functions import text as textf
+from tidepool.functions.jsonx import polymorphic_code, polymorphic_text
+from tidepool.operators import (
+    catalog,
+    datasets,
+    export,
+    information_schema,
+    lineage,
+    load,
+    maintain,
+    reshape,
+    statistics,
+    survey,
+)
 from tidepool.plans.catalog_docs import part_documents
 from tidepool.plans.tables import table
+from tidepool.session import checkpoint_root
+from tidepool.sources.api_rows import read_batches
+from tidepool.sources.csv import read_csv_named
+from tidepool.sources.documents import document_lines, read_metadata_lines
+from tidepool.streaming.incremental import start_keyed_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,8 +124,6 @@ def q_search_entries(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- reshape / scalar functions ---------------------------------------------
 
-from tidepool.functions import codes, casts  # noqa: E402
-from tidepool.operators import load, reshape  # noqa: E402
 
 MEASURE_RULES = [("%_qty", "qty"), ("%_price", "price"), ("%_disc", "disc"), ("%_tax", "tax")]
 
@@ -322,14 +341,6 @@ def q_keyed_replace(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- export -----------------------------------------------------------------
 
-from tidepool.functions import text as textf  # noqa: E402
-from tidepool.operators import (  # noqa: E402
-    export,
-    information_schema,
-    lineage,
-    maintain,
-    survey,
-)
 
 
 @query("sql_literals")
@@ -635,8 +646,6 @@ def q_object_or_list(spark: SparkSession, sf: str) -> DataFrame:
                      F.lit(","), obj("area", "Area", area_class), F.lit("]")),
         ).otherwise(obj("time", "Time", _class_json((F.col("event_id") % 7 + 1).cast("int")))).alias("class_inf"),
     )
-    from tidepool.functions.jsonx import polymorphic_code, polymorphic_text
-
     tagged = raw.select(
         "event_id",
         polymorphic_text("title_json").alias("title"),
@@ -665,13 +674,6 @@ def q_top_sources(spark: SparkSession, sf: str) -> DataFrame:
 # the cluster's shared ``spark.checkpoint.dir`` and read it back, so the
 # real readers / sinks / streams run over the whole tables.
 
-import uuid  # noqa: E402
-
-from pyspark.sql import types as T  # noqa: E402
-
-from tidepool.session import checkpoint_root  # noqa: E402
-from tidepool.sources.csv import read_csv_named  # noqa: E402
-from tidepool.streaming.incremental import start_keyed_load  # noqa: E402
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -740,8 +742,6 @@ def q_stream_keyed_load(spark: SparkSession, sf: str) -> DataFrame:
 def q_metadata_reader(spark: SparkSession, sf: str) -> DataFrame:
     """Metadata documents written as JSON lines (nested parts as JSON values)
     and read back by the document reader, then flattened to tables."""
-    from tidepool.sources.documents import document_lines, read_metadata_lines
-
     out = _scratch(spark, "documents")
     document_lines(part_documents(table(spark, sf, "part", spread=True))).write.text(out)
     return catalog.tables(catalog.parse_documents(read_metadata_lines(spark, out)))
@@ -778,9 +778,6 @@ def q_price_mart(spark: SparkSession, sf: str) -> DataFrame:
     """Property-price job end to end: API rows land partitioned by request
     keys, the newest year is fetched again (its partitions replaced), and the
     landed batches are typed by the rename / soft-cast spec."""
-    from tidepool.operators import datasets
-    from tidepool.sources.api_rows import read_batches
-
     landing = _scratch(spark, "prices")
     rows = _price_rows(table(spark, sf, "orders"))
     load.write_replacing_partitions(rows, landing, PRICE_KEYS)
