@@ -33,7 +33,7 @@ from tidepool.plans.catalog_docs import part_documents
 from tidepool.plans.tables import table
 from tidepool.session import checkpoint_root
 from tidepool.sources.api_rows import read_batches
-from tidepool.sources.csv import read_csv_named
+from tidepool.sources.csv import read_csv_named, read_csv_positional
 from tidepool.sources.documents import document_lines, read_metadata_lines
 from tidepool.streaming.incremental import start_keyed_load
 
@@ -799,3 +799,32 @@ def q_export_schemas(spark: SparkSession, sf: str) -> DataFrame:
 @query("export_dependencies")
 def q_export_dependencies(spark: SparkSession, sf: str) -> DataFrame:
     return export.export_dependencies(catalog.dependencies(_parsed_docs(spark, sf)))
+
+
+@query("postal_csv")
+def q_postal_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Postal-code job on headerless CSV: customers written as 15-column
+    postal rows (a field with a comma is quoted by the writer), read back by
+    position with the declared schema, codes extended by their check digit."""
+    out = _scratch(spark, "postal")
+    c = table(spark, sf, "customer")
+    n = F.col("c_nationkey")
+    rows = c.select(
+        codes.zero_pad(F.col("c_custkey") % 100000, 5).alias("lg_code"),
+        codes.zero_pad(n, 3).alias("old_zipcode"),
+        codes.zero_pad(F.col("c_custkey") % 10000000, 7).alias("zipcode"),
+        F.col("c_mktsegment").alias("prefecture_kana"),
+        F.upper("c_name").alias("city_kana"),
+        F.concat(F.lit("T"), n.cast("string")).alias("town_kana"),
+        F.col("c_mktsegment").alias("prefecture"),
+        F.col("c_name").alias("city"),
+        F.concat(F.col("c_name"), F.lit(", annex")).alias("town"),
+        (n % 2).alias("has_multiple_zipcodes"),
+        F.when(F.col("c_acctbal") < 0, 1).otherwise(0).alias("has_koaza_banchi"),
+        (n % 3).alias("has_chome"),
+        F.lit(0).alias("has_multiple_towns"),
+        (n % 5).alias("update_status"),
+        (n % 7).alias("update_reason"),
+    )
+    rows.write.option("header", False).csv(out)
+    return datasets.postal_codes(read_csv_positional(spark, out, datasets.POSTAL_SCHEMA))
