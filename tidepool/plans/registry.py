@@ -29,12 +29,14 @@ from tidepool.operators import (
     statistics,
     survey,
 )
+from tidepool.plans.boundary_docs import part_topologies
 from tidepool.plans.catalog_docs import part_documents
 from tidepool.plans.tables import table
 from tidepool.session import checkpoint_root
 from tidepool.sources.api_rows import read_batches
 from tidepool.sources.csv import read_csv_named, read_csv_positional
 from tidepool.sources.documents import document_lines, read_metadata_lines
+from tidepool.sources.topojson import decode_topologies
 from tidepool.streaming.incremental import start_keyed_load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -828,3 +830,12 @@ def q_postal_csv(spark: SparkSession, sf: str) -> DataFrame:
     )
     rows.write.option("header", False).csv(out)
     return datasets.postal_codes(read_csv_positional(spark, out, datasets.POSTAL_SCHEMA))
+
+
+@query("boundaries")
+def q_boundaries(spark: SparkSession, sf: str) -> DataFrame:
+    """Boundary job: TopoJSON topologies (one per part row) decoded — arcs
+    delta-decoded by a window per arc, reversed arcs, shared points — into
+    GeoJSON prefecture boundaries."""
+    topologies = part_topologies(table(spark, sf, "part", spread=True))
+    return datasets.prefecture_boundaries(decode_topologies(topologies))

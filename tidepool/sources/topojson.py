@@ -6,19 +6,19 @@ indexes, a negative index ``~i`` meaning arc ``i`` reversed. With a
 geospatial types are off by default, so geometries are emitted as
 GeoJSON text (``Polygon`` / ``MultiPolygon``).
 
-Plan: parse the topology once; decode every arc with a vectorised Pandas
-UDF (a running sum has no built-in array form); explode features → rings
-→ arc references, join to the decoded arcs on the arc id, and rebuild
-rings, polygons and geometries with ordered, per-feature aggregations.
+Plan (all JVM-side): parse each topology once; explode arcs to points and
+decode the delta coding with a running-sum window per arc (a window
+partition is one arc); explode features → polygons → rings → arc
+references and join them to the arc points on (topology, arc); order the
+points of each ring (arc order, reversed arcs read backwards, the point an
+arc shares with the previous one dropped) and rebuild rings, polygons and
+geometries with ordered per-feature aggregations.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidepool.session import prepare
 
@@ -30,32 +30,33 @@ TOPOLOGY_SCHEMA = (
 )
 
 
-@F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
-def _decode_arcs(points: pd.Series, scale: pd.Series, translate: pd.Series) -> pd.Series:
-    out = []
-    for pts, sc, tr in zip(points, scale, translate):
-        a = np.array([np.asarray(p, dtype=float)[:2] for p in pts], dtype=float).reshape(-1, 2)
-        if sc is not None and tr is not None and len(sc) == 2:
-            a = np.cumsum(a, axis=0) * np.asarray(sc, dtype=float) + np.asarray(tr, dtype=float)
-        out.append([list(map(float, p)) for p in a])
-    return pd.Series(out)
-
-
-def read_topojson(spark: SparkSession, paths: str | list[str], object_name: str | None = None) -> DataFrame:
-    """Features of TopoJSON files: (source, object, feature_index, type,
-    properties map, geometry GeoJSON text)."""
-    prepare(spark)
-    text = spark.read.text(paths if isinstance(paths, list) else [paths], wholetext=True)
-    topo = text.select(
-        F.col("_metadata.file_path").alias("source"), F.from_json("value", TOPOLOGY_SCHEMA).alias("t")
-    )
-    arcs = topo.select(
+def _arc_points(topo: DataFrame) -> DataFrame:
+    """(source, arc_id, pos, n, x, y): decoded coordinates of every arc point."""
+    pts = topo.select(
         "source",
-        F.posexplode("t.arcs").alias("arc_id", "_pts"),
         F.col("t.transform.scale").alias("_scale"),
         F.col("t.transform.translate").alias("_translate"),
-    ).select("source", "arc_id", _decode_arcs("_pts", "_scale", "_translate").alias("coords"))
+        F.posexplode("t.arcs").alias("arc_id", "_pts"),
+    ).select(
+        "source", "_scale", "_translate", "arc_id",
+        F.size("_pts").alias("n"),
+        F.posexplode("_pts").alias("pos", "_p"),
+    )
+    arc = Window.partitionBy("source", "arc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    quantised = F.size("_scale") == 2
+    qx = F.sum(F.get("_p", 0)).over(arc)
+    qy = F.sum(F.get("_p", 1)).over(arc)
+    return pts.select(
+        "source", "arc_id", "pos", "n",
+        F.when(quantised, qx * F.get("_scale", 0) + F.get("_translate", 0)).otherwise(F.get("_p", 0)).alias("x"),
+        F.when(quantised, qy * F.get("_scale", 1) + F.get("_translate", 1)).otherwise(F.get("_p", 1)).alias("y"),
+    )
+
 
+def decode_topologies(texts: DataFrame, object_name: str | None = None) -> DataFrame:
+    """Topology JSON text rows (source, value) → features: (source, object,
+    feature_index, type, properties map, geometry GeoJSON text)."""
+    topo = texts.select("source", F.from_json("value", TOPOLOGY_SCHEMA).alias("t"))
     feats = topo.select("source", F.explode("t.objects").alias("object", "_o"))
     if object_name is not None:
         feats = feats.where(F.col("object") == object_name)
@@ -69,21 +70,19 @@ def read_topojson(spark: SparkSession, paths: str | list[str], object_name: str
     )
     key = ["source", "object", "feature_index"]
     refs = (
-        feats.select(*key, F.posexplode_outer("_polys").alias("poly", "_rings"))
-        .select(*key, "poly", F.posexplode_outer("_rings").alias("ring", "_refs"))
-        .select(*key, "poly", "ring", F.posexplode_outer("_refs").alias("seq", "ref"))
+        feats.select(*key, F.posexplode("_polys").alias("poly", "_rings"))
+        .select(*key, "poly", F.posexplode("_rings").alias("ring", "_refs"))
+        .select(*key, "poly", "ring", F.posexplode("_refs").alias("seq", "ref"))
+        .withColumn("arc_id", F.when(F.col("ref") >= 0, F.col("ref")).otherwise(-F.col("ref") - 1))
     )
-    refs = refs.withColumn("arc_id", F.when(F.col("ref") >= 0, F.col("ref")).otherwise(-F.col("ref") - 1))
-    pieces = refs.join(arcs, ["source", "arc_id"], "left").select(
-        *key, "poly", "ring", "seq",
-        F.when(F.col("ref") < 0, F.reverse("coords")).otherwise(F.col("coords")).alias("coords"),
+    points = refs.join(_arc_points(topo), ["source", "arc_id"])
+    # position of the point along the ring's walk of this arc
+    along = F.when(F.col("ref") >= 0, F.col("pos")).otherwise(F.col("n") - 1 - F.col("pos"))
+    walked = points.where((F.col("seq") == 0) | (along > 0)).select(
+        *key, "poly", "ring", F.struct("seq", along.alias("along"), "x", "y").alias("_pt")
     )
-    # consecutive arcs share their end/start point: drop it from every arc but the first
-    pieces = pieces.withColumn(
-        "coords", F.when(F.col("seq") > 0, F.slice("coords", 2, F.size("coords"))).otherwise(F.col("coords"))
-    )
-    rings = pieces.groupBy(*key, "poly", "ring").agg(
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("seq", "coords"))), lambda x: x["coords"])).alias("pts")
+    rings = walked.groupBy(*key, "poly", "ring").agg(
+        F.transform(F.array_sort(F.collect_list("_pt")), lambda p: F.array(p["x"], p["y"])).alias("pts")
     )
     polys = rings.groupBy(*key, "poly").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("ring", "pts"))), lambda x: x["pts"]).alias("rings")
@@ -100,3 +99,10 @@ def read_topojson(spark: SparkSession, paths: str | list[str], object_name: str
         F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), F.col("polygons").alias("coordinates"))),
     )
     return out.select(*key, "type", "properties", geometry.alias("geometry"))
+
+
+def read_topojson(spark: SparkSession, paths: str | list[str], object_name: str | None = None) -> DataFrame:
+    """Features of TopoJSON files (one topology per file)."""
+    prepare(spark)
+    text = spark.read.text(paths if isinstance(paths, list) else [paths], wholetext=True)
+    return decode_topologies(text.select(F.col("_metadata.file_path").alias("source"), "value"), object_name)
