@@ -168,3 +168,18 @@ def test_positional_csv_and_population_periods(spark, tmp):
     one_scan = datasets.population_long(read_csv_named(
         spark, [str(tmp / "p0.csv"), str(tmp / "p1.csv")], datasets.population_csv_types(), encoding="shift_jis"))
     assert sorted(map(tuple, one_scan.collect())) == sorted(map(tuple, long.collect()))
+
+
+def test_topojson_without_transform_uses_absolute_points(spark, tmp):
+    topo = {
+        "type": "Topology",
+        "arcs": [[[1.5, 2.0], [3.0, 2.0], [3.0, 4.0]], [[3.0, 4.0], [1.5, 4.0], [1.5, 2.0]]],
+        "objects": {"m": {"type": "GeometryCollection", "geometries": [
+            {"type": "Polygon", "arcs": [[0, 1]],
+             "properties": {"lg_code": "082201", "prefecture_code": "08", "prefecture_name": "茨城県",
+                            "county_name": None, "city_name": "つくば市"}}]}},
+    }
+    (tmp / "m.topojson").write_text(json.dumps(topo, ensure_ascii=False))
+    row = datasets.municipality_boundaries(read_topojson(spark, str(tmp / "m.topojson"))).first()
+    assert (row.lg_code, row.city_name, row.county_name) == ("082201", "つくば市", None)
+    assert json.loads(row.geometry)["coordinates"] == [[[1.5, 2.0], [3.0, 2.0], [3.0, 4.0], [1.5, 4.0], [1.5, 2.0]]]
