@@ -839,3 +839,36 @@ def q_boundaries(spark: SparkSession, sf: str) -> DataFrame:
     GeoJSON prefecture boundaries."""
     topologies = part_topologies(table(spark, sf, "part", spread=True))
     return datasets.prefecture_boundaries(decode_topologies(topologies))
+
+
+def _age_value(i: int) -> F.Column:
+    """Population of the i-th age×sex column of a customer-derived row
+    (empty for some cells, so the unpivot has NULLs to drop)."""
+    k = F.col("c_custkey")
+    return F.when((k + F.lit(i)) % 11 == 0, F.lit(None).cast("bigint")).otherwise((k * F.lit(i + 3)) % 997)
+
+
+@query("population_csv")
+def q_population_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Population job: customers written as the wide municipal population CSV
+    (Japanese headers, Shift-JIS, leading-zero codes, empty cells, two survey
+    dates), read back by column name and reshaped to the long table."""
+    out = _scratch(spark, "population")
+    c = table(spark, sf, "customer")
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    inv = {v: src for src, v in datasets.POPULATION_KEYS}  # published name → source header
+    cols = [
+        codes.zero_pad(n * 1000 + 1, 6).alias(inv["lg_code"]),
+        codes.zero_pad(k, 6).alias(inv["area_code"]),
+        F.col("c_mktsegment").alias(inv["lg_name"]),
+        F.when(k % 2 == 0, F.lit("2024-04-01")).otherwise(F.lit("2024-10-01")).alias(inv["reference_date"]),
+        F.col("c_name").alias(inv["area_name"]),
+        (k % 1000).alias("総人口"),
+        (k % 500).alias("男性"),
+        (k % 500).alias("女性"),
+    ]
+    cols += [_age_value(i).alias(src) for i, (src, _) in enumerate(datasets.population_columns())]
+    cols += [(k % 300).alias("世帯数"), F.when(n == 0, F.lit("注記")).alias("備考")]
+    c.select(*cols).write.option("header", True).option("encoding", "Shift_JIS").csv(out)
+    raw = read_csv_named(spark, out, datasets.population_csv_types(), encoding="Shift_JIS")
+    return datasets.population_long(raw)

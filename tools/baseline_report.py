@@ -26,8 +26,8 @@ single-node comparison is its engine in its own configuration: DuckDB
 parquet files and materialising each result (`CREATE TEMP TABLE … AS`).
 Spark: `bench.py`, PySpark 4.1.2, `local[8]`, driver 16 GB, AQE on, each
 query built and written to the `noop` sink, best of 3 runs. Container: 8
-cores, 31 GB RAM. Six queries (csv_reader, postal_csv, replace_partitions_sink,
-stream_keyed_load, metadata_reader, price_mart) write and re-read files in
+cores, 31 GB RAM. Seven queries (csv_reader, postal_csv, population_csv,
+replace_partitions_sink, stream_keyed_load, metadata_reader, price_mart) write and re-read files in
 Spark (sinks, readers, a stream); their DuckDB SQL computes the same result
 directly from the tables, so those rows favour DuckDB.
 
