@@ -11,8 +11,8 @@ decode the delta coding with a running-sum window per arc (a window
 partition is one arc); explode features → polygons → rings → arc
 references and join them to the arc points on (topology, arc); order the
 points of each ring (arc order, reversed arcs read backwards, the point an
-arc shares with the previous one dropped) and rebuild rings, polygons and
-geometries with ordered per-feature aggregations.
+arc shares with the previous one dropped), collect each ring, then each
+feature's rings, and nest them into polygons.
 """
 
 from __future__ import annotations
@@ -84,11 +84,13 @@ def decode_topologies(texts: DataFrame, object_name: str | None = None) -> DataF
     rings = walked.groupBy(*key, "poly", "ring").agg(
         F.transform(F.array_sort(F.collect_list("_pt")), lambda p: F.array(p["x"], p["y"])).alias("pts")
     )
-    polys = rings.groupBy(*key, "poly").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("ring", "pts"))), lambda x: x["pts"]).alias("rings")
-    )
-    geoms = polys.groupBy(*key).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("poly", "rings"))), lambda x: x["rings"]).alias("polygons")
+    # rings of a feature, ordered by (polygon, ring), nested into polygons
+    geoms = rings.groupBy(*key).agg(
+        F.array_sort(F.collect_list(F.struct("poly", "ring", "pts"))).alias("_r")
+    ).selectExpr(
+        *key,
+        "transform(array_distinct(transform(_r, x -> x.poly)), "
+        "p -> transform(filter(_r, x -> x.poly = p), x -> x.pts)) AS polygons",
     )
     out = feats.drop("_polys").join(geoms, key, "left")
     geometry = F.when(
