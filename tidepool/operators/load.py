@@ -2,14 +2,16 @@
 incremental cursor, state skip, keyed replace.
 
 The logical operators return the table *after* the load as a DataFrame;
-the ``write_*`` sinks persist it. Parquet tables have no MERGE, so a
-merge writes a new version folder and then points readers at it (never
-overwriting the folder being read).
+the ``write_*`` sinks persist it. Parquet tables have no MERGE, so the keyed
+sinks never overwrite what they read: ``write_merged`` writes a new version
+folder and appends a commit record, ``write_merged_partitions`` stages the
+merged partitions and swaps them in by dynamic overwrite, and
+``merge_into_bucketed`` writes a new bucketed table and renames it in.
 
 Scale notes:
-* upsert dedupes the (small) batch per key with a partial aggregation
-  (``max_by``), then anti-joins the base on the key: one shuffle of the base
-  on the key, no sort of the base;
+* upsert dedupes the batch per key with a partial aggregation (``max_by``),
+  then anti-joins the base on the key: at most one shuffle of the base on the
+  key (none when the base is bucketed by the key), no sort of the base;
 * keyed replace uses ``max_by`` too, so a hot id is combined map-side
   instead of sorted in one task;
 * work-lists are generated per area with ``sequence`` (no cross join).

@@ -6,7 +6,9 @@ micro-batch is merged with an idempotent sink, so a batch replayed after
 a failure leaves the same table:
 
 * :func:`start_keyed_load` merges by key into a versioned table
-  (:func:`tidepool.operators.load.write_merged`);
+  (:func:`tidepool.operators.load.write_merged`) or, with
+  ``partitioned=True``, rewrites only the partitions a micro-batch touches
+  (:func:`tidepool.operators.load.write_merged_partitions`);
 * :func:`start_partition_load` replaces the partitions present in the batch
   (:func:`tidepool.operators.load.write_replacing_partitions`).
 """
