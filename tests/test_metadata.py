@@ -82,3 +82,18 @@ def test_schema_name_rule(spark):
     )
     got = [r[0] for r in df.select(metadata.schema_name(F.col("custom"), F.col("fqn"), F.lit("main"))).collect()]
     assert got == ["custom", "stg", "main"]
+
+
+def test_lineage_edges_are_within_nodes(spark):
+    import __spark_entry__ as entry
+
+    sf = "/root/testdata/sf0.001"
+    edges = entry.queries()["lineage_extract_edges"](spark, sf)
+    nodes = entry.queries()["lineage_extract"](spark, sf).select("datasource", "name")
+    assert edges.count() > 0
+    for end in ("child", "parent"):
+        dangling = edges.select("datasource", F.col(end).alias("name")).join(nodes, ["datasource", "name"], "left_anti")
+        assert dangling.count() == 0, end
+    # nodes carry manifest values or the documented defaults
+    defaults = entry.queries()["lineage_extract"](spark, sf).where("fqn_json = '[]'")
+    assert defaults.where("resource_type <> 'model' OR materialized <> 'view' OR meta_json <> '{}'").count() == 0
