@@ -1,0 +1,39 @@
+"""A key holding a third of the rows is reduced map-side, not sorted in one task."""
+
+from pyspark.sql import functions as F
+
+from tidepool.operators import load, survey
+
+
+def _hot(spark, n=3000):
+    # one id holds a third of the rows, the rest are spread
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("id"),
+        F.col("id").alias("seq"),
+        (F.col("id") * 7 % 101).alias("v"),
+    )
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keyed_replace_combines_the_hot_key_before_the_shuffle(spark):
+    df = _hot(spark)
+    out = load.keyed_replace(df, "id", "seq")
+    plan = _plan(out)
+    assert "partial_max_by" in plan
+    assert plan.index("partial_max_by") > plan.index("Exchange")  # partial step sits below the exchange
+    got = {r.id: r.seq for r in out.collect()}
+    assert got["hot"] == 2997 and len(got) == 2001
+
+
+def test_survey_summary_on_a_hot_group(spark):
+    df = _hot(spark).withColumn("d", F.concat(F.lit("2024-0"), (F.col("seq") % 9 + 1).cast("string")))
+    out = survey.survey_summary(df, "id", "seq", "v", "d", "seq")
+    plan = _plan(out)
+    assert "partial_count" in plan and "partial_collect_set" in plan
+    hot = out.where("id = 'hot'").first()
+    # hot rows are the multiples of 3: dates 01, 04, 07; the latest date first occurs at seq 6
+    assert hot.n_items == 1000 and hot.n_dates == 3 and hot.first_code == 0
+    assert hot.latest_date == "2024-07" and hot.latest_item == 6
