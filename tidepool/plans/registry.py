@@ -854,7 +854,7 @@ def q_population_csv(spark: SparkSession, sf: str) -> DataFrame:
     (Japanese headers, Shift-JIS, leading-zero codes, empty cells, two survey
     dates), read back by column name and reshaped to the long table."""
     out = _scratch(spark, "population")
-    c = table(spark, sf, "customer")
+    c = table(spark, sf, "customer", spread=True)
     k, n = F.col("c_custkey"), F.col("c_nationkey")
     inv = {v: src for src, v in datasets.POPULATION_KEYS}  # published name → source header
     cols = [
