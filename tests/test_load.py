@@ -155,3 +155,34 @@ def test_join_small_checks_size(spark):
     plan = join_small(big, small, "k", max_rows=10)._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" in plan
     assert join_small(big, small, "k", max_rows=5).count() == 10
+
+
+def _failing_batch(spark):
+    """A batch whose evaluation fails inside the write job (ANSI cast error)."""
+    return spark.createDataFrame([(9, "x", 5)], "k long, v string, seq int").withColumn(
+        "v", F.col("v").cast("int").cast("string")
+    )
+
+
+def test_failed_merge_leaves_the_current_version(spark, tmp):
+    import pytest
+
+    root = str(tmp / "versions")
+    b1 = spark.createDataFrame([(1, "a", 1)], "k long, v string, seq int")
+    v1 = load.write_merged(spark, b1, root, ["k"], "seq")
+    with pytest.raises(Exception):
+        load.write_merged(spark, _failing_batch(spark), root, ["k"], "seq")
+    assert load.current_version(spark, root) == v1
+    assert _rows(spark.read.parquet(load.current_version(spark, root))) == [(1, "a", 1)]
+
+
+def test_failed_partition_merge_leaves_the_table(spark, tmp):
+    import pytest
+
+    path = str(tmp / "parts")
+    b1 = spark.createDataFrame([(i, f"v{i}", 1) for i in range(20)], "k long, v string, seq int")
+    load.write_merged_partitions(spark, b1, path, ["k"], "seq", buckets=4)
+    before = _rows(spark.read.parquet(path).select("k", "v", "seq"))
+    with pytest.raises(Exception):
+        load.write_merged_partitions(spark, _failing_batch(spark), path, ["k"], "seq", buckets=4)
+    assert _rows(spark.read.parquet(path).select("k", "v", "seq")) == before
