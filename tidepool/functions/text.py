@@ -56,9 +56,22 @@ def human_size(c: str | Column) -> Column:
     )
 
 
+def sql_value_expr(x: str) -> str:
+    """Spark SQL text of :func:`sql_value` for the SQL expression ``x``."""
+    return (
+        f"CASE WHEN ({x}) IS NULL THEN 'NULL' ELSE "
+        f"concat(chr(39), replace(CAST(({x}) AS STRING), chr(39), repeat(chr(39), 2)), chr(39)) END"
+    )
+
+
 def sql_value(c: str | Column) -> Column:
-    """Value → SQL literal text: ``NULL`` or a quoted string with ``'`` doubled."""
-    x = _col(c).cast("string")
+    """Value → SQL literal text: ``NULL`` or a quoted string with ``'`` doubled.
+
+    A column name is rendered through :func:`sql_value_expr` (one expression
+    parsed on the JVM); a Column through the equivalent Column calls."""
+    if isinstance(c, str):
+        return F.expr(sql_value_expr(f"`{c}`"))
+    x = c.cast("string")
     return F.when(x.isNull(), F.lit("NULL")).otherwise(
         F.concat(F.lit("'"), F.replace(x, F.lit("'"), F.lit("''")), F.lit("'"))
     )
@@ -66,7 +79,9 @@ def sql_value(c: str | Column) -> Column:
 
 def sql_bool(c: str | Column) -> Column:
     """Boolean → ``'1'`` when true, ``'0'`` otherwise (NULL included)."""
-    return F.when(_col(c) == F.lit(True), F.lit("1")).otherwise(F.lit("0"))
+    if isinstance(c, str):
+        return F.expr(f"CASE WHEN `{c}` = true THEN '1' ELSE '0' END")
+    return F.when(c == F.lit(True), F.lit("1")).otherwise(F.lit("0"))
 
 
 def json_string_list(c: str | Column) -> Column:
