@@ -125,3 +125,17 @@ def test_publish_writes_every_mart_from_one_parse(spark, tmp):
     assert counts["mart_tables"] == catalog.tables(parsed).count() == 3
     assert counts["mart_columns"] == 2 and counts["mart_search_entries"] == 7
     assert counts["mart_lineage_edges"] == 1 and counts["mart_datasets"] == 2
+
+
+def test_oversized_documents_take_the_join_forms(spark, tmp):
+    _write(tmp, DOCS)
+    parsed = catalog.parse_documents(read_metadata_documents(spark, [str(tmp / n / "metadata.json") for n in DOCS]))
+    small, big = catalog.split_by_size(parsed, 2)
+    assert [r.datasource for r in big.collect()] == ["stats"] and small.count() == 1
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    # every document forced through the shuffled forms gives the in-row results
+    assert rows(catalog.search_entries_guarded(parsed, local_max=0)) == rows(catalog.search_entries(parsed))
+    assert rows(catalog.tag_text_guarded(parsed, local_max=0)) == rows(catalog.tag_text_local(parsed))
+    assert rows(export.export_columns_guarded(parsed, local_max=0)) == rows(export.export_columns(parsed))
+    # below the bound the guarded forms are the in-row forms
+    assert rows(catalog.search_entries_guarded(parsed)) == rows(catalog.search_entries(parsed))

@@ -54,3 +54,15 @@ def test_orders_are_reduced_before_the_customer_join(static):
 def test_columns_are_pruned(static):
     plan = _plan(static, "check_digit")
     assert "ReadSchema: struct<c_custkey:bigint>" in plan
+
+
+def test_in_row_catalog_forms_do_not_shuffle(static):
+    from tidepool.operators import catalog, export
+    from tidepool.plans.catalog_docs import part_documents
+    from tidepool.plans.tables import table
+
+    parsed = catalog.parse_documents(part_documents(table(static, SF, "part")))
+    for df in (catalog.search_entries(parsed), catalog.tag_text_local(parsed),
+               export.export_columns(parsed)):
+        text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        assert not re.search(r"Arguments: [^\n]*ENSURE_REQUIREMENTS", text)

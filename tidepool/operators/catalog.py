@@ -269,7 +269,8 @@ def _with_tags(parsed: DataFrame) -> DataFrame:
 
 
 def tag_text_local(parsed: DataFrame) -> DataFrame:
-    """:func:`table_tag_text` without a shuffle (one row per table name with tags)."""
+    """:func:`table_tag_text` inside each document, without a shuffle (one
+    row per table name with tags)."""
     per_name = (
         "transform(array_distinct(transform(_tabs, u -> u.t.name)), "
         f"n -> named_struct('name', n, 'tags', {_tags_of('n', True)}))"
@@ -313,7 +314,7 @@ _COLUMN_ENTRIES = (
 
 def search_entries(parsed: DataFrame) -> DataFrame:
     """One search row per table and per column, computed inside each
-    document (same rows as :func:`search_entries_joined`)."""
+    document without a shuffle (same rows as :func:`search_entries_joined`)."""
     return (
         _with_tags(parsed)
         .selectExpr("datasource", f"explode(concat({_TABLE_ENTRIES}, {_COLUMN_ENTRIES})) AS _e")
@@ -322,6 +323,54 @@ def search_entries(parsed: DataFrame) -> DataFrame:
     )
 
 
+# --- size guard ---------------------------------------------------------------
+#
+# The in-row joins compare each column with every table of its document, so
+# their cost grows with the square of a document's table count. A document
+# is parsed into one row whatever is done next (one metadata file per
+# dataset), so this only matters for a dataset holding a large share of the
+# catalog. The guarded forms used by :func:`publish` find documents over
+# ``LOCAL_TABLES_MAX`` tables with one aggregate pass and send those through
+# the join forms, whose shuffle on (datasource, table name) spreads them
+# over many tasks; ordinary documents stay in-row.
+
+LOCAL_TABLES_MAX = 512
+
+_TABLE_COUNT = (
+    "aggregate(map_values(coalesce(_schemas, map())), 0, "
+    "(acc, s) -> acc + coalesce(size(s.tables), 0))"
+)
+
+
+def split_by_size(parsed: DataFrame, local_max: int = LOCAL_TABLES_MAX) -> tuple[DataFrame, DataFrame]:
+    """(documents with at most ``local_max`` tables, larger documents)."""
+    n = F.expr(_TABLE_COUNT)
+    return parsed.where(n <= local_max), parsed.where(n > local_max)
+
+
+def by_size(parsed: DataFrame, local, joined, local_max: int = LOCAL_TABLES_MAX) -> DataFrame:
+    """``local(parsed)`` when no document exceeds ``local_max`` tables (one
+    aggregate pass finds the largest); otherwise ``local`` on the ordinary
+    documents united with ``joined`` on the oversized ones."""
+    largest = parsed.select(F.max(F.expr(_TABLE_COUNT))).first()[0]
+    if largest is None or largest <= local_max:
+        return local(parsed)
+    small, big = split_by_size(parsed, local_max)
+    return local(small).unionByName(joined(big))
+
+
+def tag_text_guarded(parsed: DataFrame, local_max: int = LOCAL_TABLES_MAX) -> DataFrame:
+    """:func:`tag_text_local`, with oversized documents grouped by (datasource, name)."""
+    return by_size(parsed, tag_text_local, lambda big: table_tag_text(tables(big)), local_max)
+
+
+def search_entries_guarded(parsed: DataFrame, local_max: int = LOCAL_TABLES_MAX) -> DataFrame:
+    """:func:`search_entries`, with oversized documents joined by (datasource, table name)."""
+    return by_size(
+        parsed, search_entries, lambda big: search_entries_joined(tables(big), columns(big)), local_max
+    )
+
+
 def tables_by_schema(parsed: DataFrame) -> DataFrame:
     """Per (datasource, schema) holding tables: table names in index order,
     table count, and the dataset's total table count."""
@@ -351,7 +400,7 @@ MARTS = {
     "mart_dependencies": dependencies,
     "mart_lineage_edges": lineage_edges,
     "mart_lineage_nodes": lineage_nodes,
-    "mart_search_entries": search_entries,
+    "mart_search_entries": search_entries_guarded,
 }
 
 

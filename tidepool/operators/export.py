@@ -154,6 +154,17 @@ def export_columns(parsed: DataFrame) -> DataFrame:
     return _with_column_statement(out)
 
 
+def export_columns_guarded(parsed: DataFrame, local_max: int | None = None) -> DataFrame:
+    """:func:`export_columns`, with documents over the catalog's size bound
+    joined by (node, datasource) instead of in-row."""
+    from tidepool.operators.catalog import LOCAL_TABLES_MAX, by_size, columns, tables
+
+    return by_size(
+        parsed, export_columns, lambda big: export_columns_joined(tables(big), columns(big)),
+        LOCAL_TABLES_MAX if local_max is None else local_max,
+    )
+
+
 def export_datasets(dataset_rows: DataFrame) -> DataFrame:
     """Dataset export rows; tags re-rendered as a JSON list (NULL when absent)."""
     tags = F.from_json(F.col("tags_json"), "array<string>")
