@@ -54,6 +54,11 @@ def test_work_list_skips_done_but_refetches_current(spark):
     got = _rows(load.quarter_work_list(areas, "area_code", (2005, 3), (2005, 4), done))
     assert got == [("01", 2005, 4), ("02", 2005, 3), ("02", 2005, 4)]
     assert load.quarter_work_list(areas, "area_code", (2005, 3), (2006, 1)).count() == 6
+    from datetime import date
+
+    assert load.current_quarter(date(2026, 12, 3)) == (2026, 4) and load.current_quarter(date(2024, 1, 1)) == (2024, 1)
+    y, q = load.current_quarter()
+    assert load.quarter_work_list(areas, "area_code", (y, q)).count() == 2
 
 
 def test_incremental_cursor_keeps_ties(spark):

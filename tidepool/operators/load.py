@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from datetime import date
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -101,16 +102,23 @@ def incremental(
     return upsert(state, fresh, keys)
 
 
+def current_quarter(today: date | None = None) -> tuple[int, int]:
+    """(year, quarter) of ``today`` (default: the driver's current date)."""
+    today = today or date.today()
+    return today.year, (today.month - 1) // 3 + 1
+
+
 def quarter_work_list(
     areas: DataFrame,
     area_col: str,
     start: tuple[int, int],
-    end: tuple[int, int],
+    end: tuple[int, int] | None = None,
     completed: DataFrame | None = None,
 ) -> DataFrame:
     """(area, year, quarter) still to fetch: every area × quarter from
-    ``start`` to ``end`` minus ``completed``; the ``end`` quarter is always
-    fetched again (it may still grow)."""
+    ``start`` to ``end`` (default: the current quarter) minus ``completed``;
+    the ``end`` quarter is always fetched again (it may still grow)."""
+    end = end or current_quarter()
     first = F.make_date(F.lit(start[0]), F.lit(3 * start[1] - 2), F.lit(1))
     last = F.make_date(F.lit(end[0]), F.lit(3 * end[1] - 2), F.lit(1))
     grid = areas.select(
