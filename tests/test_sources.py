@@ -177,9 +177,12 @@ def test_topojson_without_transform_uses_absolute_points(spark, tmp):
         "objects": {"m": {"type": "GeometryCollection", "geometries": [
             {"type": "Polygon", "arcs": [[0, 1]],
              "properties": {"lg_code": "082201", "prefecture_code": "08", "prefecture_name": "茨城県",
-                            "county_name": None, "city_name": "つくば市"}}]}},
+                            "county_name": None, "city_name": "つくば市"}},
+            {"type": "Polygon", "arcs": [], "properties": {"lg_code": "000000"}}]}},
     }
     (tmp / "m.topojson").write_text(json.dumps(topo, ensure_ascii=False))
-    row = datasets.municipality_boundaries(read_topojson(spark, str(tmp / "m.topojson"))).first()
+    rows = {r.lg_code: r for r in datasets.municipality_boundaries(read_topojson(spark, str(tmp / "m.topojson"))).collect()}
+    assert rows["000000"].geometry is None  # a feature without arcs keeps a NULL geometry
+    row = rows["082201"]
     assert (row.lg_code, row.city_name, row.county_name) == ("082201", "つくば市", None)
     assert json.loads(row.geometry)["coordinates"] == [[[1.5, 2.0], [3.0, 2.0], [3.0, 4.0], [1.5, 4.0], [1.5, 2.0]]]

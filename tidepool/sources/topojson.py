@@ -93,7 +93,8 @@ def decode_topologies(texts: DataFrame, object_name: str | None = None) -> DataF
         "p -> transform(filter(_r, x -> x.poly = p), x -> x.pts)) AS polygons",
     )
     out = feats.drop("_polys").join(geoms, key, "left")
-    geometry = F.when(
+    # features without rings (no or empty arcs) get a NULL geometry
+    geometry = F.when(F.col("polygons").isNull(), F.lit(None).cast("string")).when(
         F.col("type") == "Polygon",
         F.to_json(F.struct(F.lit("Polygon").alias("type"), F.get("polygons", 0).alias("coordinates"))),
     ).when(
