@@ -55,3 +55,16 @@ def test_articles_job_types_and_search_text(spark):
     assert [r.slug for r in rows] == ["b", "a"]  # newest first
     assert rows[1].search_text == "Title Desc x y" and rows[0].search_text == "D2 z"
     assert rows[1].datasources == ["population"] and rows[0].datasources == []
+
+
+def test_statistics_views_register_one_lazy_view_per_prefix(spark):
+    facts = spark.createDataFrame(
+        [(f"{p}1101", '{"name": "x"}', "08000", '{"name": "a"}', "2020", '{"name": "t"}', "u", 1.0)
+         for p in datasets.CATEGORY_PREFIXES],
+        "cat01 string, cat01_metadata string, area string, area_metadata string, time string, "
+        "time_metadata string, unit string, value double")
+    views = {f"pref_{p.lower()}": v for p, v in datasets.statistics_views(facts).items()}
+    datasets.views_by_name(views)
+    assert len(views) == 11
+    assert all(spark.table(name).count() == 1 for name in views)
+    assert spark.table("pref_k").first().cat01 == "K1101"
