@@ -139,3 +139,15 @@ def test_oversized_documents_take_the_join_forms(spark, tmp):
     assert rows(export.export_columns_guarded(parsed, local_max=0)) == rows(export.export_columns(parsed))
     # below the bound the guarded forms are the in-row forms
     assert rows(catalog.search_entries_guarded(parsed)) == rows(catalog.search_entries(parsed))
+
+
+def test_documents_from_a_path_mapping(spark, tmp):
+    (tmp / "flat").mkdir()
+    for name, doc in DOCS.items():
+        (tmp / "flat" / f"{name}-copy.json").write_text(json.dumps(doc, ensure_ascii=False))
+    docs = read_metadata_documents(
+        spark, {f"ds_{name}": str(tmp / "flat" / f"{name}-copy.json") for name in DOCS}
+    )
+    assert sorted(r.datasource for r in docs.collect()) == ["ds_bare", "ds_stats"]
+    parsed = catalog.parse_documents(docs)
+    assert catalog.tables(parsed).where("datasource = 'ds_stats'").count() == 3
