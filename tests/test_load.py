@@ -191,3 +191,22 @@ def test_failed_partition_merge_leaves_the_table(spark, tmp):
     with pytest.raises(Exception):
         load.write_merged_partitions(spark, _failing_batch(spark), path, ["k"], "seq", buckets=4)
     assert _rows(spark.read.parquet(path).select("k", "v", "seq")) == before
+
+
+def test_orphan_report_over_real_files(spark, tmp):
+    from tidepool.operators import maintain
+    from tidepool.sources.listing import list_files
+
+    root = str(tmp / "lake")
+    b1 = spark.createDataFrame([(i, "a", 1) for i in range(10)], "k long, v string, seq int")
+    v1 = load.write_merged(spark, b1, root, ["k"], "seq")
+    v2 = load.write_merged(spark, b1.withColumn("seq", F.lit(2)), root, ["k"], "seq")
+    files = list_files(spark, root, "*.parquet")
+    current = v2.rsplit("/", 1)[1] + "/"
+    active = files.where(F.col("path").startswith(current)).select(F.col("path").alias("full_path"))
+    orphans = maintain.orphan_files(files, active).collect()
+    assert orphans and all(r.path.startswith(v1.rsplit("/", 1)[1] + "/") for r in orphans)
+    summary = maintain.orphan_summary(files, active).first()
+    assert summary.listed_count == files.count()
+    assert summary.orphan_count == len(orphans) and summary.orphan_bytes == sum(r.size for r in orphans)
+    assert summary.active_count + summary.orphan_count == summary.listed_count
