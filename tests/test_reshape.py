@@ -68,3 +68,23 @@ def test_statistics_views_register_one_lazy_view_per_prefix(spark):
     assert len(views) == 11
     assert all(spark.table(name).count() == 1 for name in views)
     assert spark.table("pref_k").first().cat01 == "K1101"
+
+
+def test_simplify_listing_entries(spark):
+    import json
+
+    entries = [
+        {"@id": "0003445078", "TITLE": {"$": "人口等基本集計", "@no": "1"},
+         "STAT_NAME": {"$": "国勢調査", "@code": "00200521"}, "STATISTICS_NAME": "小地域集計",
+         "SURVEY_DATE": 202010, "SMALL_AREA": 1, "COLLECT_AREA": "該当なし"},
+        {"@id": "0004000001", "TITLE": "メッシュ統計", "STAT_NAME": "経済センサス"},
+    ]
+    df = spark.createDataFrame([(i, json.dumps(e, ensure_ascii=False)) for i, e in enumerate(entries)],
+                               "pos int, entry string")
+    rows = {r.id: r for r in survey.simplify_tables(df, "entry").collect()}
+    a, b = rows["0003445078"], rows["0004000001"]
+    assert (a.stat_name, a.stat_code, a.title, a.survey_date, a.small_area) == (
+        "国勢調査", "00200521", "人口等基本集計", "202010", "1")
+    assert (b.stat_name, b.stat_code, b.title, b.survey_date, b.collect_area) == ("経済センサス", "", "メッシュ統計", "", "")
+    classed = survey.classify(survey.simplify_tables(df, "entry"), ["title", "stat_name", "statistics_name"])
+    assert {r.id: r.category for r in classed.collect()} == {"0003445078": "small_area", "0004000001": "mesh"}

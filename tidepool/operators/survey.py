@@ -102,3 +102,40 @@ def axis_summary(df: DataFrame, keys: Sequence[str], class_inf: str) -> DataFram
         F.array_join(F.transform(F.slice("_classes", 1, SAMPLE_SIZE), lambda c: F.coalesce(c["@code"], F.lit(""))), ",").alias("sample_codes"),
         F.array_join(F.transform(F.slice("_classes", 1, SAMPLE_SIZE), lambda c: F.coalesce(c["@name"], F.lit(""))), ",").alias("sample_names"),
     )
+
+
+def simplify_tables(df: DataFrame, entry_col: str) -> DataFrame:
+    """Listing entries (JSON text of one table description, whose TITLE and
+    STAT_NAME are text or ``{"$": …, "@code": …}``) → flat rows: id,
+    stat_name, stat_code, title, survey_date, statistics_name, small_area,
+    collect_area (missing fields become ''). One parse of each entry; a
+    field typed as string comes back as plain text for a JSON string and as
+    JSON text for an object."""
+    fields = F.from_json(
+        F.col(entry_col),
+        "struct<`@id`:string,TITLE:string,STAT_NAME:string,STATISTICS_NAME:string,SURVEY_DATE:string,"
+        "SMALL_AREA:string,COLLECT_AREA:string>",
+    )
+    e = df.select("*", fields.alias("_e"))
+    text = lambda c: F.coalesce(F.col("_e")[c], F.lit(""))
+
+    def is_object(x: Column) -> Column:
+        return F.coalesce(F.trim(x).startswith("{"), F.lit(False))
+
+    def label(x: Column) -> Column:
+        return F.coalesce(F.when(is_object(x), F.coalesce(F.get_json_object(x, "$['$']"), x)).otherwise(x), F.lit(""))
+
+    def code(x: Column) -> Column:
+        return F.when(is_object(x), F.coalesce(F.get_json_object(x, "$['@code']"), F.lit(""))).otherwise(F.lit(""))
+
+    return e.select(
+        *[c for c in df.columns if c != entry_col],
+        text("@id").alias("id"),
+        label(F.col("_e")["STAT_NAME"]).alias("stat_name"),
+        code(F.col("_e")["STAT_NAME"]).alias("stat_code"),
+        label(F.col("_e")["TITLE"]).alias("title"),
+        text("SURVEY_DATE").alias("survey_date"),
+        text("STATISTICS_NAME").alias("statistics_name"),
+        text("SMALL_AREA").alias("small_area"),
+        text("COLLECT_AREA").alias("collect_area"),
+    )
