@@ -132,3 +132,16 @@ def build_documents(
             F.map_values("_schema_map"), F.lit(0), lambda acc, s: acc + F.size(s["tables"])
         ).alias("total_tables"),
     )
+
+
+def config_rows(configs: DataFrame, readmes: DataFrame | None = None) -> DataFrame:
+    """Rows of :func:`tidepool.sources.configs.read_dataset_configs` shaped
+    as the ``configs`` input of :func:`build_documents` (datasource = name;
+    README text joined by datasource when given, else NULL)."""
+    out = configs.select(
+        F.col("name").alias("datasource"), "title", "description", "cover", "tags", "ducklake_url",
+        "schemas", "dependencies",
+    )
+    if readmes is None:
+        return out.withColumn("readme", F.lit(None).cast("string"))
+    return out.join(readmes.select("datasource", "readme"), "datasource", "left")
