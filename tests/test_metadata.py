@@ -124,3 +124,28 @@ def test_document_from_a_yaml_config(spark, tmp):
     assert body["ducklake_url"] == "https://lake.example.org/stats/ducklake.duckdb"
     assert body["schemas"]["main"]["title"] == "Main" and body["schemas"]["main"]["tables"][0]["name"] == "pop"
     assert "readme" not in body and body["tags"] == []
+
+
+def test_stub_documents_for_datasets_without_metadata(spark, tmp):
+    from tidepool.operators import catalog
+    from tidepool.sources.configs import read_dataset_configs
+
+    for name in ("stats", "fresh"):
+        (tmp / name).mkdir()
+        (tmp / name / "dataset.yml").write_text(
+            f'title: "{name}"\npublic_url: "https://p.example"\ntags: ["t"]\n'
+            'schemas:\n  main:\n    title: "Main"\n  extra: {}\n', encoding="utf-8")
+    configs = metadata.config_rows(read_dataset_configs(spark, [str(tmp / n / "dataset.yml") for n in ("stats", "fresh")]))
+    docs = spark.createDataFrame(
+        [("stats", "Stats", "d", None, '["x"]', "u", '{"main":{"title":"Main","tables":[{"name":"pop"}]}}',
+          None, None, None)],
+        "datasource string, title string, description string, cover string, tags string, ducklake_url string, "
+        "schemas string, dependencies string, lineage string, readme string")
+    all_docs = metadata.with_stub_documents(docs, configs)
+    assert sorted(r.datasource for r in all_docs.collect()) == ["fresh", "stats"]
+    parsed = catalog.parse_documents(all_docs)
+    schemas = sorted((r.datasource, r.schema_name, r.title) for r in catalog.schemas(parsed).collect())
+    assert ("fresh", "extra", "") in schemas and ("fresh", "main", "Main") in schemas
+    assert catalog.tables(parsed).where("datasource = 'fresh'").count() == 0
+    fresh = catalog.datasets(parsed).where("datasource = 'fresh'").first()
+    assert fresh.ducklake_url == "https://p.example/fresh/ducklake.duckdb" and fresh.tags_json == '["t"]'

@@ -145,3 +145,27 @@ def config_rows(configs: DataFrame, readmes: DataFrame | None = None) -> DataFra
     if readmes is None:
         return out.withColumn("readme", F.lit(None).cast("string"))
     return out.join(readmes.select("datasource", "readme"), "datasource", "left")
+
+
+def with_stub_documents(docs: DataFrame, configs: DataFrame) -> DataFrame:
+    """Metadata documents plus a stub for every configured dataset that has
+    none yet: config title, description, tags and catalog URL, its declared
+    schemas with no tables, and empty lineage.
+
+    ``docs`` has the document columns (JSON parts as text); ``configs`` the
+    columns of :func:`config_rows`."""
+    missing = configs.join(docs.select("datasource"), "datasource", "left_anti")
+    stubs = missing.selectExpr(
+        "datasource",
+        "title",
+        "description",
+        "CAST(NULL AS STRING) AS cover",
+        "to_json(coalesce(tags, array())) AS tags",
+        "ducklake_url",
+        "to_json(map_from_entries(transform(coalesce(schemas, array()), "
+        "s -> struct(s.name, named_struct('title', coalesce(s.title, ''), 'tables', array()))))) AS schemas",
+        "CAST(NULL AS STRING) AS dependencies",
+        "'{\"parent_map\":{},\"nodes\":{}}' AS lineage",
+        "CAST(NULL AS STRING) AS readme",
+    )
+    return docs.unionByName(stubs.select(*docs.columns))
