@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common
+from . import bpe, common, decontam
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -39,3 +39,43 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op9_decontamination")
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.find_hits(docs, common.read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        decontam.n_hit().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.sort_array("items"), ",").cast("binary"), 256).alias("items_sha256"),
+        decontam.contaminated().alias("contaminated"),
+    )
+
+
+_WORDS = r"""regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+ORACLE["op9_decontamination"] = f"""
+WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS ws FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(13, len(ws)) AS k,
+         array_to_string(ws[i : i + least(13, len(ws)) - 1], ' ') AS words
+  FROM items, unnest(range(1, len(ws) - least(13, len(ws)) + 2)) AS t(i) WHERE len(ws) > 0),
+docs AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+places AS (
+  SELECT doc_id, i, k, array_to_string(ws[i : i + k - 1], ' ') AS words
+  FROM docs, (SELECT DISTINCT k FROM windows) AS sizes, unnest(range(1, len(ws) - k + 2)) AS t(i)),
+found AS (SELECT doc_id, i, p.k, item_id FROM places AS p JOIN windows AS w ON p.k = w.k AND p.words = w.words),
+hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM found, unnest(range(i, i + k)) AS t(pos) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
