@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontam
+from . import bpe, common, decontam, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -79,3 +79,15 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, common.read_table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
