@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontam, toxicity
+from . import bpe, common, decontam, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -91,3 +91,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+@query("op3_secrets")
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs)
+    count = lambda kind: F.size(F.filter("secrets", lambda x: x["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in secrets.KINDS],
+        F.sha2(secrets.spelled(F.col("secrets"), True).cast("binary"), 256).alias("base_sha256"),
+        secrets.spelled(F.col("secrets"), False).alias("spans"),
+    )
