@@ -40,7 +40,7 @@ from . import common
 #: Labelled texts that the model is fitted on, at most (in expectation: ids are drawn by hash).
 SAMPLE_ROWS = 16_000
 #: Words that the machine is fitted on, at most: half of them the most frequent in toxic texts.
-FIT_WORDS = 40_000
+FIT_WORDS = 30_000
 LANDMARKS = 192
 COMMON_LANDMARKS = 48
 SKIP = 0.7
@@ -189,53 +189,69 @@ def _sparse(words: Words, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return owner, h, value * scale[h]
 
 
+def _block(words: Words, start: int, end: int) -> Words:
+    """Some of the words."""
+    stop = words.starts[end] if end < len(words.starts) else len(words.symbols) - 1
+    first = words.starts[start]
+    return Words(words.symbols[first : stop + 1], words.starts[start:end] - first, words.text[start:end])
+
+
 def kernel(a: Words, b: Words, scale: np.ndarray) -> np.ndarray:
     """Normalised kernel of every word of ``a`` with every word of the small ``b``."""
     wb, hb, vb = _sparse(b, scale)
     features, col = np.unique(hb, return_inverse=True)
-    table = np.zeros((len(features), len(b.starts)))
+    table = np.zeros((len(features), len(b.starts)), np.float32)
     np.add.at(table, (col, wb), vb)
     table /= _norms(b)
-    wa, ha, va = _sparse(a, scale)
-    at = np.minimum(np.searchsorted(features, ha), len(features) - 1)
-    hit = features[at] == ha
-    wa, at, va = wa[hit], at[hit], va[hit]
-    order = np.argsort(wa, kind="stable")
-    wa, at, va = wa[order], at[order], va[order]
-    out = np.zeros((len(a.starts), len(b.starts)))
-    for s in range(0, len(wa), 200_000):
-        w = wa[s : s + 200_000]
-        head = np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1])))
-        out[w[head]] += np.add.reduceat(table[at[s : s + 200_000]] * va[s : s + 200_000, None], head)
-    return out / _norms(a)[:, None]
+    out = np.zeros((len(a.starts), len(b.starts)), np.float32)
+    for start in range(0, len(out), 500):
+        end = min(start + 500, len(out))
+        wa, ha, va = _sparse(_block(a, start, end), scale)
+        at = np.minimum(np.searchsorted(features, ha), len(features) - 1)
+        hit = np.flatnonzero(features[at] == ha)
+        hit = hit[np.argsort(wa[hit], kind="stable")]
+        w = wa[hit]
+        head = np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1]))) if len(w) else []
+        if len(w):
+            out[start + w[head]] = np.add.reduceat(table[at[hit]] * va[hit, None].astype(np.float32), head)
+    return out / _norms(a)[:, None].astype(np.float32)
 
 
 def _newton(x: np.ndarray, y: np.ndarray, weight: np.ndarray, hinge: bool, ridge: float) -> np.ndarray:
-    """Weights (last: bias) of least ridge plus squared hinge or logistic loss."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    v = np.zeros(x.shape[1])
-    penalty = np.full(len(v), ridge)
+    """Weights (last: bias) of least ridge plus squared hinge or logistic loss.
+
+    Row blocks keep the memory at that of ``x``.
+    """
+    n = x.shape[1] + 1
+    v, penalty = np.zeros(n), np.full(n, ridge)
     penalty[-1] = 1e-6
+    blocks = [slice(s, s + 4096) for s in range(0, len(x), 4096)]
+
+    def margin(u: np.ndarray) -> np.ndarray:
+        return y * np.concatenate([x[b] @ u[:-1] for b in blocks] + [np.zeros(0)]) + y * u[-1]
 
-    def loss(u: np.ndarray) -> float:
-        z = y * (x @ u)
+    def loss(z: np.ndarray, u: np.ndarray) -> float:
         each = np.maximum(0, 1 - z) ** 2 if hinge else np.logaddexp(0, -z)
         return float(weight @ each + 0.5 * penalty @ (u * u))
 
+    z = margin(v)
     for _ in range(40):
-        z = y * (x @ v)
         if hinge:
             slope, curve = -2 * np.maximum(0, 1 - z), 2.0 * (z < 1)
         else:
             p = 1 / (1 + np.exp(np.clip(z, -50, 50)))
             slope, curve = -p, p * (1 - p)
-        gradient = x.T @ (weight * y * slope) + penalty * v
-        hessian = (x * (weight * curve)[:, None]).T @ x + np.diag(penalty)
-        step = np.linalg.solve(hessian + 1e-9 * np.eye(len(v)), gradient)
-        rate, now = 1.0, loss(v)
-        while rate > 1e-4 and loss(v - rate * step) > now:
+        gradient, hessian = penalty * v, np.diag(penalty + 1e-9)
+        for b in blocks:
+            part = np.hstack([x[b], np.ones((len(x[b]), 1))]).astype(float)
+            gradient += part.T @ (weight * y * slope)[b]
+            hessian += (part * (weight * curve)[b, None]).T @ part
+        step = np.linalg.solve(hessian, gradient)
+        rate, now = 1.0, loss(z, v)
+        while rate > 1e-4 and loss(margin(v - rate * step), v - rate * step) > now:
             rate /= 2
         v -= rate * step
+        z = margin(v)
         if rate * np.abs(step).max() < 1e-6:
             break
     return v
@@ -263,19 +279,23 @@ def _landmarks(names: list[str], toxic, other, n_toxic: float, n_other: float, s
 def fit_words(names: list[str], toxic: np.ndarray, other: np.ndarray, n_toxic: float, n_other: float) -> tuple[np.ndarray, float]:
     """Subsequence weights and bias of the word machine."""
     every = words_of(names)
-    owner, h, _ = _sparse(every, np.ones(1 << BITS))
-    scale = (1 + np.bincount(h, other[owner], 1 << BITS)) ** -COMMONNESS
+    held = np.zeros(1 << BITS)
+    for start in range(0, len(names), 2000):
+        owner, h, _ = _sparse(_block(every, start, min(start + 2000, len(names))), np.ones(1 << BITS, np.float32))
+        held += np.bincount(h, other[start + owner], 1 << BITS)
+    scale = ((1 + held) ** -COMMONNESS).astype(np.float32)
     marks = words_of(_landmarks(names, toxic, other, n_toxic, n_other, scale))
     inner = kernel(marks, marks, scale)
     values, vectors = np.linalg.eigh((inner + inner.T) / 2)
     ok = values > 1e-8 * values.max()
     root = vectors[:, ok] / np.sqrt(values[ok])  # Nyström map of kernel rows
-    x = kernel(every, marks, scale) @ root
+    x = (kernel(every, marks, scale) @ root.astype(np.float32)).astype(np.float32)
     used = [(toxic > 0, 1.0, toxic), (other > 0, -1.0, other)]
     rows = np.concatenate([np.flatnonzero(u) for u, _, _ in used])
     y = np.concatenate([np.full(int(u.sum()), s) for u, s, _ in used])
     weight = np.concatenate([c[u] for u, _, c in used])
-    v = _newton(x[rows], y, COST * weight, hinge=True, ridge=1.0)
+    x = x[rows]
+    v = _newton(x, y, COST * weight, hinge=True, ridge=1.0)
     per_mark = (root @ v[:-1]) / _norms(marks)
     weights = np.zeros(1 << BITS, np.float32)
     w, h, value = _sparse(marks, scale)
