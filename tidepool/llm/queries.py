@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontam, secrets, toxicity
+from . import bpe, common, decontam, licenses, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -104,3 +104,11 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.spelled(F.col("secrets"), True).cast("binary"), 256).alias("base_sha256"),
         secrets.spelled(F.col("secrets"), False).alias("spans"),
     )
+
+
+@query("op8_licenses")
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.summarise(licenses.detect(docs)).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
