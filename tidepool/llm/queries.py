@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontam, licenses, secrets, toxicity
+from . import bpe, common, decontam, jaccard, licenses, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -112,3 +112,33 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summarise(licenses.detect(docs)).select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
     )
+
+
+@query("op4_jaccard_join")
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.join(docs).select("doc_id", "n_shingles", "component_id")
+
+
+ORACLE["op4_jaccard_join"] = """
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS s
+  FROM docs, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS t(i) WHERE len(ws) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i
+  FROM shingles AS a JOIN shingles AS b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM common JOIN sizes AS p ON p.doc_id = x JOIN sizes AS q ON q.doc_id = y
+  WHERE 100 * i >= 80 * (p.n + q.n - i)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.doc_id, e.y FROM reach AS r JOIN edges AS e ON e.x = r.other)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
+"""
