@@ -30,13 +30,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share."""
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def shared_table(df: DataFrame, name: str) -> DataFrame:
     """Writes the rows to the shared folder and reads them back.
 
     Cuts the lineage: a lost executor costs a reread, not a recomputation.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontam, jaccard, licenses, secrets, toxicity
+from . import bpe, common, decontam, jaccard, licenses, secrets, tokenfile, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -142,3 +142,13 @@ reach(doc_id, other) AS (
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
 """
+
+
+@query("op5_token_file")
+def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer("byte_bpe_50k.json")
+    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = common.shared_table(tokenfile.encode(docs, path, end_id=2).drop("text"), "token-ids")
+    folder = common.shared_path(spark, "token-file")
+    tokenfile.write(encoded, folder, vocabulary=tokenfile.encoder_of(path).vocabulary)
+    return tokenfile.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
