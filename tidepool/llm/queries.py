@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontam, jaccard, licenses, secrets, tokenfile, toxicity
+from . import bpe, common, decontam, jaccard, licenses, secrets, tokenfile, toxicity, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -152,3 +152,19 @@ def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = common.shared_path(spark, "token-file")
     tokenfile.write(encoded, folder, vocabulary=tokenfile.encoder_of(path).vocabulary)
     return tokenfile.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+#: Verdict, host and path of the given url rules.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+@query("op6_url_rules")
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = common.read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return urlrules.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "confidence")
