@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontam, jaccard, licenses, secrets, tokenfile, toxicity, urlrules
+from . import bpe, common, decontam, jaccard, licenses, pivots, secrets, tokenfile, toxicity, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -168,3 +168,23 @@ URL_RULES = [
 def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = common.read_table(spark, sf_dir, "pages").select("page_id", "url")
     return urlrules.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "confidence")
+
+
+@query("op7_top_k")
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = common.read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return pivots.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+ORACLE["op7_top_k"] = """
+WITH valid AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM valid AS q JOIN valid AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
