@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontam, jaccard, licenses, pivots, secrets, tokenfile, toxicity, urlrules
+from . import bpe, common, decontam, html, jaccard, licenses, pivots, secrets, tokenfile, toxicity, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -188,3 +188,9 @@ ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+@query("op2_html_text")
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = common.read_table(spark, sf_dir, "pages").select("page_id", "html")
+    return html.extract(pages).select("page_id", F.length("text").cast("long").alias("n_chars"), "text")
