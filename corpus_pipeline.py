@@ -1,17 +1,74 @@
-"""Corpus pipeline: the stages, one after the other, over ``documents``."""
+"""Corpus pipeline: the stages, one after the other, over ``documents``.
+
+Each stage takes all that its predecessor kept and, but for the last, returns
+documents with the same columns; other columns than ``doc_id`` and ``text`` are
+passed through. Stages that change a text keep ``n_chars`` right where it exists.
+Null texts count as empty; empty texts are clean and pass.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidepool.llm import bpe, common
+from tidepool.llm import bpe, common, decontam, jaccard, secrets, toxicity
 from tidepool.llm.queries import tokenizer
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Score from which a document is rejected as toxic.
+TOXIC = 0.7
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the machine, fitted on the labelled ones, does not reject."""
+    model = toxicity.fit(docs, common.read_table(spark, sf_dir, "labels"))
+    (score,) = common.fresh(docs, "score")
+    return toxicity.score(docs, model, score_col=score).where(F.col(score) < TOXIC).select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of exact and near copies: the smallest id, once.
+
+    Texts without words are no copies of each other and all stay.
+    """
+    found = jaccard.join(docs.select("doc_id", "text"))
+    stays = found.where(F.col("node").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # of different texts that share the smallest id, one stays
+    first = Window.partitionBy("component_id").orderBy("node", "text_key")
+    copies = stays.where("node IS NOT NULL").withColumn("at", F.row_number().over(first)).where("at = 1").drop("at")
+    stays = copies.unionByName(stays.where("node IS NULL").distinct())
+    null, name, key, empty, at = common.fresh(docs, "null", "name", "key", "empty", "at")
+
+    def keyed(df: DataFrame, text_key) -> DataFrame:
+        plain = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+        return df.withColumns({null: F.col("doc_id").isNull(), name: plain, key: text_key})
+
+    chosen = keyed(stays, F.col("text_key")).select(null, name, key, F.col("node").isNull().alias(empty))
+    kept = keyed(docs, F.xxhash64("text")).join(chosen, [null, name, key])
+    # of rows that repeat id and text, one stays; the join has dealt them out by these columns
+    again = Window.partitionBy(null, name, key).orderBy(F.lit(0))
+    return kept.withColumn(at, F.row_number().over(again)).where((F.col(at) == 1) | F.col(empty)).select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of whose words less than a twentieth stand in benchmark passages."""
+    own = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").alias("_text"))
+    found = decontam.find_hits(own, common.read_table(spark, sf_dir, "benchmark"), text_col="_text")
+    return found.where(~decontam.contaminated()).select("_row.*")
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets replaced by their kind in brackets."""
+    (spans,) = common.fresh(docs, "spans")
+    clean = secrets.redact(secrets.scan(docs, spans_col=spans), spans_col=spans)
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        clean = clean.withColumn("n_chars", F.when(F.size(spans) > 0, length).otherwise(F.col("n_chars")))
+    return clean.select(docs.columns)
+
 
 def encode_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each kept text and the text that they decode to."""
@@ -20,8 +77,15 @@ def encode_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return bpe.decode(ids, path).withColumn("n_tokens", F.size("ids").cast("long"))
 
 
-STAGES: list[tuple[str, Stage]] = [("bpe_encoding", encode_documents)]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("jaccard_join", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("secret_scans", redact_secrets),
+    ("bpe", encode_documents),
+]
 
+#: The toxicity stage is a trained model and the secret scan a dynamic programme; SQL expresses neither.
 ORACLE_SQL = None
 
 

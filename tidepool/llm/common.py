@@ -46,6 +46,17 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them."""
+    held = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name in held:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def slices(batch: pa.RecordBatch, column: str | None) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of at most SLICE_BYTES of text (one row at least)."""
     if column is None or batch.num_rows == 0:
