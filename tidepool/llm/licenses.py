@@ -5,7 +5,8 @@ characters outside ASCII) with single blanks between. Several hundred rules, eac
 a regular expression over the words with a keyword, a label and a priority, come
 from a table of license names put into phrase templates, and from sentences of
 well-known license texts. A rule runs only on texts that hold its keyword as a
-word, and all of them only on texts that pass one cheap test for any keyword.
+word, and all of them only on texts that hold one of a few words (the ``gates``), of
+which every match of a rule holds one.
 
 Detections are intervals. One that lies within another of higher priority (of
 equal priority: within a longer one, or an equal one of an earlier rule) is
@@ -21,6 +22,8 @@ detections count once per place; texts of any length are scanned whole.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +39,8 @@ bsd | bsd | (new |modified |simplified |revised |original )?bsd( [0-4] clause)?
 isc | isc | isc license
 mpl | mozilla | mozilla public license( version [0-9]( [0-9])?)?
 epl | eclipse | eclipse public license( version [0-9]( [0-9])?)?
-cddl | cddl | common development and distribution license|cddl( version)?( [0-9] [0-9])?
+cddl | distribution | common development and distribution license
+cddl | cddl | cddl( version)?( [0-9] [0-9])?
 cpl | common | common public license
 edl | eclipse | eclipse distribution license
 eupl | european | european union public license
@@ -92,9 +96,9 @@ cc-by-nc-sa | cc | cc by nc sa( [0-9] [0-9])?
 cc-by-nc-nd | cc | cc by nc nd( [0-9] [0-9])?
 cc0 | cc0 | cc0( 1 0)?( universal)?
 cc-by | attribution | creative commons attribution( [0-9] [0-9])?( international)?( license)?
-cc-by-sa | sharealike | creative commons attribution (sharealike|share alike)( [0-9] [0-9])?
-cc-by-nc | noncommercial | creative commons attribution (noncommercial|non commercial)( [0-9] [0-9])?
-cc-by-nd | noderivatives | creative commons attribution (noderivatives|no derivatives)( [0-9] [0-9])?
+cc-by-sa | attribution | creative commons attribution (sharealike|share alike)( [0-9] [0-9])?
+cc-by-nc | attribution | creative commons attribution (noncommercial|non commercial)( [0-9] [0-9])?
+cc-by-nd | attribution | creative commons attribution (noderivatives|no derivatives)( [0-9] [0-9])?
 public-domain | domain | public domain( dedication)?
 proprietary | proprietary | proprietary license
 """
@@ -116,7 +120,8 @@ zlib | misrepresented | 90 | the origin of this software must not be misrepresen
 boost | organization | 90 | permission is hereby granted free of charge to any person or organization obtaining a copy
 unlicense | unencumbered | 90 | this is free and unencumbered software released into the public domain
 wtfpl | fuck | 90 | do what the fuck you want to public license
-cc0 | waived | 85 | the person who associated a work with this deed has dedicated the work to the public domain|has waived all copyright
+cc0 | deed | 85 | the person who associated a work with this deed has dedicated the work to the public domain
+cc0 | waived | 85 | has waived all copyright
 public-domain | placed | 70 | placed in(to)? the public domain
 proprietary | reserved | 40 | all rights reserved
 proprietary | unauthorized | 70 | unauthorized (copying|use|reproduction|distribution) .{0,60}is (strictly )?prohibited
@@ -151,14 +156,21 @@ def rules() -> list[tuple[int, str, str, int, str]]:
     return [(i, *r) for i, r in enumerate(out)]
 
 
+def gates() -> list[str]:
+    """Words of which every match of any rule holds one: "license", or a rule's keyword."""
+    names = [line.split(" | ") for line in LICENSES.strip().splitlines()]
+    always = {keyword for _, keyword, name in names if not re.search(r"(\A| |\))(un)?license(\(|\Z)", name)}
+    return sorted({"license", "unlicense"} | always | {line.split(" | ")[1] for line in SENTENCES.strip().splitlines()})
+
+
 def normal(text: Column) -> Column:
-    """The words with one blank around each; one blank if there are none.
+    """The words with one blank around each; two blanks if there are none.
 
     ``lower`` serves for A-Z: no character outside ASCII becomes a letter of a
     phrase or leaves its word by it.
     """
     words = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _SEPARATORS, " "))
-    return F.when(words == "", F.lit(" ")).otherwise(F.concat(F.lit(" "), words, F.lit(" ")))
+    return F.concat(F.lit(" "), words, F.lit(" "))
 
 
 def _blanks(text: Column) -> Column:
@@ -166,24 +178,26 @@ def _blanks(text: Column) -> Column:
 
 
 def _running(sizes: Column) -> Column:
-    """Sums of an array's first 1, 2, ... elements but the last."""
+    """Sums of an array's first 1, 2, ... elements."""
     step = lambda s, x: F.struct((s["sum"] + x).alias("sum"), F.concat(s["all"], F.array(s["sum"] + x)).alias("all"))
     zero = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("all"))
-    return F.aggregate(F.slice(sizes, 1, F.size(sizes) - 1), zero, step, lambda s: s["all"])
+    return F.aggregate(sizes, zero, step, lambda s: s["all"])
 
 
 def _places(words: Column, rule: Column) -> Column:
     """Word places of a rule's matches: the text cut at them, and the blanks counted."""
     marked = F.concat(F.lit("."), words)
-    found = F.regexp_extract_all(marked, rule["pattern"], F.lit(0))
-    between = F.split(marked, rule["pattern"])
-    inner = F.transform(found, _blanks)
-    outer = F.transform(between, _blanks)
-    pairs = F.transform(found, lambda _, i: F.get(outer, i) + F.when(i == 0, 0).otherwise(F.get(inner, i - 1)))
-    starts = _running(F.concat(pairs, F.array(F.lit(0))))
-    return F.zip_with(starts, inner, lambda s, n: F.struct(
-        s.alias("start"), (s + n).alias("end"), rule["priority"].alias("priority"),
-        rule["label"].alias("label"), rule["number"].alias("number")))
+    inner = F.transform(F.regexp_extract_all(marked, rule["pattern"], F.lit(0)), _blanks)
+    outer = F.transform(F.split(marked, rule["pattern"]), _blanks)
+
+    def placed(cut: Column) -> Column:
+        before = F.transform(cut["inner"], lambda _, i: F.get(cut["outer"], i) + F.coalesce(F.get(cut["inner"], i - 1), F.lit(0)))
+        return F.zip_with(_running(before), cut["inner"], lambda s, n: F.struct(
+            s.alias("start"), (s + n).alias("end"), rule["priority"].alias("priority"),
+            rule["label"].alias("label"), rule["number"].alias("number")))
+
+    # a one-element array binds both cuts, so that each is made once
+    return F.flatten(F.transform(F.array(F.struct(inner.alias("inner"), outer.alias("outer"))), placed))
 
 
 def _hidden(a: Column, b: Column) -> Column:
@@ -202,13 +216,14 @@ def detect(docs: DataFrame, text_col: str = "text") -> DataFrame:
         F.struct(F.lit(n).alias("number"), F.lit(k).alias("keyword"), F.lit(label).alias("label"),
                  F.lit(p).alias("priority"), F.lit(pattern).alias("pattern"))
         for n, k, label, p, pattern in table])
-    gate = F.col("normal_text").rlike(" (" + "|".join(keywords) + ") ")
+    gate = F.arrays_overlap(F.split("normal_text", " "), F.array(*[F.lit(w) for w in gates()]))
     known = F.array(*[F.lit(k) for k in keywords])
 
     def found(words: Column) -> Column:
         own = F.array_intersect(F.split(words, " "), known)
-        due = F.filter(literal, lambda r: F.array_contains(own, r["keyword"]))
-        return F.flatten(F.transform(due, lambda r: _places(words, r)))
+        due = F.transform(F.array(own), lambda o: F.filter(literal, lambda r: F.array_contains(o, r["keyword"])))
+        held = F.filter(F.flatten(due), lambda r: F.rlike(words, r["pattern"]))
+        return F.flatten(F.transform(held, lambda r: _places(words, r)))
 
     # one-element arrays bind a value once for the functions below
     every = F.flatten(F.transform(F.array("normal_text"), found))
@@ -226,7 +241,7 @@ def summarise(detected: DataFrame) -> DataFrame:
     blanks = F.transform(F.col("pieces"), _blanks)
     base_labels = F.filter(F.array(*[F.when(words.contains(f" {p} "), F.lit(label)) for p, label in BASE]), lambda x: x.isNotNull())
     no_labels = F.array().cast("array<string>")
-    n = F.greatest(_blanks(words) - 1, F.lit(0)).cast("long")
+    n = F.when(words == "  ", F.lit(0)).otherwise(_blanks(words) - 1).cast("long")
     sums = F.aggregate(F.slice(blanks, 1, F.size(blanks) - 1), F.lit(0), lambda s, x: s + x)
     out = detected.withColumn("pieces", pieces).withColumns({
         "n_words": n,
