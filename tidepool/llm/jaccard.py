@@ -38,7 +38,6 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -275,20 +274,42 @@ def _across(rows: DataFrame, threshold: float) -> DataFrame:
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        n, root, node = (group[c].to_numpy() for c in ("n", "root", "node"))
-        bits = np.stack(group["sketch"].to_numpy()).astype(np.int64).view(np.uint64)
+    def compare(n, root, node, bits) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of one group, a run of its nodes against all later ones at a time."""
         found = []
-        for k in range(len(n) - 1):
-            rest = np.arange(k + 1, len(n))
-            least, most = np.minimum(n[rest], n[k]), np.maximum(n[rest], n[k])
-            rest = rest[(root[rest] != root[k]) & (least >= most * threshold - 1e-9)]
-            apart = np.bitwise_count(bits[rest] ^ bits[k]).sum(1)
-            rest = rest[apart <= (n[rest] + n[k]) * share + 1e-9]
-            found += [(min(node[k], node[r]), max(node[k], node[r])) for r in rest]
-        return pd.DataFrame(found, columns=["left", "right"], dtype="int64")
-
-    return dealt.groupBy("key", "i", "j").applyInPandas(compare, "left long, right long").distinct()
+        for start in range(0, len(n), 64):
+            x, y = np.arange(start, min(start + 64, len(n)))[:, None], np.arange(start, len(n))[None, :]
+            fits = (x < y) & (root[x] != root[y]) & (np.minimum(n[x], n[y]) >= np.maximum(n[x], n[y]) * threshold - 1e-9)
+            i, j = np.nonzero(fits)
+            i, j = i + start, j + start
+            close = np.bitwise_count(bits[i] ^ bits[j]).sum(1) <= (n[i] + n[j]) * share + 1e-9
+            found.append((node[i[close]], node[j[close]]))
+        return found
+
+    def run(batches):
+        # groups follow each other in sorted rows; the last of a batch may go on in the next
+        held = None
+        for batch in batches:
+            own = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(6)]
+            own.append(np.asarray(batch.column(6).flatten()).reshape(-1, FOLD).view(np.uint64))
+            if held is not None:
+                own = [np.concatenate(pair) for pair in zip(held, own, strict=True)]
+            key = own[:3]
+            starts = np.flatnonzero(np.concatenate(([True], np.any([k[1:] != k[:-1] for k in key], axis=0)))) if len(key[0]) else []
+            found = []
+            for s, e in zip(starts[:-1], starts[1:], strict=True):
+                found += compare(*[c[s:e] for c in own[3:]])
+            held = [c[starts[-1] :] for c in own] if len(starts) else None
+            yield named(found)
+        if held is not None:
+            yield named(compare(*held[3:]))
+
+    def named(found) -> pa.RecordBatch:
+        x, y = (np.concatenate([f[k] for f in found] + [np.zeros(0, np.int64)]) for k in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["left", "right"])
+
+    grouped = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").select("key", "i", "j", "n", "root", "node", "sketch")
+    return grouped.mapInArrow(run, "left long, right long").distinct()
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
