@@ -12,7 +12,8 @@ Fitting, on a bounded sample of ``SAMPLE_ROWS`` labelled texts (all, if fewer):
 Spark counts in how many toxic and other texts each word stands; the words with
 the strongest and most frequent ties to toxic texts, and the commonest words,
 become Nyström landmarks; a linear support vector machine with squared hinge loss
-is fitted on the landmark features of words. A text's score is a logistic
+is fitted on the landmark features of words, among them spellings of the landmarks
+with one letter put in. A text's score is a logistic
 function of its largest word margins, fitted on margins from models of the other
 half of the sample.
 
@@ -45,7 +46,10 @@ LANDMARKS = 192
 COMMON_LANDMARKS = 48
 SKIP = 0.7
 BITS = 20
-COST = 3.0
+COST = 0.2
+#: Weight of a landmark's spellings with one letter put in, as a share of the landmark's.
+PUT_IN = 0.03
+FEATURES = 3
 #: How fast a subsequence loses weight with the number of words that hold it.
 COMMONNESS = 0.25
 #: Normalisation stops growing at words of this many letters.
@@ -160,9 +164,10 @@ def margins(words: Words, weights: np.ndarray, bias: float) -> np.ndarray:
 
 
 def pooled(words: Words, margin: np.ndarray, n_texts: int) -> np.ndarray:
-    """Per text: largest margin, second largest, count above 0, sum above 0."""
-    out = np.zeros((n_texts, 4))
-    out[:, :2] = -2.0
+    """Per text: largest margin, second largest, log of one and the sum above 0; margins end at 1."""
+    margin = np.clip(margin, -1, 1)
+    out = np.zeros((n_texts, FEATURES))
+    out[:, :2] = -1
     if len(margin):
         order = np.lexsort((-margin, words.text))
         text, m = words.text[order], margin[order]
@@ -170,10 +175,8 @@ def pooled(words: Words, margin: np.ndarray, n_texts: int) -> np.ndarray:
         out[text[head], 0] = m[head]
         second = np.concatenate(([False], head[:-1])) & ~head
         out[text[second], 1] = m[second]
-        above = np.maximum(margin, 0)
-        out[:, 2] = np.log1p(np.bincount(words.text, margin > 0, n_texts))
-        out[:, 3] = np.log1p(np.bincount(words.text, above, n_texts))
-    return np.clip(out, -2, 6)
+        out[:, 2] = np.log1p(np.bincount(words.text, np.maximum(margin, 0), n_texts))
+    return out
 
 
 # --- fitting ------------------------------------------------------------------------------
@@ -276,6 +279,19 @@ def _landmarks(names: list[str], toxic, other, n_toxic: float, n_other: float, s
     return [names[i] for i in dict.fromkeys(chosen)]
 
 
+def _put_in(chosen: list[str], names: list[str], toxic: np.ndarray, other: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Landmarks of toxic texts only, each inner place with another letter put in, and their weights."""
+    at = {n: i for i, n in enumerate(names)}
+    spelled, share = [], []
+    for word in chosen:
+        i = at[word]
+        if len(word) >= 4 and other[i] == 0 and toxic[i] > 0:
+            for k in range(1, len(word)):
+                spelled.append(word[:k] + chosen[(k * 7 + len(word)) % len(chosen)][0] + word[k:])
+                share.append(PUT_IN * toxic[i])
+    return spelled, np.array(share)
+
+
 def fit_words(names: list[str], toxic: np.ndarray, other: np.ndarray, n_toxic: float, n_other: float) -> tuple[np.ndarray, float]:
     """Subsequence weights and bias of the word machine."""
     every = words_of(names)
@@ -284,7 +300,8 @@ def fit_words(names: list[str], toxic: np.ndarray, other: np.ndarray, n_toxic: f
         owner, h, _ = _sparse(_block(every, start, min(start + 2000, len(names))), np.ones(1 << BITS, np.float32))
         held += np.bincount(h, other[start + owner], 1 << BITS)
     scale = ((1 + held) ** -COMMONNESS).astype(np.float32)
-    marks = words_of(_landmarks(names, toxic, other, n_toxic, n_other, scale))
+    chosen = _landmarks(names, toxic, other, n_toxic, n_other, scale)
+    marks = words_of(chosen)
     inner = kernel(marks, marks, scale)
     values, vectors = np.linalg.eigh((inner + inner.T) / 2)
     ok = values > 1e-8 * values.max()
@@ -295,6 +312,10 @@ def fit_words(names: list[str], toxic: np.ndarray, other: np.ndarray, n_toxic: f
     y = np.concatenate([np.full(int(u.sum()), s) for u, s, _ in used])
     weight = np.concatenate([c[u] for u, _, c in used])
     x = x[rows]
+    spelled, share = _put_in(chosen, names, toxic, other)
+    if spelled:
+        more = kernel(words_of(spelled), marks, scale) @ root.astype(np.float32)
+        x, y, weight = np.vstack([x, more.astype(np.float32)]), np.concatenate([y, np.ones(len(more))]), np.concatenate([weight, share])
     v = _newton(x, y, COST * weight, hinge=True, ridge=1.0)
     per_mark = (root @ v[:-1]) / _norms(marks)
     weights = np.zeros(1 << BITS, np.float32)
@@ -358,7 +379,7 @@ def _pooled_rows(models):
                 both = np.stack([pooled(w, margins(w, *m), part.num_rows) for m in models.value])
                 own = both[fold, np.arange(len(fold))]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(1).cast(pa.int32()), *[pa.array(own[:, k]) for k in range(4)]], names=["toxic", *"abcd"]
+                    [part.column(1).cast(pa.int32()), *[pa.array(own[:, k]) for k in range(FEATURES)]], names=["toxic", *"abc"]
                 )
 
     return run
@@ -374,7 +395,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if min(toxic_n) == 0 or min(other_n) == 0:
         share = sum(toxic_n) / max(1, sum(toxic_n) + sum(other_n))
         odds = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
-        return Model(np.zeros(1 << BITS, np.float32), 0.0, np.array([0, 0, 0, 0, odds]))
+        return Model(np.zeros(1 << BITS, np.float32), 0.0, np.array([0, 0, 0, odds]))
     rows = sample.mapInArrow(_word_rows, "word string, fold int, toxic int")
     count = lambda fold, toxic: F.sum(((F.col("fold") == fold) & ((F.col("toxic") == 1) == F.lit(toxic))).cast("long"))
     stats = rows.groupBy("word").agg(
@@ -389,9 +410,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     t, o = (np.array([[found[w][k + f] for w in names] for f in "01"], float) for k in "to")
     other_half = [fit_words(names, t[f], o[f], toxic_n[f], other_n[f]) for f in (1, 0)]
     sent = spark.sparkContext.broadcast(other_half)
-    features = sample.mapInArrow(_pooled_rows(sent), "toxic int, a double, b double, c double, d double").toPandas()
+    features = sample.mapInArrow(_pooled_rows(sent), "toxic int, a double, b double, c double").toPandas()
     y = np.where(features["toxic"].to_numpy() == 1, 1.0, -1.0)
-    logistic = _newton(features[list("abcd")].to_numpy(), y, np.ones(len(y)), hinge=False, ridge=0.05)
+    logistic = _newton(features[list("abc")].to_numpy(), y, np.ones(len(y)), hinge=False, ridge=0.05)
     weights, bias = fit_words(names, t.sum(0), o.sum(0), sum(toxic_n), sum(other_n))
     return Model(weights, bias, logistic)
 
