@@ -1,5 +1,7 @@
 import json
 
+from pyspark.sql import functions as F
+
 from tidepool.operators import catalog, export
 from tidepool.sources.documents import read_metadata_documents, registry_paths, stale_sources
 
@@ -85,7 +87,7 @@ def test_search_entries_fan_out_and_tags(spark, tmp):
     parsed = catalog.parse_documents(read_metadata_documents(spark, [str(tmp / n / "metadata.json") for n in DOCS]))
     t, c = catalog.tables(parsed), catalog.columns(parsed)
     tags = {r.name: r.tags_text for r in catalog.table_tag_text(t).collect()}
-    assert tags == {r.name: r.tags_text for r in catalog.tag_text_local(parsed).collect()}
+    assert tags == {r.name: r.tags_text for r in catalog.tag_text(parsed).collect()}
     assert tags["pop"] == "x y z"  # both schemas, ordered by schema then index
     entries = catalog.search_entries_joined(t, c).collect()
     local = catalog.search_entries(parsed).collect()
@@ -127,18 +129,36 @@ def test_publish_writes_every_mart_from_one_parse(spark, tmp):
     assert counts["mart_lineage_edges"] == 1 and counts["mart_datasets"] == 2
 
 
-def test_oversized_documents_take_the_join_forms(spark, tmp):
-    _write(tmp, DOCS)
-    parsed = catalog.parse_documents(read_metadata_documents(spark, [str(tmp / n / "metadata.json") for n in DOCS]))
-    small, big = catalog.split_by_size(parsed, 2)
-    assert [r.datasource for r in big.collect()] == ["stats"] and small.count() == 1
-    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
-    # every document forced through the shuffled forms gives the in-row results
-    assert rows(catalog.search_entries_guarded(parsed, local_max=0)) == rows(catalog.search_entries(parsed))
-    assert rows(catalog.tag_text_guarded(parsed, local_max=0)) == rows(catalog.tag_text_local(parsed))
-    assert rows(export.export_columns_guarded(parsed, local_max=0)) == rows(export.export_columns(parsed))
-    # below the bound the guarded forms are the in-row forms
-    assert rows(catalog.search_entries_guarded(parsed)) == rows(catalog.search_entries(parsed))
+def test_one_datasource_over_two_documents(spark):
+    """Tables of one name in two documents of a datasource join across the documents."""
+    col = {"name": "c", "data_type": "INT"}
+    docs = [
+        ("ds", json.dumps({"main": {"tables": [{"name": "t", "tags": ["x"], "columns": [col]}]}})),
+        ("ds", json.dumps({"extra": {"tables": [{"name": "t", "tags": ["y"]}]}})),
+    ]
+    parsed = catalog.parse_documents(_text_documents(spark, docs))
+    entries = catalog.search_entries(parsed).collect()
+    assert sorted((e.entry_type, e.href) for e in entries) == [
+        ("column", "/datasets/ds/extra/t"), ("column", "/datasets/ds/main/t"),
+        ("table", "/datasets/ds/extra/t"), ("table", "/datasets/ds/main/t"),
+    ]
+    assert [r.tags_text for r in catalog.tag_text(parsed).collect()] == ["y x"]
+    assert {r.id for r in export.export_columns(parsed).collect()} == {"ds/main/t/c", "ds/extra/t/c"}
+
+
+def test_document_with_many_tables(spark):
+    tables = [{"name": f"t{k}", "tags": [f"g{k}"], "columns": [{"name": "c"}]} for k in range(5000)]
+    parsed = catalog.parse_documents(_text_documents(spark, [("big", json.dumps({"main": {"tables": tables}}))]))
+    entries = catalog.search_entries(parsed)
+    assert entries.count() == 10_000
+    assert entries.where("entry_type = 'column' AND schema_name IS NULL").count() == 0
+    assert export.export_columns(parsed).count() == 5000
+
+
+def _text_documents(spark, docs):
+    text = ("title", "description", "cover", "tags", "ducklake_url", "dependencies", "lineage", "readme")
+    df = spark.createDataFrame(docs, "datasource string, schemas string")
+    return df.withColumns({c: F.lit(None).cast("string") for c in text})
 
 
 def test_documents_from_a_path_mapping(spark, tmp):

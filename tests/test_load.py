@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tidepool.operators import load
@@ -34,17 +35,44 @@ def test_replace_partitions_on_disk_is_idempotent(spark, tmp):
     assert _rows(logical) == _rows(spark.read.schema(base.schema).parquet(path).select(*base.columns))
 
 
-def test_write_merged_versions(spark, tmp):
-    root = str(tmp / "merged")
-    b1 = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "k long, v string, seq int")
-    v1 = load.write_merged(spark, b1, root, ["k"], "seq")
-    b2 = spark.createDataFrame([(2, "B", 2), (3, "c", 2)], "k long, v string, seq int")
-    v2 = load.write_merged(spark, b2, root, ["k"], "seq")
-    assert v1 != v2 and load.current_version(spark, root) == v2
-    assert _rows(spark.read.parquet(v2)) == [(1, "a", 1), (2, "B", 2), (3, "c", 2)]
-    load.write_merged(spark, b2, root, ["k"], "seq")  # replay: same content
-    assert _rows(spark.read.parquet(load.current_version(spark, root))) == _rows(spark.read.parquet(v2))
-    assert _rows(spark.read.parquet(v1)) == [(1, "a", 1), (2, "b", 1)]  # old version untouched
+def test_upsert_dedupes_and_matches_null_keys(spark):
+    base = spark.createDataFrame([(1, "a"), (None, "n")], "k long, v string")
+    batch = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (None, "m", 1), (None, "o", 2)], "k long, v string, seq int")
+    for _ in range(2):
+        base = load.upsert(base, batch, ["k"], "seq")
+        assert sorted(((r.k, r.v) for r in base.collect()), key=str) == [(1, "y"), (None, "o")]
+    with pytest.raises(ValueError):
+        load.upsert(base, batch, ["k", "seq"], "seq")
+
+
+def test_incremental_takes_the_newest_of_a_key(spark):
+    state = spark.createDataFrame([(1, 10, "o")], "k long, t int, v string")
+    source = spark.createDataFrame([(1, 10, "old"), (1, 11, "new")], state.schema)
+    assert _rows(load.incremental(state, source, "t", ["k"])) == [(1, 11, "new")]
+
+
+def test_replace_partitions_agrees_with_the_sink_on_null(spark, tmp):
+    path = str(tmp / "nulls")
+    base = spark.createDataFrame([(None, "x"), ("a", "y")], "p string, v string")
+    batch = spark.createDataFrame([(None, "new")], base.schema)
+    load.write_replacing_partitions(base, path, ["p"])
+    load.write_replacing_partitions(batch, path, ["p"])
+    key = lambda df: sorted(((r.p, r.v) for r in df.collect()), key=str)
+    assert key(load.replace_partitions(base, batch, ["p"])) == key(spark.read.schema(base.schema).parquet(path)) == [("a", "y"), (None, "new")]
+
+
+def test_merged_partitions_keep_null_partitions(spark, tmp):
+    path = str(tmp / "null_parts")
+    schema = "tab string, cat string, v double, seq int"
+    b1 = spark.createDataFrame([(None, "A", 1.0, 1), (None, "B", 2.0, 1), ("t", "A", 3.0, 1), (None, None, 4.0, 1)], schema)
+    load.write_merged_partitions(spark, b1, path, ["tab", "cat"], "seq", ["tab"])
+    b2 = spark.createDataFrame([(None, "A", 9.0, 2), (None, None, 5.0, 2)], schema)
+    for _ in range(2):
+        load.write_merged_partitions(spark, b2, path, ["tab", "cat"], "seq", ["tab"])
+        got = sorted(((r.tab, r.cat, r.v) for r in spark.read.parquet(path).collect()), key=str)
+        assert got == sorted([(None, "A", 9.0), (None, "B", 2.0), ("t", "A", 3.0), (None, None, 5.0)], key=str)
+    with pytest.raises(ValueError):
+        load.write_merged_partitions(spark, b2, path, ["cat"], "seq", ["tab"])
 
 
 def test_work_list_skips_done_but_refetches_current(spark):
@@ -107,61 +135,16 @@ def test_push_batches_chunks_on_executors(spark, tmp):
     assert sum(sizes) == 1000 and max(sizes) == 200
 
 
-def test_write_merged_partitions_touches_only_needed_buckets(spark, tmp):
-    import os
-
-    path = str(tmp / "bucketed")
-    b1 = spark.createDataFrame([(i, f"v{i}", 1) for i in range(50)], "k long, v string, seq int")
-    load.write_merged_partitions(spark, b1, path, ["k"], "seq", buckets=8)
-    before = {d: os.path.getmtime(os.path.join(path, d)) for d in os.listdir(path) if d.startswith("_bucket=")}
-    b2 = spark.createDataFrame([(3, "new3", 2), (3, "newer3", 3), (100, "v100", 2)], "k long, v string, seq int")
-    for _ in range(2):  # replay is harmless
-        load.write_merged_partitions(spark, b2, path, ["k"], "seq", buckets=8)
-        got = {r.k: r.v for r in spark.read.parquet(path).collect()}
-        assert len(got) == 51 and got[3] == "newer3" and got[100] == "v100" and got[7] == "v7"
-    after = {d: os.path.getmtime(os.path.join(path, d)) for d in os.listdir(path) if d.startswith("_bucket=")}
-    untouched = [d for d in before if before[d] == after.get(d)]
-    assert len(untouched) >= 5  # at most the 2 touched buckets were rewritten
-
-
-def test_bucketed_merge_shuffles_only_the_batch(spark):
-    spark.sql("CREATE DATABASE IF NOT EXISTS lake")
-    base = spark.range(0, 2000).selectExpr("id AS k", "concat('v', id) AS v")
-    load.write_keyed_table(base, "lake.keyed", ["k"], 8)
-    batch = spark.createDataFrame([(5, "new5", 2), (5, "newer5", 3), (5000, "v5000", 1)],
-                                  "k long, v string, seq int")
-    table = spark.table("lake.keyed")
-    plan = load.upsert(table, batch, ["k"], "seq")._jdf.queryExecution().executedPlan().toString()
-    # the anti join reads the table in its buckets: no exchange above its scan
-    scan_branch = plan.split("FileScan parquet spark_catalog.lake.keyed")[0].splitlines()[-1]
-    assert "Exchange" not in scan_branch
-    prev = load.merge_into_bucketed(spark, "lake.keyed", batch, ["k"], "seq")
-    got = {r.k: r.v for r in spark.table("lake.keyed").collect()}
-    assert len(got) == 2001 and got[5] == "newer5" and got[5000] == "v5000"
-    assert spark.table(prev).count() == 2000
-
-
 def test_write_merged_partitions_by_key_prefix(spark, tmp):
     path = str(tmp / "by_tab")
     b1 = spark.createDataFrame([("t1", "A", 1.0, 1), ("t2", "A", 2.0, 1)], "tab string, cat string, v double, seq int")
-    load.write_merged_partitions(spark, b1, path, ["tab", "cat"], "seq", partition_cols=["tab"])
+    load.write_merged_partitions(spark, b1, path, ["tab", "cat"], "seq", ["tab"])
     b2 = spark.createDataFrame([("t1", "A", 9.0, 2), ("t1", "B", 3.0, 2)], b1.schema)
-    load.write_merged_partitions(spark, b2, path, ["tab", "cat"], "seq", partition_cols=["tab"])
+    load.write_merged_partitions(spark, b2, path, ["tab", "cat"], "seq", ["tab"])
     got = sorted((r.tab, r.cat, r.v) for r in spark.read.parquet(path).collect())
     assert got == [("t1", "A", 9.0), ("t1", "B", 3.0), ("t2", "A", 2.0)]
 
 
-def test_join_small_checks_size(spark):
-    from tidepool.operators.joins import is_small, join_small
-
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    small = spark.range(10).withColumnRenamed("id", "k")
-    assert is_small(small, 10) and not is_small(small, 9)
-    plan = join_small(big, small, "k", max_rows=10)._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan
-    assert join_small(big, small, "k", max_rows=5).count() == 10
-
-
 def _failing_batch(spark):
     """A batch whose evaluation fails inside the write job (ANSI cast error)."""
     return spark.createDataFrame([(9, "x", 5)], "k long, v string, seq int").withColumn(
@@ -169,27 +152,15 @@ def _failing_batch(spark):
     )
 
 
-def test_failed_merge_leaves_the_current_version(spark, tmp):
-    import pytest
-
-    root = str(tmp / "versions")
-    b1 = spark.createDataFrame([(1, "a", 1)], "k long, v string, seq int")
-    v1 = load.write_merged(spark, b1, root, ["k"], "seq")
-    with pytest.raises(Exception):
-        load.write_merged(spark, _failing_batch(spark), root, ["k"], "seq")
-    assert load.current_version(spark, root) == v1
-    assert _rows(spark.read.parquet(load.current_version(spark, root))) == [(1, "a", 1)]
-
-
 def test_failed_partition_merge_leaves_the_table(spark, tmp):
     import pytest
 
     path = str(tmp / "parts")
     b1 = spark.createDataFrame([(i, f"v{i}", 1) for i in range(20)], "k long, v string, seq int")
-    load.write_merged_partitions(spark, b1, path, ["k"], "seq", buckets=4)
+    load.write_merged_partitions(spark, b1, path, ["k"], "seq", ["k"])
     before = _rows(spark.read.parquet(path).select("k", "v", "seq"))
     with pytest.raises(Exception):
-        load.write_merged_partitions(spark, _failing_batch(spark), path, ["k"], "seq", buckets=4)
+        load.write_merged_partitions(spark, _failing_batch(spark), path, ["k"], "seq", ["k"])
     assert _rows(spark.read.parquet(path).select("k", "v", "seq")) == before
 
 
@@ -199,8 +170,9 @@ def test_orphan_report_over_real_files(spark, tmp):
 
     root = str(tmp / "lake")
     b1 = spark.createDataFrame([(i, "a", 1) for i in range(10)], "k long, v string, seq int")
-    v1 = load.write_merged(spark, b1, root, ["k"], "seq")
-    v2 = load.write_merged(spark, b1.withColumn("seq", F.lit(2)), root, ["k"], "seq")
+    v1, v2 = f"{root}/v-1", f"{root}/v-2"
+    b1.write.parquet(v1)
+    b1.withColumn("seq", F.lit(2)).write.parquet(v2)
     files = list_files(spark, root, "*.parquet")
     current = v2.rsplit("/", 1)[1] + "/"
     active = files.where(F.col("path").startswith(current)).select(F.col("path").alias("full_path"))

@@ -2,7 +2,6 @@ import json
 
 from pyspark.sql import types as T
 
-from tidepool.operators.load import current_version
 from tidepool.streaming.incremental import start_keyed_load, start_partition_load
 
 SCHEMA = T.StructType([
@@ -24,20 +23,35 @@ def test_keyed_stream_merges_and_replays(spark, tmp):
         {"tab": "t", "cat01": "A1", "area": "01", "time": "2020000000", "value": 1.0},
         {"tab": "t", "cat01": "A1", "area": "02", "time": "2020000000", "value": 2.0},
     ])
-    q = start_keyed_load(spark, str(src), SCHEMA, table, keys, cursor_col="time", checkpoint=ckpt)
+    q = start_keyed_load(spark, str(src), SCHEMA, table, keys, ["tab"], checkpoint=ckpt)
     q.awaitTermination()
     _land(src, "b2.json", [
         {"tab": "t", "cat01": "A1", "area": "02", "time": "2020000000", "value": 5.0},
         {"tab": "t", "cat01": "A1", "area": "01", "time": "2021000000", "value": 3.0},
     ])
-    q = start_keyed_load(spark, str(src), SCHEMA, table, keys, cursor_col="time", checkpoint=ckpt)
+    q = start_keyed_load(spark, str(src), SCHEMA, table, keys, ["tab"], checkpoint=ckpt)
     q.awaitTermination()
-    got = sorted((r.area, r.time, r.value) for r in spark.read.parquet(current_version(spark, table)).collect())
+    got = sorted((r.area, r.time, r.value) for r in spark.read.parquet(table).collect())
     assert got == [("01", "2020000000", 1.0), ("01", "2021000000", 3.0), ("02", "2020000000", 5.0)]
-    # nothing new: a rerun leaves the current version in place
-    before = current_version(spark, table)
-    start_keyed_load(spark, str(src), SCHEMA, table, keys, cursor_col="time", checkpoint=ckpt).awaitTermination()
-    assert current_version(spark, table) == before
+    # nothing new: a rerun changes nothing
+    start_keyed_load(spark, str(src), SCHEMA, table, keys, ["tab"], checkpoint=ckpt).awaitTermination()
+    assert sorted((r.area, r.time, r.value) for r in spark.read.parquet(table).collect()) == got
+
+
+def test_newest_delivery_wins_within_one_micro_batch(spark, tmp):
+    import os
+
+    keys = ["tab", "cat01", "area", "time"]
+    row = {"tab": "t", "cat01": "A1", "area": "01", "time": "2020000000"}
+    for run, names in enumerate((("a.json", "b.json"), ("z.json", "y.json"))):
+        src = tmp / f"both{run}"
+        for age, name in enumerate(names):
+            _land(src, name, [{**row, "value": float(age)}])
+            os.utime(src / name, (1_700_000_000 + 100 * age,) * 2)
+        table = str(tmp / f"newest{run}")
+        start_keyed_load(spark, str(src), SCHEMA, table, keys, ["tab"], checkpoint=str(tmp / f"c{run}")).awaitTermination()
+        got = spark.read.parquet(table)
+        assert [r.value for r in got.collect()] == [1.0] and "_delivered" not in got.columns
 
 
 def test_partition_stream_replaces_touched_partitions(spark, tmp):

@@ -5,10 +5,9 @@ Input is one row per dataset document with the nested parts kept as JSON
 text (``tags``, ``schemas``, ``dependencies``, ``lineage``), as written by
 :func:`tidepool.sources.documents.read_metadata_documents`. Each JSON part
 is parsed once per row with a full typed schema (:func:`parse_documents`);
-every mart below is then a projection / ``explode`` of that parse. The
-joins and groupings between marts run inside each document row (see the
-row-local section), so the whole catalog is built without a shuffle; join
-forms are kept for row sets where a datasource spans several rows.
+every mart below is then a projection / ``explode`` of that parse. Search
+entries and tag texts join table and column rows on (datasource, table name):
+one plan for every size, whether a datasource has one document or several.
 
 Semantics kept from the publishing SQL:
 * schemas whose ``tables`` is not an array, tables whose ``columns`` is not
@@ -188,8 +187,9 @@ def _text_or_blank(c: Column) -> Column:
 
 
 def search_entries_joined(table_rows: DataFrame, column_rows: DataFrame) -> DataFrame:
-    """Search entries from table and column rows with joins (general form,
-    for row sets where one datasource spans several documents)."""
+    """Search entries from table and column rows, by equi-joins on (datasource,
+    table name): a datasource may span several documents, and a document with
+    many tables is spread over the shuffle partitions."""
     tags = table_tag_text(table_rows)
     t = table_rows.alias("t")
     table_entries = t.join(tags.alias("ta"), ["datasource", "name"], "left").select(
@@ -242,133 +242,14 @@ def search_entries_joined(table_rows: DataFrame, column_rows: DataFrame) -> Data
     return table_entries.unionByName(column_entries)
 
 
-# --- row-local forms --------------------------------------------------------
-#
-# Every join and grouping of the catalog marts has the datasource in its
-# key, and a datasource is described by exactly one document. So the
-# joins (columns ⟕ tables, tables ⟕ tag text) and groupings (tags by table
-# name, tables by schema) can run inside each document row with array
-# functions: one scan, one parse, no shuffle, whatever the catalog size.
-
-
-# tag rows of a document's tables: (schema, index, name, tags array)
-_TAG_ROWS = (
-    "transform(_tabs, u -> named_struct('s', u.schema_name, 'i', u.node_index, 'name', u.t.name, "
-    "'tags', coalesce(from_json(u.t.tags, 'array<string>'), array())))"
-)
-
-
-def _tags_of(name: str, null_safe: bool) -> str:
-    """Tags of all tables named ``name``, ordered by schema, index, position."""
-    match = f"x.name <=> {name}" if null_safe else f"x.name = {name}"
-    return f"flatten(transform(array_sort(filter(_tags, x -> {match})), x -> x.tags))"
-
-
-def _with_tags(parsed: DataFrame) -> DataFrame:
-    return with_doc_tables(parsed).selectExpr("datasource", "_tabs", f"{_TAG_ROWS} AS _tags")
-
-
-def tag_text_local(parsed: DataFrame) -> DataFrame:
-    """:func:`table_tag_text` inside each document, without a shuffle (one
-    row per table name with tags)."""
-    per_name = (
-        "transform(array_distinct(transform(_tabs, u -> u.t.name)), "
-        f"n -> named_struct('name', n, 'tags', {_tags_of('n', True)}))"
-    )
-    return _with_tags(parsed).selectExpr(
-        "datasource", f"explode(filter({per_name}, x -> size(x.tags) > 0)) AS _x"
-    ).selectExpr("datasource", "_x.name AS name", "array_join(_x.tags, ' ') AS tags_text")
-
-
-def _entry(kind: str, schema: str, table: str, title: str, column: str, desc: str, text: str) -> str:
-    return (
-        f"named_struct('entry_type', '{kind}', 'schema_name', {schema}, 'table_name', {table}, "
-        f"'table_title', {title}, 'column_name', {column}, 'description', {desc}, "
-        f"'search_text', {text}, 'href', concat('/datasets/', datasource, '/', {schema}, '/', {table}))"
-    )
-
-
-_TABLE_ENTRIES = "transform(_tabs, u -> " + _entry(
-    "table", "u.schema_name", "u.t.name", "u.t.title", "CAST(NULL AS STRING)", "u.t.description",
-    "concat_ws(' ', coalesce(replace(u.t.name, '_', ' '), ''), coalesce(u.t.title, ''), "
-    f"coalesce(u.t.description, ''), array_join({_tags_of('u.t.name', False)}, ' '))",
-) + ")"
-
-_COLUMN_TEXT = (
-    "concat_ws(' ', coalesce(replace(ce.c.name, '_', ' '), ''), coalesce(ce.c.title, ''), "
-    "coalesce(ce.c.description, ''), coalesce(replace(ce.table_name, '_', ' '), ''))"
-)
-_COLUMN_ENTRIES = (
-    "flatten(transform("
-    "flatten(transform(_tabs, u -> transform(coalesce(u.t.columns, array()), "
-    "c -> named_struct('table_name', u.t.name, 'c', c)))), "
-    "ce -> CASE WHEN size(filter(_tabs, v -> v.t.name = ce.table_name)) = 0 THEN array("
-    + _entry("column", "CAST(NULL AS STRING)", "ce.table_name", "CAST(NULL AS STRING)", "ce.c.name",
-             "ce.c.description", _COLUMN_TEXT)
-    + ") ELSE transform(filter(_tabs, v -> v.t.name = ce.table_name), v -> "
-    + _entry("column", "v.schema_name", "ce.table_name", "v.t.title", "ce.c.name", "ce.c.description",
-             _COLUMN_TEXT)
-    + ") END))"
-)
+def tag_text(parsed: DataFrame) -> DataFrame:
+    """Tag text per table name that has tags (:func:`table_tag_text`)."""
+    return table_tag_text(tables(parsed))
 
 
 def search_entries(parsed: DataFrame) -> DataFrame:
-    """One search row per table and per column, computed inside each
-    document without a shuffle (same rows as :func:`search_entries_joined`)."""
-    return (
-        _with_tags(parsed)
-        .selectExpr("datasource", f"explode(concat({_TABLE_ENTRIES}, {_COLUMN_ENTRIES})) AS _e")
-        .select("_e.entry_type", "datasource", "_e.schema_name", "_e.table_name", "_e.table_title",
-                "_e.column_name", "_e.description", "_e.search_text", "_e.href")
-    )
-
-
-# --- size guard ---------------------------------------------------------------
-#
-# The in-row joins compare each column with every table of its document, so
-# their cost grows with the square of a document's table count. A document
-# is parsed into one row whatever is done next (one metadata file per
-# dataset), so this only matters for a dataset holding a large share of the
-# catalog. The guarded forms used by :func:`publish` find documents over
-# ``LOCAL_TABLES_MAX`` tables with one aggregate pass and send those through
-# the join forms, whose shuffle on (datasource, table name) spreads them
-# over many tasks; ordinary documents stay in-row.
-
-LOCAL_TABLES_MAX = 512
-
-_TABLE_COUNT = (
-    "aggregate(map_values(coalesce(_schemas, map())), 0, "
-    "(acc, s) -> acc + coalesce(size(s.tables), 0))"
-)
-
-
-def split_by_size(parsed: DataFrame, local_max: int = LOCAL_TABLES_MAX) -> tuple[DataFrame, DataFrame]:
-    """(documents with at most ``local_max`` tables, larger documents)."""
-    n = F.expr(_TABLE_COUNT)
-    return parsed.where(n <= local_max), parsed.where(n > local_max)
-
-
-def by_size(parsed: DataFrame, local, joined, local_max: int = LOCAL_TABLES_MAX) -> DataFrame:
-    """``local(parsed)`` when no document exceeds ``local_max`` tables (one
-    aggregate pass finds the largest); otherwise ``local`` on the ordinary
-    documents united with ``joined`` on the oversized ones."""
-    largest = parsed.select(F.max(F.expr(_TABLE_COUNT))).first()[0]
-    if largest is None or largest <= local_max:
-        return local(parsed)
-    small, big = split_by_size(parsed, local_max)
-    return local(small).unionByName(joined(big))
-
-
-def tag_text_guarded(parsed: DataFrame, local_max: int = LOCAL_TABLES_MAX) -> DataFrame:
-    """:func:`tag_text_local`, with oversized documents grouped by (datasource, name)."""
-    return by_size(parsed, tag_text_local, lambda big: table_tag_text(tables(big)), local_max)
-
-
-def search_entries_guarded(parsed: DataFrame, local_max: int = LOCAL_TABLES_MAX) -> DataFrame:
-    """:func:`search_entries`, with oversized documents joined by (datasource, table name)."""
-    return by_size(
-        parsed, search_entries, lambda big: search_entries_joined(tables(big), columns(big)), local_max
-    )
+    """One search row per table and per column of the parsed documents."""
+    return search_entries_joined(tables(parsed), columns(parsed))
 
 
 def tables_by_schema(parsed: DataFrame) -> DataFrame:
@@ -400,7 +281,7 @@ MARTS = {
     "mart_dependencies": dependencies,
     "mart_lineage_edges": lineage_edges,
     "mart_lineage_nodes": lineage_nodes,
-    "mart_search_entries": search_entries_guarded,
+    "mart_search_entries": search_entries,
 }
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions.text import path_key, sql_bool, sql_json, sql_value
+from tidepool.operators import catalog
 
 # Fixed value: rows per pushed batch, as in the catalog export.
 PUSH_BATCH_ROWS = 200
@@ -125,44 +126,9 @@ def push_batches(
     df.select(column).foreachPartition(per_partition)
 
 
-_COLUMN_EXPORT_PAIRS = (
-    "explode(flatten(transform(_tabs, u -> flatten(transform(coalesce(u.t.columns, array()), (c, j) -> "
-    "transform(filter(_tabs, v -> v.t.name = u.t.name), v -> named_struct("
-    "'schema_name', v.schema_name, 'table_name', u.t.name, 'column_name', c.name, "
-    "'title', coalesce(c.title, ''), 'description', c.description, 'data_type', c.data_type, "
-    "'column_index', j + 1))))))) AS _p"
-)
-
-
 def export_columns(parsed: DataFrame) -> DataFrame:
-    """Column export rows computed inside each parsed document (the
-    columns ⋈ tables join keys include the datasource; no shuffle)."""
-    from tidepool.operators.catalog import with_doc_tables
-
-    rows = with_doc_tables(parsed).selectExpr("datasource", _COLUMN_EXPORT_PAIRS)
-    out = rows.select(
-        path_key("datasource", "_p.schema_name", "_p.table_name", "_p.column_name").alias("id"),
-        "datasource",
-        F.col("_p.schema_name").alias("schema_name"),
-        F.col("_p.table_name").alias("table_name"),
-        F.col("_p.column_name").alias("column_name"),
-        F.col("_p.title").alias("title"),
-        F.coalesce("_p.description", F.lit("")).alias("description"),
-        F.col("_p.data_type").alias("data_type"),
-        F.coalesce("_p.column_index", F.lit(0)).alias("column_index"),
-    )
-    return _with_column_statement(out)
-
-
-def export_columns_guarded(parsed: DataFrame, local_max: int | None = None) -> DataFrame:
-    """:func:`export_columns`, with documents over the catalog's size bound
-    joined by (node, datasource) instead of in-row."""
-    from tidepool.operators.catalog import LOCAL_TABLES_MAX, by_size, columns, tables
-
-    return by_size(
-        parsed, export_columns, lambda big: export_columns_joined(tables(big), columns(big)),
-        LOCAL_TABLES_MAX if local_max is None else local_max,
-    )
+    """Column export rows of the parsed documents (:func:`export_columns_joined`)."""
+    return export_columns_joined(catalog.tables(parsed), catalog.columns(parsed))
 
 
 def export_datasets(dataset_rows: DataFrame) -> DataFrame:

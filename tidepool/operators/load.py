@@ -3,15 +3,19 @@ incremental cursor, state skip, keyed replace.
 
 The logical operators return the table *after* the load as a DataFrame;
 the ``write_*`` sinks persist it. Parquet tables have no MERGE, so the keyed
-sinks never overwrite what they read: ``write_merged`` writes a new version
-folder and appends a commit record, ``write_merged_partitions`` stages the
-merged partitions and swaps them in by dynamic overwrite, and
-``merge_into_bucketed`` writes a new bucketed table and renames it in.
+sink never overwrites what it reads: ``write_merged_partitions`` stages the
+merged partitions and swaps them in by dynamic overwrite.
+
+Keys and partitions are compared null-safely: rows with a NULL key are one
+key, a NULL partition is a partition like any other.
+
+Every keyed merge needs an order that says which of several rows of a key in
+one batch is the newest; a column of the key cannot be that order.
 
 Scale notes:
-* upsert dedupes the batch per key with a partial aggregation (``max_by``),
-  then anti-joins the base on the key: at most one shuffle of the base on the
-  key (none when the base is bucketed by the key), no sort of the base;
+* upsert dedupes the batch per key with a partial aggregation (``max_by``)
+  and anti-joins the base on the raw batch keys: at most one shuffle of the
+  base on the key, no sort of the base;
 * keyed replace uses ``max_by`` too, so a hot id is combined map-side
   instead of sorted in one task;
 * work-lists are generated per area with ``sequence`` (no cross join).
@@ -19,14 +23,15 @@ Scale notes:
 
 from __future__ import annotations
 
-import time
 import uuid
 from datetime import date
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepool.functions.codes import zero_pad
 
@@ -38,6 +43,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFr
     wins whatever the partitioning or task order (retries and replays give
     the same table). ``max_by`` combines map-side, so a key holding a large
     share of the rows is reduced before the shuffle."""
+    if order_col in keys:
+        raise ValueError(f"{order_col} is part of the key and cannot order its rows")
     others = [c for c in df.columns if c not in keys]
     packed = F.struct(*[F.col(c) for c in others])
     rank = F.struct(F.col(order_col), F.xxhash64(*[F.col(c) for c in others]))
@@ -48,25 +55,25 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFr
     )
 
 
-def upsert(
-    base: DataFrame, batch: DataFrame, keys: Sequence[str], order_col: str | None = None
-) -> DataFrame:
+def _without(base: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``base`` whose key is not in ``other`` (NULLs match)."""
+    marks = other.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)])
+    return base.join(marks, same, "left_anti")
+
+
+def upsert(base: DataFrame, batch: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     """Merge ``batch`` into ``base`` by ``keys``: batch rows win; within the
     batch the greatest ``order_col`` wins. Output has ``base``'s columns."""
-    cols = base.columns
-    if order_col is not None:
-        batch = latest_per_key(batch, keys, order_col)
-    batch = batch.select(*cols)
-    kept = base.join(batch.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(batch)
+    newest = latest_per_key(batch, keys, order_col)
+    return _without(base, batch, keys).unionByName(newest.select(*base.columns))
 
 
 def replace_partitions(base: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Delete-insert by partition: every partition present in ``batch`` is
-    replaced by the batch rows; other partitions are kept. An empty batch
-    changes nothing."""
-    touched = batch.select(*keys).distinct()
-    kept = base.join(touched, list(keys), "left_anti")
+    """Delete-insert by partition: every partition present in ``batch`` (a
+    NULL one too) is replaced by the batch rows; other partitions are kept.
+    An empty batch changes nothing."""
+    kept = _without(base, batch.select(*keys).distinct(), keys)
     return kept.unionByName(batch.select(*base.columns))
 
 
@@ -92,14 +99,17 @@ def incremental(
     cursor_col: str,
     keys: Sequence[str],
     initial: Column | None = None,
+    order_col: str | None = None,
 ) -> DataFrame:
     """Load rows at or past the cursor and merge them by key.
 
     ``>=`` keeps rows tied with the last maximum; the keyed merge removes
-    the duplicates this re-reads, so a rerun changes nothing.
+    the duplicates this re-reads, so a rerun changes nothing. Of several
+    fresh rows of a key the one with the greatest ``order_col`` (by default
+    the cursor) wins.
     """
     fresh = source.where(F.col(cursor_col) >= cursor_value(state, cursor_col, initial))
-    return upsert(state, fresh, keys)
+    return upsert(state, fresh, keys, order_col or cursor_col)
 
 
 def current_quarter(today: date | None = None) -> tuple[int, int]:
@@ -159,49 +169,6 @@ def write_replacing_partitions(batch: DataFrame, path: str, keys: Sequence[str])
     )
 
 
-def write_merged(
-    spark: SparkSession,
-    batch: DataFrame,
-    table_root: str,
-    keys: Sequence[str],
-    order_col: str | None = None,
-) -> str:
-    """Keyed merge into a versioned parquet table under ``table_root``.
-
-    The merged result is written to a fresh version folder; then one commit
-    record (version path, time) is appended under ``_CURRENT``. Records are
-    only ever appended, each through Spark's commit protocol, so a job lost
-    at any point leaves the previous version current, and the version being
-    read is never overwritten. Returns the new version path.
-    """
-    current = current_version(spark, table_root)
-    if current is None:
-        merged = latest_per_key(batch, keys, order_col) if order_col else batch
-    else:
-        base = spark.read.parquet(current)
-        merged = upsert(base, batch, keys, order_col)
-    version = f"{table_root.rstrip('/')}/v-{uuid.uuid4().hex}"
-    merged.write.parquet(version)
-    record = spark.range(1).select(
-        F.lit(version).alias("version"), F.current_timestamp().cast("long").alias("committed_at"),
-        F.lit(time.time_ns()).alias("seq"),
-    )
-    record.coalesce(1).write.mode("append").json(f"{table_root.rstrip('/')}/_CURRENT")
-    return version
-
-
-def current_version(spark: SparkSession, table_root: str) -> str | None:
-    """Path of the current version of a table written by :func:`write_merged`."""
-    pointer = f"{table_root.rstrip('/')}/_CURRENT"
-    if not _path_exists(spark, pointer):
-        return None
-    rows = (
-        spark.read.schema("version string, committed_at long, seq long").json(pointer)
-        .orderBy(F.desc("seq"), F.desc("version")).select("version").take(1)
-    )
-    return rows[0][0] if rows else None
-
-
 def _path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -209,50 +176,48 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-BUCKET_COL = "_bucket"
-
-
 def write_merged_partitions(
     spark: SparkSession,
     batch: DataFrame,
     table_path: str,
     keys: Sequence[str],
-    order_col: str | None = None,
-    partition_cols: Sequence[str] | None = None,
-    buckets: int = 64,
+    order_col: str,
+    partition_cols: Sequence[str],
     staging_root: str | None = None,
 ) -> None:
     """Keyed merge that rewrites only the partitions the batch touches.
 
-    The table is partitioned by ``partition_cols`` (which must be part of
-    the key, so a key lives in exactly one partition) or, by default, by
-    ``pmod(xxhash64(keys), buckets)``. Only touched partitions are read
-    (partition pruning); the merged rows are staged first and then swapped
+    The table is partitioned by ``partition_cols``, which must be part of
+    the key, so a key lives in exactly one partition. Only touched
+    partitions are read; the merged rows are staged first and then swapped
     in with dynamic partition overwrite, so the job never overwrites what it
     is reading. Replaying a batch gives the same table (keyed merge).
+    ``order_col`` is stored when the table has it; a struct order is not.
     """
-    parts = list(partition_cols) if partition_cols else [BUCKET_COL]
-    if not partition_cols:
-        batch = batch.withColumn(
-            BUCKET_COL, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
-        )
-    if order_col is not None:
-        batch = latest_per_key(batch, keys, order_col)
-    if not _path_exists(spark, table_path):
-        # first load: nothing is read, so the batch is written in place
-        batch.hint("rebalance", *parts).write.partitionBy(*parts).parquet(table_path)
-        return
+    parts = list(partition_cols)
+    if not parts or not set(parts) <= set(keys):
+        raise ValueError(f"partition columns {parts} must be part of the key {list(keys)}")
+    newest = latest_per_key(batch, keys, order_col)
+    if isinstance(batch.schema[order_col].dataType, T.StructType):
+        newest = newest.drop(order_col)
     # the batch feeds the touched-partition list, the anti join and the union
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    newest = newest.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        touched = batch.select(*parts).distinct()
-        current = spark.read.schema(batch.schema).parquet(table_path)
-        current = current.join(touched, parts, "left_semi")
-        merged = upsert(current, batch.select(*current.columns), keys)
+        if newest.isEmpty():
+            return
+        if not _path_exists(spark, table_path):
+            # first load: nothing is read, so the batch is written in place
+            newest.hint("rebalance", *parts).write.partitionBy(*parts).parquet(table_path)
+            return
+        current = spark.read.schema(newest.schema).parquet(table_path)
+        marks = newest.select(*[F.col(p).alias(f"_part{i}") for i, p in enumerate(parts)]).distinct()
+        same = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"_part{i}")) for i, p in enumerate(parts)])
+        touched = current.join(marks, same, "left_semi")
+        merged = _without(touched, newest, keys).unionByName(newest)
         staging = f"{(staging_root or table_path).rstrip('/')}/_staging/{uuid.uuid4().hex}"
         merged.hint("rebalance", *parts).write.partitionBy(*parts).parquet(staging)
     finally:
-        batch.unpersist()
+        newest.unpersist()
     staged = spark.read.schema(merged.schema).parquet(staging)
     (
         staged.write.mode("overwrite")
@@ -282,42 +247,3 @@ def copy_namespace(spark: SparkSession, source_db: str, target_db: str) -> list[
         spark.table(f"{source_db}.{t.name}").write.mode("overwrite").saveAsTable(f"{target_db}.{t.name}")
         copied.append(t.name)
     return copied
-
-
-# --- bucketed keyed tables ----------------------------------------------------
-
-
-def write_keyed_table(df: DataFrame, name: str, keys: Sequence[str], buckets: int) -> None:
-    """Save ``df`` as a catalog table bucketed (and sorted) by ``keys``, so
-    later joins / merges on the key read it without shuffling it."""
-    (
-        df.write.mode("overwrite")
-        .bucketBy(buckets, *keys)
-        .sortBy(*keys)
-        .format("parquet")
-        .saveAsTable(name)
-    )
-
-
-def merge_into_bucketed(
-    spark: SparkSession,
-    name: str,
-    batch: DataFrame,
-    keys: Sequence[str],
-    order_col: str | None = None,
-) -> str:
-    """Keyed merge into a bucketed table: the table side of the anti join
-    keeps its bucket partitioning, so only the batch is shuffled (into the
-    table's buckets). The merged rows go to a new bucketed table that then
-    replaces the old one (the table being read is never overwritten).
-    Returns the name of the table holding the previous version."""
-    table = spark.table(name)
-    spec = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Num Buckets'").collect()
-    buckets = int(spec[0]["data_type"]) if spec else 200
-    merged = upsert(table, batch, keys, order_col)
-    staged = f"{name}__next"
-    write_keyed_table(merged, staged, keys, buckets)
-    previous = f"{name}__prev_{uuid.uuid4().hex[:8]}"
-    spark.sql(f"ALTER TABLE {name} RENAME TO {previous}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
-    return previous

@@ -75,13 +75,13 @@ def q_item_catalogue(spark: SparkSession, sf: str) -> DataFrame:
 # --- catalog from metadata documents ----------------------------------------
 
 
-def _parsed_docs(spark: SparkSession, sf: str, spread: bool = True) -> DataFrame:
-    return catalog.parse_documents(part_documents(table(spark, sf, "part", spread=spread)))
+def _parsed_docs(spark: SparkSession, sf: str) -> DataFrame:
+    return catalog.parse_documents(part_documents(table(spark, sf, "part")))
 
 
 @query("catalog_datasets")
 def q_catalog_datasets(spark: SparkSession, sf: str) -> DataFrame:
-    return catalog.datasets(_parsed_docs(spark, sf, spread=False))
+    return catalog.datasets(_parsed_docs(spark, sf))
 
 
 @query("schemas_from_json")
@@ -116,7 +116,7 @@ def q_lineage_nodes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("tag_text")
 def q_tag_text(spark: SparkSession, sf: str) -> DataFrame:
-    return catalog.tag_text_local(_parsed_docs(spark, sf))
+    return catalog.tag_text(_parsed_docs(spark, sf))
 
 
 @query("search_entries")
@@ -132,7 +132,7 @@ MEASURE_RULES = [("%_qty", "qty"), ("%_price", "price"), ("%_disc", "disc"), ("%
 
 @query("unpivot_measures")
 def q_unpivot_measures(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem", spread=True)
+    li = table(spark, sf, "lineitem")
     wide = li.select(
         "l_orderkey",
         "l_linenumber",
@@ -169,7 +169,7 @@ def _qty_text(suffix: str) -> F.Column:
 
 @query("soft_cast")
 def q_soft_cast(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem", spread=True)
+    li = table(spark, sf, "lineitem")
     n = F.col("l_linenumber")
     price_text = (
         F.when(n == 1, F.lit("n/a")).when(n == 2, F.lit("")).when(n == 3, _qty_text(".5"))
@@ -197,7 +197,7 @@ def q_soft_cast(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("text_dates_arrays")
 def q_text_dates_arrays(spark: SparkSession, sf: str) -> DataFrame:
-    orders = table(spark, sf, "orders", spread=True)
+    orders = table(spark, sf, "orders")
     status = F.col("o_orderstatus")
     prio = F.col("o_orderpriority")
     raw = orders.select(
@@ -314,6 +314,21 @@ def q_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return load.upsert(orders.select(*_ORDER_COLS), batch, ["o_orderkey"], "_seq")
 
 
+@query("upsert_versions")
+def q_upsert_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Keyed merge whose batch repeats keys and holds NULL keys: every line of
+    an order is a version of its row, the highest line number the newest."""
+    lines = table(spark, sf, "lineitem").select(
+        F.when(F.col("l_orderkey") % 97 != 0, F.col("l_orderkey")).alias("o_orderkey"),
+        F.concat(F.lit("line "), F.col("l_linenumber")).alias("o_orderstatus"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("_seq"),
+    )
+    orders = table(spark, sf, "orders").select(
+        F.when(F.col("o_orderkey") % 97 != 0, F.col("o_orderkey")).alias("o_orderkey"), "o_orderstatus"
+    )
+    return load.upsert(orders, lines.where("_seq % 3 = 0"), ["o_orderkey"], "_seq")
+
+
 CURSOR_START = "2024-01-16 00:00:00"
 
 
@@ -626,7 +641,7 @@ def _class_json(n: F.Column) -> F.Column:
 
 @query("object_or_list")
 def q_object_or_list(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "events", spread=True)
+    e = table(spark, sf, "events")
     label = F.concat(F.col("event_type"), F.lit(" "), F.col("event_id").cast("string"))
     uid = F.col("user_id").cast("string")
 
@@ -719,8 +734,8 @@ STREAM_SPLIT, STREAM_OVERLAP = "2024-01-16 00:00:00", "2024-01-15 00:00:00"
 @query("stream_keyed_load")
 def q_stream_keyed_load(spark: SparkSession, sf: str) -> DataFrame:
     """Two landed batches of events loaded by a file stream (availableNow)
-    into a bucketed keyed table; the second batch re-delivers one day with
-    changed rows, which replace the first delivery by key."""
+    into a keyed table partitioned by day; the second batch re-delivers one
+    day with changed rows, which replace the first delivery by key."""
     root = _scratch(spark, "stream")
     landing, target, ckpt = f"{root}/landing", f"{root}/table", f"{root}/checkpoint"
     events = table(spark, sf, "events")
@@ -730,12 +745,13 @@ def q_stream_keyed_load(spark: SparkSession, sf: str) -> DataFrame:
         events.where(ts >= F.lit(STREAM_OVERLAP).cast("timestamp_ntz"))
         .withColumn("event_type", F.upper("event_type")).withColumn("_seq", F.lit(2))
     )
+    first, second = (b.withColumn("_day", F.to_date("ts")) for b in (first, second))
     schema = T.StructType(first.schema.fields)
     for batch in (first, second):
         batch.write.mode("append").parquet(landing)
         start_keyed_load(
-            spark, landing, schema, target, ["event_id"], order_col="_seq", fmt="parquet",
-            checkpoint=ckpt, partitioned=True, buckets=16,
+            spark, landing, schema, target, ["_day", "event_id"], ["_day"], order_col="_seq", fmt="parquet",
+            checkpoint=ckpt,
         ).awaitTermination()
     return spark.read.parquet(target).select(*events.columns)
 
@@ -745,7 +761,7 @@ def q_metadata_reader(spark: SparkSession, sf: str) -> DataFrame:
     """Metadata documents written as JSON lines (nested parts as JSON values)
     and read back by the document reader, then flattened to tables."""
     out = _scratch(spark, "documents")
-    document_lines(part_documents(table(spark, sf, "part", spread=True))).write.text(out)
+    document_lines(part_documents(table(spark, sf, "part"))).write.text(out)
     return catalog.tables(catalog.parse_documents(read_metadata_lines(spark, out)))
 
 
@@ -790,7 +806,7 @@ def q_price_mart(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("export_datasets")
 def q_export_datasets(spark: SparkSession, sf: str) -> DataFrame:
-    return export.export_datasets(catalog.datasets(_parsed_docs(spark, sf, spread=False)))
+    return export.export_datasets(catalog.datasets(_parsed_docs(spark, sf)))
 
 
 @query("export_schemas")
@@ -837,7 +853,7 @@ def q_boundaries(spark: SparkSession, sf: str) -> DataFrame:
     """Boundary job: TopoJSON topologies (one per part row) decoded — arcs
     delta-decoded by a window per arc, reversed arcs, shared points — into
     GeoJSON prefecture boundaries."""
-    topologies = part_topologies(table(spark, sf, "part", spread=True))
+    topologies = part_topologies(table(spark, sf, "part"))
     return datasets.prefecture_boundaries(decode_topologies(topologies))
 
 
@@ -854,7 +870,7 @@ def q_population_csv(spark: SparkSession, sf: str) -> DataFrame:
     (Japanese headers, Shift-JIS, leading-zero codes, empty cells, two survey
     dates), read back by column name and reshaped to the long table."""
     out = _scratch(spark, "population")
-    c = table(spark, sf, "customer", spread=True)
+    c = table(spark, sf, "customer")
     k, n = F.col("c_custkey"), F.col("c_nationkey")
     inv = {v: src for src, v in datasets.POPULATION_KEYS}  # published name → source header
     cols = [

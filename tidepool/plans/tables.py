@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
-from tidepool.operators.joins import spread_narrow
 from tidepool.session import prepare
 
 TABLES = (
@@ -14,45 +12,7 @@ TABLES = (
 ).split()
 
 
-_SCHEMAS: dict[tuple, StructType] = {}
-_SPLITS: dict[tuple, int] = {}
-
-
-def _file_version(spark: SparkSession, path: str) -> tuple | None:
-    """(modification time, length) of a file or folder, None if unknown."""
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        status = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hpath)
-        return (status.getModificationTime(), status.getLen())
-    except Exception:  # noqa: BLE001 - e.g. Spark Connect: no cache
-        return None
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """Scan one driver table. ``spread`` hash-partitions a scan that yields
-    fewer partitions than the cluster's parallelism before CPU-heavy row
-    work (no-op for inputs already split into many partitions).
-
-    The parquet schema read from the footer is kept per (path, modification
-    time, size), so repeated scans of an unchanged table skip schema
-    inference."""
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan one driver table."""
     prepare(spark)
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    version = _file_version(spark, path)
-    key = (path, version)
-    if version is not None and key in _SCHEMAS:
-        df = spark.read.schema(_SCHEMAS[key]).parquet(path)
-    else:
-        df = spark.read.parquet(path)
-        if version is not None:
-            _SCHEMAS[key] = df.schema
-    if not spread:
-        return df
-    if version is None:
-        return spread_narrow(df)
-    # the scan's split count depends only on the file and the session's sizing
-    split_key = (key, spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    if split_key not in _SPLITS:
-        _SPLITS[split_key] = df.rdd.getNumPartitions()
-    return spread_narrow(df, current=_SPLITS[split_key])
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
