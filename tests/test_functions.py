@@ -105,3 +105,27 @@ def test_polymorphic_fields(spark):
     assert got[2][0] == '{"@code": "9"}' and got[2][1] == "9"
     lst = spark.createDataFrame([('[{"a":1},{"a":2}]',)], "j string")
     assert lst.select(F.size(as_json_list("j"))).first()[0] == 2
+
+
+def test_soft_bigint_rounds_once(spark):
+    values = ["0.49999999996", "-0.49999999996", "0.5", "-0.5", "1.45", " 2.55 ", "12.5", "1e3", "9" * 30, ".", "", "1.5x", None]
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    got = [r.v for r in df.select(soft_bigint("x").alias("v")).collect()]
+    assert got == [0, 0, 1, -1, 1, 3, 13, 1000, None, None, None, None, None]
+
+
+def test_text_array_of_many_items(spark):
+    names = [f"tag{k}" for k in range(20_000)]
+    rows = [("[" + ",".join(f'"{n}"' for n in names) + "]",), ("[" + ", ".join(names) + "]",), ("['a, b', c]",)]
+    got = [r.v for r in spark.createDataFrame(rows, "x string").select(text_array("x").alias("v")).collect()]
+    assert got == [names, names, ["a, b", "c"]]
+
+
+def test_contract_reports_missing_and_extra_columns(spark):
+    from tidepool.operators.maintain import contract_violations
+
+    df = spark.createDataFrame([(1, None, "x"), (2, "b", "y")], "k long, v string, extra string")
+    rows = {r.column_name: r for r in contract_violations(df, [("k", "bigint", True), ("v", "string", True), ("gone", "string", True)]).collect()}
+    assert (rows["k"].type_ok, rows["k"].violations) == (True, 0) and rows["v"].violations == 1
+    assert (rows["gone"].type_ok, rows["gone"].violations, rows["gone"].null_count) == (False, 2, None)
+    assert (rows["extra"].type_ok, rows["extra"].expected_type, rows["extra"].actual_type) == (False, None, "string")

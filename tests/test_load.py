@@ -182,3 +182,14 @@ def test_orphan_report_over_real_files(spark, tmp):
     assert summary.listed_count == files.count()
     assert summary.orphan_count == len(orphans) and summary.orphan_bytes == sum(r.size for r in orphans)
     assert summary.active_count + summary.orphan_count == summary.listed_count
+
+
+def test_checkpoint_folder_must_be_shared_outside_local_mode():
+    from types import SimpleNamespace
+
+    from tidepool.session import checkpoint_root
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077", getConf=lambda: conf))
+    with pytest.raises(ValueError):
+        checkpoint_root(cluster)

@@ -99,43 +99,13 @@ def test_lineage_edges_are_within_nodes(spark):
     assert defaults.where("resource_type <> 'model' OR materialized <> 'view' OR meta_json <> '{}'").count() == 0
 
 
-def test_document_from_a_yaml_config(spark, tmp):
-    from tidepool.sources.configs import read_dataset_configs
-
-    (tmp / "stats").mkdir()
-    (tmp / "stats" / "dataset.yml").write_text(
-        'title: "Stats"\ndescription: "d"\npublic_url: "https://lake.example.org"\n'
-        'schemas:\n  main:\n    title: "Main"\n', encoding="utf-8")
-    configs = metadata.config_rows(read_dataset_configs(spark, str(tmp / "stats" / "dataset.yml")))
-    nodes = spark.createDataFrame(
-        [("model.stats.pop", "model", ["stats", "main", "pop"], "main", "pop", "people", "table", "select 1", {})],
-        "unique_id string, resource_type string, fqn array<string>, schema string, name string, "
-        "description string, materialized string, compiled_code string, meta map<string,string>",
-    )
-    cols = spark.createDataFrame([], "unique_id string, position int, name string, title string, "
-                                     "description string, data_type string, nullable boolean")
-    pmap = spark.createDataFrame([("stats", "pop", [])], "datasource string, child string, parents array<string>")
-    lnodes = spark.createDataFrame([("stats", "pop", ["stats", "main", "pop"], "model", "table", {})],
-                                   "datasource string, name string, fqn array<string>, resource_type string, "
-                                   "materialized string, meta map<string,string>")
-    doc = metadata.build_documents(configs, metadata.model_rows(nodes), cols, pmap, lnodes).first()
-    body = json.loads(doc.document)
-    assert doc.datasource == "stats" and doc.total_tables == 1
-    assert body["ducklake_url"] == "https://lake.example.org/stats/ducklake.duckdb"
-    assert body["schemas"]["main"]["title"] == "Main" and body["schemas"]["main"]["tables"][0]["name"] == "pop"
-    assert "readme" not in body and body["tags"] == []
-
-
 def test_stub_documents_for_datasets_without_metadata(spark, tmp):
     from tidepool.operators import catalog
-    from tidepool.sources.configs import read_dataset_configs
 
-    for name in ("stats", "fresh"):
-        (tmp / name).mkdir()
-        (tmp / name / "dataset.yml").write_text(
-            f'title: "{name}"\npublic_url: "https://p.example"\ntags: ["t"]\n'
-            'schemas:\n  main:\n    title: "Main"\n  extra: {}\n', encoding="utf-8")
-    configs = metadata.config_rows(read_dataset_configs(spark, [str(tmp / n / "dataset.yml") for n in ("stats", "fresh")]))
+    configs = spark.createDataFrame(
+        [(n, n, None, ["t"], f"https://p.example/{n}/ducklake.duckdb", [("main", "Main"), ("extra", None)]) for n in ("stats", "fresh")],
+        "datasource string, title string, description string, tags array<string>, ducklake_url string, "
+        "schemas array<struct<name:string,title:string>>")
     docs = spark.createDataFrame(
         [("stats", "Stats", "d", None, '["x"]', "u", '{"main":{"title":"Main","tables":[{"name":"pop"}]}}',
           None, None, None)],

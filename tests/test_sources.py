@@ -122,33 +122,6 @@ def test_statistics_views_push_prefix(spark):
     assert views["K"].count() == 0
 
 
-def test_dataset_configs_from_yaml(spark, tmp):
-    from tidepool.sources.configs import read_dataset_configs
-
-    (tmp / "maps").mkdir()
-    (tmp / "maps" / "dataset.yml").write_text(
-        'title: "地図データ"\n'
-        'cover: "🗾"\n'
-        'tags: ["GIS", "境界"]\n'
-        'public_url: "https://lake.example.org"\n'
-        "s3_url: \"s3://{{ env_var('LAKE_BUCKET', 'fallback') }}\"\n"
-        "dependencies:\n  - alias: \"dwh\"\n    ducklake_url: \"https://x.example/dwh.ducklake\"\n"
-        "schemas:\n  boundaries:\n    title: \"Boundaries\"\n  stats: {}\n",
-        encoding="utf-8",
-    )
-    (tmp / "named").mkdir()
-    (tmp / "named" / "dataset.yml").write_text('name: "own_name"\npublic_url: "https://p.example"\n')
-    rows = {r.name: r for r in read_dataset_configs(
-        spark, [str(tmp / "maps" / "dataset.yml"), str(tmp / "named" / "dataset.yml")]).collect()}
-    maps = rows["maps"]  # name from the folder
-    assert maps.ducklake_url == "https://lake.example.org/maps/ducklake.duckdb"
-    assert maps.s3_url == "s3://fallback" and maps.tags == ["GIS", "境界"]
-    assert [(s.name, s.title) for s in maps.schemas] == [("boundaries", "Boundaries"), ("stats", "")]
-    assert [(d.alias, d.ducklake_url) for d in maps.dependencies] == [("dwh", "https://x.example/dwh.ducklake")]
-    own = rows["own_name"]
-    assert own.dependencies is None and own.schemas == [] and own.title == ""
-
-
 def test_positional_csv_and_population_periods(spark, tmp):
     from tidepool.sources.csv import read_csv_positional
 
@@ -186,3 +159,52 @@ def test_topojson_without_transform_uses_absolute_points(spark, tmp):
     row = rows["082201"]
     assert (row.lg_code, row.city_name, row.county_name) == ("082201", "つくば市", None)
     assert json.loads(row.geometry)["coordinates"] == [[[1.5, 2.0], [3.0, 2.0], [3.0, 4.0], [1.5, 4.0], [1.5, 2.0]]]
+
+
+def test_topojson_keeps_every_geometry_type(spark, tmp):
+    topo = {
+        "type": "Topology", "transform": {"scale": [2, 2], "translate": [1, 1]},
+        "arcs": [[[0, 0], [1, 0]], [[1, 0], [0, 1]]],
+        "objects": {
+            "mixed": {"type": "GeometryCollection", "geometries": [
+                {"type": "Point", "coordinates": [1, 2]},
+                {"type": "MultiPoint", "coordinates": [[0, 0], [1, 1]]},
+                {"type": "LineString", "arcs": [0, 1]},
+                {"type": "MultiLineString", "arcs": [[0], [-2]]},
+                {"type": None}]},
+            "bare": {"type": "LineString", "arcs": [-1], "properties": {"k": "v"}},
+            "empty": {"type": "GeometryCollection", "geometries": []},
+        },
+    }
+    (tmp / "g.topojson").write_text(json.dumps(topo))
+    rows = read_topojson(spark, str(tmp / "g.topojson")).orderBy("object", "feature_index").collect()
+    got = [(r.object, r.type, r.geometry and json.loads(r.geometry)["coordinates"]) for r in rows]
+    assert got == [
+        ("bare", "LineString", [[3, 1], [1, 1]]),
+        ("mixed", "Point", [3, 5]),
+        ("mixed", "MultiPoint", [[1, 1], [3, 3]]),
+        ("mixed", "LineString", [[1, 1], [3, 1], [3, 3]]),
+        ("mixed", "MultiLineString", [[[1, 1], [3, 1]], [[3, 3], [3, 1]]]),
+        ("mixed", None, None),
+    ]
+    assert rows[0].properties == {"k": "v"}
+
+
+def test_csv_files_with_different_headers(spark, tmp):
+    (tmp / "a.csv").write_text("code,name,v\n001,alpha,1\n")
+    (tmp / "b.csv").write_text("name,code,v\nbeta,002,2\n")
+    (tmp / "c.csv").write_text("code,v\n003,3\n")
+    (tmp / "d.csv").write_text('code,name,v\n004,"de,lta",4\n')
+    rows = read_csv_named(spark, [str(tmp / f"{x}.csv") for x in "abcd"], {"v": "bigint"}).select("code", "name", "v").collect()
+    assert sorted(map(tuple, rows)) == [("001", "alpha", 1), ("002", "beta", 2), ("003", None, 3), ("004", "de,lta", 4)]
+
+
+def test_documents_under_paths_with_blanks(spark, tmp):
+    folder = tmp / "folder one+%"
+    folder.mkdir()
+    (folder / "metadata.json").write_text(json.dumps({"title": "T"}))
+    from tidepool.sources.documents import read_metadata_documents
+
+    got = read_metadata_documents(spark, {"beta": str(folder / "metadata.json")})
+    assert [(r.datasource, r.title) for r in got.collect()] == [("beta", "T")]
+    assert [r.datasource for r in read_metadata_documents(spark, [str(folder / "metadata.json")]).collect()] == ["folder one+%"]

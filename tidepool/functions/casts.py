@@ -1,8 +1,8 @@
 """Soft casts of source text, matching the lake engine's TRY_CAST rules.
 
 Spark's ``try_cast('12.5' AS bigint)`` is NULL while the publishing
-engine rounds half away from zero; going through ``decimal(38,10)``
-gives the same answer (``12.5`` → 13, ``-12.5`` → -13, ``1e3`` → 1000).
+engine rounds half away from zero (``12.5`` → 13, ``-12.5`` → -13,
+``1e3`` → 1000). A plain decimal is rounded once, from its first decimal.
 Spark also accepts ``'1d'``/``'1f'`` suffixes as doubles, so the double
 cast is guarded by a plain numeric pattern.
 """
@@ -20,10 +20,14 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Plain decimal text with more than one decimal: what rounding does not look at.
+_LATER_DECIMALS = r"^(\s*[+-]?\d*\.\d)\d+(\s*)$"
+
+
 def soft_bigint(c: str | Column) -> Column:
     """Text → bigint, rounding decimals half away from zero; junk → NULL."""
-    as_dec = _col(c).try_cast("decimal(38,10)")
-    return F.round(as_dec, 0).try_cast("bigint")
+    first = F.regexp_replace(_col(c), _LATER_DECIMALS, "$1$2")
+    return F.round(first.try_cast("decimal(38,10)"), 0).try_cast("bigint")
 
 
 def soft_double(c: str | Column) -> Column:
@@ -37,14 +41,14 @@ def text_date(c: str | Column) -> Column:
     return _col(c).cast("date")
 
 
-# Commas outside double quotes / outside single quotes (balanced quotes assumed).
-_SEP_DOUBLE = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-_SEP_SINGLE = r",(?=(?:[^']*'[^']*')*[^']*$)"
+# One item of a bare list and the comma behind it: a quoted text, or a run without commas.
+_ITEM = r"""(\s*"[^"]*"\s*|\s*'[^']*'\s*|[^,]*),"""
 
 
 def _bare_list(inner: Column) -> Column:
     """Items of a bare ``a, "b, c", 'd', NULL`` list: trimmed, one layer of
-    quotes removed, unquoted NULL → NULL."""
+    quotes removed, unquoted NULL → NULL. One pass, no look-around: lists of
+    any length."""
 
     def item(e: Column) -> Column:
         t = F.trim(e)
@@ -54,11 +58,10 @@ def _bare_list(inner: Column) -> Column:
         unquoted = F.when(quoted, F.substring(t, F.lit(2), F.length(t) - F.lit(2))).otherwise(t)
         return F.when(F.upper(t) == "NULL", F.lit(None).cast("string")).otherwise(unquoted)
 
-    items = (
-        F.when(F.contains(inner, F.lit('"')), F.split(inner, _SEP_DOUBLE))
-        .when(F.contains(inner, F.lit("'")), F.split(inner, _SEP_SINGLE))
-        .otherwise(F.split(inner, ","))
-    )
+    # a comma is put behind the last item, so every item ends with one
+    closed = F.concat(inner, F.lit(","))
+    quotes = F.contains(inner, F.lit('"')) | F.contains(inner, F.lit("'"))
+    items = F.when(quotes, F.regexp_extract_all(closed, F.lit(_ITEM), F.lit(1))).otherwise(F.split(inner, ","))
     return F.when(F.trim(inner) == "", F.array().cast("array<string>")).otherwise(F.transform(items, item))
 
 

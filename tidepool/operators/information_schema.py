@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Databases never reported.
-METADATA_DB_PREFIX = "__ducklake_metadata"
+# Databases never reported. A LIKE pattern: each underscore stands for any character.
+METADATA_DB_PATTERN = "__ducklake_metadata%"
 SYSTEM_DATABASES = ("system", "temp", "memory")
 
 KEYS = ["database_name", "schema_name", "table_name"]
@@ -34,7 +34,7 @@ def relation_columns(
 
     rel = relations(tables, "BASE TABLE").unionByName(relations(views, "VIEW"))
     rel = rel.where(
-        ~F.col("database_name").startswith(METADATA_DB_PREFIX)
+        ~F.col("database_name").like(METADATA_DB_PATTERN)
         & ~F.col("database_name").isin(*SYSTEM_DATABASES)
         & F.upper("schema_name").isin(*[s.upper() for s in schemas])
     )

@@ -64,27 +64,32 @@ def contract_violations(
 ) -> DataFrame:
     """Check ``(column, expected simple type, not_null)`` against ``df``.
 
-    One aggregation counts NULLs of every present column; the result has
-    one row per contract column: expected/actual type, ``type_ok``, NULL
-    count and the number of rows violating ``not_null``."""
+    One aggregation counts rows and the NULLs of every present column. The
+    result has one row per contract column — expected/actual type,
+    ``type_ok``, NULL count, and the rows violating ``not_null`` (all of them
+    when the column is missing) — and one per column the contract does not
+    name (no expected type, ``type_ok`` false)."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    declared = {c for c, _, _ in contract}
     present = [c for c, _, _ in contract if c in actual]
     counts = df.agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).cast("bigint").alias(c) for c in present],
     )
     rows = []
-    for name, expected, not_null in contract:
-        nulls = F.col(name) if name in actual else F.lit(None).cast("bigint")
+    for name, expected, not_null in [*contract, *[(c, None, False) for c in actual if c not in declared]]:
+        checked = name in present
+        nulls = F.col(name) if checked else F.lit(None).cast("bigint")
+        violated = F.coalesce(nulls, F.lit(0).cast("bigint")) if checked else F.col("_rows")
         rows.append(
             F.struct(
                 F.lit(name).alias("column_name"),
-                F.lit(expected).alias("expected_type"),
+                F.lit(expected).cast("string").alias("expected_type"),
                 F.lit(actual.get(name)).cast("string").alias("actual_type"),
-                F.lit(actual.get(name) == expected).alias("type_ok"),
+                F.lit(expected is not None and actual.get(name) == expected).alias("type_ok"),
                 nulls.alias("null_count"),
                 F.lit(not_null).alias("not_null"),
-                (nulls if not_null else F.lit(0).cast("bigint")).alias("violations"),
+                (violated if not_null else F.lit(0).cast("bigint")).alias("violations"),
             )
         )
     return counts.select(F.inline(F.array(*rows)))

@@ -134,26 +134,14 @@ def build_documents(
     )
 
 
-def config_rows(configs: DataFrame, readmes: DataFrame | None = None) -> DataFrame:
-    """Rows of :func:`tidepool.sources.configs.read_dataset_configs` shaped
-    as the ``configs`` input of :func:`build_documents` (datasource = name;
-    README text joined by datasource when given, else NULL)."""
-    out = configs.select(
-        F.col("name").alias("datasource"), "title", "description", "cover", "tags", "ducklake_url",
-        "schemas", "dependencies",
-    )
-    if readmes is None:
-        return out.withColumn("readme", F.lit(None).cast("string"))
-    return out.join(readmes.select("datasource", "readme"), "datasource", "left")
-
-
 def with_stub_documents(docs: DataFrame, configs: DataFrame) -> DataFrame:
     """Metadata documents plus a stub for every configured dataset that has
     none yet: config title, description, tags and catalog URL, its declared
     schemas with no tables, and empty lineage.
 
-    ``docs`` has the document columns (JSON parts as text); ``configs`` the
-    columns of :func:`config_rows`."""
+    ``docs`` has the document columns (JSON parts as text); ``configs``
+    is a table (datasource, title, description, tags array, ducklake_url,
+    schemas array of (name, title))."""
     missing = configs.join(docs.select("datasource"), "datasource", "left_anti")
     stubs = missing.selectExpr(
         "datasource",

@@ -57,12 +57,16 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def tag_periods(
-    df: DataFrame, period_of: Column, periods: Sequence[int], period_col: str = "period"
+    df: DataFrame, period_of: Column, periods: Sequence[int] | None = None, period_col: str = "period"
 ) -> DataFrame:
-    """Union of one slice per period, expressed as one scan: rows whose
-    period is listed, tagged with it (same rows as UNION ALL of filtered
-    selects, without reading the source once per period)."""
-    return df.withColumn(period_col, period_of).where(F.col(period_col).isin(list(periods)))
+    """Union of one slice per period, expressed as one scan: rows tagged with
+    their period (same rows as UNION ALL of filtered selects, without reading
+    the source once per period). ``periods`` keeps only those listed; without
+    it every row that has a period is kept."""
+    tagged = df.withColumn(period_col, period_of)
+    if periods is None:
+        return tagged.where(F.col(period_col).isNotNull())
+    return tagged.where(F.col(period_col).isin(list(periods)))
 
 
 def read_periods(readers: Mapping[int, DataFrame], period_col: str = "period") -> DataFrame:

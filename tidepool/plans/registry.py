@@ -174,7 +174,7 @@ def q_soft_cast(spark: SparkSession, sf: str) -> DataFrame:
     price_text = (
         F.when(n == 1, F.lit("n/a")).when(n == 2, F.lit("")).when(n == 3, _qty_text(".5"))
         .when(n == 4, F.concat(F.lit("-"), _qty_text(".5"))).when(n == 5, _qty_text("e2"))
-        .when(n == 6, F.concat(F.lit("1,"), _qty_text(""))).otherwise(_qty_text(".25"))
+        .when(n == 6, F.concat(F.lit("1,"), _qty_text(""))).otherwise(_qty_text(".49999999996"))
     )
     area_text = (
         F.when(n == 1, _qty_text(".5d")).when(n == 2, F.lit(".5")).when(n == 3, _qty_text("."))
@@ -225,13 +225,10 @@ def q_text_dates_arrays(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-SURVEY_YEARS = [1995, 1997, 1999, 2001]
-
-
 @query("union_periods")
 def q_union_periods(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders")
-    return reshape.tag_periods(orders, F.year("o_orderdate"), SURVEY_YEARS).select(
+    return reshape.tag_periods(orders, F.year("o_orderdate")).select(
         "period", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
     )
 
@@ -391,15 +388,16 @@ def q_export_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("self_fallback")
 def q_self_fallback(spark: SparkSession, sf: str) -> DataFrame:
-    rich = table(spark, sf, "customer").where(F.col("c_acctbal") > 9900).select(
+    rows = table(spark, sf, "customer").select(
         F.col("c_nationkey").alias("nationkey"), F.col("c_name").alias("name"),
         F.lit("export").alias("origin"),
     )
+    # doubled keys: those beyond the last nation have no customer
     nations = table(spark, sf, "nation").select(
-        F.col("n_nationkey").alias("nationkey"), F.col("n_name").alias("name"),
+        (F.col("n_nationkey") * 2).alias("nationkey"), F.col("n_name").alias("name"),
         F.lit("fallback").alias("origin"),
     )
-    return export.with_fallback(rich, nations, ["nationkey"])
+    return export.with_fallback(rows, nations, ["nationkey"])
 
 
 # --- maintenance ------------------------------------------------------------
@@ -489,6 +487,7 @@ def q_information_schema(spark: SparkSession, sf: str) -> DataFrame:
     )
     views = cust.select(
         F.when(F.col("c_mktsegment") == "MACHINERY", F.lit("__ducklake_metadata_lake"))
+        .when(F.col("c_mktsegment") == "BUILDING", F.lit("abducklake_metadata_x"))
         .otherwise(F.lit("lake")).alias("database_name"),
         F.lower("n_name").alias("schema_name"), F.col("c_name").alias("table_name"),
         F.col("c_mktsegment").alias("comment"),
@@ -504,10 +503,11 @@ def q_information_schema(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(None).cast("string").alias("comment"),
     )
     od = table(spark, sf, "orders").join(
-        cust.select("c_custkey", "c_name", "n_name"), F.col("o_custkey") == F.col("c_custkey")
+        cust.select("c_custkey", "c_name", "n_name", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey")
     )
     cols_v = od.select(
-        F.lit("lake").alias("database_name"), F.lower("n_name").alias("schema_name"),
+        F.when(F.col("c_mktsegment") == "BUILDING", F.lit("abducklake_metadata_x"))
+        .otherwise(F.lit("lake")).alias("database_name"), F.lower("n_name").alias("schema_name"),
         F.col("c_name").alias("table_name"),
         F.concat(F.lit("o_"), F.col("o_orderkey").cast("string")).alias("column_name"),
         F.lit(1).alias("column_index"), F.lit("BIGINT").alias("data_type"),
@@ -850,9 +850,8 @@ def q_postal_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("boundaries")
 def q_boundaries(spark: SparkSession, sf: str) -> DataFrame:
-    """Boundary job: TopoJSON topologies (one per part row) decoded — arcs
-    delta-decoded by a window per arc, reversed arcs, shared points — into
-    GeoJSON prefecture boundaries."""
+    """Boundary job: TopoJSON topologies (one per part row) decoded — delta-coded
+    arcs, reversed arcs, shared points — into GeoJSON prefecture boundaries."""
     topologies = part_topologies(table(spark, sf, "part"))
     return datasets.prefecture_boundaries(decode_topologies(topologies))
 

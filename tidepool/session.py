@@ -31,8 +31,9 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; a private temporary
-    folder is used only when nothing is configured (local tests).
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session
+    may leave it unset and gets a private temporary folder; elsewhere
+    executors could not see each other's files, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -42,7 +43,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        # nothing configured (local tests): a private folder, never on a cluster
+        if sc is None or not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tidepool-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(root)

@@ -1,8 +1,8 @@
 """CSV readers: typed columns by name, legacy encodings, zipped members.
 
-Header names are read from the first line only; every column is read as
+Header names are read from each file's first line; every column is read as
 text and then cast by name, so codes with leading zeros stay text and the
-column order of the file does not matter. Short rows are padded with NULL
+column order of a file does not matter. Short rows are padded with NULL
 (PERMISSIVE), like ``null_padding``.
 """
 
@@ -33,6 +33,25 @@ def _paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
+def _headers(spark: SparkSession, files: Sequence[str], encoding: str) -> list[tuple[list[str], list[str]]]:
+    """Header line → the files that begin with it: (column names, files).
+
+    Only the first line of each file is read (``limit`` per file is not needed:
+    the header row is the one at the start of its file)."""
+    raw = (
+        spark.read.option("header", False).option("encoding", encoding).option("mode", "PERMISSIVE")
+        .schema("line string").option("sep", "\u0000").option("quote", "\u0000").csv(list(files))
+        .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "line")
+    )
+    first = raw.where("at = 0").groupBy("file").agg(F.first("line").alias("line"))
+    grouped = first.groupBy("line").agg(F.collect_list("file").alias("files")).orderBy("line").collect()
+    parsed = []
+    for r in grouped:
+        names = spark.read.option("header", True).option("encoding", encoding).csv(r["files"][:1]).columns
+        parsed.append((names, r["files"]))
+    return parsed
+
+
 def read_csv_named(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -42,15 +61,27 @@ def read_csv_named(
 ) -> DataFrame:
     """Header CSV → DataFrame with ``types`` applied by column name
     (``string``, ``date``, ``bigint``, ``int``, ``double``); other columns
-    get ``default``. Several paths are read in one scan."""
+    get ``default``.
+
+    Files may hold their columns in different orders or lack some: files with
+    the same header line are read in one scan, and the scans are united by
+    name (a column that a file lacks is NULL there)."""
     prepare(spark)
-    files = _paths(paths)
-    reader = spark.read.option("header", True).option("encoding", encoding).option("mode", "PERMISSIVE")
-    header = reader.csv(files).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    raw = reader.schema(schema).csv(files)
     types = dict(types or {})
-    return raw.select(*[_CAST[types.get(c, default)](F.col(f"`{c}`")).alias(c) for c in header])
+    reader = spark.read.option("header", True).option("encoding", encoding).option("mode", "PERMISSIVE")
+
+    def one(names: list[str], files: list[str]) -> DataFrame:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        raw = reader.schema(schema).csv(files)
+        return raw.select(*[_CAST[types.get(c, default)](F.col(f"`{c}`")).alias(c) for c in names])
+
+    parts = [one(names, files) for names, files in _headers(spark, _paths(paths), encoding)]
+    if not parts:
+        return one(reader.csv(_paths(paths)).columns, _paths(paths))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def read_csv_positional(

@@ -35,20 +35,20 @@ def read_metadata_documents(
     ``…/<datasource>/metadata.json`` (the datasource is the folder name).
     """
     prepare(spark)
-    if isinstance(paths, Mapping):
-        by_file = {v: k for k, v in paths.items()}
-        files = list(paths.values())
-    else:
-        by_file, files = None, list(paths)
+    files = list(paths.values()) if isinstance(paths, Mapping) else list(paths)
     raw = spark.read.schema(DOCUMENT_SCHEMA).option("multiLine", True).json(files)
-    file_path = F.col("_metadata.file_path")
-    if by_file is None:
-        ds = F.regexp_extract(file_path, r"([^/]+)/[^/]+$", 1)
+    # file paths come percent-encoded
+    raw = raw.withColumn("_file", F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
+    if isinstance(paths, Mapping):
+        known = spark.createDataFrame([(_uri(f), d) for d, f in paths.items()], "_known string, datasource string")
+        same = F.regexp_replace("_file", "^file:/+", "file:/") == F.col("_known")
+        raw = raw.join(F.broadcast(known), same, "left").withColumn(
+            "datasource", F.coalesce("datasource", F.raise_error(F.concat(F.lit("no datasource for "), F.col("_file"))).cast("string"))
+        )
     else:
-        mapping = F.create_map(*[x for f, d in by_file.items() for x in (F.lit(_uri(f)), F.lit(d))])
-        ds = F.coalesce(mapping[file_path], F.regexp_extract(file_path, r"([^/]+)/[^/]+$", 1))
+        raw = raw.withColumn("datasource", F.regexp_extract("_file", r"([^/]+)/[^/]+$", 1))
     return raw.select(
-        ds.alias("datasource"),
+        "datasource",
         *[F.col(c) for c in TEXT_PARTS],
         *[F.get_json_object(c, "$").alias(c) for c in JSON_PARTS],
     ).select("datasource", "title", "description", "cover", "tags", "ducklake_url", "schemas",
@@ -84,7 +84,9 @@ def document_lines(docs: DataFrame) -> DataFrame:
 
 
 def _uri(path: str) -> str:
-    return path if "://" in path else "file:" + path
+    """The path as the reader names it: local paths under ``file:/``."""
+    uri = path if "://" in path or path.startswith("file:") else "file:" + path
+    return "file:/" + uri.removeprefix("file:").lstrip("/") if uri.startswith("file:") else uri
 
 
 def registry_paths(datasources: Sequence[str], base: str) -> dict[str, str]:

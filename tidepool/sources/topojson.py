@@ -6,102 +6,87 @@ indexes, a negative index ``~i`` meaning arc ``i`` reversed. With a
 geospatial types are off by default, so geometries are emitted as
 GeoJSON text (``Polygon`` / ``MultiPolygon``).
 
-Plan (all JVM-side): parse each topology once; explode arcs to points and
-decode the delta coding with a running-sum window per arc (a window
-partition is one arc); explode features → polygons → rings → arc
-references and join them to the arc points on (topology, arc); order the
-points of each ring (arc order, reversed arcs read backwards, the point an
-arc shares with the previous one dropped), collect each ring, then each
-feature's rings, and nest them into polygons.
+Plan (all JVM-side): each topology is parsed once and decoded inside its
+row — arcs by running sums, rings by chaining arc references — then its
+features are exploded: no shuffle, window or broadcast. A topology is one
+document; its size is bounded by the file that holds it.
+
+All geometry types are kept: points, lines, polygons and their multi forms;
+an object may be a collection or a bare geometry. A feature without a type
+has a NULL geometry.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.session import prepare
 
+_GEOMETRY = "type:string,arcs:string,coordinates:string,properties:map<string,string>"
 TOPOLOGY_SCHEMA = (
     "struct<transform:struct<scale:array<double>,translate:array<double>>,"
     "arcs:array<array<array<double>>>,"
-    "objects:map<string,struct<geometries:array<struct<type:string,arcs:string,"
-    "properties:map<string,string>>>>>>"
+    f"objects:map<string,struct<{_GEOMETRY},geometries:array<struct<{_GEOMETRY}>>>>>"
 )
 
+# A stored position → coordinates; without a transform positions are absolute.
+_SCALED = "CASE WHEN size({t}.scale) = 2 THEN array({x} * {t}.scale[0] + {t}.translate[0], {y} * {t}.scale[1] + {t}.translate[1]) ELSE array({x}, {y}) END"
 
-def _arc_points(topo: DataFrame) -> DataFrame:
-    """(source, arc_id, pos, n, x, y): decoded coordinates of every arc point."""
-    pts = topo.select(
-        "source",
-        F.col("t.transform.scale").alias("_scale"),
-        F.col("t.transform.translate").alias("_translate"),
-        F.posexplode("t.arcs").alias("arc_id", "_pts"),
-    ).select(
-        "source", "_scale", "_translate", "arc_id",
-        F.size("_pts").alias("n"),
-        F.posexplode("_pts").alias("pos", "_p"),
-    )
-    arc = Window.partitionBy("source", "arc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    quantised = F.size("_scale") == 2
-    qx = F.sum(F.get("_p", 0)).over(arc)
-    qy = F.sum(F.get("_p", 1)).over(arc)
-    return pts.select(
-        "source", "arc_id", "pos", "n",
-        F.when(quantised, qx * F.get("_scale", 0) + F.get("_translate", 0)).otherwise(F.get("_p", 0)).alias("x"),
-        F.when(quantised, qy * F.get("_scale", 1) + F.get("_translate", 1)).otherwise(F.get("_p", 1)).alias("y"),
-    )
+# The points of every arc: running sums of the deltas when quantised.
+_ARC_POINTS = (
+    "transform(t.arcs, a -> CASE WHEN size(t.transform.scale) = 2 THEN aggregate(a, "
+    "named_struct('x', 0D, 'y', 0D, 'pts', CAST(array() AS array<array<double>>)), "
+    "(s, p) -> named_struct('x', s.x + p[0], 'y', s.y + p[1], 'pts', concat(s.pts, array("
+    "array((s.x + p[0]) * t.transform.scale[0] + t.transform.translate[0], "
+    "(s.y + p[1]) * t.transform.scale[1] + t.transform.translate[1])))), s -> s.pts) "
+    "ELSE transform(a, p -> array(p[0], p[1])) END)"
+)
+
+
+def _line(refs: str) -> str:
+    """Points of chained arcs: ``~i`` is arc i backwards, and the point that an
+    arc shares with the one before it stands once."""
+    arc = "(CASE WHEN r >= 0 THEN _arcs[r] ELSE reverse(_arcs[-r - 1]) END)"
+    return f"flatten(transform({refs}, (r, i) -> CASE WHEN i = 0 THEN {arc} ELSE slice({arc}, 2, greatest(size({arc}) - 1, 0)) END))"
+
+
+def _geojson(kind: str, coordinates: str) -> str:
+    return f"WHEN _g.type = '{kind}' THEN to_json(named_struct('type', '{kind}', 'coordinates', {coordinates}))"
+
+
+def _position(p: str) -> str:
+    return _SCALED.format(t="_transform", x=f"{p}[0]", y=f"{p}[1]")
+
+
+_GEOMETRY_TEXT = "CASE " + " ".join([
+    _geojson("Point", f"transform(array(from_json(_g.coordinates, 'array<double>')), p -> {_position('p')})[0]"),
+    _geojson("MultiPoint", f"transform(from_json(_g.coordinates, 'array<array<double>>'), p -> {_position('p')})"),
+    _geojson("LineString", _line("from_json(_g.arcs, 'array<int>')")),
+    _geojson("MultiLineString", f"transform(from_json(_g.arcs, 'array<array<int>>'), l -> {_line('l')})"),
+    "WHEN _g.arcs IS NULL OR _g.arcs IN ('[]', '[[]]') THEN NULL",
+    _geojson("Polygon", f"transform(from_json(_g.arcs, 'array<array<int>>'), l -> {_line('l')})"),
+    _geojson("MultiPolygon", f"transform(from_json(_g.arcs, 'array<array<array<int>>>'), m -> transform(m, l -> {_line('l')}))"),
+]) + " END"
 
 
 def decode_topologies(texts: DataFrame, object_name: str | None = None) -> DataFrame:
     """Topology JSON text rows (source, value) → features: (source, object,
     feature_index, type, properties map, geometry GeoJSON text)."""
     topo = texts.select("source", F.from_json("value", TOPOLOGY_SCHEMA).alias("t"))
-    feats = topo.select("source", F.explode("t.objects").alias("object", "_o"))
+    topo = topo.selectExpr("source", "t.transform AS _transform", "t.objects AS _objects", f"{_ARC_POINTS} AS _arcs")
+    feats = topo.select("source", "_transform", "_arcs", F.explode("_objects").alias("object", "_o"))
     if object_name is not None:
         feats = feats.where(F.col("object") == object_name)
-    feats = feats.select("source", "object", F.posexplode("_o.geometries").alias("feature_index", "_g"))
-    feats = feats.select(
-        "source", "object", "feature_index",
-        F.col("_g.type").alias("type"), F.col("_g.properties").alias("properties"),
-        F.when(F.col("_g.type") == "Polygon", F.array(F.from_json("_g.arcs", "array<array<int>>")))
-        .when(F.col("_g.type") == "MultiPolygon", F.from_json("_g.arcs", "array<array<array<int>>>"))
-        .alias("_polys"),
-    )
-    key = ["source", "object", "feature_index"]
-    refs = (
-        feats.select(*key, F.posexplode("_polys").alias("poly", "_rings"))
-        .select(*key, "poly", F.posexplode("_rings").alias("ring", "_refs"))
-        .select(*key, "poly", "ring", F.posexplode("_refs").alias("seq", "ref"))
-        .withColumn("arc_id", F.when(F.col("ref") >= 0, F.col("ref")).otherwise(-F.col("ref") - 1))
-    )
-    points = refs.join(_arc_points(topo), ["source", "arc_id"])
-    # position of the point along the ring's walk of this arc
-    along = F.when(F.col("ref") >= 0, F.col("pos")).otherwise(F.col("n") - 1 - F.col("pos"))
-    walked = points.where((F.col("seq") == 0) | (along > 0)).select(
-        *key, "poly", "ring", F.struct("seq", along.alias("along"), "x", "y").alias("_pt")
-    )
-    rings = walked.groupBy(*key, "poly", "ring").agg(
-        F.transform(F.array_sort(F.collect_list("_pt")), lambda p: F.array(p["x"], p["y"])).alias("pts")
-    )
-    # rings of a feature, ordered by (polygon, ring), nested into polygons
-    geoms = rings.groupBy(*key).agg(
-        F.array_sort(F.collect_list(F.struct("poly", "ring", "pts"))).alias("_r")
-    ).selectExpr(
-        *key,
-        "transform(array_distinct(transform(_r, x -> x.poly)), "
-        "p -> transform(filter(_r, x -> x.poly = p), x -> x.pts)) AS polygons",
+    bare = "array(named_struct('type', _o.type, 'arcs', _o.arcs, 'coordinates', _o.coordinates, 'properties', _o.properties))"
+    listed = f"CASE WHEN _o.geometries IS NOT NULL THEN _o.geometries WHEN _o.type IS NOT NULL THEN {bare} END"
+    # a feature's geometry is decoded in the topology's row, so the arcs are not copied per feature
+    decoded = (
+        f"transform({listed}, _g -> named_struct('type', _g.type, 'properties', _g.properties, 'geometry', {_GEOMETRY_TEXT}))"
     )
-    out = feats.drop("_polys").join(geoms, key, "left")
-    # features without rings (no or empty arcs) get a NULL geometry
-    geometry = F.when(F.col("polygons").isNull(), F.lit(None).cast("string")).when(
-        F.col("type") == "Polygon",
-        F.to_json(F.struct(F.lit("Polygon").alias("type"), F.get("polygons", 0).alias("coordinates"))),
-    ).when(
-        F.col("type") == "MultiPolygon",
-        F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), F.col("polygons").alias("coordinates"))),
+    return feats.selectExpr("source", "object", f"posexplode({decoded}) AS (feature_index, _f)").select(
+        "source", "object", "feature_index", "_f.type", "_f.properties", "_f.geometry"
     )
-    return out.select(*key, "type", "properties", geometry.alias("geometry"))
 
 
 def read_topojson(spark: SparkSession, paths: str | list[str], object_name: str | None = None) -> DataFrame:
