@@ -35,9 +35,9 @@ from tidepool.plans.tables import table
 from tidepool.session import checkpoint_root
 from tidepool.sources.api_rows import read_batches
 from tidepool.sources.csv import read_csv_named, read_csv_positional
-from tidepool.sources.documents import document_lines, read_metadata_lines
+from tidepool.sources.documents import document_lines, read_metadata_lines, stale_sources
 from tidepool.sources.topojson import decode_topologies
-from tidepool.streaming.incremental import start_keyed_load
+from tidepool.streaming.incremental import start_keyed_load, start_partition_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -233,6 +233,48 @@ def q_union_periods(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("articles")
+def q_articles(spark: SparkSession, sf: str) -> DataFrame:
+    """Articles job over orders: typed date and arrays, search text, newest first."""
+    o = table(spark, sf, "orders")
+    raw = o.select(
+        F.concat(F.lit("order-"), "o_orderkey").alias("slug"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("title"),
+        F.concat(F.lit("status "), "o_orderstatus").alias("description"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+        F.concat(F.lit('["'), "o_orderstatus", F.lit('"]')).alias("datasources"),
+        F.concat(F.lit("["), F.replace("o_orderpriority", F.lit("-"), F.lit(", ")), F.lit("]")).alias("tags"),
+    )
+    done = datasets.articles(raw)
+    return done.withColumns({c: F.array_join(c, "|") for c in ("datasources", "tags")})
+
+
+@query("statistics_view")
+def q_statistics_view(spark: SparkSession, sf: str) -> DataFrame:
+    """Category view of a fact table: one category prefix, three labels read
+    from JSON metadata."""
+    e = table(spark, sf, "events")
+    name = lambda c: F.concat(F.lit('{"name":"'), c, F.lit('"}'))
+    day = F.date_format("ts", "yyyyMMdd")
+    facts = e.select(
+        F.concat(F.when(F.col("user_id") % 2 == 0, F.lit("A")).otherwise(F.lit("B")), "event_type").alias("cat01"),
+        name(F.col("event_type")).alias("cat01_metadata"),
+        F.col("user_id").cast("string").alias("area"), name(F.concat(F.lit("area "), "user_id")).alias("area_metadata"),
+        day.alias("time"), F.when(F.col("user_id") % 3 != 0, name(day)).alias("time_metadata"),
+        F.lit("events").alias("unit"), "value",
+    )
+    return datasets.statistics_view(facts, "A")
+
+
+@query("stale_sources")
+def q_stale_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Generated source files of all parts that the registry of ordered parts no longer lists."""
+    file = lambda c: F.concat(F.lit("raw_"), c, F.lit(".sql")).alias("name")
+    present = table(spark, sf, "part").select(file("p_partkey"))
+    expected = table(spark, sf, "lineitem").where("l_quantity > 40").select(file("l_partkey"))
+    return stale_sources(present, expected)
+
+
 # --- loads ------------------------------------------------------------------
 
 
@@ -756,6 +798,21 @@ def q_stream_keyed_load(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(target).select(*events.columns)
 
 
+@query("stream_partition_load")
+def q_stream_partition_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Two landed batches of events loaded by a file stream that replaces the
+    partitions a batch touches: the second re-delivers some days, changed."""
+    root = _scratch(spark, "partition-stream")
+    landing, target, ckpt = f"{root}/landing", f"{root}/table", f"{root}/checkpoint"
+    events = table(spark, sf, "events").withColumn("_day", F.to_date("ts"))
+    again = events.where(F.day("_day") % 3 == 0).withColumn("event_type", F.upper("event_type"))
+    schema = T.StructType(events.schema.fields)
+    for batch in (events, again):
+        batch.write.mode("append").parquet(landing)
+        start_partition_load(spark, landing, schema, target, ["_day"], fmt="parquet", checkpoint=ckpt).awaitTermination()
+    return spark.read.schema(schema).parquet(target).select(*[c for c in events.columns if c != "_day"])
+
+
 @query("metadata_reader")
 def q_metadata_reader(spark: SparkSession, sf: str) -> DataFrame:
     """Metadata documents written as JSON lines (nested parts as JSON values)
