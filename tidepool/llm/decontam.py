@@ -20,6 +20,8 @@ hits but is not listed; without items nothing is hit.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -181,7 +183,8 @@ def _segments(items: DataFrame, window: int) -> DataFrame:
     return items.select(F.col("item_id").cast("string"), "text").mapInArrow(run, "item_id string, words string, whole boolean")
 
 
-_MATCHERS: dict[tuple, Matcher] = {}
+#: The matcher that a worker built last, by the name of its block.
+_MATCHERS: dict[str, Matcher] = {}
 
 
 def _scan_block(docs: DataFrame, segments, window: int, text_col: str, first: bool) -> DataFrame:
@@ -191,13 +194,13 @@ def _scan_block(docs: DataFrame, segments, window: int, text_col: str, first: bo
         T.StructField("hits", T.ArrayType(span)),
         T.StructField("items", T.ArrayType(T.StringType())),
     ]
+    name = uuid.uuid4().hex
 
     def make():
-        key = (segments.id if hasattr(segments, "id") else id(segments), window)
-        if key not in _MATCHERS:
+        if name not in _MATCHERS:
             _MATCHERS.clear()
-            _MATCHERS[key] = Matcher(segments.value, window)
-        matcher = _MATCHERS[key]
+            _MATCHERS[name] = Matcher(segments.value, window)
+        matcher = _MATCHERS[name]
         get = matcher.automaton.vocab.get
 
         def compute(part: pa.RecordBatch) -> list[pa.Array]:
