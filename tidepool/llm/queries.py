@@ -148,9 +148,9 @@ FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) LEFT
 def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer("byte_bpe_50k.json")
     docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = common.shared_table(tokenfile.encode(docs, path, end_id=2).drop("text"), "token-ids")
+    encoded = tokenfile.encode(docs, path, end_id=2).drop("text")
     folder = common.shared_path(spark, "token-file")
-    tokenfile.write(encoded, folder, vocabulary=tokenfile.encoder_of(path).vocabulary)
+    tokenfile.write(encoded, folder, vocabulary=tokenfile.encoder_of(path).vocabulary, ids_from=docs)
     return tokenfile.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

@@ -23,25 +23,26 @@ by their ids' hash; an empty table gives an empty folder of files.
 
 from __future__ import annotations
 
-import re
+import json
 import struct
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common
+from .bpe import byte_symbols
 
 MAGIC = b"TKPK"
 BLOCK_IDS = 1 << 16
 SEGMENT_IDS = 1 << 20
-#: Entries of a task's cache of encoded stretches before it is emptied.
-CACHE_ENTRIES = 300_000
 
-_WIDE = re.compile(r"\x20(?:\s|\Z)")
+# Fixed value: the split pattern of byte-level BPE files.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_BYTE = {symbol: byte for byte, symbol in enumerate(byte_symbols())}
+
 _HEADER = struct.Struct("<4sB3xIQQ")
 
 
@@ -113,54 +114,41 @@ class Segment:
 # --- encoding -----------------------------------------------------------------------------
 
 
+def _bytes_of(symbols: str) -> bytes:
+    return bytes(_BYTE[c] for c in symbols)
+
+
 class Encoder:
-    """Whole texts by the tokenizers library, which sees each different stretch once.
+    """Whole texts under a byte-level BPE file of the tokenizers library.
 
-    Byte-level splitting gives a single blank to what stands right of it and joins
-    nothing across, so stretches that begin with a blank and hold no other are
-    encoded alone: many new ones as one text, cut again where a token begins with a
-    blank. A text with white space or its end right of a blank is encoded as a whole.
+    The file's vocabulary is handed to tiktoken, which gives the same ids several
+    times as fast: it merges by id, so the file's merges must stand in the order of
+    the ids that they make, and it splits by the file's pattern. Files of another
+    form are refused. Special tokens in a text become their ids, as the library does.
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        blank = self.tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]
-        self.begins = np.zeros(self.vocabulary, bool)
-        for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
-            self.begins[i] = token.startswith(blank)
-        self.held: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> np.ndarray:
-        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        return np.array(found[0].ids, "<u4")
-
-    def _hold(self, stretches: list[str]) -> None:
-        ids = self._ids("".join([" " + x for x in stretches]))
-        starts = np.flatnonzero(self.begins[ids])
-        if len(starts) != len(stretches):
-            raise ValueError("the tokenizer joins across blanks")
-        data, at = ids.tobytes(), (4 * starts).tolist() + [4 * len(ids)]
-        self.held.update(zip(stretches, [data[s:e] for s, e in zip(at, at[1:], strict=False)], strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
-        if len(self.held) > CACHE_ENTRIES:
-            self.held.clear()
-        held = self.held
-        # a text that begins without a blank: its first stretch has none
-        split = [None if _WIDE.search(t) else t.split(" ") for t in texts]
-        new = list({x for s in split if s for x in s[1:]}.difference(held))
-        for s in range(0, len(new), 20_000):
-            self._hold(new[s : s + 20_000])
-        return [
-            self._ids(t).tobytes() if s is None else self._ids(s[0]).tobytes() + b"".join([held[x] for x in s[1:]])
-            for t, s in zip(texts, split, strict=True)
-        ]
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            t = json.load(f)
+        model, pre, special = t["model"], t["pre_tokenizer"], t["added_tokens"]
+        vocab = model["vocab"]
+        made = [vocab["".join(m)] for m in model["merges"]]
+        supported = (
+            model["type"] == "BPE" and not model["ignore_merges"] and not any(model[k] for k in ("unk_token", "dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+            and pre["type"] == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"] and t["normalizer"] is None and t["post_processor"] is None
+            and made == sorted(made) and all(x["special"] and not (x["lstrip"] or x["rstrip"] or x["single_word"] or x["normalized"]) for x in special)
+        )
+        if not supported:
+            raise ValueError(f"{path}: not a plain byte-level BPE file")
+        specials = {x["content"]: x["id"] for x in special}
+        ranks = {_bytes_of(s): i for s, i in vocab.items() if s not in specials}
+        self.encoding = tiktoken.Encoding("file", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens=specials)
+        self.vocabulary = max([*vocab.values(), *specials.values()]) + 1
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [self.encoding.encode_to_numpy(t, allowed_special="all") for t in texts]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -172,15 +160,21 @@ def encoder_of(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def item_type(vocabulary: int) -> str:
+    """The little-endian whole-number type for ids in memory and on the way."""
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
 def encode(df: DataFrame, path: str, end_id: int | None, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """Appends each text's ids, and the end id, as binary of little-endian 32-bit integers."""
-    tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+    """Appends each text's ids, and the end id, as binary of ``item_type`` numbers."""
 
     def make():
         encoder = encoder_of(path)
+        kind = item_type(encoder.vocabulary)
+        tail = b"" if end_id is None else np.array([end_id], kind).tobytes()
 
         def compute(part: pa.RecordBatch) -> list[pa.Array]:
-            return [pa.array([x + tail for x in encoder.encode(common.texts_of(part, text_col))], pa.binary())]
+            return [pa.array([x.astype(kind).tobytes() + tail for x in encoder.encode(common.texts_of(part, text_col))], pa.binary())]
 
         return compute
 
@@ -190,50 +184,75 @@ def encode(df: DataFrame, path: str, end_id: int | None, text_col: str = "text",
 # --- files --------------------------------------------------------------------------------
 
 
-def _cut_segments(width: int, id_type: pa.DataType, target: int):
-    def run(batches):
-        part, number, before = TaskContext.get().partitionId(), 0, 0
-        names, documents, held = [], [], 0
+def _cut_segments(vocabulary: int, id_type: pa.DataType, target: int):
+    width, kind = width_of(vocabulary), item_type(vocabulary)
 
-        def row() -> pa.RecordBatch:
-            values = [[part], [number], [before], [held], [names], [pack(documents, width)]]
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(id_type), pa.binary()]
-            columns = [pa.array(v, k) for v, k in zip(values, kinds, strict=True)]
-            return pa.RecordBatch.from_arrays(columns, names=["part", "segment", "before", "n_ids", "doc_ids", "payload"])
+    def row(part, number, before, names, documents) -> pa.RecordBatch:
+        values = [[part], [number], [before], [sum(map(len, documents))], [names], [pack(documents, width)]]
+        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(id_type), pa.binary()]
+        columns = [pa.array(v, k) for v, k in zip(values, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, names=["part", "segment", "before", "n_ids", "doc_ids", "payload"])
 
+    def run(batches):
+        part, number, before, held = None, 0, 0, 0
+        names, documents = [], []
         for batch in batches:
-            for name, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                documents.append(np.frombuffer(ids.as_buffer() or b"", "<u4"))
+            for own, name, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if names and (own != part or held >= target):
+                    yield row(part, number, before, names, documents)
+                    number, before = (number + 1, before + held) if own == part else (0, 0)
+                    names, documents, held = [], [], 0
+                part = own
                 names.append(name)
+                documents.append(np.frombuffer(ids.as_buffer() or b"", kind))
                 held += len(documents[-1])
-                if held >= target:
-                    yield row()
-                    number, before = number + 1, before + held
-                    names, documents, held = [], [], 0
         if names:
-            yield row()
+            yield row(part, number, before, names, documents)
+        names, documents = [], []
+        common.release_memory()
 
     return run
 
 
-def write(encoded: DataFrame, path: str, vocabulary: int, id_col: str = "doc_id", ids_col: str = "ids", target: int = SEGMENT_IDS) -> None:
-    """Writes the documents in ascending order of ``id_col``."""
+def _part_of(ids: DataFrame, parts: int) -> Column:
+    """The number of the range of ids that a row's id falls into.
+
+    The ranges come from range-partitioning the ids alone; their first ids, one a
+    range, are all that the driver sees. Null ids are in the first range.
+    """
+    firsts = ids.repartitionByRange(parts, "doc_id").groupBy(F.spark_partition_id().alias("p")).agg(F.min("doc_id").alias("first"))
+    bounds = sorted(r["first"] for r in firsts.collect() if r["first"] is not None)
+    if not bounds:
+        return F.lit(0)
+    above = F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col("doc_id"))
+    return F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.size(above))
+
+
+def write(encoded: DataFrame, path: str, vocabulary: int, id_col: str = "doc_id", ids_col: str = "ids", target: int = SEGMENT_IDS, ids_from: DataFrame | None = None) -> None:
+    """Writes the documents in ascending order of ``id_col``.
+
+    ``ids_from``: a table with the same ids that is cheaper to read than ``encoded``,
+    such as the texts; the ranges are taken from it. A range of ids is one part, sorted and packed by one task; there are four times
+    as many parts as shuffle partitions.
+    """
+    from pyspark.sql.pandas.types import to_arrow_type
+
     kind = encoded.schema[id_col].dataType
     rows = encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("ids"))
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.withColumn("part", _part_of((ids_from or encoded).select(F.col(id_col).alias("doc_id")), 4 * partitions).cast("int")).select("part", "doc_id", "ids")
+    ordered = placed.repartition(partitions, "part").sortWithinPartitions("part", "doc_id", F.xxhash64("ids"))
     schema = T.StructType([
         T.StructField("part", T.IntegerType()), T.StructField("segment", T.IntegerType()), T.StructField("before", T.LongType()),
         T.StructField("n_ids", T.LongType()), T.StructField("doc_ids", T.ArrayType(kind)), T.StructField("payload", T.BinaryType())])
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    ordered.mapInArrow(_cut_segments(width_of(vocabulary), to_arrow_type(kind), target), schema).write.parquet(path)
+    common.arrow(ordered, _cut_segments(vocabulary, to_arrow_type(kind), target), schema).write.parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids``: where each document's ids stand among all, and the
     ids as binary of little-endian 32-bit integers."""
     segments = spark.read.parquet(path)
-    # one number a part, as many as the writing job had tasks
+    # one number a part, a few times as many as the writing job had tasks
     sizes = segments.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect()
     starts, total = [], 0
     for r in sizes:
@@ -255,5 +274,5 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 columns = [batch.column(1)[k].values, pa.array(starts + batch.column(0)[k].as_py()), pa.array(ends - starts), pa.array(ids, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids"])
 
-    return placed.mapInArrow(run, schema)
+    return common.arrow(placed, run, schema)
 
