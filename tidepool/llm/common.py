@@ -12,6 +12,8 @@ Rules that hold for every operator here:
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -24,6 +26,8 @@ from tidepool.session import checkpoint_root
 
 #: Text bytes handled at once inside a task; a longer text is handled alone.
 SLICE_BYTES = 2 << 20
+#: Bytes of an Arrow batch on its way to or from a task's Python worker.
+BATCH_BYTES = 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,16 +61,20 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def slices(batch: pa.RecordBatch, column: str | None) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows of at most SLICE_BYTES of text (one row at least)."""
-    if column is None or batch.num_rows == 0:
-        if batch.num_rows:
-            yield batch
+def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows that hold at most SLICE_BYTES (one row at least).
+
+    ``column`` holds texts, binaries, or lists of numbers (eight bytes each).
+    """
+    if batch.num_rows == 0:
         return
-    texts = batch.column(batch.schema.get_field_index(column))
-    lengths = pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+    values = batch.column(batch.schema.get_field_index(column))
+    if pa.types.is_list(values.type) or pa.types.is_large_list(values.type):
+        lengths = pa.compute.multiply(pa.compute.list_value_length(values), 8)
+    else:
+        lengths = pa.compute.binary_length(values)
     start, held = 0, 0
-    for i, n in enumerate(lengths.tolist()):
+    for i, n in enumerate(lengths.fill_null(0).to_numpy(zero_copy_only=False).tolist()):
         if i > start and held + n > SLICE_BYTES:
             yield batch.slice(start, i - start)
             start, held = i, 0
@@ -79,16 +87,31 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     return [x or "" for x in batch.column(batch.schema.get_field_index(column)).to_pylist()]
 
 
+def arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` over batches of bounded bytes: texts differ widely in length, and
+    a batch is held on both sides of the pipe. The bound is a session setting."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
+def release_memory() -> None:
+    """Gives freed memory back to the system: idle workers wait for the next task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def with_arrow_columns(
     df: DataFrame,
-    text_col: str | None,
+    sized_by: str,
     fields: list[T.StructField],
     make: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]],
 ) -> DataFrame:
     """Appends columns computed slice by slice in Arrow batches.
 
-    ``make()`` runs once per task and returns the function from a slice to the
-    new columns, in the order of ``fields``.
+    ``sized_by`` names the column whose bytes bound a slice. ``make()`` runs once per
+    task and returns the function from a slice to the new columns, in the order of
+    ``fields``.
     """
     new = {f.name for f in fields}
     kept = [f for f in df.schema.fields if f.name not in new]
@@ -96,10 +119,13 @@ def with_arrow_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
-        for batch in batches:
-            for part in slices(batch, text_col):
-                made = compute(part)
-                columns = [part.column(part.schema.get_field_index(f.name)) for f in kept]
-                yield pa.RecordBatch.from_arrays(columns + made, names=[f.name for f in schema.fields])
-
-    return df.mapInArrow(run, schema)
+        try:
+            for batch in batches:
+                for part in slices(batch, sized_by):
+                    made = compute(part)
+                    columns = [part.column(part.schema.get_field_index(f.name)) for f in kept]
+                    yield pa.RecordBatch.from_arrays(columns + made, names=[f.name for f in schema.fields])
+        finally:
+            release_memory()
+
+    return arrow(df, run, schema)

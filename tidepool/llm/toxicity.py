@@ -396,7 +396,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         share = sum(toxic_n) / max(1, sum(toxic_n) + sum(other_n))
         odds = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
         return Model(np.zeros(1 << BITS, np.float32), 0.0, np.array([0, 0, 0, odds]))
-    rows = sample.mapInArrow(_word_rows, "word string, fold int, toxic int")
+    rows = common.arrow(sample, _word_rows, "word string, fold int, toxic int")
     count = lambda fold, toxic: F.sum(((F.col("fold") == fold) & ((F.col("toxic") == 1) == F.lit(toxic))).cast("long"))
     stats = rows.groupBy("word").agg(
         count(0, True).alias("t0"), count(1, True).alias("t1"), count(0, False).alias("o0"), count(1, False).alias("o1")
@@ -410,7 +410,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     t, o = (np.array([[found[w][k + f] for w in names] for f in "01"], float) for k in "to")
     other_half = [fit_words(names, t[f], o[f], toxic_n[f], other_n[f]) for f in (1, 0)]
     sent = spark.sparkContext.broadcast(other_half)
-    features = sample.mapInArrow(_pooled_rows(sent), "toxic int, a double, b double, c double").toPandas()
+    features = common.arrow(sample, _pooled_rows(sent), "toxic int, a double, b double, c double").toPandas()
     y = np.where(features["toxic"].to_numpy() == 1, 1.0, -1.0)
     logistic = _newton(features[list("abc")].to_numpy(), y, np.ones(len(y)), hinge=False, ridge=0.05)
     weights, bias = fit_words(names, t.sum(0), o.sum(0), sum(toxic_n), sum(other_n))
