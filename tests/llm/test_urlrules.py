@@ -75,7 +75,7 @@ def test_mined_rules_are_those_of_counting(spark):
 
 def test_method_blocks_what_the_rules_cannot_see(spark):
     df = spark.createDataFrame(_pages(), "page_id long, url string")
-    rows = U.judge(df, RULES, support=0.05, confidence=0.6).collect()
+    rows = U.judge(df, RULES, support=0.05, confidence=0.4).collect()
     assert len(rows) == df.count()
     for r in rows:
         if r["rule"] is None:
