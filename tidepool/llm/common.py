@@ -61,8 +61,8 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows that hold at most SLICE_BYTES (one row at least).
+def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows that hold at most ``limit`` bytes (one row at least).
 
     ``column`` holds texts, binaries, or lists of numbers (eight bytes each).
     """
@@ -75,7 +75,7 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         lengths = pa.compute.binary_length(values)
     start, held = 0, 0
     for i, n in enumerate(lengths.fill_null(0).to_numpy(zero_copy_only=False).tolist()):
-        if i > start and held + n > SLICE_BYTES:
+        if i > start and held + n > limit:
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += n
@@ -106,6 +106,7 @@ def with_arrow_columns(
     sized_by: str,
     fields: list[T.StructField],
     make: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]],
+    limit: int = SLICE_BYTES,
 ) -> DataFrame:
     """Appends columns computed slice by slice in Arrow batches.
 
@@ -121,7 +122,7 @@ def with_arrow_columns(
         compute = make()
         try:
             for batch in batches:
-                for part in slices(batch, sized_by):
+                for part in slices(batch, sized_by, limit):
                     made = compute(part)
                     columns = [part.column(part.schema.get_field_index(f.name)) for f in kept]
                     yield pa.RecordBatch.from_arrays(columns + made, names=[f.name for f in schema.fields])

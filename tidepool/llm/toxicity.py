@@ -42,6 +42,8 @@ from . import common
 SAMPLE_ROWS = 16_000
 #: Words that the machine is fitted on, at most: half of them the most frequent in toxic texts.
 FIT_WORDS = 30_000
+#: Text bytes whose letters are laid out in arrays at once (some eighty bytes a letter).
+SLICE_BYTES = 1 << 19
 LANDMARKS = 192
 COMMON_LANDMARKS = 48
 SKIP = 0.7
@@ -359,7 +361,7 @@ def _spelled(w: Words) -> list[str]:
 def _word_rows(batches):
     """(word, fold, toxic) once per text and word."""
     for batch in batches:
-        for part in common.slices(batch, "text"):
+        for part in common.slices(batch, "text", SLICE_BYTES):
             w = words_of(common.texts_of(part, "text"))
             fold, toxic = (np.asarray(part.column(k).to_pylist(), np.int32) for k in (2, 1))
             seen = sorted(set(zip(_spelled(w), w.text.tolist(), strict=True)))
@@ -373,7 +375,7 @@ def _word_rows(batches):
 def _pooled_rows(models):
     def run(batches):
         for batch in batches:
-            for part in common.slices(batch, "text"):
+            for part in common.slices(batch, "text", SLICE_BYTES):
                 w = words_of(common.texts_of(part, "text"))
                 fold = np.asarray(part.column(2).to_pylist(), np.int64)
                 both = np.stack([pooled(w, margins(w, *m), part.num_rows) for m in models.value])
@@ -432,4 +434,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
 
         return compute
 
-    return common.with_arrow_columns(docs, text_col, [T.StructField(score_col, T.DoubleType())], make)
+    return common.with_arrow_columns(docs, text_col, [T.StructField(score_col, T.DoubleType())], make, SLICE_BYTES)
