@@ -22,8 +22,10 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import struct
 import unicodedata
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +35,9 @@ from pyspark.sql import types as T
 
 from . import common
 
-#: Entries of a task's word cache before it is emptied.
-CACHE_ENTRIES = 300_000
+#: Entries of a worker's caches before they are emptied (about 200 bytes each): encoded
+#: words, stretches between white space, and checked pairs of tokens.
+WORD_ENTRIES, STRETCH_ENTRIES, PAIR_ENTRIES = 800_000, 400_000, 300_000
 _INF = np.int64(1) << 40
 _NEVER = 1 << 40
 
@@ -65,6 +68,7 @@ class Model:
     pair_ranks: np.ndarray
     merges: dict[tuple[int, int], tuple[int, int]]
     longest: int
+    reach: dict[str, int]  # length of the longest token that begins with two symbols
     words: dict[str, bytes] = field(default_factory=dict)
     chunks: dict[str, bytes] = field(default_factory=dict)
     checked: dict[int, bool] = field(default_factory=dict)
@@ -100,11 +104,15 @@ def load(path: str) -> Model:
     keys = np.array([x * size + y for x, y in merges], np.int64)
     ranks = np.array([r for r, _ in merges.values()], np.int64)
     order = np.argsort(keys)
+    reach: dict[str, int] = {}
+    for token in vocab:
+        if not (suffix and token.endswith(suffix)):
+            reach[token[:2]] = max(len(token), reach.get(token[:2], 0))
     specials = {x["content"]: x["id"] for x in t["added_tokens"]}
     return Model(
         vocab=vocab, suffix=suffix, pattern=regex.compile(pre[0]["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}")),
         specials=specials, names={i: s for s, i in {**vocab, **specials}.items()}, rank=rank, left=left, right=right,
-        pair_keys=keys[order], pair_ranks=ranks[order], merges=merges, longest=max(map(len, vocab)),
+        pair_keys=keys[order], pair_ranks=ranks[order], merges=merges, longest=max(map(len, vocab)), reach=reach,
     )
 
 
@@ -113,14 +121,14 @@ def load(path: str) -> Model:
 
 def propose(model: Model, word: str) -> list[int]:
     """Greedy longest match over the symbols of one word."""
-    vocab, out, i, n = model.vocab, [], 0, len(word)
+    get, reach, closed, out, i, n = model.vocab.get, model.reach, word + model.suffix, [], 0, len(word)
     while i < n:
-        last = vocab.get(word[i:] + model.suffix) if n - i <= model.longest else None
+        last = get(closed[i:]) if n - i <= model.longest else None
         if last is not None:
             out.append(last)
             return out
-        for j in range(min(n - 1, i + model.longest), i, -1):
-            t = vocab.get(word[i:j])
+        for j in range(min(n - 1, i + reach.get(word[i : i + 2], 1)), i, -1):
+            t = get(word[i:j])
             if t is not None:
                 out.append(t)
                 i = j
@@ -139,19 +147,19 @@ def exact(model: Model, word: str, suffix: str | None = None) -> list[int]:
         ids.append(last)
     if len(ids) > 40:
         return _exact_long(model, ids)
-    none = (_NEVER, 0)
-    found = [merges.get(p, none) for p in zip(ids, ids[1:], strict=False)]
+    get, none = merges.get, (_NEVER, 0)
+    found = [get(p, none) for p in zip(ids, ids[1:], strict=False)]
     while found:
         best = min(found)
-        if best[0] == _NEVER:
+        if best is none:
             break
         i = found.index(best)
-        ids[i : i + 2] = [best[1]]
-        del found[i]
+        t = ids[i] = best[1]
+        del ids[i + 1], found[i]
         if i:
-            found[i - 1] = merges.get((ids[i - 1], ids[i]), none)
+            found[i - 1] = get((ids[i - 1], t), none)
         if i < len(found):
-            found[i] = merges.get((ids[i], ids[i + 1]), none)
+            found[i] = get((t, ids[i + 1]), none)
     return ids
 
 
@@ -208,11 +216,16 @@ def compatible(model: Model, first: np.ndarray, second: np.ndarray) -> np.ndarra
     return good
 
 
+def _pack(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit integers."""
+    return struct.pack(f"<{len(ids)}i", *ids)
+
+
 def _encode_words(model: Model, words: list[str]) -> None:
     """Adds the words to the cache: all proposals at once, failing ones exactly."""
     proposals = [propose(model, w) for w in words]
     counts = np.fromiter(map(len, proposals), np.int64, len(words))
-    flat = np.fromiter((t for p in proposals for t in p), np.int64, int(counts.sum()))
+    flat = np.fromiter(chain.from_iterable(proposals), np.int64, int(counts.sum()))
     owner = np.repeat(np.arange(len(words)), counts)
     bad = np.zeros(len(words), bool)
     for t in np.unique(flat).tolist():  # tokens that do not encode to themselves
@@ -232,7 +245,7 @@ def _encode_words(model: Model, words: list[str]) -> None:
     if new.any():
         fresh = pairs[new]
         known[new] = compatible(model, fresh // len(model.rank), fresh % len(model.rank))
-        if len(model.checked) > 2 * CACHE_ENTRIES:
+        if len(model.checked) > PAIR_ENTRIES:
             model.checked.clear()
         model.checked.update(zip(fresh.tolist(), known[new].astype(bool).tolist(), strict=True))
     if len(pairs):
@@ -240,7 +253,7 @@ def _encode_words(model: Model, words: list[str]) -> None:
     model.counts["words"] += len(words)
     model.counts["failing"] += int(bad.sum())
     for w, p, fails in zip(words, proposals, bad.tolist(), strict=True):
-        model.words[w] = np.array(exact(model, w) if fails else p, "<i4").tobytes()
+        model.words[w] = _pack(exact(model, w) if fails else p)
 
 
 # --- whole texts ------------------------------------------------------------------------
@@ -276,19 +289,19 @@ def pieces_of(model: Model, chunk: str) -> list[str | int]:
 def encode_texts(model: Model, texts: list[str]) -> list[bytes]:
     """Ids of each text as little-endian 32-bit integers."""
     split = [_SPACES.split(t) if _PYTHON_ONLY_SPACES.search(t) else t.split() for t in texts]
-    if len(model.chunks) > CACHE_ENTRIES:
+    if len(model.chunks) > STRETCH_ENTRIES:
         model.chunks.clear()
-    if len(model.words) > CACHE_ENTRIES:
+    if len(model.words) > WORD_ENTRIES:
         model.words.clear()
     chunks = model.chunks
-    missing = {c for s in split for c in s}.difference(chunks)
+    missing = set().union(*split).difference(chunks)
     if missing:
         pieces = {c: pieces_of(model, c) for c in missing}
         words = {w for p in pieces.values() for w in p if isinstance(w, str)}.difference(model.words)
         if words:
             _encode_words(model, list(words))
         for c, p in pieces.items():
-            chunks[c] = b"".join(model.words[w] if isinstance(w, str) else np.array([w], "<i4").tobytes() for w in p)
+            chunks[c] = b"".join(model.words[w] if isinstance(w, str) else _pack([w]) for w in p)
     return [b"".join([chunks[c] for c in s]) for s in split]
 
 
@@ -336,10 +349,10 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "deco
             for k in range(part.num_rows):
                 ids = column[k].values
                 ids = np.zeros(0, np.int64) if ids is None else ids.drop_null().to_numpy(zero_copy_only=False)
-                found = names[np.where((ids >= 0) & (ids < len(names) - 1), ids, len(names) - 1)]
-                out.append(" ".join([s for s in found if s is not None]))
+                found = names[np.where((ids >= 0) & (ids < len(names) - 1), ids, len(names) - 1)].tolist()
+                out.append(" ".join(found if None not in found else [s for s in found if s is not None]))
             return [pa.array(out, pa.string())]
 
         return compute
 
-    return common.with_arrow_columns(df, None, [T.StructField(text_col, T.StringType())], make)
+    return common.with_arrow_columns(df, ids_col, [T.StructField(text_col, T.StringType())], make)
