@@ -30,16 +30,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of exact and near copies: the smallest id, once.
+    """One document of each group of exact and near copies: the smallest id, once; a null id last.
 
     Texts without words are no copies of each other and all stay.
     """
     found = jaccard.join(docs.select("doc_id", "text"))
-    stays = found.where(F.col("node").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # of different texts that share the smallest id, one stays
-    first = Window.partitionBy("component_id").orderBy("node", "text_key")
-    copies = stays.where("node IS NOT NULL").withColumn("at", F.row_number().over(first)).where("at = 1").drop("at")
-    stays = copies.unionByName(stays.where("node IS NULL").distinct())
+    # the root names a component; ids do not, as they may be null or repeat in unrelated texts
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "node", "text_key")).alias("first")
+    copies = found.where("root IS NOT NULL").groupBy("root").agg(first).select("first.doc_id", "first.node", "first.text_key")
+    stays = copies.unionByName(found.where("root IS NULL").select("doc_id", "node", "text_key").distinct())
     null, name, key, empty, at = common.fresh(docs, "null", "name", "key", "empty", "at")
 
     def keyed(df: DataFrame, text_key) -> DataFrame:

@@ -45,6 +45,16 @@ def test_near_copies_stage(spark):
     assert {r["doc_id"] for r in C.drop_near_copies(spark, many, SF).collect()} == expected
 
 
+def test_unrelated_texts_under_null_and_repeated_ids_stay(spark):
+    far = [" ".join(f"{name}{k}" for k in range(40)) for name in "abcdef"]
+    rows = [(None, far[0]), (None, far[1]), (None, far[1] + " x"), (None, far[1]), (7, far[2]), (7, far[3]), (7, far[3]), (None, far[4]), (8, far[4]), (None, None)]
+    got = [(r["doc_id"], r["text"]) for r in C.drop_near_copies(spark, _docs(spark, rows), SF).collect()]
+    copies = [x for x in got if x[1] and x[1].startswith(far[1])]
+    assert len(copies) == 1 and copies[0][0] is None
+    rest = [x for x in got if x not in copies]
+    assert sorted(rest, key=str) == sorted([(None, far[0]), (7, far[2]), (7, far[3]), (8, far[4]), (None, None)], key=str)
+
+
 def test_decontamination_stage(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     kept = C.drop_contaminated(spark, docs, SF)

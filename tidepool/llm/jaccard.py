@@ -314,7 +314,8 @@ def _across(rows: DataFrame, threshold: float) -> DataFrame:
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
     """One row per input row: id, ``text_key`` (hash of the text), ``n_shingles``, ``node`` (equal
-    sets, equal nodes) and ``component_id``, the smallest id of the component."""
+    sets, equal nodes), ``root``, the component's name (its smallest node; null without shingles), and
+    ``component_id``, the smallest id of the component: no name, as ids may be null or repeat."""
     threshold = percent / 100
     source = docs.select(F.col(id_col), F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("text_key"))
     rows = common.shared_table(sketched(source, "_text", threshold).drop("_text"), "sketches")
@@ -350,4 +351,4 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
     least = named.where(F.col("root").isNotNull()).groupBy("root").agg(F.min(id_col).alias("component_id"))
     named = named.join(least, "root", "left")
     alone = F.when(F.col("node").isNull(), F.col(id_col)).otherwise(F.col("component_id"))
-    return named.select(id_col, "text_key", "n_shingles", "node", alone.alias("component_id"))
+    return named.select(id_col, "text_key", "n_shingles", "node", "root", alone.alias("component_id"))
