@@ -108,3 +108,35 @@ def test_empty_table(spark):
 
 def test_several_hundred_rules():
     assert len(L.rules()) > 300
+
+
+TAGS = [
+    ("MIT", "mit"), ("Apache-2.0", "apache"), ("GPL-3.0-or-later", "gpl"), ("GPL-2.0+", "gpl"), ("BSD-3-Clause", "bsd"), ("LGPL-2.1-only", "lgpl"),
+    ("0BSD", "bsd"), ("CC-BY-SA-4.0", "cc-by,cc-by-sa"), ("(MIT OR Apache-2.0)", "apache,mit"), ("MPL-2.0 AND ISC AND Zlib", "isc,mpl,zlib"),
+    ("GPL-2.0 WITH Linux-syscall-note OR BSD-2-Clause", "bsd,gpl"),
+]
+
+
+def test_identifiers_and_alternatives_are_found(spark):
+    rows = [(f"x\n// SPDX-License-Identifier: {tag}\nint main", labels) for tag, labels in TAGS]
+    rows += [("the GNU Library General Public License version 2", "lgpl"), ("tools and json", "")]
+    df = spark.createDataFrame(rows, "text string, expected string")
+    for r in L.summarise(L.detect(df)).collect():
+        assert r["labels"] == r["expected"], r["text"]
+        assert r["labels"] == _expected(r["text"])[5]
+
+
+def _choices(pattern):
+    """Every text of a name without sets and repeats, its optional parts left out or in."""
+    group = re.search(r"\(([^()]*)\)(\??)", pattern)
+    if not group:
+        return set(pattern.split("|"))
+    put = group[1].split("|") + [""] * bool(group[2])
+    return {c for p in put for c in _choices(pattern[: group.start()] + p + pattern[group.end() :])}
+
+
+def test_every_alternative_holds_its_keyword():
+    for line in L.LICENSES.strip().splitlines():
+        _, keyword, name = line.split(" | ")
+        for choice in _choices(name):
+            assert keyword in re.findall("[a-z0-9]+", choice), (choice, keyword)

@@ -3,8 +3,9 @@
 A text is brought to its words (A-Z lower-cased, runs of digits, letters and
 characters outside ASCII) with single blanks between. Several hundred rules, each
 a regular expression over the words with a keyword, a label and a priority, come
-from a table of license names put into phrase templates, and from sentences of
-well-known license texts. A rule runs only on texts that hold its keyword as a
+from a table of license names put into phrase templates, from a table of SPDX
+identifiers (after their tag, or joined by "or" or "and" to another one in a text
+that names SPDX), and from sentences of well-known license texts. A rule runs only on texts that hold its keyword as a
 word, and all of them only on texts that hold one of a few words (the ``gates``), of
 which every match of a rule holds one.
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 # License label, keyword, and the names it goes by, in words.
 LICENSES = """
 gpl | general | gnu general public license( version [0-9]+( [0-9])?)?( or later)?
-lgpl | lesser | gnu (lesser|library) general public license( version [0-9]+( [0-9])?)?
+lgpl | general | gnu (lesser|library) general public license( version [0-9]+( [0-9])?)?
 agpl | affero | (gnu )?affero general public license( version [0-9]+)?
 gfdl | documentation | gnu free documentation license
 apache | apache | apache (software )?license( version [0-9]( [0-9])?)?
@@ -128,6 +129,74 @@ proprietary | unauthorized | 70 | unauthorized (copying|use|reproduction|distrib
 proprietary | confidential | 60 | proprietary and confidential
 """
 
+# License label and its SPDX identifiers, in words.
+IDENTIFIERS = """
+gpl | gpl( [0-9]( [0-9])?)?( only| or later)?
+lgpl | lgpl( [0-9]( [0-9])?)?( only| or later)?
+agpl | agpl( [0-9]( [0-9])?)?( only| or later)?
+gfdl | gfdl( [0-9] [0-9])?( no invariants| invariants)?( only| or later)?
+apache | apache( [0-9] [0-9])?
+mit | mit( 0| advertising| cmu| enna| feh| festival| modern variant| open group| testregex| wu)?
+bsd | 0bsd|bsd( [1-4] clause)?( attribution| clear| lbnl| modification| open mpi| patent| shortened| uc| views| protection| source code)?
+isc | isc( veillard)?
+mpl | mpl( [0-9] [0-9])?( no copyleft exception)?
+epl | epl( [0-9] [0-9])?
+cddl | cddl( [0-9] [0-9])?
+cpl | cpl 1 0
+eupl | eupl( [0-9] [0-9])?
+artistic | artistic( [0-9] [0-9])?( perl| cl8)?
+zlib | zlib( acknowledgement)?
+libpng | libpng( 2 0)?
+boost | bsl 1 0
+unlicense | unlicense
+wtfpl | wtfpl
+python | psf 2 0|python 2 0( 1)?|cnri python
+php | php 3 [0-9]+
+ruby | ruby
+postgresql | postgresql
+openssl | openssl( standalone)?
+curl | curl
+x11 | x11( distribute modifications variant)?
+ofl | ofl 1 [01]( no rfn| rfn)?
+odbl | odbl 1 0
+odc-by | odc by 1 0
+pddl | pddl 1 0
+ms-pl | ms pl
+ms-rl | ms rl
+osl | osl [0-9] [0-9]
+afl | afl [0-9] [0-9]
+ecl | ecl [0-9] [0-9]
+upl | upl 1 0
+ncsa | ncsa
+w3c | w3c( 19980720| 20150513)?
+zpl | zpl [0-9] [0-9]
+qpl | qpl 1 0( inria 2004)?
+ipl | ipl 1 0
+spl | spl 1 0
+apsl | apsl [0-9] [0-9]
+npl | npl [0-9] [0-9]
+rpl | rpl [0-9] [0-9]
+cecill | cecill( [0-9] [0-9]| b| c)?
+vim | vim
+tcl | tcl
+json | json
+beerware | beerware
+icu | icu
+unicode | unicode (3 0|dfs 2015|dfs 2016|tou)
+sleepycat | sleepycat
+sspl | sspl 1 0
+busl | busl 1 1
+elastic | elastic 2 0
+cc-by | cc by( [0-9] [0-9])?
+cc-by-sa | cc by sa( [0-9] [0-9])?
+cc-by-nd | cc by nd( [0-9] [0-9])?
+cc-by-nc | cc by nc( [0-9] [0-9])?
+cc-by-nc-sa | cc by nc sa( [0-9] [0-9])?
+cc-by-nc-nd | cc by nc nd( [0-9] [0-9])?
+cc0 | cc0 1 0
+public-domain | cc pddc
+"""
+
 #: Phrases around a license name, with the priority of the detection.
 TEMPLATES = (
     (50, "{name}"),
@@ -150,6 +219,12 @@ def rules() -> list[tuple[int, str, str, int, str]]:
     for line in LICENSES.strip().splitlines():
         label, keyword, name = line.split(" | ")
         out += [(keyword, label, priority, " " + t.format(name=f"({name})") + "(?= )") for priority, t in TEMPLATES]
+    # a tag, and the later licenses of its expression ("MIT OR Apache-2.0"), each with the one before it
+    named = [line.split(" | ") for line in IDENTIFIERS.strip().splitlines()]
+    before = f"({'|'.join(ids for _, ids in named)})( with( [a-z0-9]+){{1,8}}?)? (and|or)"
+    for label, ids in named:
+        out.append(("spdx", label, 100, f" spdx license identifier ({ids})(?= )"))
+        out.append(("spdx", label, 100, f" {before} ({ids})(?= )"))
     for line in SENTENCES.strip().splitlines():
         label, keyword, priority, text = line.split(" | ")
         out.append((keyword, label, int(priority), f" ({text})(?= )"))
@@ -160,7 +235,7 @@ def gates() -> list[str]:
     """Words of which every match of any rule holds one: "license", or a rule's keyword."""
     names = [line.split(" | ") for line in LICENSES.strip().splitlines()]
     always = {keyword for _, keyword, name in names if not re.search(r"(\A| |\))(un)?license(\(|\Z)", name)}
-    return sorted({"license", "unlicense"} | always | {line.split(" | ")[1] for line in SENTENCES.strip().splitlines()})
+    return sorted({"license", "unlicense", "spdx"} | always | {line.split(" | ")[1] for line in SENTENCES.strip().splitlines()})
 
 
 def normal(text: Column) -> Column:
