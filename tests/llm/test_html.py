@@ -47,6 +47,26 @@ def test_layout(html, text):
     assert show(html) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<html><head><title>T</title><p>Hello", "Hello"),
+        ("<head><meta charset=x><link rel=y><style>a{}</style>\n<script>b</script>Hello <b>all</b>", "Hello all"),
+        ("<head><title>T</title><body>b", "b"),
+        ("<title>T</title><h1>Hello</h1>", "Hello"),
+        ("<head><noscript><p>n</noscript><template><p>t</template><img src=x>c", "c"),
+        ("<head> &nbsp; a", "a"),
+        ("<head><title>T</title></br>a", "a"),
+        ("a <svg><title>t</title><defs><text>d</text></defs><g>g<text x=1>one</text><text>two</text></g></svg> b", "a one two b"),
+        ("<svg><title/><style/><path d='x'><foreignObject><p>in</p></foreignObject></svg>b", "in\n\nb"),
+        ("<svg><path d='x'><p>after", "after"),
+        ("<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math>", "x=2"),
+    ],
+)
+def test_open_heads_drawings_and_formulas(html, text):
+    assert show(html) == text
+
+
 def test_one_long_cell_does_not_pad_its_column():
     rows = "".join(f"<tr><td>{'x' * (5000 if k == 3 else 2)}<td>y" for k in range(200))
     text = show(f"<table>{rows}</table>")

@@ -1,11 +1,12 @@
 """HTML extraction: the text that a reader sees, laid out as lines.
 
 Markup is cut into tokens, a tree builder adds the end tags that HTML leaves out
-(paragraphs before blocks, list items, table cells and rows, options) and ignores
-end tags that match nothing, and a renderer walks the tree:
+(paragraphs before blocks, list items, table cells and rows, options, the head
+before the first text or tag that it cannot hold) and ignores end tags that match nothing, and a renderer walks the tree:
 
 * elements that are never shown (scripts, styles, templates, the head) and those
   hidden by ``hidden``, ``display:none`` or ``visibility:hidden`` give nothing;
+* drawings give the text of their ``text`` elements, formulas all but annotations;
 * runs of white space become one blank, except in preformatted text;
 * blocks stand on lines of their own; paragraphs, headings, lists, tables and
   quotes are set off by an empty line;
@@ -35,7 +36,18 @@ WIDEST = 40
 # Fixed values of HTML: element kinds.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
-NEVER = set("head script style template noscript iframe noembed noframes object svg math audio video canvas datalist".split())
+NEVER = set("head script style template noscript iframe noembed noframes object audio video canvas datalist title annotation annotation-xml".split())
+#: Start tags that an open head keeps; any other, and text, ends it.
+IN_HEAD = set("base basefont bgsound link meta title style script noscript noframes template head html".split())
+#: In a drawing only these hold text that is shown, and these hold parts that are not drawn in place.
+DRAWN = {"text", "foreignobject"}
+UNDRAWN = set("defs desc metadata symbol clippath mask marker pattern".split())
+#: HTML start tags that end an open svg or math, but not from within these elements, which hold HTML.
+BREAKS_OUT = set(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small"
+    " span strong strike sub sup table tt u ul var".split()
+)
+HOLDS_HTML = set("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr".split())
 BLOCK = SPACED | set(
     "address article aside body center dd details dialog dir div dt fieldset figcaption footer form header hgroup html legend li"
@@ -112,18 +124,37 @@ def parse(html: str) -> Node:
         if found:
             close(found)
 
+    def add_text(text: str) -> None:
+        if stack[-1].tag == "head" and text.strip(" \t\n\r\f"):
+            close(len(stack) - 1)
+        stack[-1].children.append(text)
+
+    def break_out() -> None:
+        """Ends the foreign elements around an HTML tag."""
+        found = 0
+        for depth in range(len(stack) - 1, 0, -1):
+            if stack[depth].tag in HOLDS_HTML:
+                break
+            if stack[depth].tag in ("svg", "math"):
+                found = depth
+        if found:
+            close(found)
+
     at, n = 0, len(html)
     while at < n:
         m = _TOKEN.search(html, at)
         if m is None:
-            stack[-1].children.append(unescape(html[at:]))
+            add_text(unescape(html[at:]))
             break
         if m.start() > at:
-            stack[-1].children.append(unescape(html[at : m.start()]))
+            add_text(unescape(html[at : m.start()]))
         at = m.end()
         tag = (m[2] or "").lower()
         if not tag:
             continue
+        if stack[-1].tag == "head" and (tag in ("body", "html", "br") if m[1] else tag not in IN_HEAD):
+            close(len(stack) - 1)
+        foreign = counts.get("svg") or counts.get("math")
         if m[1]:
             if counts.get(tag):
                 borders = BORDERS.get(tag, ())
@@ -136,13 +167,15 @@ def parse(html: str) -> Node:
             elif tag in ("br", "p"):
                 stack[-1].children.append(Node(tag))
             continue
+        if foreign and tag in BREAKS_OUT:
+            break_out()
         if tag in CLOSES_P and counts.get("p"):
             close_open({"p"}, {"table", "td", "th", "button"})
         if tag in ENDS:
             close_open(*ENDS[tag])
         node = Node(tag, m[3] or "")
         stack[-1].children.append(node)
-        if tag in RAW:
+        if tag in RAW and not (foreign and (m[3] or "").endswith("/")):
             end = re.compile(f"</{re.escape(tag)}(?=[\\s/>]|\\Z)[^>]*(?:>|\\Z)", re.I).search(html, at)
             text = html[at : end.start()] if end else html[at:]
             node.children.append(unescape(text) if tag in ("title", "textarea") else text)
@@ -224,10 +257,13 @@ def render(root: Node) -> str:
     tables: list[list] = []  # rows of each open table
     lists: list[list] = []  # [kind, number] of each open list
     pre = 0
+    drawn: list[bool] = []  # is text shown in each open drawing, and in each of its texts?
     todo: list[tuple[Node | str, bool]] = [(root, True)]
     while todo:
         node, enter = todo.pop()
         if isinstance(node, str):
+            if drawn and not drawn[-1]:
+                continue
             if pre:
                 pieces = node.replace("\r\n", "\n").split("\n")
                 for k, piece in enumerate(pieces):
@@ -241,7 +277,7 @@ def render(root: Node) -> str:
             continue
         tag = node.tag
         if enter:
-            if node.hidden():
+            if node.hidden() or drawn and tag in UNDRAWN:
                 continue
             if tag == "br":
                 if out.parts:
@@ -249,6 +285,9 @@ def render(root: Node) -> str:
                 continue
             todo.append((node, False))
             todo += [(c, True) for c in reversed(node.children)]
+            if tag == "svg" or drawn and tag in DRAWN:
+                drawn.append(tag != "svg")
+                out.blank = True
             if tag in ("td", "th") and tables:
                 outer.append((out, lists))
                 out, lists = Lines(), []
@@ -276,6 +315,9 @@ def render(root: Node) -> str:
             elif tag == "hr":
                 out.line("---")
             continue
+        if tag == "svg" or drawn and tag in DRAWN:
+            drawn.pop()
+            out.blank = True
         if tag in ("td", "th") and tables:
             text = _SPACE.sub(" ", out.result())
             out, lists = outer.pop()
