@@ -77,6 +77,36 @@ def test_guess_spans_are_added_and_base_spans_stay():
     assert [(text[s:e], k) for s, e, k in spans] == [("xK9#mQ2$vL9z", "guess"), ("token=abcdefgh12", "assign")]
 
 
+@pytest.mark.parametrize("text", ["passphrase: kqzvhwpxtjbnrmcd", "pwd=XqZvbnWKrtPlmDfg", "the passcode is wqkzjxvbnhtr"])
+def test_letters_in_no_order_are_secrets(text):
+    assert [k for _, _, k in S.spans_of(text)] == ["guess"]
+
+
+@pytest.mark.parametrize("text", ["password is required", "the passcode is incorrect", "passphrase: see-documentation", "pin = documentation", "pwd: Monday"])
+def test_plain_phrases_are_no_secrets(text):
+    assert S.spans_of(text) == []
+
+
+def test_masks_of_any_length_are_no_secrets():
+    for mask in ("*", "x", "-", "#", "*-", "xxxx-"):
+        for size in (12, 48, 96, 97, 144, *[5000] * (len(mask) < 3)):
+            assert S.spans_of("passphrase: " + (mask * size)[:size]) == [], (mask, size)
+    assert S.spans_of("passphrase: " + "*" * 144 + "kqzvhwpxtjbnrmcd")
+
+
+def test_long_stretches_cost_what_all_their_parts_would():
+    import math
+
+    for value in ("a" * 120, "class" + "s" * 110 + "1999", "12" * 60 + "x"):
+        short, S.NEAR = S.log10_guesses.__wrapped__(value), 1000
+        try:
+            assert S.log10_guesses.__wrapped__(value) == pytest.approx(short)
+        finally:
+            S.NEAR = 48
+        cost, parts = S.segmentation(value)
+        assert cost == pytest.approx(short) and parts[0][0] == 0 and parts[-1][1] == len(value) and math.isfinite(cost)
+
+
 def test_long_values_take_linear_time():
     import time
 

@@ -14,17 +14,22 @@ dynamic programming over the value's positions; each further part multiplies
 the guesses, and orders of parts multiply them too. A guess span that lies
 inside a base span is not listed again.
 
-Cases: null and empty texts have no spans. Values are scored whole when they have
-up to ``WINDOW`` characters; a longer one is cut into windows of that length
-and costs the product of their guesses, so time stays linear.
+The dictionary is the list of common passwords below, then the whole words of the
+word tokenizer's vocabulary by rank, so that a plain word or two ("required",
+"see-documentation") cost few guesses and letters in no order cost many.
+
+Cases: null and empty texts have no spans. Values of any length are scored whole, in
+linear time.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
-from functools import lru_cache
+from functools import cache, lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +51,10 @@ _MAY_HOLD = re.compile(r"pass|pwd|secret|token|credential|auth|key|pin|AKIA|[0-9
 
 #: log10 of the guesses from which a value counts as a secret.
 LEAST_LOG10 = 8.0
-WINDOW = 48
+#: Parts of a cut, at most: the orders of more would pass LEAST_LOG10 by themselves.
+MOST_PARTS = 12
+#: In a stretch of more than twice so many characters, parts begin and end so near its borders; others can be widened.
+NEAR = 48
 
 # Frequent words of guessed passwords, most frequent first; the rank is the guess cost.
 COMMON_WORDS = """
@@ -64,13 +72,26 @@ you not with this that from have your
 # Rows of a keyboard.
 KEY_ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 
-_RANK = {w: i + 1 for i, w in reversed(list(enumerate(dict.fromkeys(COMMON_WORDS))))}
-_LONGEST_WORD = max(map(len, _RANK))
+#: Characters that join words, as one of so many choices.
+JOINTS = "-_./:+~ "
+
 _PLAIN = str.maketrans("013457@$!", "oieastasi")
 _PLACE = {c: (r, k + 0.5 * r) for r, row in enumerate(KEY_ROWS) for k, c in enumerate(row)}
 _DATE = re.compile(r"(?:19|20)\d\d(?:([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01]))?|(?:0?[1-9]|[12]\d|3[01])([-/._])(?:0?[1-9]|1[0-2])\2(?:19|20)?\d\d")
 
 
+@cache
+def _ranks() -> tuple[dict[str, int], int]:
+    """Rank of each dictionary word, and the longest word's length."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        vocabulary = json.load(f)["model"]["vocab"]
+    whole = (t[:-4] for t in sorted(vocabulary, key=vocabulary.get) if t.endswith("</w>"))
+    words = dict.fromkeys([*COMMON_WORDS, *(w for w in whole if len(w) >= 3 and w.isascii() and w.isalpha())])
+    return {w: i + 1 for i, w in enumerate(words)}, max(map(len, words))
+
+
 def _near(a: str, b: str) -> bool:
     """Are the keys neighbours (or the same)?"""
     p, q = _PLACE.get(a), _PLACE.get(b)
@@ -91,71 +112,103 @@ def _alphabet(part: str) -> int:
             + 33 * any(c.isascii() and not c.isalnum() for c in part) + 100 * (not part.isascii())) or 1
 
 
+def _stretches(n: int, follows) -> list[tuple[int, int]]:
+    """The longest stretches in which each character follows the one before."""
+    cuts = [0, *[j for j in range(1, n) if not follows(j)], n]
+    return list(zip(cuts, cuts[1:], strict=False))
+
+
+def _pieces(a: int, b: int) -> list[tuple[int, int]]:
+    """The parts of three and more characters in a stretch; of a long one, those near its borders."""
+    if b - a > 2 * NEAR:
+        return [(i, j) for i in range(a, a + NEAR) for j in range(b - NEAR + 1, b + 1)]
+    return [(i, j) for i in range(a, b - 2) for j in range(i + 3, b + 1)]
+
+
 def _parts(value: str) -> list[list[tuple[int, float, str]]]:
     """For each end: (start, log10 of guesses, kind) of the parts other than brute force."""
     n, low = len(value), value.lower()
+    if len(low) != n:  # a character whose small letter is two
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
     plain = low.translate(_PLAIN)
+    ranks, longest = _ranks()
+    joint = math.log10(len(JOINTS))
     ends: list[list[tuple[int, float, str]]] = [[] for _ in range(n + 1)]
     for i in range(n):
-        for j in range(i + 3, min(n, i + _LONGEST_WORD) + 1):
+        for j in range(i + 3, min(n, i + longest) + 1):
             for text, extra in ((low[i:j], 0.0), (plain[i:j], math.log10(2))):
-                rank = _RANK.get(text) or (_RANK.get(text[::-1], 0) * 2)
+                rank = ranks.get(text) or (ranks.get(text[::-1], 0) * 2)
                 if rank:
                     swaps = extra if text != low[i:j] or not extra else 0.0
-                    ends[j].append((i, math.log10(rank) + swaps + _case_cost(value[i:j]), "word"))
-        j = i + 1
-        while j < n and low[j] == low[i]:
-            j += 1
-            if j - i >= 3:
-                ends[j].append((i, math.log10(_alphabet(low[i]) * (j - i)), "repeat"))
-        for size in range(2, 9):  # repeats of a block
-            k = 1
-            while low[i + k * size : i + (k + 1) * size] == low[i : i + size] and i + (k + 1) * size <= n:
-                k += 1
-            if k >= 2:
-                ends[i + k * size].append((i, size * math.log10(_alphabet(low[i : i + size])) + math.log10(k), "repeat"))
-        j = i + 1
-        while j < n and _near(low[j - 1], low[j]):
-            j += 1
-            if j - i >= 3:
-                ends[j].append((i, math.log10(47 * (j - i)) + 0.3 * (j - i - 1), "walk"))
-        if i + 1 < n and abs(step := ord(low[i + 1]) - ord(low[i])) == 1:
-            j = i + 2
-            while j < n and ord(low[j]) - ord(low[j - 1]) == step:
-                j += 1
-                ends[j].append((i, math.log10((4 if low[i] in "a1z9" else 26) * (j - i) * (1 if step > 0 else 2)), "sequence"))
+                    cost = math.log10(rank) + swaps + _case_cost(value[i:j])
+                    ends[j].append((i, cost, "word"))
+                    if i and value[i - 1] in JOINTS:  # with the sign that joins it to the part before
+                        ends[j].append((i - 1, cost + joint, "word"))
         if value[i].isdigit() and (m := _DATE.match(value, i)):
             ends[m.end()].append((i, math.log10(365 * 120 if len(m[0]) > 4 else 120), "date"))
+    for a, b in _stretches(n, lambda j: low[j] == low[j - 1]):
+        for i, j in _pieces(a, b):
+            ends[j].append((i, math.log10(_alphabet(low[i]) * (j - i)), "repeat"))
+    for a, b in _stretches(n, lambda j: _near(low[j - 1], low[j])):
+        for i, j in _pieces(a, b):
+            ends[j].append((i, math.log10(47 * (j - i)) + 0.3 * (j - i - 1), "walk"))
+    for step in (1, -1):
+        for a, b in _stretches(n, lambda j, step=step: ord(low[j]) - ord(low[j - 1]) == step):
+            for i, j in _pieces(a, b):
+                ends[j].append((i, math.log10((4 if low[i] in "a1z9" else 26) * (j - i) * (1 if step > 0 else 2)), "sequence"))
+    for size in range(2, 9):  # repeats of a block
+        same = 0  # characters from here on that are those of the next block
+        for i in range(n - size - 1, -1, -1):
+            same = same + 1 if low[i] == low[i + size] else 0
+            if same >= size:
+                k, each, few = same // size + 1, math.log10(_alphabet(low[i : i + size])), len(set(low[i : i + size]))
+                block = min(size * each, few * each + size * math.log10(few))
+                ends[i + k * size].append((i, block + math.log10(k), "repeat"))
+                if same % size:  # the last block cut off
+                    ends[i + size + same].append((i, block + math.log10(size + same), "repeat"))
     return ends
 
 
+_ORDERS = np.array([math.log10(math.factorial(k)) for k in range(MOST_PARTS + 1)])
+
+
+def _table(value: str, ends: list, each: float) -> tuple[np.ndarray, np.ndarray]:
+    """Least sums of log guesses of the first ``j`` characters in ``k`` parts, the last one found or brute force."""
+    found, brute = (np.full((len(value) + 1, MOST_PARTS + 1), np.inf) for _ in range(2))
+    found[0, 0] = 0.0
+    for j in range(1, len(value) + 1):
+        np.minimum(brute[j - 1, 1:], found[j - 1, :-1], out=brute[j, 1:])
+        brute[j, 1:] += each
+        least: dict[int, float] = {}
+        for i, c, _ in ends[j]:
+            least[i] = min(c, least.get(i, math.inf))
+        for i, c in least.items():
+            np.minimum(found[j, 1:], np.minimum(found[i, :-1], brute[i, :-1]) + c, out=found[j, 1:])
+    return found, brute
+
+
 def segmentation(value: str) -> tuple[float, list[tuple[int, int, str]]]:
     """log10 of the guesses of the cheapest cut, and its parts.
 
-    ``best[j][k]`` is the least sum of log guesses of the first ``j`` characters in
-    ``k`` parts; ``k`` parts come in ``k!`` orders. Brute-force stretches cost ten
-    guesses a character at least (the digits), by the alphabet of the whole value.
+    ``k`` parts come in ``k!`` orders. Brute-force stretches cost ten guesses a
+    character at least (the digits), by the alphabet of the whole value.
     """
     n = len(value)
     if n == 0:
         return 0.0, []
     ends, each = _parts(value), math.log10(max(10, _alphabet(value)))
-    most = min(n, 12)
-    best: list[dict[int, tuple[float, int, str]]] = [{0: (0.0, 0, "")}]
-    for j in range(1, n + 1):
-        row: dict[int, tuple[float, int, str]] = {}
-        steps = [(i, c, kind) for i, c, kind in ends[j]] + [(i, (j - i) * each, "brute") for i in range(j)]
-        for i, cost, kind in steps:
-            for k, (sofar, _, before) in best[i].items():
-                if k < most and not (kind == "brute" == before):
-                    total = sofar + cost
-                    if k + 1 not in row or total < row[k + 1][0]:
-                        row[k + 1] = (total, i, kind)
-        best.append(row)
-    k = min(best[n], key=lambda k: best[n][k][0] + math.log10(math.factorial(k)))
-    cost, parts, j = best[n][k][0] + math.log10(math.factorial(k)), [], n
+    found, brute = _table(value, ends, each)
+    totals = np.minimum(found[n], brute[n]) + _ORDERS
+    k = int(totals.argmin())
+    cost, parts, j = float(totals[k]), [], n
     while j:
-        _, i, kind = best[j][k]
+        if brute[j, k] < found[j, k]:
+            i = j - 1
+            while brute[i, k] < found[i, k - 1]:
+                i -= 1
+            kind = "brute"
+        else:
+            i, _, kind = min(ends[j], key=lambda p: min(found[p[0], k - 1], brute[p[0], k - 1]) + p[1])
         parts.append((i, j, kind))
         j, k = i, k - 1
     return cost, parts[::-1]
@@ -163,7 +216,10 @@ def segmentation(value: str) -> tuple[float, list[tuple[int, int, str]]]:
 
 @lru_cache(maxsize=20_000)
 def log10_guesses(value: str) -> float:
-    return sum(segmentation(value[s : s + WINDOW])[0] for s in range(0, len(value), WINDOW))
+    if not value:
+        return 0.0
+    found, brute = _table(value, _parts(value), math.log10(max(10, _alphabet(value))))
+    return float((np.minimum(found[-1], brute[-1]) + _ORDERS).min())
 
 
 def spans_of(text: str) -> list[tuple[int, int, str]]:
@@ -178,8 +234,7 @@ def spans_of(text: str) -> list[tuple[int, int, str]]:
         value = m[1].rstrip(".:!?)]}")
         start, end = m.start(1), m.start(1) + len(value)
         if len(value) >= 6 and not any(s <= start and end <= e for s, e, _ in base) and log10_guesses(value) >= LEAST_LOG10:
-            if not value.isalpha():  # plain words are no secrets
-                found.append((start, end, "guess"))
+            found.append((start, end, "guess"))
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
