@@ -122,3 +122,15 @@ def test_query(spark):
     rows = QUERIES["op10_toxicity"](spark, "/root/testdata/sf0.001").collect()
     assert len(rows) == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
     assert all(r["predicted"] == int(r["score"] >= 0.7) for r in rows)
+
+
+def test_a_cut_of_the_words_keeps_the_statistics(spark, monkeypatch):
+    """Commonness is summed over all words, and drawn words stand for those left out."""
+    rows = [(f"word{k}x", k % 7 == 0, k % 3, 0, 1 + k % 5, k % 4) for k in range(300)]
+    stats = spark.createDataFrame([(w, int(t), 0, o0, o1) for w, t, _, _, o0, o1 in rows], "word string, t0 long, t1 long, o0 long, o1 long")
+    monkeypatch.setattr(X, "FIT_WORDS", 100)
+    found, stands_for = X._chosen_words(stats)
+    assert len(found) == len(stands_for) < 300 and stands_for.sum() == pytest.approx(300) and stands_for.min() == 1 < stands_for.max()
+    names = [r[0] for r in rows]
+    for got, expected in zip(X._held_in(stats), X._held(names, [np.array([r[k] for r in rows], float) for k in (4, 5)]), strict=True):
+        assert np.allclose(got, expected) and expected.sum() > 0

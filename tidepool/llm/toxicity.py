@@ -40,12 +40,15 @@ from . import common
 
 #: Labelled texts that the model is fitted on, at most (in expectation: ids are drawn by hash).
 SAMPLE_ROWS = 16_000
-#: Words that the machine is fitted on, at most: half of them the most frequent in toxic texts.
+#: Words that the machine is fitted on, at most: half of them the most frequent in toxic texts, the others
+#: drawn by hash and weighted for those not drawn (the most frequent clean words come besides).
 FIT_WORDS = 30_000
 #: Text bytes whose letters are laid out in arrays at once (some eighty bytes a letter).
 SLICE_BYTES = 1 << 19
 LANDMARKS = 192
 COMMON_LANDMARKS = 48
+#: Tasks that sum up how common each subsequence is, of a vector each.
+HELD_TASKS = 8
 SKIP = 0.7
 BITS = 20
 COST = 0.2
@@ -294,13 +297,26 @@ def _put_in(chosen: list[str], names: list[str], toxic: np.ndarray, other: np.nd
     return spelled, np.array(share)
 
 
-def fit_words(names: list[str], toxic: np.ndarray, other: np.ndarray, n_toxic: float, n_other: float) -> tuple[np.ndarray, float]:
-    """Subsequence weights and bias of the word machine."""
+def _held(names: list[str], counts: list[np.ndarray]) -> list[np.ndarray]:
+    """How many of the words, by each of the counts, hold each subsequence."""
     every = words_of(names)
-    held = np.zeros(1 << BITS)
+    out = [np.zeros(1 << BITS) for _ in counts]
     for start in range(0, len(names), 2000):
         owner, h, _ = _sparse(_block(every, start, min(start + 2000, len(names))), np.ones(1 << BITS, np.float32))
-        held += np.bincount(h, other[start + owner], 1 << BITS)
+        for held, count in zip(out, counts, strict=True):
+            held += np.bincount(h, count[start + owner], 1 << BITS)
+    return out
+
+
+def fit_words(
+    names: list[str], toxic: np.ndarray, other: np.ndarray, n_toxic: float, n_other: float, held: np.ndarray, stands_for: np.ndarray
+) -> tuple[np.ndarray, float]:
+    """Subsequence weights and bias of the word machine.
+
+    ``held``: how many clean words of the whole sample hold each subsequence;
+    ``stands_for``: the number of words that each of ``names`` stands for in the loss.
+    """
+    every = words_of(names)
     scale = ((1 + held) ** -COMMONNESS).astype(np.float32)
     chosen = _landmarks(names, toxic, other, n_toxic, n_other, scale)
     marks = words_of(chosen)
@@ -312,7 +328,7 @@ def fit_words(names: list[str], toxic: np.ndarray, other: np.ndarray, n_toxic: f
     used = [(toxic > 0, 1.0, toxic), (other > 0, -1.0, other)]
     rows = np.concatenate([np.flatnonzero(u) for u, _, _ in used])
     y = np.concatenate([np.full(int(u.sum()), s) for u, s, _ in used])
-    weight = np.concatenate([c[u] for u, _, c in used])
+    weight = np.concatenate([(c * stands_for)[u] for u, _, c in used])
     x = x[rows]
     spelled, share = _put_in(chosen, names, toxic, other)
     if spelled:
@@ -372,6 +388,45 @@ def _word_rows(batches):
             )
 
 
+def _held_rows(batches):
+    """(place, a, b): how many clean words of each fold hold each subsequence, summed over the task."""
+    held = [np.zeros(1 << BITS) for _ in range(2)]
+    for batch in batches:
+        names, *counts = (batch.column(k) for k in range(3))
+        for own, more in zip(held, _held(names.to_pylist(), [np.asarray(c.to_pylist(), float) for c in counts]), strict=True):
+            own += more
+    place = np.flatnonzero(held[0] + held[1])
+    for start in range(0, len(place), 100_000):
+        at = place[start : start + 100_000]
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *[pa.array(h[at]) for h in held]], names=["place", "a", "b"])
+
+
+def _held_in(stats: DataFrame) -> list[np.ndarray]:
+    """For each fold: how many clean words hold each subsequence, over all words of the sample."""
+    rows = common.arrow(stats.select("word", "o0", "o1").coalesce(HELD_TASKS), _held_rows, "place int, a double, b double")
+    sums = rows.groupBy("place").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).toPandas()
+    out = []
+    for name in "ab":
+        held = np.zeros(1 << BITS)
+        held[sums["place"].to_numpy()] = sums[name].to_numpy()
+        out.append(held)
+    return out
+
+
+def _chosen_words(stats: DataFrame) -> tuple[dict, np.ndarray]:
+    """Counts of the words to fit on, and the number of words that each stands for."""
+    half = FIT_WORDS // 2
+    clean = [stats.orderBy(c.desc(), "word").limit(COMMON_LANDMARKS) for c in (F.col("o0"), F.col("o1"), F.col("o0") + F.col("o1"))]
+    top = stats.orderBy((F.col("t0") + F.col("t1")).desc(), "word").limit(half)
+    found = {r["word"]: r for part in (top, *clean) for r in part.collect()}
+    sure = len(found)
+    drawn = stats.orderBy(F.xxhash64("word"), "word").limit(half + sure).collect()
+    drawn = [r for r in drawn if r["word"] not in found][:half]
+    left = stats.count() - sure
+    found |= {r["word"]: r for r in drawn}
+    return found, np.concatenate((np.ones(sure), np.full(len(drawn), left / max(1, len(drawn)))))
+
+
 def _pooled_rows(models):
     def run(batches):
         for batch in batches:
@@ -404,18 +459,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         count(0, True).alias("t0"), count(1, True).alias("t1"), count(0, False).alias("o0"), count(1, False).alias("o1")
     )
     stats = common.shared_table(stats, "toxicity-words")
-    half = FIT_WORDS // 2
-    top = stats.orderBy((F.col("t0") + F.col("t1")).desc(), "word").limit(half)
-    rest = stats.orderBy(F.xxhash64("word"), "word").limit(half)
-    found = {r["word"]: r for part in (top, rest) for r in part.collect()}
+    found, stands_for = _chosen_words(stats)
+    held = _held_in(stats)
     names = list(found)
     t, o = (np.array([[found[w][k + f] for w in names] for f in "01"], float) for k in "to")
-    other_half = [fit_words(names, t[f], o[f], toxic_n[f], other_n[f]) for f in (1, 0)]
+    other_half = [fit_words(names, t[f], o[f], toxic_n[f], other_n[f], held[f], stands_for) for f in (1, 0)]
     sent = spark.sparkContext.broadcast(other_half)
     features = common.arrow(sample, _pooled_rows(sent), "toxic int, a double, b double, c double").toPandas()
     y = np.where(features["toxic"].to_numpy() == 1, 1.0, -1.0)
     logistic = _newton(features[list("abc")].to_numpy(), y, np.ones(len(y)), hinge=False, ridge=0.05)
-    weights, bias = fit_words(names, t.sum(0), o.sum(0), sum(toxic_n), sum(other_n))
+    weights, bias = fit_words(names, t.sum(0), o.sum(0), sum(toxic_n), sum(other_n), held[0] + held[1], stands_for)
     return Model(weights, bias, logistic)
 
 
