@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontam, html, jaccard, licenses, pivots, secrets, tokenfile, toxicity, urlrules
+from . import bpe, common, decontam, html, jaccard, licenses, pivots, runs, secrets, tokenfile, toxicity, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -194,3 +194,64 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = common.read_table(spark, sf_dir, "pages").select("page_id", "html")
     return html.extract(pages).select("page_id", F.length("text").cast("long").alias("n_chars"), "text")
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return runs.summarise(runs.detect(with_planted_period(docs).select("doc_id", "text"))).select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"
+    )
+
+
+def with_planted_period(docs: DataFrame) -> DataFrame:
+    """The contract's texts: one id in ten has its words from a place of its own on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = docs.withColumn("g", F.floor(h / 10)).withColumn("words", F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))))
+    n = F.size("words")
+    docs = docs.withColumn("a", F.when(n > 0, F.col("g") % n).cast("int"))
+    docs = docs.withColumn("p", F.expr("int(1 + (size(words) - a) div (3 + g % 8))"))
+    planted = F.expr("""array_join(concat(slice(words, 1, a), slice(
+        flatten(array_repeat(slice(words, a + 1, p), int((size(words) - a) div p + 1))), 1, size(words) - a)), ' ')""")
+    return docs.withColumn("text", F.when(n > 0, planted).otherwise(F.col("text")))
+
+
+#: Unsigned crc32 of a short ASCII text ``{0}`` in SQL, from a table of the 256 remainders.
+_CRC_TABLE = """list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+  lambda c, z: xor(c >> 1, 3988292384 * (c & 1))))"""
+_CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+    list_transform(string_split({0}, ''), lambda s: CAST(ascii(s) AS BIGINT))),
+  lambda c, b: xor(c >> 8, tab[1 + (xor(c, b) & 255)])), 4294967295)"""
+
+ORACLE["op13_periodic_runs"] = f"""
+WITH crc AS (SELECT {_CRC_TABLE} AS tab),
+whole AS (
+  SELECT doc_id, {_CRC.format("CAST(doc_id AS VARCHAR)")} AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents, crc),
+placed AS (SELECT *, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN (h // 10) % len(ws) END AS a FROM whole),
+docs AS (
+  SELECT doc_id, CASE WHEN a IS NULL THEN ws ELSE list_transform(range(len(ws)), lambda i: ws[1 + CASE
+    WHEN i < a THEN i ELSE a + (i - a) % (1 + (len(ws) - a) // (3 + (h // 10) % 8)) END]) END AS ws FROM placed),
+seeds AS (SELECT doc_id, i, array_to_string(ws[i + 1 : i + 6], ' ') AS s FROM docs, unnest(range(len(ws) - 5)) AS t(i)),
+twins AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM seeds AS x JOIN seeds AS y ON x.doc_id = y.doc_id AND x.s = y.s AND x.i < y.i),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM twins),
+stretches AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + 5 + q AS length FROM islands GROUP BY doc_id, q, island
+  HAVING count(*) + 5 >= q AND count(*) + 5 + q >= 12),
+runs AS (
+  SELECT * FROM stretches AS s WHERE NOT EXISTS (
+    SELECT 1 FROM stretches AS t WHERE t.doc_id = s.doc_id AND t.q < s.q
+    AND t.start <= s.start AND t.start + t.length >= s.start + s.length)),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', q, chr(10)), '' ORDER BY start, q) AS spelled,
+         list((-length, start, q) ORDER BY -length, start, q)[1] AS top
+  FROM runs GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, i, ws[i + 1] AS w FROM docs, unnest(range(len(ws))) AS t(i)
+  WHERE NOT EXISTS (SELECT 1 FROM runs AS r WHERE r.doc_id = docs.doc_id AND i >= r.start + r.q AND i < r.start + r.length)),
+texts AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS text FROM kept GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, top[2] AS start, -top[1] AS length, top[3] AS period,
+       1000 * -top[1] // top[3] AS exponent_milli, sha256(coalesce(spelled, '')) AS runs_sha256,
+       sha256(coalesce(text, '')) AS collapsed_sha256
+FROM docs LEFT JOIN listed USING (doc_id) LEFT JOIN texts USING (doc_id)
+"""
