@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontam, html, jaccard, licenses, pivots, runs, secrets, tokenfile, toxicity, urlrules
+from . import bpe, common, decontam, html, jaccard, licenses, pivots, runs, secrets, tokenfile, toxicity, urlrules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -255,3 +255,27 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, top[2] AS start, -top[1] AS length
        sha256(coalesce(text, '')) AS collapsed_sha256
 FROM docs LEFT JOIN listed USING (doc_id) LEFT JOIN texts USING (doc_id)
 """
+
+
+@query("op12_warc")
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = common.read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    folder = common.shared_path(spark, "warc")
+    warc.write(warc.with_revisits(pages, "page_id", F.encode("html", "UTF-8")), folder)
+    records = warc.read(spark, folder, payload="false").where("record_type IN ('response', 'revisit')")
+    page = lambda c: F.regexp_extract(c, "^urn:page:(.*)$", 1).try_cast("long")
+    return records.select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"), "intact"
+    )
+
+
+ORACLE["op12_warc"] = """
+SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+       CASE WHEN octet_length(encode(coalesce(html, ''))) >= 1000 AND page_id < max(page_id) OVER (PARTITION BY html)
+            THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN octet_length(encode(coalesce(html, ''))) >= 1000 AND page_id < max(page_id) OVER (PARTITION BY html)
+            THEN max(page_id) OVER (PARTITION BY html) END AS refers_to,
+       CASE WHEN octet_length(encode(coalesce(html, ''))) >= 1000 AND page_id < max(page_id) OVER (PARTITION BY html)
+            THEN NULL ELSE true END AS intact
+FROM pages
+"""
