@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontam, html, jaccard, licenses, pivots, runs, secrets, tokenfile, toxicity, urlrules, warc
+from . import bpe, common, conversations, decontam, html, jaccard, licenses, pivots, runs, secrets, tokenfile, toxicity, urlrules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -279,3 +279,81 @@ SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(
             THEN NULL ELSE true END AS intact
 FROM pages
 """
+
+
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = common.read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversations.report(damaged(rows), rows)
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """The contract's damage: by row, dropped, emptied, without stops, repeated, or with role user."""
+    plain = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(plain("conv_id"), F.lit(":"), plain("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(plain("text"), "[.!?]", "")).otherwise(plain("text"))
+    role = F.when(kind == 4, "user").otherwise(plain("role"))
+    times = F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.where(kind != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(times).alias("copy")).drop("copy")
+
+
+#: Relaxations of the state list s (cost as nine digits, then the audit; null: not reached).
+_PAID = "(lpad(CAST(CAST({0}[1:9] AS INTEGER) + {1} AS VARCHAR), 9, '0') || {0}[10:] || '{2}')"
+_INSERTED = _PAID.format("{0}", 3, "I")
+
+ORACLE["op11_conversation_repair"] = f"""
+WITH crc AS (SELECT {_CRC_TABLE} AS tab),
+kinds AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_CRC.format("concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS kind
+  FROM conversations, crc),
+left_over AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM kinds, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END))),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM left_over),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) AS nth,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS trimmed FROM ordered),
+faulty AS (
+  SELECT *, CASE WHEN trimmed = '' THEN 'b' WHEN nth > 1 THEN 'd' WHEN right(trimmed, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before FROM placed),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (pos > 1 AND concat(before, left(role, 1)) NOT IN ('su', 'ua', 'au')) AS illegal,
+         list({{'i': left(role, 1), 'gone': fault IN ('b', 'd'), 'more': CASE fault WHEN 't' THEN 3 ELSE 0 END}} ORDER BY pos) AS steps
+  FROM faulty GROUP BY conv_id),
+-- the four states' cheapest, then least, audits: START, SYSTEM, USER, ASSISTANT; a fold row by row
+walked AS (
+  SELECT *, list_reduce(list_prepend({{'s': ['000000000', NULL, '000000003I', '000000006II'], 'i': '', 'gone': false, 'more': 0}},
+      list_transform(steps, lambda x: {{'s': CAST(NULL AS VARCHAR[]), 'i': x.i, 'gone': x.gone, 'more': x.more}})),
+    lambda a, x: list_transform([CASE WHEN x.gone THEN list_transform(a.s, lambda t: {_PAID.format("t", 4, "D")}) ELSE [
+        {_PAID.format("a.s[1]", 4, "D")},
+        least({_PAID.format("a.s[2]", 4, "D")}, CASE x.i WHEN 's' THEN {_PAID.format("a.s[1]", "x.more", "K")} END),
+        least({_PAID.format("a.s[3]", 4, "D")}, list_min(list_transform([a.s[1], a.s[2], a.s[4]], lambda t:
+          CASE x.i WHEN 'u' THEN {_PAID.format("t", "x.more", "K")} ELSE {_PAID.format("t", "x.more + 3", "R")} END))),
+        least({_PAID.format("a.s[4]", 4, "D")},
+          CASE x.i WHEN 'a' THEN {_PAID.format("a.s[3]", "x.more", "K")} ELSE {_PAID.format("a.s[3]", "x.more + 3", "R")} END)] END],
+      lambda r: {{'s': list_transform([least(r[3], {_INSERTED.format("r[1]")}, {_INSERTED.format("r[2]")}, {_INSERTED.format("r[4]")})],
+        lambda u: [r[1], r[2], u, least(r[4], {_INSERTED.format("u")})])[1], 'i': '', 'gone': false, 'more': 0}})[1]).s AS s
+  FROM counted),
+chosen AS (SELECT *, least(s[1], s[4]) AS won FROM walked),
+edits AS (
+  SELECT conv_id, i, won[9 + i] AS edit, (length(won) - 9 - length(regexp_replace(won[10:], '[^D]', '', 'g'))) % 2 AS odd,
+         count(*) FILTER (won[9 + i] <> 'I') OVER (PARTITION BY conv_id ORDER BY i) AS pos,
+         count(*) FILTER (won[9 + i] <> 'D') OVER (PARTITION BY conv_id ORDER BY i) AS place
+  FROM chosen, unnest(range(1, length(won) - 8)) AS t(i)),
+repaired AS (
+  SELECT e.conv_id, string_agg(concat(
+    CASE WHEN edit = 'K' THEN f.role WHEN (place - odd) % 2 = 1 THEN 'user' ELSE 'assistant' END, ':',
+    CASE WHEN edit = 'I' THEN '' ELSE f.text END), chr(10) ORDER BY i) AS text
+  FROM edits AS e JOIN faulty AS f ON f.conv_id IS NOT DISTINCT FROM e.conv_id AND f.pos = greatest(e.pos, 1)
+  WHERE edit <> 'D' GROUP BY e.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(CAST(won[1:9] AS BIGINT), 0) AS cost,
+       coalesce(won[10:], '') AS audit, sha256(coalesce(r.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS o
+LEFT JOIN chosen AS c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN repaired AS r ON r.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
