@@ -152,3 +152,60 @@ def test_query_has_a_row_per_document(spark):
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
     found = sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got.select("doc_id", F.col("n_shingles"), "component_id").collect())
     assert found == _brute(rows)
+
+
+def _pairs_given(spark, sets, nearest):
+    rows = [(7, k, k, len(s), J.folded(s).view(np.int64).tolist(), len(sets)) for k, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "key long, node long, root long, n int, sketch array<long>, size long")
+    return sorted(tuple(r) for r in J._across(df, 0.8, nearest).collect())
+
+
+@pytest.mark.parametrize("block", [3, 512])
+def test_across_gives_the_nearest_or_all_that_may_link(spark, monkeypatch, block):
+    monkeypatch.setattr(J, "BLOCK", block)
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**64, 700, dtype=np.uint64)
+    sets = []
+    for size in [90, 100, 110, 480, 512, 520, 640, 700]:  # 512 is where sketches double
+        for _ in range(4):
+            kept = base[:size][rng.random(size) > 0.05]
+            sets.append(np.unique(np.concatenate((kept, rng.integers(0, 2**64, 3, dtype=np.uint64)))))
+    linked = {(a, b) for b, y in enumerate(sets) for a, x in enumerate(sets[:b]) if 100 * (c := len(np.intersect1d(x, y))) >= 80 * (len(x) + len(y) - c)}
+    assert linked and linked <= set(_pairs_given(spark, sets, False))
+    nearest = _pairs_given(spark, sets, True)
+    assert {k for p in linked for k in p} <= {k for p in nearest for k in p}
+
+
+def test_pairs_of_a_large_key_grow_with_its_nodes(spark):
+    """5,000 near copies that share one key, none joined yet: each gives one pair at most in a block."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 2**64, 150, dtype=np.uint64)
+    sets = [np.unique(np.concatenate((base[rng.random(150) > 0.03], rng.integers(0, 2**64, 4, dtype=np.uint64)))) for _ in range(5_000)]
+    parts = -(-5_000 // J.BLOCK)
+    assert 2_500 <= len(_pairs_given(spark, sets, True)) <= 5_000 * parts
+
+
+def test_pairs_to_verify_after_the_first_star(spark, monkeypatch):
+    """A large group of near copies around the threshold: few pairs are left for the last pass."""
+    given = []
+    across = J._across
+
+    def counted(rows, threshold, nearest):
+        out = J.common.shared_table(across(rows, threshold, nearest), "counted")
+        given.append((nearest, out.count()))
+        return out
+
+    monkeypatch.setattr(J, "_across", counted)
+    rng = random.Random(12)
+    base = [f"b{k}" for k in range(160)]
+    rows = [(i, " ".join(_edited(rng, base, ["q", "r", "s"], 3))) for i in range(500)]
+    assert _found(spark, rows) == _brute(rows)
+    assert [n for n, _ in given] == [True] * J.ROUNDS + [False]
+    assert given[0][1] <= 4 * len(rows) and given[-1][1] <= len(rows)
+
+
+def test_halved_sketch_is_that_of_half_the_bits():
+    rng = np.random.default_rng(9)
+    a = np.unique(rng.integers(0, 2**64, 900, dtype=np.uint64))
+    wide, odd = J.folded(a), np.bincount((a & np.uint64(511)).astype(np.int64), minlength=512) & 1
+    assert len(wide) == 16 and (J.halved(wide[None])[0] == np.packbits(odd.astype(np.uint8)).view(np.uint64)).all()

@@ -18,14 +18,17 @@ order that both sides share (more set bits first, as those are rarest), the
 first ``d + 1`` blocks of one side and of the other have one in common. These are
 the join keys; a set near the end of its band also gives keys for the next.
 
-*Verification.* Pairs that share a key and whose sketches, folded to 512 bits,
-differ in no more than ``d`` bits, are verified on the exact sets (64-bit hashes).
+*Verification.* Pairs that share a key and whose sketches, folded to a bit a shingle
+(512 at least), differ in no more than ``d`` bits, are verified on the exact sets
+(64-bit hashes).
 
 *Groups.* Equal sets are one node. To find components without all pairs of a
-group, each key first pairs its smallest node with the others; after these links
-are joined, only nodes of one key that are still in different components are
-compared, sketch by sketch inside tasks, in blocks of at most ``BLOCK`` nodes, and the
-survivors verified. Every linked pair is thus either verified or within one component.
+group, each key first pairs its smallest node with the others. Then, in ``ROUNDS``
+rounds, only nodes of one key that are still in different components are compared,
+sketch by sketch inside tasks, in blocks of at most ``BLOCK`` nodes; each node gives its nearest
+one alone, at most one pair a row, and the pairs are verified and joined. What the sketches
+still allow between different components after that is verified whole. Every
+linked pair is thus either verified or within one component.
 
 Cases: null and empty texts have no shingles, link with nothing and are their own
 component; repeated rows come back repeated; rows with the same id and different
@@ -35,7 +38,6 @@ all its ids are null.
 
 from __future__ import annotations
 
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -46,10 +48,14 @@ from pyspark.sql import types as T
 from . import common
 
 WORDS = 5
-#: Bits of the folded sketch, as so many 64-bit words.
+#: Bits of the smallest folded sketch, as so many 64-bit words.
 FOLD = 8
 #: Nodes of one key compared at once.
-BLOCK = 2048
+BLOCK = 512
+#: Rounds in which each node's nearest one is verified.
+ROUNDS = 1
+#: Pairs that a task remembers to have given already.
+GIVEN = 200_000
 #: Ids (8 bytes each) that may be sent to all tasks instead of shuffling texts.
 SENT_IDS = 1_000_000
 #: Nodes whose keys a task remembers to have given already.
@@ -150,11 +156,18 @@ def difference(n: int, m: int, threshold: float) -> int:
 
 
 def folded(shingles: np.ndarray) -> np.ndarray:
-    """The sketch folded to 64 * FOLD bits: bit counts modulo 2."""
-    odd = np.bincount((shingles & np.uint64(64 * FOLD - 1)).astype(np.int64), minlength=64 * FOLD) & 1
+    """The sketch folded to the next power of two over the set's size: bit counts modulo 2."""
+    bits = max(64 * FOLD, 1 << max(len(shingles) - 1, 0).bit_length())
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
+def halved(sketches: np.ndarray) -> np.ndarray:
+    """The sketches folded once more (one a row)."""
+    half = sketches.shape[1] // 2
+    return sketches[:, :half] ^ sketches[:, half:]
+
+
 def _node(shingles: np.ndarray) -> int:
     """A 64-bit name of a set: equal sets, equal names."""
     total = (int(_mix(shingles).sum(dtype=np.uint64)) + len(shingles) * int(_ODD[3])) & (2**64 - 1)
@@ -198,9 +211,18 @@ def sketched(docs: DataFrame, text_col: str, threshold: float) -> DataFrame:
 
 
 def _may_link(threshold: float) -> Column:
-    """Do sizes and folded sketches of the sides ``a`` and ``b`` allow a link?"""
+    """Do sizes and folded sketches of the sides ``a`` and ``b`` allow a link?
+
+    Sizes that do differ by a factor below two, so their sketches by one fold at most."""
     n, m = F.col("a.n"), F.col("b.n")
-    apart = reduce(lambda x, y: x + y, [F.bit_count(F.get("a.sketch", F.lit(k)).bitwiseXOR(F.get("b.sketch", F.lit(k)))) for k in range(FOLD)])
+    width = F.least(F.size("a.sketch"), F.size("b.sketch"))
+
+    def folded_to(c: str) -> Column:
+        halves = F.zip_with(F.slice(c, F.lit(1), width), F.slice(c, width + 1, width), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(c) == width, F.col(c)).otherwise(halves)
+
+    differing = F.zip_with(folded_to("a.sketch"), folded_to("b.sketch"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(differing, F.lit(0), lambda total, x: total + x)
     share = (1 - threshold) / (1 + threshold)
     return (F.least(n, m) >= F.greatest(n, m) * threshold - 1e-9) & (apart <= (n + m) * share + 1e-9)
 
@@ -262,54 +284,103 @@ def components(links: DataFrame) -> DataFrame:
         edges = small.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _across(rows: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of nodes that share a key, lie in different components and may link.
+class _Group:
+    """Nodes of one key and block: sizes, roots, names, and sketches by width."""
+
+    def __init__(self, n: np.ndarray, root: np.ndarray, node: np.ndarray, sketches: list[np.ndarray], threshold: float):
+        self.n, self.root, self.node, self.threshold = n, root, node, threshold
+        self.share = (1 - threshold) / (1 + threshold)
+        width = np.array([len(s) for s in sketches])
+        self.by_width = {w: (at := np.flatnonzero(width == w), np.stack([sketches[k] for k in at])) for w in np.unique(width).tolist()}
+
+    def close(self):
+        """Places and distances, in shares of the two sizes, of the pairs that may link and lie in different components."""
+        for w, (at, bits) in self.by_width.items():
+            yield from self._between(at, bits, at, bits, True)
+            if 2 * w in self.by_width:
+                other, wide = self.by_width[2 * w]
+                yield from self._between(at, bits, other, halved(wide), False)
+
+    def _between(self, at, bits, other, other_bits, same: bool):
+        n, root, t = self.n, self.root, self.threshold
+        for start in range(0, len(at), 64):
+            part, later = at[start : start + 64], other[start:] if same else other
+            x, y = part[:, None], later[None, :]
+            fits = (root[x] != root[y]) & (np.minimum(n[x], n[y]) >= np.maximum(n[x], n[y]) * t - 1e-9)
+            if same:
+                fits &= x < y
+            i, j = np.nonzero(fits)
+            for k in range(0, len(i), 4096):  # sketches of few pairs at once
+                a, b = i[k : k + 4096], j[k : k + 4096]
+                apart = np.bitwise_count(bits[start + a] ^ other_bits[(start if same else 0) + b]).sum(1)
+                a, b = part[a], later[b]
+                close = apart <= (n[a] + n[b]) * self.share + 1e-9
+                yield a[close], b[close], apart[close] / (n[a] + n[b])[close]
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        found = [(self.node[a], self.node[b]) for a, b, _ in self.close()]
+        return tuple(np.concatenate([f[k] for f in found] + [np.zeros(0, np.int64)]) for k in (0, 1))
+
+    def nearest(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each node with any such pair, the one of least distance."""
+        least, partner = np.full(len(self.n), np.inf), np.full(len(self.n), -1)
+        for a, b, apart in self.close():
+            for x, y in ((a, b), (b, a)):
+                order = np.lexsort((y, -apart))  # the least distance is written last
+                order = order[apart[order] < least[x[order]]]
+                least[x[order]], partner[x[order]] = apart[order], y[order]
+        own = np.flatnonzero(partner >= 0)
+        return self.node[own], self.node[partner[own]]
+
+
+def _across(rows: DataFrame, threshold: float, nearest: bool) -> DataFrame:
+    """Pairs of nodes that share a key, lie in different components and may link; of each
+    node only that with the ``nearest`` one, if wanted.
 
     ``rows``: key, node, root, n, sketch and ``size``, the number of nodes of the key. A
     large key's nodes are dealt to blocks, and each pair of blocks is one group.
     """
-    share = (1 - threshold) / (1 + threshold)
     parts = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     own = F.pmod(F.xxhash64("node"), parts).cast("int")
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
 
-    def compare(n, root, node, bits) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of one group, a run of its nodes against all later ones at a time."""
-        found = []
-        for start in range(0, len(n), 64):
-            x, y = np.arange(start, min(start + 64, len(n)))[:, None], np.arange(start, len(n))[None, :]
-            fits = (x < y) & (root[x] != root[y]) & (np.minimum(n[x], n[y]) >= np.maximum(n[x], n[y]) * threshold - 1e-9)
-            i, j = np.nonzero(fits)
-            i, j = i + start, j + start
-            close = np.bitwise_count(bits[i] ^ bits[j]).sum(1) <= (n[i] + n[j]) * share + 1e-9
-            found.append((node[i[close]], node[j[close]]))
-        return found
-
     def run(batches):
         # groups follow each other in sorted rows; the last of a batch may go on in the next
-        held = None
+        given: set[tuple[int, int]] = set()
+        held, sketches = None, []
+
+        def found(start: int, end: int) -> list[tuple[int, int]]:
+            if end - start < 2:
+                return []
+            group = _Group(*[c[start:end] for c in held[3:]], sketches[start:end], threshold)
+            x, y = group.nearest() if nearest else group.pairs()
+            pairs = set(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True)) - given
+            if len(given) > GIVEN:
+                given.clear()
+            given.update(pairs)
+            return list(pairs)
+
         for batch in batches:
             own = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(6)]
-            own.append(np.asarray(batch.column(6).flatten()).reshape(-1, FOLD).view(np.uint64))
-            if held is not None:
-                own = [np.concatenate(pair) for pair in zip(held, own, strict=True)]
-            key = own[:3]
-            starts = np.flatnonzero(np.concatenate(([True], np.any([k[1:] != k[:-1] for k in key], axis=0)))) if len(key[0]) else []
-            found = []
-            for s, e in zip(starts[:-1], starts[1:], strict=True):
-                found += compare(*[c[s:e] for c in own[3:]])
-            held = [c[starts[-1] :] for c in own] if len(starts) else None
-            yield named(found)
+            lists = batch.column(6)
+            flat, ends = np.asarray(lists.flatten()).view(np.uint64), np.cumsum(np.asarray(lists.value_lengths()))
+            new = np.split(flat, ends[:-1]) if len(ends) else []
+            held = own if held is None else [np.concatenate(pair) for pair in zip(held, own, strict=True)]
+            sketches = sketches + new
+            key = held[:3]
+            starts = np.flatnonzero(np.concatenate(([True], np.any([k[1:] != k[:-1] for k in key], axis=0)))) if len(key[0]) else [0]
+            yield named([p for s, e in zip(starts[:-1], starts[1:], strict=True) for p in found(s, e)])
+            held, sketches = [c[starts[-1] :] for c in held], sketches[starts[-1] :]
         if held is not None:
-            yield named(compare(*held[3:]))
+            yield named(found(0, len(held[0])))
 
-    def named(found) -> pa.RecordBatch:
-        x, y = (np.concatenate([f[k] for f in found] + [np.zeros(0, np.int64)]) for k in (0, 1))
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["left", "right"])
+    def named(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+        columns = [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)]
+        return pa.RecordBatch.from_arrays(columns, names=["left", "right"])
 
     grouped = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").select("key", "i", "j", "n", "root", "node", "sketch")
-    return grouped.mapInArrow(run, "left long, right long").distinct()
+    return common.arrow(grouped, run, "left long, right long").distinct()
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
@@ -328,23 +399,33 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
         F.min("n_shingles").alias("n"), F.min("sketch").alias("sketch"), F.min(id_col).alias("rep"))
     nodes = common.shared_table(nodes, "nodes")
 
+    sets = None
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs' links; the sets of their nodes are read once for all rounds."""
+        nonlocal sets
+        ends_ = pairs.select(F.col("left").alias("node")).union(pairs.select(F.col("right").alias("node"))).distinct()
+        missing = nodes.join(ends_, "node", "left_semi")
+        if sets is not None:
+            missing = missing.join(sets.select("node"), "node", "left_anti")
+        new = common.shared_table(_sets(docs, missing.select("node", "rep"), id_col, text_col), "sets")
+        sets = new if sets is None else sets.union(new)
+        return common.shared_table(_verified(pairs, sets, percent), "links")
+
     stars = shared.where("node <> first").select(F.col("first").alias("left"), F.col("node").alias("right")).distinct()
-    stars = common.shared_table(_filtered(stars, nodes, threshold), "pairs")
-    touched = stars.select(F.col("left").alias("node")).union(stars.select(F.col("right").alias("node"))).distinct()
-    sets = common.shared_table(_sets(docs, nodes.join(touched, "node", "left_semi").select("node", "rep"), id_col, text_col), "sets")
-    links = common.shared_table(_verified(stars, sets, percent), "links")
-    roots = components(links)
-
-    placed = shared.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    open_ = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size")).where("low <> high and size > 2")
-    rest = placed.join(open_.select("key", "size"), "key").join(nodes.select("node", "n", "sketch"), "node")
-    rest = common.shared_table(_across(rest, threshold).join(stars.select(F.least("left", "right").alias("left"), F.greatest("left", "right").alias("right")), ["left", "right"], "left_anti"), "pairs")
-    late = rest.select(F.col("left").alias("node")).union(rest.select(F.col("right").alias("node"))).distinct()
-    missing = nodes.join(late, "node", "left_semi").join(sets.select("node"), "node", "left_anti").select("node", "rep")
-    more = sets.union(_sets(docs, missing, id_col, text_col))
-    more_links = common.shared_table(_verified(rest, more, percent), "links")
-    if not more_links.isEmpty():
-        roots = components(roots.select(F.col("node").alias("left"), F.col("root").alias("right")).union(more_links))
+    tested = common.shared_table(_filtered(stars, nodes, threshold), "pairs")
+    roots = components(verified(tested))
+    for nearest in [True] * ROUNDS + [False]:
+        placed = shared.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+        open_ = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size")).where("low <> high and size > 2")
+        rest = placed.join(open_.select("key", "size"), "key").join(nodes.select("node", "n", "sketch"), "node")
+        # written before the anti join: a pair of many keys counts once
+        pairs = common.shared_table(_across(rest, threshold, nearest), "pairs")
+        pairs = common.shared_table(pairs.join(tested, ["left", "right"], "left_anti"), "pairs")
+        links = verified(pairs)
+        if not links.isEmpty():
+            roots = components(roots.select(F.col("node").alias("left"), F.col("root").alias("right")).union(links))
+        tested = tested.union(pairs)
 
     named = rows.select(id_col, "text_key", "n_shingles", "node").join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
