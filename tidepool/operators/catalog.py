@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.functions.text import underscore_words
+from tidepool.operators.ordering import staged
 
 _COLUMN_T = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("name", "title", "description", "data_type", "nullable")]
@@ -74,27 +75,35 @@ def datasets(parsed: DataFrame) -> DataFrame:
 # over the parsed document): the JVM parses each once, instead of one py4j
 # call per expression node.
 
-# array<struct<schema_name, node_index, t>> of one document, in document order
+# array<struct<schema_index, schema_name, node_index, t>> of one document, in document order
 DOC_TABLES = (
-    "flatten(transform(map_entries(coalesce(_schemas, map())), e -> "
+    "flatten(transform(map_entries(coalesce(_schemas, map())), (e, k) -> "
     "transform(coalesce(e.value.tables, array()), (t, i) -> "
-    "named_struct('schema_name', e.key, 'node_index', i + 1, 't', t))))"
+    "named_struct('schema_index', k + 1, 'schema_name', e.key, 'node_index', i + 1, 't', t))))"
 )
 
 
+def parsed_once(parsed: DataFrame) -> DataFrame:
+    """The typed parse as a columnar copy in the shared folder: marts that are
+    joined with each other read (and prune) it instead of parsing again."""
+    return staged(parsed, "parsed")
+
+
 def with_doc_tables(parsed: DataFrame) -> DataFrame:
     """(datasource, _tabs): the document's tables flattened over its schemas."""
     return parsed.selectExpr("datasource", f"{DOC_TABLES} AS _tabs")
 
 
-def schemas(parsed: DataFrame) -> DataFrame:
+def schemas(parsed: DataFrame, positions: bool = False) -> DataFrame:
+    """Schema rows; with ``positions`` also their place in the document."""
     # entries are slimmed to (key, title) before exploding, so the nested
     # tables are not copied into every output row
-    return parsed.selectExpr(
+    rows = parsed.selectExpr(
         "datasource",
         "explode(transform(map_entries(coalesce(_schemas, map())), "
-        "e -> named_struct('schema_name', e.key, 'title', e.value.title))) AS _s",
-    ).select("datasource", "_s.schema_name", "_s.title")
+        "(e, k) -> named_struct('schema_index', k + 1, 'schema_name', e.key, 'title', e.value.title))) AS _s",
+    ).select("datasource", "_s.*")
+    return rows if positions else rows.drop("schema_index")
 
 
 _TABLE_ROW = (
@@ -103,28 +112,32 @@ _TABLE_ROW = (
     "'materialized', u.t.materialized, 'title', u.t.title, 'license', u.t.license, "
     "'license_url', u.t.license_url, 'source_url', u.t.source_url, "
     "'is_published', coalesce(try_cast(u.t.published AS BOOLEAN), false), "
-    "'tags_json', u.t.tags, 'sql', u.t.sql)"
+    "'tags_json', u.t.tags, 'sql', u.t.sql, 'schema_index', u.schema_index)"
 )
 
 
-def tables(parsed: DataFrame) -> DataFrame:
-    return (
+def tables(parsed: DataFrame, positions: bool = False) -> DataFrame:
+    """Table rows; with ``positions`` also the place of their schema."""
+    rows = (
         with_doc_tables(parsed)
         .selectExpr("datasource", f"explode(transform(_tabs, u -> {_TABLE_ROW})) AS _t")
         .select("datasource", "_t.*")
     )
+    return rows if positions else rows.drop("schema_index")
 
 
 _COLUMN_ROW = (
     "named_struct('node_id', concat('model.', datasource, '.', u.t.name), 'table_name', u.t.name, "
     "'column_name', c.name, 'column_index', j + 1, 'title', coalesce(c.title, ''), "
     "'description', c.description, 'data_type', c.data_type, "
-    "'nullable', try_cast(coalesce(c.nullable, 'true') AS BOOLEAN))"
+    "'nullable', try_cast(coalesce(c.nullable, 'true') AS BOOLEAN), "
+    "'schema_index', u.schema_index, 'schema_name', u.schema_name, 'node_index', u.node_index)"
 )
 
 
-def columns(parsed: DataFrame) -> DataFrame:
-    return (
+def columns(parsed: DataFrame, positions: bool = False) -> DataFrame:
+    """Column rows; with ``positions`` also schema name and places of schema and table."""
+    rows = (
         with_doc_tables(parsed)
         .selectExpr(
             "datasource",
@@ -133,6 +146,7 @@ def columns(parsed: DataFrame) -> DataFrame:
         )
         .select("datasource", "_c.*")
     )
+    return rows if positions else rows.drop("schema_index", "schema_name", "node_index")
 
 
 def dependencies(parsed: DataFrame) -> DataFrame:
@@ -248,7 +262,11 @@ def tag_text(parsed: DataFrame) -> DataFrame:
 
 
 def search_entries(parsed: DataFrame) -> DataFrame:
-    """One search row per table and per column of the parsed documents."""
+    """One search row per table and per column of the parsed documents (parsed once)."""
+    return _search_entries(parsed_once(parsed))
+
+
+def _search_entries(parsed: DataFrame) -> DataFrame:
     return search_entries_joined(tables(parsed), columns(parsed))
 
 
@@ -281,7 +299,7 @@ MARTS = {
     "mart_dependencies": dependencies,
     "mart_lineage_edges": lineage_edges,
     "mart_lineage_nodes": lineage_nodes,
-    "mart_search_entries": search_entries,
+    "mart_search_entries": _search_entries,
 }
 
 

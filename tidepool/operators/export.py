@@ -4,6 +4,11 @@ pushes of such rows to an external sink.
 Rows are rendered as ``INSERT OR REPLACE`` statements with the publishing
 conventions: NULL → ``NULL``, text quoted with ``'`` doubled, booleans as
 ``1``/``0``, JSON lists with ``", "`` separators.
+
+:func:`script` puts the statements of a full refresh into one order: every
+table is emptied first, then datasets, dependencies, schemas, tables and columns
+follow, each in its own order. Run in that order they leave the target with
+just the exported rows, whatever it held.
 """
 
 from __future__ import annotations
@@ -15,10 +20,15 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.text import path_key, sql_bool, sql_json, sql_value
 from tidepool.operators import catalog
+from tidepool.operators.ordering import with_row_numbers
+from tidepool.sources.files import write_files
 
 # Fixed value: rows per pushed batch, as in the catalog export.
 PUSH_BATCH_ROWS = 200
 
+# The exported tables, in the order in which they are emptied.
+EXPORTED = ("catalog_datasets", "catalog_schemas", "catalog_tables", "catalog_columns", "catalog_dependencies")
+
 
 def insert_statement(table: str, values: Sequence[tuple[str, Column]]) -> Column:
     """``INSERT OR REPLACE INTO t (a, b) VALUES (<lit a>, <lit b>);``"""
@@ -70,8 +80,9 @@ def _with_column_statement(out: DataFrame) -> DataFrame:
     )
 
 
-def export_tables(table_rows: DataFrame) -> DataFrame:
-    """Table export rows with id ``ds/schema/name`` and publishing defaults."""
+def export_tables(table_rows: DataFrame, *kept: str) -> DataFrame:
+    """Table export rows with id ``ds/schema/name`` and publishing defaults;
+    further columns named in ``kept`` are passed through."""
     t = table_rows
     tags = F.from_json(F.col("tags_json"), "array<string>")
     out = t.select(
@@ -81,11 +92,11 @@ def export_tables(table_rows: DataFrame) -> DataFrame:
         F.coalesce("description", F.lit("")).alias("description"),
         F.col("materialized").alias("type"),
         "license", "license_url", "source_url", "is_published",
-        tags.alias("_tags"), "sql",
+        tags.alias("_tags"), "sql", *kept,
     )
     return out.select(
         "id", "datasource", "schema_name", "name", "title", "description", "type",
-        "is_published",
+        "is_published", *kept,
         insert_statement(
             "catalog_tables",
             [(n, sql_value(n)) for n in
@@ -127,7 +138,8 @@ def push_batches(
 
 
 def export_columns(parsed: DataFrame) -> DataFrame:
-    """Column export rows of the parsed documents (:func:`export_columns_joined`)."""
+    """Column export rows of the documents, parsed once (:func:`export_columns_joined`)."""
+    parsed = catalog.parsed_once(parsed)
     return export_columns_joined(catalog.tables(parsed), catalog.columns(parsed))
 
 
@@ -144,11 +156,11 @@ def export_datasets(dataset_rows: DataFrame) -> DataFrame:
     )
 
 
-def export_schemas(schema_rows: DataFrame) -> DataFrame:
+def export_schemas(schema_rows: DataFrame, *kept: str) -> DataFrame:
     """Schema export rows: id ``ds/schema``, title defaulting to ''."""
     out = schema_rows.select(
         path_key("datasource", "schema_name").alias("id"), "datasource", "schema_name",
-        F.coalesce("title", F.lit("")).alias("title"),
+        F.coalesce("title", F.lit("")).alias("title"), *kept,
     )
     return out.withColumn(
         "statement",
@@ -166,3 +178,85 @@ def export_dependencies(dependency_rows: DataFrame) -> DataFrame:
         insert_statement("catalog_dependencies",
                          [(n, sql_value(n)) for n in ("id", "datasource", "alias", "ducklake_url")]),
     )
+
+
+def push(statements: DataFrame, folder: str, batch_rows: int = PUSH_BATCH_ROWS) -> None:
+    """Pushes ordered statements (``seq`` from 1, ``statement``) in batches: file
+    ``batch-<number>.sql`` of the folder holds batch after batch in order.
+
+    A batch's number and content follow from ``seq`` alone, not from how rows are
+    dealt to tasks, and the sink makes files visible only when all tasks are done: a
+    task that fails after some of its batches, or runs twice, leaves each batch
+    there once. Who applies them can tell by the number what is applied."""
+    batch = F.expr(f"(seq - 1) div {batch_rows}").alias("batch")
+    grouped = statements.select(batch, "seq", "statement").groupBy("batch").agg(
+        F.array_sort(F.collect_list(F.struct("seq", "statement"))).alias("rows")  # at most batch_rows
+    )
+    write_files(
+        grouped.select(
+            F.concat(F.lit("batch-"), F.lpad(F.col("batch").cast("string"), 12, "0"), F.lit(".sql")).alias("path"),
+            F.array_join(F.transform("rows", lambda r: r["statement"]), "\n").alias("content"),
+        ),
+        folder,
+    )
+
+
+# --- the whole refresh, in order ----------------------------------------------
+
+_ORDER = ["block", "datasource", "name", "n1", "n2", "n3", "id"]
+
+
+def _ordered(rows: DataFrame, block: int, table: str, name: str | None = None, places: Sequence[str | int] = (), id_col: str | None = None) -> DataFrame:
+    """The rows' statements with the columns that order them."""
+    n = [F.col(p).cast("bigint") if isinstance(p, str) else F.lit(p).cast("bigint") for p in [*places, 0, 0, 0][:3]]
+    return rows.select(
+        F.lit(block).alias("block"), "datasource",
+        (F.col(name) if name else F.lit("")).alias("name"),
+        *[c.alias(f"n{i}") for i, c in enumerate(n, 1)],
+        (F.col(id_col) if id_col else F.lit("")).alias("id"),
+        F.lit(table).alias("table"), "statement",
+    )
+
+
+def script(parsed: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
+    """(seq, table, statement): a full refresh of the five exported tables.
+
+    Deletes come first; then datasets by name, dependencies by alias, schemas by
+    name, tables and columns by their place. Parsed ``fallback`` documents follow
+    where the datasource has no document of its own: each dataset row, then each of
+    its schemas, with its tables, each with its columns."""
+    parsed = catalog.parsed_once(parsed)
+    table_rows, column_rows = catalog.tables(parsed), catalog.columns(parsed)
+    empty = parsed.sparkSession.range(1).select(F.posexplode(F.array(*[F.lit(t) for t in EXPORTED])).alias("n", "t"))
+    deletes = empty.select(
+        F.lit(0).alias("block"), F.lit("").alias("datasource"), F.lit("").alias("name"),
+        F.col("n").cast("bigint").alias("n1"), F.lit(0).cast("bigint").alias("n2"), F.lit(0).cast("bigint").alias("n3"),
+        F.lit("").alias("id"), F.col("t").alias("table"),
+        F.concat(F.lit("DELETE FROM "), "t", F.lit(";")).alias("statement"),
+    )
+    parts = [
+        deletes,
+        _ordered(export_datasets(catalog.datasets(parsed)), 1, "catalog_datasets"),
+        _ordered(export_dependencies(catalog.dependencies(parsed)), 2, "catalog_dependencies", "alias"),
+        _ordered(export_schemas(catalog.schemas(parsed)), 3, "catalog_schemas", "schema_name"),
+        _ordered(export_tables(table_rows, "node_index"), 4, "catalog_tables", None, ["node_index"], "id"),
+        _ordered(export_columns_joined(table_rows, column_rows), 5, "catalog_columns", None, ["column_index"], "id"),
+    ]
+    if fallback is not None:
+        own = catalog.parsed_once(fallback.join(parsed.select("datasource"), "datasource", "left_anti"))
+        columns = catalog.columns(own, positions=True).select(
+            path_key("datasource", "schema_name", "table_name", "column_name").alias("id"),
+            "datasource", "schema_name", "table_name", "column_name", "title",
+            F.coalesce("description", F.lit("")).alias("description"), "data_type", "column_index",
+            "schema_index", "node_index",
+        )
+        parts += [
+            _ordered(export_datasets(catalog.datasets(own)), 6, "catalog_datasets"),
+            _ordered(export_schemas(catalog.schemas(own, positions=True), "schema_index"), 6, "catalog_schemas", None, ["schema_index"]),
+            _ordered(export_tables(catalog.tables(own, positions=True), "schema_index", "node_index"), 6, "catalog_tables", None, ["schema_index", "node_index"]),
+            _ordered(_with_column_statement(columns), 6, "catalog_columns", None, ["schema_index", "node_index", "column_index"]),
+        ]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return with_row_numbers(rows, _ORDER).select("seq", "table", "statement")

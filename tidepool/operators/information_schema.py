@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Databases never reported. A LIKE pattern: each underscore stands for any character.
@@ -53,3 +53,38 @@ def relation_columns(
         )
         .orderBy("table_database", "table_schema", "table_name", "column_index")
     )
+
+
+_RELATION = "database_name string, schema_name string, table_name string, comment string"
+_COLUMN = (
+    "database_name string, schema_name string, table_name string, column_name string, "
+    "column_index int, data_type string, comment string"
+)
+
+
+def session_relations(
+    spark: SparkSession, schemas: Sequence[str] | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(tables, views, columns) of the session's current catalog, as
+    :func:`relation_columns` takes them; of the given schemas, or of all.
+
+    A catalog's metadata lives with the driver's catalog client, which no
+    task can reach, so names and schemas are read there; no data is."""
+    catalog = spark.catalog.currentCatalog()
+    wanted = {s.upper() for s in schemas} if schemas is not None else None
+    tables, views, columns = [], [], []
+    for db in spark.catalog.listDatabases():
+        if wanted is not None and db.name.upper() not in wanted:
+            continue
+        for t in spark.catalog.listTables(db.name):
+            if t.isTemporary:
+                continue
+            key = (catalog, db.name, t.name)
+            (views if t.tableType == "VIEW" else tables).append((*key, t.description))
+            for i, f in enumerate(spark.table(f"`{db.name}`.`{t.name}`").schema.fields, 1):
+                columns.append((*key, f.name, i, f.dataType.simpleString().upper(), f.metadata.get("comment")))
+    return (
+        spark.createDataFrame(tables, _RELATION),
+        spark.createDataFrame(views, _RELATION),
+        spark.createDataFrame(columns, _COLUMN),
+    )

@@ -23,6 +23,7 @@ Scale notes:
 
 from __future__ import annotations
 
+import re
 import uuid
 from datetime import date
 from collections.abc import Sequence
@@ -169,13 +170,30 @@ def write_replacing_partitions(batch: DataFrame, path: str, keys: Sequence[str])
     )
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def _store(spark: SparkSession, path: str):
+    """Hadoop file system and path object: metadata operations from the driver."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hpath = _store(spark, path)
     return fs.exists(hpath)
 
 
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    """Moves a folder; an error unless it was moved."""
+    fs, hpath = _store(spark, source)
+    if not fs.rename(hpath, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Removes a job's own staging output."""
+    fs, hpath = _store(spark, path)
+    fs.delete(hpath, True)
+
+
 def write_merged_partitions(
     spark: SparkSession,
     batch: DataFrame,
@@ -205,7 +223,7 @@ def write_merged_partitions(
     try:
         if newest.isEmpty():
             return
-        if not _path_exists(spark, table_path):
+        if not path_exists(spark, table_path):
             # first load: nothing is read, so the batch is written in place
             newest.hint("rebalance", *parts).write.partitionBy(*parts).parquet(table_path)
             return
@@ -225,25 +243,55 @@ def write_merged_partitions(
         .partitionBy(*parts)
         .parquet(table_path)
     )
-    _delete(spark, staging)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    """Remove this job's own staging output once it has been swapped in."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    delete_path(spark, staging)
 
 
 def copy_namespace(spark: SparkSession, source_db: str, target_db: str) -> list[str]:
-    """Copy every table of ``source_db`` into ``target_db`` (truncate +
-    insert per table, i.e. overwrite). Only the table list passes through
-    the driver; each copy is a distributed read and write."""
+    """Copies the tables and views of ``source_db`` into ``target_db``.
+
+    A table that the target has already is emptied and filled again (``INSERT
+    OVERWRITE``, by column name), so it stays the same table for those who read it; one
+    that it lacks is created. Views are created anew from their text, with
+    unqualified names meaning the target's own tables: they are resolved when read.
+    Tables of the target that the source lacks are left alone. Only names and
+    definitions pass through the driver; each copy is a distributed read and write."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {target_db}")
-    copied = []
-    for t in spark.catalog.listTables(source_db):
-        if t.tableType == "TEMPORARY":
-            continue
-        spark.table(f"{source_db}.{t.name}").write.mode("overwrite").saveAsTable(f"{target_db}.{t.name}")
-        copied.append(t.name)
-    return copied
+    listed = [t for t in spark.catalog.listTables(source_db) if t.tableType != "TEMPORARY"]
+    names, views = [t.name for t in listed if t.tableType != "VIEW"], [t.name for t in listed if t.tableType == "VIEW"]
+    for name in names:
+        source, target = spark.table(f"{source_db}.`{name}`"), f"{target_db}.`{name}`"
+        if spark.catalog.tableExists(target):
+            columns = ", ".join(f"`{c}`" for c in source.columns)
+            spark.sql(f"INSERT OVERWRITE TABLE {target} ({columns}) SELECT {columns} FROM {source_db}.`{name}`")
+        else:
+            source.write.saveAsTable(target)
+    current = spark.catalog.currentDatabase()
+    spark.catalog.setCurrentDatabase(target_db)
+    try:
+        for name, text in _by_need(spark, source_db, views):
+            spark.sql(f"CREATE OR REPLACE VIEW `{name}` AS {text}")
+    finally:
+        spark.catalog.setCurrentDatabase(current)
+    return names + views
+
+
+def _by_need(spark: SparkSession, db: str, views: Sequence[str]) -> list[tuple[str, str]]:
+    """Names and texts of the views, those that others read first."""
+    texts = {}
+    for v in views:
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {db}.`{v}`").where("col_name = 'View Text'").collect()
+        texts[v] = rows[0]["data_type"]
+    done: list[str] = []
+    met: set[str] = set()
+
+    def visit(v: str) -> None:
+        if v not in met:
+            met.add(v)
+            for other in texts:
+                if re.search(rf"\b{re.escape(other)}\b", texts[v], re.IGNORECASE):
+                    visit(other)
+            done.append(v)
+
+    for v in sorted(texts):
+        visit(v)
+    return [(v, texts[v]) for v in done]

@@ -23,7 +23,8 @@ def model_rows(nodes: DataFrame) -> DataFrame:
 
     nodes(unique_id, resource_type, fqn, schema, name, description,
     materialized, compiled_code, meta map<string,string>). Only models
-    whose fqn starts with their dataset (``model.<ds>.…``) are kept."""
+    whose fqn starts with their dataset (``model.<ds>.…``) are kept. A
+    ``position`` (place in the manifest) is passed through."""
     ds = F.get(F.split("unique_id", r"\."), 1)
     meta = F.col("meta")
     return nodes.where(
@@ -42,9 +43,23 @@ def model_rows(nodes: DataFrame) -> DataFrame:
         F.coalesce(meta["published"].try_cast("boolean"), F.lit(False)).alias("published"),
         "materialized",
         F.nullif(F.trim("compiled_code"), F.lit("")).alias("sql"),
+        *[c for c in ("position",) if c in nodes.columns],
     )
 
 
+def _place(df: DataFrame, name: str) -> Column:
+    """A row's place in the manifest; by name where the rows carry none."""
+    return F.col("position" if "position" in df.columns else name)
+
+
+def _ordered_map(place: Column, key: str, value: Column) -> Column:
+    """Aggregate: the group's entries as a map, in the order of their places."""
+    entries = F.collect_list(F.struct(F.struct(place.alias("at"), F.col(key).alias("key")).alias("place"), value.alias("value")))
+    # values may hold maps, which cannot be compared: only the places are
+    by_place = lambda a, b: F.when(a["place"] < b["place"], -1).when(a["place"] > b["place"], 1).otherwise(0)
+    return F.map_from_entries(F.transform(F.array_sort(entries, by_place), lambda e: F.struct(e["place"]["key"], e["value"])))
+
+
 def build_documents(
     configs: DataFrame,
     models: DataFrame,
@@ -53,8 +68,12 @@ def build_documents(
     nodes: DataFrame,
 ) -> DataFrame:
     """One JSON document per dataset: config fields, schemas (declared ones
-    first, in config order, then undeclared schemas that hold models),
-    tables with columns, lineage, dependencies.
+    first, in config order, then undeclared schemas in the order of their first
+    model), tables with columns, lineage, dependencies.
+
+    Tables, parents and nodes come in the order of their ``position`` (place in
+    the manifest), columns too; rows without that column come by name. Places are
+    carried through the grouping, as rows of a table have no order of their own.
 
     configs(datasource, title, description, cover, tags, ducklake_url,
     schemas array<struct<name,title>>, dependencies, readme);
@@ -71,7 +90,7 @@ def build_documents(
         ).alias("columns")
     )
     tables = models.join(col_lists, "unique_id", "left").select(
-        "datasource", "schema_name",
+        "datasource", "schema_name", _place(models, "name").alias("_at"),
         F.struct(
             "name", "title", "description", "tags", "license", "license_url", "source_url",
             "published", "materialized",
@@ -80,8 +99,9 @@ def build_documents(
         ).alias("t"),
     )
     by_schema = tables.groupBy("datasource", "schema_name").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("t.name").alias("_n"), "t"))).alias("_ts")
-    ).select("datasource", "schema_name", F.transform("_ts", lambda x: x["t"]).alias("tables"))
+        F.array_sort(F.collect_list(F.struct("_at", F.col("t.name").alias("_n"), "t"))).alias("_ts"),
+        F.min("_at").alias("_first"),
+    ).select("datasource", "schema_name", F.transform("_ts", lambda x: x["t"]).alias("tables"), "_first")
     declared = configs.select("datasource", F.posexplode("schemas").alias("_pos", "_s")).select(
         "datasource", F.col("_s.name").alias("schema_name"), F.col("_s.title").alias("title"), "_pos"
     )
@@ -89,27 +109,16 @@ def build_documents(
         "datasource", "schema_name",
         F.coalesce("title", F.lit("")).alias("title"),
         F.coalesce("tables", F.array().cast(by_schema.schema["tables"].dataType)).alias("tables"),
-        F.coalesce("_pos", F.lit(1 << 30)).alias("_pos"),
+        F.struct(F.coalesce("_pos", F.lit(1 << 30)).alias("_pos"), "_first").alias("_pos"),
     )
     schemas = merged.groupBy("datasource").agg(
-        F.map_from_entries(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("_pos", "schema_name", F.struct("title", "tables").alias("v")))),
-                lambda x: F.struct(x["schema_name"], x["v"]),
-            )
-        ).alias("_schema_map")
+        _ordered_map(F.col("_pos"), "schema_name", F.struct("title", "tables")).alias("_schema_map")
     )
     pmap = parent_map.groupBy("datasource").agg(
-        F.map_from_entries(F.collect_list(F.struct("child", "parents"))).alias("parent_map")
-    )
-    nmap = nodes.groupBy("datasource").agg(
-        F.map_from_entries(
-            F.collect_list(F.struct(
-                "name",
-                F.struct("fqn", "resource_type", F.struct("materialized").alias("config"), "meta"),
-            ))
-        ).alias("nodes")
+        _ordered_map(_place(parent_map, "child"), "child", F.col("parents")).alias("parent_map")
     )
+    node = F.struct("fqn", "resource_type", F.struct("materialized").alias("config"), "meta")
+    nmap = nodes.groupBy("datasource").agg(_ordered_map(_place(nodes, "name"), "name", node).alias("nodes"))
     doc = (
         configs.drop("schemas").join(schemas, "datasource", "left")
         .join(pmap, "datasource", "left")

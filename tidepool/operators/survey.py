@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions.text import classify_keywords
+from tidepool.operators.ordering import staged
 
 # Keyword tiers of the small-area survey (mesh first, then
 # small area, else unknown).
@@ -139,3 +140,49 @@ def simplify_tables(df: DataFrame, entry_col: str) -> DataFrame:
         text("SMALL_AREA").alias("small_area"),
         text("COLLECT_AREA").alias("collect_area"),
     )
+
+
+def survey_report(entries: DataFrame, entry_col: str, position: str) -> DataFrame:
+    """The survey of a table listing in one pass: entries by class, and the groups by
+    survey of the class looked for.
+
+    ``entries`` holds one JSON text per listed table (:func:`simplify_tables`) and its
+    place in the listing. Rows of section ``class``: the number of entries of each
+    class. Rows of section ``survey``: per survey name of the small-area class (of the
+    unknown one where no entry is of the small-area class) the number of entries, the
+    code of the first, all dates in order, the last ones, and id, title and date of the
+    latest entry (ties: the first listed). Both come from one aggregation over the two
+    grouping sets; it combines map-side, so a class or survey with most of the entries is
+    no bottleneck."""
+    rows = classify(simplify_tables(entries, entry_col), ["title", "stat_name", "statistics_name"])
+    latest = F.struct(F.col("survey_date"), -F.col(position))
+    dates = F.array_sort(F.collect_set("survey_date"))
+    grouped = (
+        rows.groupingSets([[F.col("category")], [F.col("category"), F.col("stat_name")]], "category", "stat_name")
+        .agg(
+            F.grouping("stat_name").alias("_all"),
+            F.count(F.lit(1)).alias("n_tables"),
+            F.min_by("stat_code", position).alias("_code"),
+            F.when(F.grouping("stat_name") == 0, dates).alias("_dates"),
+            F.max_by(F.struct("id", "title", "survey_date"), latest).alias("_latest"),
+        )
+    )
+    done = staged(grouped, "survey")  # small: one row per class and survey
+    looked_for = done.select(
+        F.when(F.max(F.col("category") == "small_area"), "small_area").otherwise("unknown")
+    ).scalar()
+    survey = F.col("_all") == 0
+    n = F.size("_dates")
+    only = lambda c: F.when(survey, c)
+    return done.where(~survey | (F.col("category") == looked_for)).select(
+        F.when(survey, "survey").otherwise("class").alias("section"),
+        "category",
+        only(F.col("stat_name")).alias("survey"),
+        "n_tables",
+        only(F.col("_code")).alias("stat_code"),
+        only(F.array_join("_dates", ",")).alias("dates"),
+        only(F.array_join(F.slice("_dates", F.greatest(n - F.lit(SAMPLE_SIZE - 1), F.lit(1)), SAMPLE_SIZE), ",")).alias("last_dates"),
+        only(F.col("_latest.id")).alias("latest_id"),
+        only(F.col("_latest.title")).alias("latest_title"),
+        only(F.col("_latest.survey_date")).alias("latest_date"),
+    )

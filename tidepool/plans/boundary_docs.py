@@ -22,7 +22,8 @@ _S2P = "CAST(2 * p_size + 1 AS STRING)"
 
 def _props(suffix: str, name_col: str) -> str:
     return (f"to_json(named_struct('prefecture_code', concat({_K}, '-{suffix}'), "
-            f"'prefecture_name', {name_col}))")
+            f"'prefecture_name', {name_col}, 'lg_code', concat('{suffix}', lpad({_K}, 5, '0')), "
+            f"'county_name', CASE WHEN p_size % 2 = 1 THEN p_type END, 'city_name', p_name))")
 
 
 _TOPOLOGY = (
@@ -57,6 +58,13 @@ _TRIANGLE = ("'[' || " + " || ',' || ".join(
     _pt(x, y) for x, y in [("2 * p_size", "2 * p_size"), ("2 * p_size + 1", "2 * p_size"),
                            ("2 * p_size + 1", "2 * p_size + 1"), ("2 * p_size", "2 * p_size")]) + " || ']'")
 
+# Further properties of the features, by the suffix of their prefecture code.
+EXPECTED_MUNICIPALITIES_SQL = """
+SELECT concat(right(prefecture_code, 1), lpad(CAST(p_partkey AS VARCHAR), 5, '0')) AS lg_code, prefecture_code, prefecture_name,
+       CASE WHEN p_size % 2 = 1 THEN p_type END AS county_name, p_name AS city_name, geometry
+FROM ({}) AS b JOIN part ON CAST(p_partkey AS VARCHAR) = left(prefecture_code, -2)
+"""
+
 EXPECTED_BOUNDARIES_SQL = f"""
 SELECT p_partkey || '-a' AS prefecture_code, p_brand AS prefecture_name,
        '{{"type":"Polygon","coordinates":[' || {_SQUARE} || ']}}' AS geometry

@@ -19,23 +19,34 @@ from tidepool.functions import text as textf
 from tidepool.functions.jsonx import polymorphic_code, polymorphic_text
 from tidepool.operators import (
     catalog,
+    contracts,
     datasets,
     export,
     information_schema,
     lineage,
     load,
     maintain,
+    metadata,
     reshape,
     statistics,
     survey,
 )
+from tidepool.operators.state import LoadState, load_new
 from tidepool.plans.boundary_docs import part_topologies
 from tidepool.plans.catalog_docs import part_documents
 from tidepool.plans.tables import table
 from tidepool.session import checkpoint_root
 from tidepool.sources.api_rows import read_batches
 from tidepool.sources.csv import read_csv_named, read_csv_positional
-from tidepool.sources.documents import document_lines, read_metadata_lines, stale_sources
+from tidepool.sources.documents import (
+    document_files,
+    document_lines,
+    read_metadata_lines,
+    read_registered,
+    stale_sources,
+)
+from tidepool.sources.files import write_files
+from tidepool.sources.listing import list_files
 from tidepool.sources.topojson import decode_topologies
 from tidepool.streaming.incremental import start_keyed_load, start_partition_load
 
@@ -356,7 +367,8 @@ def q_upsert(spark: SparkSession, sf: str) -> DataFrame:
 @query("upsert_versions")
 def q_upsert_versions(spark: SparkSession, sf: str) -> DataFrame:
     """Keyed merge whose batch repeats keys and holds NULL keys: every line of
-    an order is a version of its row, the highest line number the newest."""
+    an order is a version of its row, the highest line number the newest; orders
+    without lines keep their row."""
     lines = table(spark, sf, "lineitem").select(
         F.when(F.col("l_orderkey") % 97 != 0, F.col("l_orderkey")).alias("o_orderkey"),
         F.concat(F.lit("line "), F.col("l_linenumber")).alias("o_orderstatus"),
@@ -365,7 +377,7 @@ def q_upsert_versions(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select(
         F.when(F.col("o_orderkey") % 97 != 0, F.col("o_orderkey")).alias("o_orderkey"), "o_orderstatus"
     )
-    return load.upsert(orders, lines.where("_seq % 3 = 0"), ["o_orderkey"], "_seq")
+    return load.upsert(orders, lines, ["o_orderkey"], "_seq")
 
 
 CURSOR_START = "2024-01-16 00:00:00"
@@ -428,6 +440,13 @@ def q_export_tables(spark: SparkSession, sf: str) -> DataFrame:
     return export.export_tables(catalog.tables(_parsed_docs(spark, sf)))
 
 
+@query("export_script")
+def q_export_script(spark: SparkSession, sf: str) -> DataFrame:
+    """Full refresh in order: documents with a cover are exported, the others come as fallbacks."""
+    docs = part_documents(table(spark, sf, "part"))
+    return export.script(catalog.parse_documents(docs.where("cover IS NOT NULL")), catalog.parse_documents(docs))
+
+
 @query("self_fallback")
 def q_self_fallback(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "customer").select(
@@ -944,3 +963,246 @@ def q_population_csv(spark: SparkSession, sf: str) -> DataFrame:
     c.select(*cols).write.option("header", True).option("encoding", "Shift_JIS").csv(out)
     raw = read_csv_named(spark, out, datasets.population_csv_types(), encoding="Shift_JIS")
     return datasets.population_long(raw)
+
+
+@query("csv_inferred")
+def q_csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
+    """Header CSV with undeclared columns: their types come from all values, so one
+    late row can widen a column; a declared code keeps its leading zeros."""
+    out = _scratch(spark, "csv-inferred")
+    c = table(spark, sf, "customer")
+    k, last = F.col("c_custkey"), F.col("c_custkey") == c.agg(F.max("c_custkey")).scalar()
+    day = F.date_format(F.date_add(F.lit("2001-01-01").cast("date"), (k % 900).cast("int")), "yyyy-MM-dd")
+    c.select(
+        F.lpad(k.cast("string"), 8, "0").alias("code"),
+        F.lpad(k.cast("string"), 8, "0").alias("number"),
+        F.when(last, "0.5").otherwise(k.cast("string")).alias("widened"),
+        F.when(last, "n/a").otherwise(k.cast("string")).alias("mixed"),
+        F.when(k % 3 != 0, day).alias("day"),
+        F.when(last, "0").otherwise(day).alias("day_or_number"),
+        F.col("c_acctbal").alias("balance"),
+        F.lit(None).cast("string").alias("empty"),
+        F.col("c_mktsegment").alias("segment"),
+    ).write.option("header", True).csv(out)
+    return read_csv_named(spark, out, {"code": "string"}, default="infer")
+
+
+GATE_CONTRACT = [
+    ("c_custkey", "bigint", True), ("c_name", "string", True), ("c_mktsegment", "string", True),
+    ("c_acctbal", "double", False),
+]
+
+
+@query("contract_gate")
+def q_contract_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """A table under contract: a good batch is added, one that breaks the contract is
+    turned away as a whole, another good one is added; what the table then holds."""
+    out = _scratch(spark, "contract")
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    checks = {"balance below a million": F.col("c_acctbal") < 1_000_000}
+    rich, household = F.col("c_acctbal") >= 0, F.col("c_mktsegment") == "HOUSEHOLD"
+    contracts.write_enforced(c.where(rich), out, GATE_CONTRACT, checks)
+    broken = c.where(~rich).withColumn("c_mktsegment", F.nullif("c_mktsegment", F.lit("HOUSEHOLD")))
+    if not broken.where("c_mktsegment IS NULL").isEmpty():
+        try:
+            contracts.write_enforced(broken, out, GATE_CONTRACT, checks)
+        except contracts.ContractViolation:
+            contracts.write_enforced(c.where(~rich & ~household), out, GATE_CONTRACT, checks)
+        else:
+            raise AssertionError("a batch with forbidden NULLs was written")
+    else:
+        contracts.write_enforced(broken, out, GATE_CONTRACT, checks)
+    return contracts.read_enforced(spark, out, GATE_CONTRACT)
+
+
+def _loaded(spark: SparkSession, sf: str) -> tuple[LoadState, str, list[str]]:
+    """Events loaded in three runs that share a state: the first half, the same again
+    (nothing is new), then all of them."""
+    root = _scratch(spark, "state")
+    events = table(spark, sf, "events")
+    source = events.withColumn("_day", F.to_date("ts"))
+    half = source.where(F.col("ts") < F.lit(STREAM_SPLIT).cast("timestamp_ntz"))
+    state = LoadState(spark, f"{root}/state", "timestamp_ntz")
+    for rows in (half, half, source):
+        load_new(state, rows, "events", f"{root}/table", ["_day", "event_id"], "ts", ["_day"])
+    return state, f"{root}/table", events.columns
+
+
+@query("load_state")
+def q_load_state(spark: SparkSession, sf: str) -> DataFrame:
+    """The runs that the state records: cursor and rows read by each."""
+    state, _, _ = _loaded(spark, sf)
+    return state.runs().select("resource", "run", "cursor", "n_rows")
+
+
+@query("load_state_table")
+def q_load_state_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The table that those runs loaded."""
+    _, path, columns = _loaded(spark, sf)
+    return spark.read.parquet(path).select(*columns)
+
+
+@query("push_script")
+def q_push_script(spark: SparkSession, sf: str) -> DataFrame:
+    """The ordered export script pushed in numbered batches of statements and read back."""
+    out = _scratch(spark, "push")
+    export.push(q_export_script(spark, sf), out)
+    text = spark.read.text(f"{out}/*.sql", wholetext=True)
+    return text.select(
+        F.regexp_extract(F.col("_metadata.file_name"), r"batch-(\d+)\.sql", 1).cast("bigint").alias("batch"),
+        F.length("value").cast("bigint").alias("n_chars"),
+        F.md5("value").alias("digest"),
+    )
+
+
+@query("registered_documents")
+def q_registered_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """One metadata file per supplier, in folders with blanks and signs in their
+    names, read whole by the registry; some registered datasets have no file."""
+    out = _scratch(spark, "registered")
+    s = table(spark, sf, "supplier")
+    name = F.concat(F.lit("données "), "s_name", F.lit(" 100%"))
+    docs = s.where("s_acctbal >= 0").select(
+        name.alias("datasource"),
+        F.concat(F.col("s_name"), F.lit(' "quoted"\n')).alias("title"),
+        F.lit(None).cast("string").alias("description"),
+        F.concat(F.lit("c"), F.col("s_nationkey").cast("string")).alias("cover"),
+        F.to_json(F.array(F.col("s_name"), F.lit("標"))).alias("tags"),
+        F.lit("https://lake.example.org/").alias("ducklake_url"),
+        F.lit('{"main":{"tables":[]}}').alias("schemas"),
+        F.lit(None).cast("string").alias("dependencies"), F.lit(None).cast("string").alias("lineage"),
+        F.lit(None).cast("string").alias("readme"),
+    )
+    write_files(document_files(docs), out)
+    registry = s.select(name.alias("datasource"), "s_suppkey")
+    return read_registered(spark, registry, out).select(
+        "s_suppkey", "datasource", "has_document", "title", "description", "cover", "tags", "schemas"
+    )
+
+
+@query("orphan_listing")
+def q_orphan_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """Orphan report over a real listing: files written below one folder per nation,
+    listed by the executors; those of suppliers with a positive balance are in use."""
+    out = _scratch(spark, "lake")
+    s = table(spark, sf, "supplier")
+    path = F.concat(F.lit("nation "), F.col("s_nationkey").cast("string"), F.lit("/"), "s_name", F.lit(".bin"))
+    write_files(s.select(path.alias("path"), F.repeat(F.lit("x"), (F.col("s_suppkey") % 3000).cast("int")).alias("content")), out)
+    active = s.where("s_acctbal > 0").select(path.alias("full_path"))
+    return maintain.orphan_files(list_files(spark, out), active).select("path", "size", "size_text")
+
+
+@query("build_documents")
+def q_build_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Metadata documents of a manifest: each dataset holds twenty parts in the order
+    of their places in the manifest (descending keys), in declared and other schemas."""
+    p = table(spark, sf, "part").select(
+        "p_partkey", "p_size", "p_name", "p_type", "p_brand",
+        F.concat(F.lit("d"), F.floor(F.col("p_partkey") / 20).cast("string")).alias("ds"),
+        F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("name"),
+        (-F.col("p_partkey")).alias("position"),
+    )
+    uid = F.concat_ws(".", F.lit("model"), "ds", "name")
+    nodes = p.select(
+        uid.alias("unique_id"), F.lit("model").alias("resource_type"), F.array("ds", F.lit("x"), "name").alias("fqn"),
+        F.when(F.col("p_size") % 3 == 0, "main").when(F.col("p_size") % 3 == 1, "late").otherwise("extra").alias("schema"),
+        "name", F.when(F.col("p_size") > 5, F.col("p_type")).alias("description"),
+        F.when(F.col("p_size") % 2 == 0, "table").otherwise("view").alias("materialized"),
+        F.when(F.col("p_size") > 40, F.concat(F.lit(" select "), "name", F.lit(" "))).alias("compiled_code"),
+        F.map_from_arrays(F.array(F.lit("title"), F.lit("published"), F.lit("tags")),
+                          F.array(F.col("p_name"), F.when(F.col("p_size") > 25, "true").otherwise("false"),
+                                  F.to_json(F.array("p_brand")))).alias("meta"),
+        "position",
+    )
+    columns = p.where("p_size > 10").select(uid.alias("unique_id"), F.explode(F.array(F.lit(2), F.lit(1))).alias("position"), "p_type").select(
+        "unique_id", "position", F.concat(F.lit("c"), F.col("position").cast("string")).alias("name"),
+        F.lit("").alias("title"), F.col("p_type").alias("description"), F.lit("BIGINT").alias("data_type"),
+        (F.col("position") == 1).alias("nullable"),
+    )
+    parents = p.select(F.col("ds").alias("datasource"), F.col("name").alias("child"),
+                       F.when(F.col("p_size") > 30, F.array(F.lit("raw"), F.lit("base"))).otherwise(F.array().cast("array<string>")).alias("parents"),
+                       "position")
+    lineage_nodes = p.select(F.col("ds").alias("datasource"), "name", F.array("ds", F.lit("x"), "name").alias("fqn"),
+                             F.lit("model").alias("resource_type"), F.lit("view").alias("materialized"),
+                             F.create_map().cast("map<string,string>").alias("meta"), "position")
+    configs = p.select("ds").distinct().select(
+        F.col("ds").alias("datasource"), F.concat(F.lit("Title "), "ds").alias("title"), F.lit("about").alias("description"),
+        F.lit(None).cast("string").alias("cover"), F.array(F.lit("t")).alias("tags"), F.concat(F.lit("https://x/"), "ds").alias("ducklake_url"),
+        F.array(*[F.struct(F.lit(n).alias("name"), F.lit(t).alias("title")) for n, t in (("zero", "Z"), ("main", "M"))]).alias("schemas"),
+        F.lit(None).cast("array<struct<alias:string,ducklake_url:string>>").alias("dependencies"), F.lit(None).cast("string").alias("readme"),
+    )
+    return metadata.build_documents(configs, metadata.model_rows(nodes), columns, parents, lineage_nodes).select(
+        "datasource", "document", F.col("total_tables").cast("bigint").alias("total_tables")
+    )
+
+
+@query("survey_report")
+def q_survey_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Survey of a table listing (one JSON entry per order): classes, surveys, latest entries."""
+    o = table(spark, sf, "orders")
+    key, prio = F.col("o_orderkey").cast("string"), F.col("o_orderpriority")
+    named = F.concat(F.lit("調査 "), (F.col("o_custkey") % 7).cast("string"))
+    kind = F.when(prio == "1-URGENT", "地域メッシュ統計").when(prio == "2-HIGH", "小地域集計").when(prio == "3-MEDIUM", "町丁・字等別").otherwise("都道府県別")
+    title = F.concat(kind, F.lit(" "), key)
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    entry = F.concat(
+        F.lit('{"@id":'), quoted(key),
+        F.lit(',"TITLE":'), F.when(F.col("o_orderstatus") == "O", F.concat(F.lit('{"@no":"1","$":'), quoted(title), F.lit("}"))).otherwise(quoted(title)),
+        F.lit(',"STAT_NAME":'), F.when(F.col("o_custkey") % 2 == 0, F.concat(F.lit('{"$":'), quoted(named), F.lit(',"@code":'), quoted(F.concat(F.lit("00"), key)), F.lit("}"))).otherwise(quoted(named)),
+        F.lit(',"SURVEY_DATE":'), quoted(F.date_format("o_orderdate", "yyyyMM")),
+        F.lit("}"),
+    )
+    return survey.survey_report(o.select(entry.alias("entry"), F.col("o_orderkey").alias("position")), "entry", "position")
+
+
+@query("municipalities")
+def q_municipalities(spark: SparkSession, sf: str) -> DataFrame:
+    """Municipality boundaries: all six published columns of the topologies' features."""
+    return datasets.municipality_boundaries(decode_topologies(part_topologies(table(spark, sf, "part"))))
+
+
+@query("copy_namespace")
+def q_copy_namespace(spark: SparkSession, sf: str) -> DataFrame:
+    """Two tables and a view over them copied to another database, the source changed,
+    copied again (tables emptied and filled, the view resolved there), read back."""
+    name = uuid.uuid4().hex
+    source, target = f"tidepool_src_{name}", f"tidepool_dst_{name}"
+    spark.sql(f"CREATE DATABASE {source}")
+    nation, supplier = table(spark, sf, "nation"), table(spark, sf, "supplier")
+    nation.write.saveAsTable(f"{source}.nation_copy")
+    supplier.where("s_acctbal >= 0").write.saveAsTable(f"{source}.supplier_copy")
+    current = spark.catalog.currentDatabase()
+    spark.catalog.setCurrentDatabase(source)
+    try:
+        spark.sql("""CREATE VIEW by_nation AS SELECT n_name, count(s_suppkey) AS n_suppliers, sum(s_acctbal) AS balance
+                     FROM nation_copy LEFT JOIN supplier_copy ON s_nationkey = n_nationkey GROUP BY n_name""")
+    finally:
+        spark.catalog.setCurrentDatabase(current)
+    load.copy_namespace(spark, source, target)
+    supplier.where("s_acctbal < 0").write.mode("append").saveAsTable(f"{source}.supplier_copy")
+    load.copy_namespace(spark, source, target)
+    spark.sql(f"DROP DATABASE {source} CASCADE")  # the copies stand alone
+    return spark.table(f"{target}.by_nation").select("n_name", "n_suppliers", F.round("balance", 2).alias("balance"))
+
+
+@query("live_information_schema")
+def q_live_information_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Relation report over databases of the session's catalog: a table and a view per region."""
+    name = uuid.uuid4().hex
+    nation = table(spark, sf, "nation")
+    schemas = [f"tidepool_a_{name}", f"tidepool_b_{name}"]
+    for schema in schemas:
+        spark.sql(f"CREATE DATABASE {schema}")
+    for r in table(spark, sf, "region").collect():
+        own = nation.where(F.col("n_regionkey") == r.r_regionkey)
+        region = r.r_name.lower().replace(" ", "_")
+        target = f"{schemas[r.r_regionkey % 2]}.{region}"
+        own.select(F.col("n_name").alias("n_name", metadata={"comment": f"nation of {r.r_name}"}), "n_nationkey").write.saveAsTable(target)
+        view = f"{schemas[0]}.v_{region}"
+        spark.sql(f"CREATE VIEW {view} COMMENT 'about {r.r_name}' AS SELECT n_nationkey * 2.5D AS x FROM {target}")
+    try:
+        report = information_schema.relation_columns(*information_schema.session_relations(spark, schemas), schemas)
+    finally:
+        for schema in schemas:
+            spark.sql(f"DROP DATABASE {schema} CASCADE")
+    return report.withColumn("table_schema", F.regexp_replace("table_schema", "_[0-9a-f]{32}$", ""))

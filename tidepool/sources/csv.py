@@ -3,7 +3,8 @@
 Header names are read from each file's first line; every column is read as
 text and then cast by name, so codes with leading zeros stay text and the
 column order of a file does not matter. Short rows are padded with NULL
-(PERMISSIVE), like ``null_padding``.
+(PERMISSIVE), like ``null_padding``. Columns without a declared type are text, or
+get the narrowest type that holds all their values (``default="infer"``).
 """
 
 from __future__ import annotations
@@ -13,12 +14,14 @@ import zipfile
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.functions.casts import soft_bigint, soft_double
+from tidepool.functions.casts import NUMERIC_TEXT, soft_bigint, soft_double
 from tidepool.session import prepare
+from tidepool.sources.files import open_uri
 
 _CAST = {
     "string": lambda c: c,
@@ -33,23 +36,85 @@ def _paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def _headers(spark: SparkSession, files: Sequence[str], encoding: str) -> list[tuple[list[str], list[str]]]:
-    """Header line → the files that begin with it: (column names, files).
+# --- header lines -----------------------------------------------------------------
 
-    Only the first line of each file is read (``limit`` per file is not needed:
-    the header row is the one at the start of its file)."""
-    raw = (
-        spark.read.option("header", False).option("encoding", encoding).option("mode", "PERMISSIVE")
-        .schema("line string").option("sep", "\u0000").option("quote", "\u0000").csv(list(files))
-        .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "line")
+_HEAD_BYTES = 1 << 16
+
+
+def _first_line(path: str, encoding: str) -> str | None:
+    """The first line of the file (None: this process cannot open the path)."""
+    end, held = "\n".encode(encoding).removeprefix("".encode(encoding)), b""
+    try:
+        with open_uri(path) as f:
+            while end not in held and (more := f.read(_HEAD_BYTES)):
+                held += more
+    except (ValueError, NotImplementedError, pa.ArrowInvalid):  # a store that only Spark reads
+        return None
+    return held.decode(encoding, "replace").split("\n", 1)[0].removeprefix("\ufeff").rstrip("\r")
+
+
+def _headers(spark: SparkSession, paths: Sequence[str], encoding: str) -> list[tuple[list[str], list[str]]]:
+    """(column names, paths to scan) of each distinct header line.
+
+    Executors open each file and read its first bytes; the driver gets one row per
+    distinct header. Only where headers differ does it also get the files of each,
+    which the scans need. A file in a store that only Spark reads is a header of
+    its own, read by Spark's reader."""
+    files = spark.read.format("binaryFile").load(list(paths)).select("path")  # contents are pruned: a listing
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column(0).to_pylist()
+            lines = [_first_line(p, encoding) for p in names]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names), pa.array(lines, pa.string())], names=["path", "line"]
+            )
+
+    lines = files.mapInArrow(run, "path string, line string").where("line IS NULL OR line <> ''")
+    lines = lines.withColumn("line", F.coalesce("line", F.concat(F.lit("\u0000"), "path")))
+    kinds = lines.groupBy("line").agg(F.min("path").alias("one")).orderBy("line").collect()
+    read = spark.read.option("header", True).option("encoding", encoding)
+    names = [read.csv(r["one"]).columns for r in kinds]
+    if all(n == names[0] for n in names):
+        return [(names[0], list(paths))] if names else []
+    listed = lines.groupBy("line").agg(F.collect_list("path").alias("files")).collect()
+    by_line = {r["line"]: sorted(r["files"]) for r in listed}
+    return [(n, by_line[r["line"]]) for n, r in zip(names, kinds, strict=True)]
+
+
+# --- types of undeclared columns ----------------------------------------------------
+
+# What a value can be: whole number, number, date, text. A column's values are joined
+# by OR; numbers widen to numbers, anything else that differs to text.
+_WHOLE, _NUMBER, _DATE, _TEXT = 1, 2, 4, 8
+
+
+def _kind(c: Column) -> Column:
+    """The narrowest kind of a text value; 0 for NULL and blank."""
+    value = F.trim(c)
+    return (
+        F.when(c.isNull() | (value == ""), 0)
+        .when(value.rlike(r"^[+-]?\d+$") & value.try_cast("bigint").isNotNull(), _WHOLE)
+        .when(value.rlike(NUMERIC_TEXT) & value.try_cast("double").isNotNull(), _NUMBER)
+        .when(value.rlike(r"^\d{4}-\d{2}-\d{2}$") & value.try_cast("date").isNotNull(), _DATE)
+        .otherwise(_TEXT)
     )
-    first = raw.where("at = 0").groupBy("file").agg(F.first("line").alias("line"))
-    grouped = first.groupBy("line").agg(F.collect_list("file").alias("files")).orderBy("line").collect()
-    parsed = []
-    for r in grouped:
-        names = spark.read.option("header", True).option("encoding", encoding).csv(r["files"][:1]).columns
-        parsed.append((names, r["files"]))
-    return parsed
+
+
+def _type_of(kinds: int) -> str:
+    if kinds & _TEXT or (kinds & _DATE and kinds != _DATE) or not kinds:
+        return "string"
+    return "date" if kinds == _DATE else "double" if kinds & _NUMBER else "bigint"
+
+
+def infer_types(raw: DataFrame, columns: Sequence[str]) -> dict[str, str]:
+    """The narrowest type (bigint < double < string, date < string) that holds all
+    values of each text column: one aggregation over all rows, no sample. A column
+    without values is text."""
+    if not columns:
+        return {}
+    found = raw.agg(*[F.bit_or(_kind(F.col(f"`{c}`"))).alias(f"k{i}") for i, c in enumerate(columns)]).first()
+    return {c: _type_of(found[i] or 0) for i, c in enumerate(columns)}
 
 
 def read_csv_named(
@@ -61,7 +126,8 @@ def read_csv_named(
 ) -> DataFrame:
     """Header CSV → DataFrame with ``types`` applied by column name
     (``string``, ``date``, ``bigint``, ``int``, ``double``); other columns
-    get ``default``.
+    get ``default``, or with ``default="infer"`` the type that all their values
+    fit (:func:`infer_types`: one more pass over the files).
 
     Files may hold their columns in different orders or lack some: files with
     the same header line are read in one scan, and the scans are united by
@@ -70,18 +136,18 @@ def read_csv_named(
     types = dict(types or {})
     reader = spark.read.option("header", True).option("encoding", encoding).option("mode", "PERMISSIVE")
 
-    def one(names: list[str], files: list[str]) -> DataFrame:
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
-        raw = reader.schema(schema).csv(files)
-        return raw.select(*[_CAST[types.get(c, default)](F.col(f"`{c}`")).alias(c) for c in names])
+    def text(names: list[str], files: list[str]) -> DataFrame:
+        return reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in names])).csv(files)
 
-    parts = [one(names, files) for names, files in _headers(spark, _paths(paths), encoding)]
+    parts = [text(names, files) for names, files in _headers(spark, _paths(paths), encoding)]
     if not parts:
-        return one(reader.csv(_paths(paths)).columns, _paths(paths))
-    out = parts[0]
+        parts = [text(reader.csv(_paths(paths)).columns, _paths(paths))]
+    raw = parts[0]
     for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    return out
+        raw = raw.unionByName(part, allowMissingColumns=True)
+    if default == "infer":
+        types = infer_types(raw, [c for c in raw.columns if c not in types]) | types
+    return raw.select(*[_CAST[types.get(c, default)](F.col(f"`{c}`")).alias(c) for c in raw.columns])
 
 
 def read_csv_positional(

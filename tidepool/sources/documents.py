@@ -31,7 +31,7 @@ def read_metadata_documents(
 ) -> DataFrame:
     """Read metadata documents in one scan.
 
-    ``paths`` maps datasource → file, or lists files laid out as
+    ``paths`` maps datasource → file, or lists files or globs laid out as
     ``…/<datasource>/metadata.json`` (the datasource is the folder name).
     """
     prepare(spark)
@@ -42,7 +42,7 @@ def read_metadata_documents(
     if isinstance(paths, Mapping):
         known = spark.createDataFrame([(_uri(f), d) for d, f in paths.items()], "_known string, datasource string")
         same = F.regexp_replace("_file", "^file:/+", "file:/") == F.col("_known")
-        raw = raw.join(F.broadcast(known), same, "left").withColumn(
+        raw = raw.join(known, same, "left").withColumn(
             "datasource", F.coalesce("datasource", F.raise_error(F.concat(F.lit("no datasource for "), F.col("_file"))).cast("string"))
         )
     else:
@@ -70,9 +70,10 @@ def read_metadata_lines(spark: SparkSession, paths: str | Sequence[str]) -> Data
              "dependencies", "lineage", "readme")
 
 
-def document_lines(docs: DataFrame) -> DataFrame:
+def document_lines(docs: DataFrame, *kept: str) -> DataFrame:
     """Documents (nested parts as JSON text) → one JSON line each, the nested
-    parts embedded as JSON values (inverse of :func:`read_metadata_lines`)."""
+    parts embedded as JSON values (inverse of :func:`read_metadata_lines`);
+    columns named in ``kept`` are passed through."""
     parts = []
     for i, c in enumerate(("datasource",) + TEXT_PARTS + JSON_PARTS):
         value = (
@@ -80,7 +81,7 @@ def document_lines(docs: DataFrame) -> DataFrame:
             else F.coalesce(F.regexp_extract(F.to_json(F.array(F.col(c))), r"^\[(.*)\]$", 1), F.lit("null"))
         )
         parts += [F.lit(("{" if i == 0 else ",") + f'"{c}":'), value]
-    return docs.select(F.concat(*parts, F.lit("}")).alias("value"))
+    return docs.select(*kept, F.concat(*parts, F.lit("}")).alias("value"))
 
 
 def _uri(path: str) -> str:
@@ -94,6 +95,23 @@ def registry_paths(datasources: Sequence[str], base: str) -> dict[str, str]:
     return {d: f"{base.rstrip('/')}/{d}/{METADATA_FILE}" for d in datasources}
 
 
+def read_registered(spark: SparkSession, registry: DataFrame, base: str) -> DataFrame:
+    """The registry's datasets (``datasource`` and further columns) with their documents:
+    one whole-file read of ``<base>/<datasource>/metadata.json``, joined on the decoded
+    folder name. ``has_document`` is false where the registry names a dataset
+    without a file; files that it does not name are left out. Neither paths nor names
+    pass through the driver."""
+    docs = read_metadata_documents(spark, [f"{base.rstrip('/')}/*/{METADATA_FILE}"])
+    found = docs.withColumn("_found", F.lit(True))
+    return registry.join(found, "datasource", "left").withColumn("has_document", F.coalesce("_found", F.lit(False))).drop("_found")
+
+
+def document_files(docs: DataFrame) -> DataFrame:
+    """Documents as the files that :func:`read_registered` reads: (path, content)."""
+    lines = document_lines(docs.select("datasource", *TEXT_PARTS, *JSON_PARTS), "datasource")
+    return lines.select(F.concat("datasource", F.lit(f"/{METADATA_FILE}")).alias("path"), F.col("value").alias("content"))
+
+
 def stale_sources(present: DataFrame, expected: DataFrame, key: str = "name") -> DataFrame:
     """Entries present (e.g. generated source files) that the registry no
     longer lists: ``present`` minus ``expected`` on ``key``."""

@@ -7,7 +7,7 @@ geospatial types are off by default, so geometries are emitted as
 GeoJSON text (``Polygon`` / ``MultiPolygon``).
 
 Plan (all JVM-side): each topology is parsed once and decoded inside its
-row — arcs by running sums, rings by chaining arc references — then its
+row — arcs by prefix sums, rings by chaining arc references — then its
 features are exploded: no shuffle, window or broadcast. A topology is one
 document; its size is bounded by the file that holds it.
 
@@ -33,13 +33,24 @@ TOPOLOGY_SCHEMA = (
 # A stored position → coordinates; without a transform positions are absolute.
 _SCALED = "CASE WHEN size({t}.scale) = 2 THEN array({x} * {t}.scale[0] + {t}.translate[0], {y} * {t}.scale[1] + {t}.translate[1]) ELSE array({x}, {y}) END"
 
+
+
+def _running_sums(values: str) -> str:
+    """Prefix sums of an array of doubles by doubling: after step k each item holds
+    the sum of the last 2^(k+1) items up to it. n log n additions and no array
+    that grows by copying, however long the arc."""
+    return (
+        f"CASE WHEN size({values}) < 2 THEN {values} ELSE aggregate("
+        f"sequence(0, CAST(ceil(log2(size({values}))) AS INT) - 1), {values}, "
+        "(acc, k) -> transform(acc, (v, i) -> CASE WHEN i >= shiftleft(1, k) THEN v + acc[i - shiftleft(1, k)] ELSE v END)) END"
+    )
+
+
 # The points of every arc: running sums of the deltas when quantised.
 _ARC_POINTS = (
-    "transform(t.arcs, a -> CASE WHEN size(t.transform.scale) = 2 THEN aggregate(a, "
-    "named_struct('x', 0D, 'y', 0D, 'pts', CAST(array() AS array<array<double>>)), "
-    "(s, p) -> named_struct('x', s.x + p[0], 'y', s.y + p[1], 'pts', concat(s.pts, array("
-    "array((s.x + p[0]) * t.transform.scale[0] + t.transform.translate[0], "
-    "(s.y + p[1]) * t.transform.scale[1] + t.transform.translate[1])))), s -> s.pts) "
+    "transform(t.arcs, a -> CASE WHEN size(t.transform.scale) = 2 THEN zip_with("
+    f"{_running_sums('transform(a, p -> p[0])')}, {_running_sums('transform(a, p -> p[1])')}, (x, y) -> array("
+    "x * t.transform.scale[0] + t.transform.translate[0], y * t.transform.scale[1] + t.transform.translate[1])) "
     "ELSE transform(a, p -> array(p[0], p[1])) END)"
 )
 
