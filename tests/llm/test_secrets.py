@@ -1,7 +1,10 @@
 """Base spans equal a plain reading of the rules; guess costs order values as people would."""
 
 import hashlib
+import math
+import random
 import re
+from functools import cache
 
 import pytest
 
@@ -49,26 +52,99 @@ def test_guess_costs_are_ordered():
     assert cost("summer2024") < S.LEAST_LOG10 < cost("xK9#mQ2$vL9z")
 
 
-def test_segmentation_is_the_cheapest_cut():
-    """Against every cut of short values."""
-    import math
-    from itertools import combinations
-
-    for value in ("abc1999", "aaab", "passx9", "zxcv12", "k9k9k9"):
-        parts = {}
-        for end, options in enumerate(S._parts(value)):
-            for start, c, _ in options:
-                parts[start, end] = min(c, parts.get((start, end), math.inf))
-        each = math.log10(max(10, S._alphabet(value)))
-        best = math.inf
-        n = len(value)
-        for k in range(n):
-            for cuts in combinations(range(1, n), k):
-                edges = [0, *cuts, n]
-                spans = list(zip(edges, edges[1:], strict=False))
-                total = sum(min(parts.get(s, math.inf), (s[1] - s[0]) * each) for s in spans)
-                best = min(best, total + math.log10(math.factorial(len(spans))))
-        assert S.segmentation(value)[0] == pytest.approx(best)
+def _all_parts(value):
+    """Every part of the value with its least cost, by the definitions, substring by substring."""
+    low, n = "".join(c.lower() if len(c.lower()) == 1 else c for c in value), len(value)
+    ranks, longest = S._ranks()
+    plain, parts = low.translate(S._PLAIN), {}
+
+    def put(i, j, cost):
+        parts[i, j] = min(cost, parts.get((i, j), math.inf))
+
+    for i in range(n):
+        if value[i].isdigit() and (m := S._DATE.match(value, i)):
+            put(i, m.end(), math.log10(365 * 120 if len(m[0]) > 4 else 120))
+        for j in range(i + 3, n + 1):
+            t, m = low[i:j], j - i
+            for text, swapped in ((t, 0.0), (plain[i:j], math.log10(2))):
+                rank = (ranks.get(text) or 2 * ranks.get(text[::-1], 0)) if m <= longest else 0
+                if rank:
+                    cost = math.log10(rank) + swapped * (text != t) + S._case_cost(value[i:j])
+                    put(i, j, cost)
+                    if i and value[i - 1] in S.JOINTS:
+                        put(i - 1, j, cost + math.log10(len(S.JOINTS)))
+            if len(set(t)) == 1:
+                put(i, j, math.log10(S._alphabet(t[0]) * m))
+            if all(S._near(a, b) for a, b in zip(t, t[1:])):
+                put(i, j, math.log10(47 * m) + 0.3 * (m - 1))
+            for step in (1, -1):
+                if all(ord(b) - ord(a) == step for a, b in zip(t, t[1:])):
+                    put(i, j, math.log10((4 if t[0] in "a1z9" else 26) * m * (1 if step > 0 else 2)))
+            period = next(p for p in range(1, m + 1) if t[p:] == t[: m - p])
+            if 1 < period <= m / 2:
+                first = i  # of the whole run: its first block is the one that is guessed
+                while first and low[first - 1] == low[first - 1 + period]:
+                    first -= 1
+                start = _cheapest(low[first : first + period]) + math.log10(period) * (first < i)
+                put(i, j, start + math.log10(m if m % period else m // period))
+    return parts
+
+
+@cache
+def _cheapest(value):
+    """Least cost over all cuts, part by part."""
+    n, each = len(value), math.log10(max(10, S._alphabet(value)))
+    ends = [[] for _ in range(n + 1)]
+    for (i, j), c in _all_parts(value).items():
+        ends[j].append((i, c))
+    found, brute = ([[math.inf] * (S.MOST_PARTS + 1) for _ in range(n + 1)] for _ in range(2))
+    found[0][0] = 0.0
+    for j in range(1, n + 1):
+        for k in range(1, S.MOST_PARTS + 1):
+            found[j][k] = min((min(found[i][k - 1], brute[i][k - 1]) + c for i, c in ends[j]), default=math.inf)
+            brute[j][k] = min(found[i][k - 1] + each * (j - i) for i in range(j))
+    return min(min(found[n][k], brute[n][k]) + math.log10(math.factorial(k)) for k in range(S.MOST_PARTS + 1))
+
+
+def _value(rnd, n):
+    out = ""
+    while len(out) < n:
+        out += rnd.choice([
+            rnd.choice("aw1*") * rnd.randrange(3, 100), "".join(rnd.choice("qweasdzxc") for _ in range(rnd.randrange(2, 14))) * rnd.randrange(1, 12),
+            rnd.choice(["password", "sdfg", "qwertyuiop", "summer", "class", "aBaB"]) * rnd.randrange(1, 4), "1998-04-12",
+            "abcdefghijklmnopqrstuvwxyz"[rnd.randrange(10) :], "".join(rnd.choice("aB3$_x9é") for _ in range(rnd.randrange(1, 8))),
+        ])
+    return out[:n]
+
+
+@pytest.mark.parametrize("length", [8, 25, 60, 90, 130, 200])
+def test_costs_are_those_of_the_cheapest_of_all_cuts(length):
+    rnd = random.Random(length)
+    for value in [_value(rnd, length) for _ in range(6)]:
+        cost, parts = S.segmentation(value)
+        assert cost == pytest.approx(_cheapest(value)) and S.log10_guesses(value) == pytest.approx(cost), value
+        assert [i for i, _, _ in parts] == [0, *[j for _, j, _ in parts[:-1]]] and parts[-1][1] == length
+
+
+@pytest.mark.parametrize("value", ["abc1999", "aaab", "passx9", "zxcv12", "k9k9k9", "w" * 92 + "sdfg", "w" * 93 + "sdfg", "abcdef" * 10, "qwertyuiop" * 3, "class" + "s" * 110 + "1999"])
+def test_costs_of_named_values(value):
+    assert S.log10_guesses(value) == pytest.approx(_cheapest(value))
+
+
+def test_length_does_not_change_a_verdict():
+    """One more character of a repeat or walk changes the cost by less than its own choices."""
+    costs = [S.log10_guesses("w" * k + "sdfg") for k in range(60, 140)]
+    assert max(b - a for a, b in zip(costs, costs[1:])) < 0.05
+    assert S.log10_guesses("abcdef" * 10) < S.LEAST_LOG10 and S.log10_guesses("qwertyuiop" * 3) < S.LEAST_LOG10
+
+
+def test_long_stretches_by_halving_are_those_listed(monkeypatch):
+    rnd = random.Random(3)
+    values = ["a" * 300 + "b", "qw" * 200, "abcabd" * 60, *[_value(rnd, 400) for _ in range(4)]]
+    halved = [S.log10_guesses.__wrapped__(v) for v in values]
+    monkeypatch.setattr(S, "LISTED", 10_000)
+    S.log10_guesses.cache_clear()
+    assert halved == pytest.approx([S.log10_guesses.__wrapped__(v) for v in values])
 
 
 def test_guess_spans_are_added_and_base_spans_stay():
@@ -94,19 +170,6 @@ def test_masks_of_any_length_are_no_secrets():
     assert S.spans_of("passphrase: " + "*" * 144 + "kqzvhwpxtjbnrmcd")
 
 
-def test_long_stretches_cost_what_all_their_parts_would():
-    import math
-
-    for value in ("a" * 120, "class" + "s" * 110 + "1999", "12" * 60 + "x"):
-        short, S.NEAR = S.log10_guesses.__wrapped__(value), 1000
-        try:
-            assert S.log10_guesses.__wrapped__(value) == pytest.approx(short)
-        finally:
-            S.NEAR = 48
-        cost, parts = S.segmentation(value)
-        assert cost == pytest.approx(short) and parts[0][0] == 0 and parts[-1][1] == len(value) and math.isfinite(cost)
-
-
 def test_long_values_take_linear_time():
     import time
 

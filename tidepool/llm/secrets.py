@@ -14,12 +14,22 @@ dynamic programming over the value's positions; each further part multiplies
 the guesses, and orders of parts multiply them too. A guess span that lies
 inside a base span is not listed again.
 
+*Repeats* are those of one character and of blocks of any length. Blocks are found as
+maximal runs; any stretch of a run that holds two blocks or more is a part, and costs the
+block's own cheapest cut, its start in the block and its length.
+
+*Long stretches.* Every piece of a repeat, walk, sequence or run may be a part, and in a
+stretch of ``L`` characters these are of the order of ``L`` squared. Their costs grow with the length more and
+more slowly, so among the starts of pieces an earlier one that is cheaper at some end
+stays cheaper at all later ends: the least sums of all ends are found by halving, in
+``L`` times the square of its logarithm, with the same result as trying all pieces.
+
 The dictionary is the list of common passwords below, then the whole words of the
 word tokenizer's vocabulary by rank, so that a plain word or two ("required",
 "see-documentation") cost few guesses and letters in no order cost many.
 
-Cases: null and empty texts have no spans. Values of any length are scored whole, in
-linear time.
+Cases: null and empty texts have no spans. Values of any length are scored whole, with
+all their parts.
 """
 
 from __future__ import annotations
@@ -36,6 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common
+from .runs import squares
 
 KINDS = ("assign", "access", "hex", "guess")
 
@@ -53,8 +64,8 @@ _MAY_HOLD = re.compile(r"pass|pwd|secret|token|credential|auth|key|pin|AKIA|[0-9
 LEAST_LOG10 = 8.0
 #: Parts of a cut, at most: the orders of more would pass LEAST_LOG10 by themselves.
 MOST_PARTS = 12
-#: In a stretch of more than twice so many characters, parts begin and end so near its borders; others can be widened.
-NEAR = 48
+#: Stretches up to so long have their pieces listed; those of longer ones are found by halving.
+LISTED = 40
 
 # Frequent words of guessed passwords, most frequent first; the rank is the guess cost.
 COMMON_WORDS = """
@@ -118,22 +129,66 @@ def _stretches(n: int, follows) -> list[tuple[int, int]]:
     return list(zip(cuts, cuts[1:], strict=False))
 
 
-def _pieces(a: int, b: int) -> list[tuple[int, int]]:
-    """The parts of three and more characters in a stretch; of a long one, those near its borders."""
-    if b - a > 2 * NEAR:
-        return [(i, j) for i in range(a, a + NEAR) for j in range(b - NEAR + 1, b + 1)]
-    return [(i, j) for i in range(a, b - 2) for j in range(i + 3, b + 1)]
+class Pieces:
+    """Pieces of a stretch that may be parts: from ``places[x]`` to ``places[y]``, ``y - x >= least``, at
+    ``start[x] + growth[y - x]`` (log10 of guesses; ``growth`` concave)."""
+
+    def __init__(self, places: np.ndarray, least: int, start: np.ndarray, growth: np.ndarray, kind: str):
+        self.places, self.least, self.start, self.growth, self.kind = places, least, start, growth, kind
+
+    def listed(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All pieces: from, to, cost."""
+        x, y = np.triu_indices(len(self.places), self.least)
+        return self.places[x], self.places[y], self.start[x] + self.growth[y - x]
+
+    def least_sums(self, before: np.ndarray) -> np.ndarray:
+        """For the places from the ``least``-th on, the least of ``before`` a piece and its cost."""
+        base = (before[self.places] + self.start)[: -self.least]
+        growth, out = self.growth[self.least :], np.full(len(base), np.inf)
+
+        def all_of(rows: slice, columns: slice) -> None:
+            y, x = np.arange(rows.start, rows.stop)[:, None], np.arange(columns.start, columns.stop)[None, :]
+            sums = np.where(y >= x, base[x] + growth[np.maximum(y - x, 0)], np.inf)
+            out[rows] = np.minimum(out[rows], sums.min(1))
+
+        def block(rows: slice, columns: slice) -> None:
+            """Columns all before the rows: the least column moves back as rows go on."""
+            high, wide = rows.stop - rows.start, columns.stop - columns.start
+            if high <= 0 or wide <= 0:
+                return
+            if high * wide <= 4096:
+                return all_of(rows, columns)
+            y = (rows.start + rows.stop) // 2
+            sums = base[columns] + growth[y - np.arange(columns.start, columns.stop)]
+            x = int(sums.argmin())
+            out[y] = min(out[y], sums[x])
+            x += columns.start
+            block(slice(rows.start, y), slice(x, columns.stop))
+            block(slice(y + 1, rows.stop), slice(columns.start, x + 1))
+
+        def halves(a: int, b: int) -> None:
+            if b - a <= 64:
+                return all_of(slice(a, b), slice(a, b))
+            mid = (a + b) // 2
+            halves(a, mid)
+            halves(mid, b)
+            block(slice(mid, b), slice(a, mid))
+
+        halves(0, len(base))
+        return out
+
+
+def _lower(value: str) -> str:
+    low = value.lower()
+    if len(low) != len(value):  # a character whose small letter is two
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
+    return low
 
 
-def _parts(value: str) -> list[list[tuple[int, float, str]]]:
-    """For each end: (start, log10 of guesses, kind) of the parts other than brute force."""
-    n, low = len(value), value.lower()
-    if len(low) != n:  # a character whose small letter is two
-        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
-    plain = low.translate(_PLAIN)
+def _words_and_dates(value: str, low: str):
+    """(from, to, log10 of guesses, kind) of dictionary words and dates."""
+    n, plain, joint = len(value), low.translate(_PLAIN), math.log10(len(JOINTS))
     ranks, longest = _ranks()
-    joint = math.log10(len(JOINTS))
-    ends: list[list[tuple[int, float, str]]] = [[] for _ in range(n + 1)]
     for i in range(n):
         for j in range(i + 3, min(n, i + longest) + 1):
             for text, extra in ((low[i:j], 0.0), (plain[i:j], math.log10(2))):
@@ -141,50 +196,96 @@ def _parts(value: str) -> list[list[tuple[int, float, str]]]:
                 if rank:
                     swaps = extra if text != low[i:j] or not extra else 0.0
                     cost = math.log10(rank) + swaps + _case_cost(value[i:j])
-                    ends[j].append((i, cost, "word"))
+                    yield i, j, cost, "word"
                     if i and value[i - 1] in JOINTS:  # with the sign that joins it to the part before
-                        ends[j].append((i - 1, cost + joint, "word"))
+                        yield i - 1, j, cost + joint, "word"
         if value[i].isdigit() and (m := _DATE.match(value, i)):
-            ends[m.end()].append((i, math.log10(365 * 120 if len(m[0]) > 4 else 120), "date"))
+            yield i, m.end(), math.log10(365 * 120 if len(m[0]) > 4 else 120), "date"
+
+
+def _stretch_pieces(low: str):
+    """Repeats of a character, keyboard walks, sequences (three characters or more), and repeats of a block."""
+    n = len(low)
+
+    def pieces(a: int, b: int, start, growth, kind: str) -> Pieces:
+        length = np.arange(1, b - a + 1)
+        return Pieces(np.arange(a, b + 1), 3, np.append(start, 0.0), np.concatenate(([0.0], growth(length))), kind)
+
     for a, b in _stretches(n, lambda j: low[j] == low[j - 1]):
-        for i, j in _pieces(a, b):
-            ends[j].append((i, math.log10(_alphabet(low[i]) * (j - i)), "repeat"))
+        if b - a >= 3:
+            yield pieces(a, b, np.zeros(b - a), lambda m, a=a: np.log10(_alphabet(low[a]) * m), "repeat")
     for a, b in _stretches(n, lambda j: _near(low[j - 1], low[j])):
-        for i, j in _pieces(a, b):
-            ends[j].append((i, math.log10(47 * (j - i)) + 0.3 * (j - i - 1), "walk"))
+        if b - a >= 3:
+            yield pieces(a, b, np.zeros(b - a), lambda m: np.log10(47 * m) + 0.3 * (m - 1), "walk")
     for step in (1, -1):
         for a, b in _stretches(n, lambda j, step=step: ord(low[j]) - ord(low[j - 1]) == step):
-            for i, j in _pieces(a, b):
-                ends[j].append((i, math.log10((4 if low[i] in "a1z9" else 26) * (j - i) * (1 if step > 0 else 2)), "sequence"))
-    for size in range(2, 9):  # repeats of a block
-        same = 0  # characters from here on that are those of the next block
-        for i in range(n - size - 1, -1, -1):
-            same = same + 1 if low[i] == low[i + size] else 0
-            if same >= size:
-                k, each, few = same // size + 1, math.log10(_alphabet(low[i : i + size])), len(set(low[i : i + size]))
-                block = min(size * each, few * each + size * math.log10(few))
-                ends[i + k * size].append((i, block + math.log10(k), "repeat"))
-                if same % size:  # the last block cut off
-                    ends[i + size + same].append((i, block + math.log10(size + same), "repeat"))
-    return ends
+            if b - a >= 3:
+                start = np.log10([4 if c in "a1z9" else 26 for c in low[a:b]])
+                yield pieces(a, b, start, lambda m, step=step: np.log10(m * (1 if step > 0 else 2)), "sequence")
+    if n < 4:
+        return
+    for (a, size), last in squares([ord(c) for c in low]).items():
+        if size == 1:
+            continue
+        places, block = np.arange(a, last + 2), log10_guesses(low[a : a + size])
+        start = block + np.where(places == a, 0.0, math.log10(size))
+        yield Pieces(places, 2 * size, start, np.log10(np.maximum(np.arange(len(places)), 1)), "repeat")
+        for r in range(min(size, len(places) - 2 * size)):  # whole blocks: their number instead of the length
+            own = slice(r, None, size)
+            count = np.arange(len(places[own]))
+            yield Pieces(places[own], 2, start[own], np.log10(np.maximum(count, 1)), "repeat")
 
 
 _ORDERS = np.array([math.log10(math.factorial(k)) for k in range(MOST_PARTS + 1)])
 
 
-def _table(value: str, ends: list, each: float) -> tuple[np.ndarray, np.ndarray]:
+class Cuts:
     """Least sums of log guesses of the first ``j`` characters in ``k`` parts, the last one found or brute force."""
-    found, brute = (np.full((len(value) + 1, MOST_PARTS + 1), np.inf) for _ in range(2))
-    found[0, 0] = 0.0
-    for j in range(1, len(value) + 1):
-        np.minimum(brute[j - 1, 1:], found[j - 1, :-1], out=brute[j, 1:])
-        brute[j, 1:] += each
-        least: dict[int, float] = {}
-        for i, c, _ in ends[j]:
-            least[i] = min(c, least.get(i, math.inf))
-        for i, c in least.items():
-            np.minimum(found[j, 1:], np.minimum(found[i, :-1], brute[i, :-1]) + c, out=found[j, 1:])
-    return found, brute
+
+    def __init__(self, value: str):
+        low, n = _lower(value), len(value)
+        self.each, self.n = math.log10(max(10, _alphabet(value))), n
+        words, stretches = list(_words_and_dates(value, low)), list(_stretch_pieces(low))
+        self.long = [p for p in stretches if len(p.places) > LISTED]
+        lists = [p.listed() for p in stretches if len(p.places) <= LISTED]
+        self.kinds = [w[3] for w in words] + [p.kind for p, (i, _, _) in zip((p for p in stretches if len(p.places) <= LISTED), lists, strict=True) for _ in i]
+        columns = list(zip(*[w[:3] for w in words], strict=True)) if words else [(), (), ()]
+        self.i, self.j, self.c = (np.concatenate([np.array(columns[k], float if k == 2 else int), *[x[k] for x in lists]]) for k in range(3))
+        order = np.argsort(self.j, kind="stable")
+        ends = self.j[order]
+        cuts = np.flatnonzero(np.concatenate(([True], ends[1:] != ends[:-1]))) if len(ends) else np.zeros(0, int)
+        place, steps = np.arange(n + 1), self.each * np.arange(n + 1)
+        self.found, self.brute = [np.where(place == 0, 0.0, np.inf)], [np.full(n + 1, np.inf)]
+        for _ in range(MOST_PARTS):
+            before = np.minimum(self.found[-1], self.brute[-1])
+            found = np.full(n + 1, np.inf)
+            if len(ends):
+                found[ends[cuts]] = np.minimum.reduceat((before[self.i] + self.c)[order], cuts)
+            for p in self.long:
+                at = p.places[p.least :]
+                found[at] = np.minimum(found[at], p.least_sums(before))
+            brute = np.full(n + 1, np.inf)
+            brute[1:] = (np.minimum.accumulate(self.found[-1] - steps) + steps + self.each)[:-1]
+            self.found.append(found)
+            self.brute.append(brute)
+        totals = np.array([min(f[n], b[n]) for f, b in zip(self.found, self.brute, strict=True)]) + _ORDERS
+        self.parts = int(totals.argmin())
+        self.cost = float(totals[self.parts])
+
+    def last_part(self, j: int, k: int) -> tuple[int, str]:
+        """Start and kind of the last of the ``k`` parts that end at ``j``."""
+        if self.brute[k][j] < self.found[k][j]:
+            i = j - 1
+            while self.found[k - 1][i] + self.each * (j - i) > self.brute[k][j] + 1e-9:
+                i -= 1
+            return i, "brute"
+        before = np.minimum(self.found[k - 1], self.brute[k - 1])
+        options = [(before[self.i[x]] + self.c[x], self.i[x], self.kinds[x]) for x in np.flatnonzero(self.j == j)]
+        for p in self.long:
+            for y in np.flatnonzero(p.places == j).tolist():
+                options += [(before[p.places[x]] + p.start[x] + p.growth[y - x], p.places[x], p.kind) for x in range(y - p.least + 1)]
+        _, i, kind = min(options)
+        return int(i), kind
 
 
 def segmentation(value: str) -> tuple[float, list[tuple[int, int, str]]]:
@@ -193,33 +294,20 @@ def segmentation(value: str) -> tuple[float, list[tuple[int, int, str]]]:
     ``k`` parts come in ``k!`` orders. Brute-force stretches cost ten guesses a
     character at least (the digits), by the alphabet of the whole value.
     """
-    n = len(value)
-    if n == 0:
+    if not value:
         return 0.0, []
-    ends, each = _parts(value), math.log10(max(10, _alphabet(value)))
-    found, brute = _table(value, ends, each)
-    totals = np.minimum(found[n], brute[n]) + _ORDERS
-    k = int(totals.argmin())
-    cost, parts, j = float(totals[k]), [], n
-    while j:
-        if brute[j, k] < found[j, k]:
-            i = j - 1
-            while brute[i, k] < found[i, k - 1]:
-                i -= 1
-            kind = "brute"
-        else:
-            i, _, kind = min(ends[j], key=lambda p: min(found[p[0], k - 1], brute[p[0], k - 1]) + p[1])
+    cuts = Cuts(value)
+    parts, j = [], len(value)
+    for k in range(cuts.parts, 0, -1):
+        i, kind = cuts.last_part(j, k)
         parts.append((i, j, kind))
-        j, k = i, k - 1
-    return cost, parts[::-1]
+        j = i
+    return cuts.cost, parts[::-1]
 
 
 @lru_cache(maxsize=20_000)
 def log10_guesses(value: str) -> float:
-    if not value:
-        return 0.0
-    found, brute = _table(value, _parts(value), math.log10(max(10, _alphabet(value))))
-    return float((np.minimum(found[-1], brute[-1]) + _ORDERS).min())
+    return Cuts(value).cost if value else 0.0
 
 
 def spans_of(text: str) -> list[tuple[int, int, str]]:
