@@ -5,16 +5,24 @@ the url's path starts with the rule's; the longest fitting rule (host and path
 together) decides.
 
 *Mined rules* judge the urls that no given rule fits. A url becomes a set of tokens
-(scheme, top-level domain, domain and labels of the host, path segments, file
-ending, query keys; numbers count as one token). FP-growth mines the token sets of
-all urls, those that a given rule blocks with a block label; of the rules "tokens ->
-block" those with enough support and confidence are kept (a url that no given rule
-judges counts against, so that a list which names two languages of a domain does
-not condemn the others), and of these the ones for which no smaller rule on some of
-the tokens is at least as sure. A url
-is blocked when a kept rule's tokens are all among its own. Rules are matched by an
-inverted index: token sets joined with rule tokens by token, and the matches of
-each rule counted.
+(scheme, top-level domain, domain, further labels of the host, path segments, file
+ending, query keys; numbers count as one token). The urls that a given rule judges
+are the labelled ones. Tokens that stand in all urls or in just the same ones as another
+token say nothing of their own and are left out. FP-growth mines the others' combinations
+in blocked urls; each that has enough support is counted over all urls, and gives a rule
+"tokens -> block" if its confidence (blocked among the labelled urls that hold the
+tokens) is high enough and at least ``LABELLED`` of the urls that hold them are labelled, so
+that a list which names two languages of a domain does not condemn the others. A rule is
+left out if one on some of its tokens is at least as sure.
+
+*Support and confidence* are chosen, not given: rules are mined without a third of the
+hosts, and of all pairs in ``GRID`` the one that judges the labelled urls of these
+hosts best is taken (F-measure that weighs precision twice as much as recall; ties: the stricter
+pair). Then all urls are mined with it.
+
+A url is blocked when a kept rule's tokens are all among its own. Each rule is filed under
+its rarest token, so that common tokens call up no rules; the rules that a url's tokens call up
+are compared with its set.
 
 Urls with the same token set are judged once, so one host with many pages
 costs no more than its different shapes of urls.
@@ -32,14 +40,14 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Smallest share of the urls that a mined rule must cover (blocked ones), and its smallest confidence.
-SUPPORT = 0.01
-CONFIDENCE = 0.8
-#: Tokens of a mined rule, at most (longer ones are no surer than their parts for urls).
-RULE_TOKENS = 4
+#: Supports (blocked urls that hold the tokens, as a share of all urls) and confidences to choose from.
+GRID = [(support, confidence) for support in (0.002, 0.005, 0.01, 0.02) for confidence in (0.8, 0.9, 0.95, 0.99)]
+#: Share of the urls that hold a rule's tokens that must be labelled.
+LABELLED = 0.4
+#: Weight of recall against precision in the F-measure that chooses.
+BETA = 0.5
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_BLOCKED = "=block"
 
 
 def host_of(url: Column) -> Column:
@@ -69,8 +77,9 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
     keys = F.filter(F.transform(F.split(query, "&"), lambda x: F.substring_index(x, "=", 1)), lambda x: x != "")
     ending = F.regexp_extract(path, r"\.([A-Za-z0-9]{1,5})\z", 1)
     named = lambda kind, values: F.transform(values, lambda x: F.concat(F.lit(kind + ":"), x))
+    beyond = F.slice(labels, F.lit(1), F.greatest(F.size(labels) - 2, F.lit(0)))  # the domain has the others
     parts = F.concat(
-        named("host", labels), named("path", plain), named("query", keys),
+        named("host", beyond), named("path", plain), named("query", keys),
         F.array(F.concat(F.lit("top:"), F.element_at(labels, -1))),
         F.array(F.concat(F.lit("domain:"), F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), "."))),
         F.array(F.concat(F.lit("scheme:"), F.regexp_extract(url, r"\A([A-Za-z0-9+.-]*)://", 1))),
@@ -79,57 +88,124 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.sort_array(F.array_distinct(parts)))
 
 
-def mine(judged: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
-    """``rule, tokens, size, confidence, support`` of the rules kept. ``judged``: tokens, verdict or null."""
-    items = judged.where(F.size("tokens") > 0).select(
-        F.when(F.col("verdict") == "block", F.concat("tokens", F.array(F.lit(_BLOCKED)))).otherwise(F.col("tokens")).alias("items")
-    )
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
-    total = items.count()
-    sets = model.freqItemsets.select(F.sort_array("items").alias("items"), "freq")
-    tokens = F.array_remove(F.col("items"), _BLOCKED)
-    blocked = sets.where(F.array_contains("items", _BLOCKED) & F.size("items").between(2, RULE_TOKENS + 1))
-    whole = sets.where(~F.array_contains("items", _BLOCKED)).select(F.col("items").alias("tokens"), F.col("freq").alias("held"))
-    found = blocked.select(tokens.alias("tokens"), "freq").join(whole, "tokens")
-    found = found.where(F.col("freq") >= confidence * F.col("held"))
-    found = found.select(
-        "tokens", F.size("tokens").alias("size"), (F.col("freq") / F.col("held")).alias("confidence"), (F.col("freq") / F.lit(max(total, 1))).alias("support")
-    )
-    found = common.shared_table(found, "url-rules")
-    # a rule falls when some smaller rule on part of its tokens is as sure: its subsets, looked up
-    subsets = F.filter(
-        F.transform(F.sequence(F.lit(1), F.shiftleft(F.lit(1), RULE_TOKENS) - 1), lambda m: F.filter("tokens", lambda _, i: F.getbit(m, i) == 1)),
-        lambda s: (F.size(s) > 0) & (F.size(s) < F.size("tokens")),
-    )
-    part = found.where("size > 1").select("tokens", "confidence", F.explode(F.array_distinct(subsets)).alias("part"))
-    smaller = found.select(F.col("tokens").alias("part"), F.col("confidence").alias("surer"))
-    fallen = part.join(smaller, "part").where("surer >= confidence").select("tokens").distinct()
-    return found.join(fallen, "tokens", "left_anti").withColumn("rule", F.xxhash64("tokens"))
+def _telling(shapes: DataFrame) -> DataFrame:
+    """``token, held`` of the tokens worth mining: not in all urls, and one of those that stand in the same ones."""
+    # equal numbers of urls and equal sums of their shapes' hashes: the same urls
+    rows = shapes.withColumn("_row", F.xxhash64("set").cast("decimal(38,0)") * F.col("n"))
+    held = rows.select("_row", "n", F.explode("tokens").alias("token")).groupBy("token").agg(F.sum("n").alias("held"), F.sum("_row").alias("same"))
+    every = shapes.agg(F.sum("n")).scalar()
+    return held.where(F.col("held") < every).groupBy("same", "held").agg(F.min("token").alias("token")).select("token", "held")
 
 
-def match(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """The ``set`` of each token set (set, tokens) that holds all tokens of a rule, with its surest rule."""
-    index = rules.select("rule", "size", "confidence", F.explode("tokens").alias("token"))
-    held = token_sets.select("set", F.explode("tokens").alias("token")).join(index, "token")
-    full = held.groupBy("set", "rule").agg(F.count("*").alias("n"), F.min("size").alias("size"), F.min("confidence").alias("confidence"))
-    return full.where("n = size").groupBy("set").agg(F.max("confidence").alias("confidence"))
+def mine(judged: DataFrame, support: float, confidence: float) -> DataFrame:
+    """``rule, tokens, size, rarest, confidence, support`` of the rules kept. ``judged``: tokens, verdict or null."""
+    shapes = judged.where(F.size("tokens") > 0).withColumn("set", F.array_join("tokens", " ")).groupBy("set").agg(
+        F.first("tokens").alias("tokens"), F.count("*").alias("n"),
+        F.count_if(F.col("verdict") == "block").alias("blocked"), F.count("verdict").alias("labelled"),
+    )
+    shapes = common.shared_table(shapes, "url-shapes")
+    total = shapes.agg(F.sum("n")).first()[0] or 1
+    telling = common.shared_table(_telling(shapes), "telling-tokens")
+    own = shapes.where("blocked > 0").select("set", "blocked", F.explode("tokens").alias("token")).join(telling, "token")
+    own = own.groupBy("set", "blocked").agg(F.sort_array(F.collect_list("token")).alias("items"))
+    own = common.shared_table(own, "blocked-urls")
+    n_blocked = own.agg(F.sum("blocked")).first()[0] or 0
+    # a url each: FP-growth counts rows
+    rows = own.withColumn("_", F.explode(F.array_repeat(F.lit(0), F.col("blocked").cast("int")))).select("items")
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, support * total / max(n_blocked, 1)), minConfidence=1.0).fit(rows)
+    found = model.freqItemsets.select(F.sort_array("items").alias("tokens"))
+    named = found.select("tokens", F.explode("tokens").alias("token")).join(telling, "token")
+    named = named.groupBy("tokens").agg(F.min_by("token", F.struct("held", "token")).alias("rarest"))
+    named = common.shared_table(named, "url-rules")
+    held = match(shapes.select("set", "tokens"), named.withColumns({"confidence": F.lit(0.0), "support": F.lit(0.0)}), "wanted")
+    counted = held.join(shapes.drop("tokens"), "set").groupBy(F.col("wanted").alias("tokens")).agg(
+        *[F.sum(c).alias(c) for c in ("n", "blocked", "labelled")]
+    )
+    counted = named.join(counted, "tokens").withColumns({
+        "size": F.size("tokens"), "confidence": F.col("blocked") / F.col("labelled"), "support": F.col("blocked") / F.lit(total),
+    })
+    told = counted.where((F.col("support") >= support) & (F.col("labelled") >= LABELLED * F.col("n")))
+    found = common.shared_table(counted.join(told.select("tokens", F.lit(True).alias("told")), "tokens", "left").withColumn("told", F.coalesce("told", F.lit(False))), "url-rules")
+    # size by size: the surest of all rules on some of the tokens, handed on by the sets that lack one of them
+    most = found.agg(F.max("size")).first()[0] or 0
+    sure = F.when(F.col("told"), F.col("confidence")).otherwise(-1.0)
+    levels = [found.where("size = 1").select("tokens", sure.alias("sure"), F.lit(-1.0).alias("surer"))]
+    for size in range(2, most + 1):
+        own = found.where(F.col("size") == size).select("tokens", sure.alias("sure"))
+        parts = own.select("tokens", F.explode(F.transform("tokens", lambda t: F.array_remove("tokens", t))).alias("part"))
+        below = levels[-1].select(F.col("tokens").alias("part"), F.greatest("sure", "surer").alias("best"))
+        best = parts.join(below, "part").groupBy("tokens").agg(F.max("best").alias("surer"))
+        levels.append(common.shared_table(own.join(best, "tokens"), "url-rules"))
+    kept = levels[0]
+    for level in levels[1:]:
+        kept = kept.unionByName(level)
+    kept = kept.where((F.col("sure") >= confidence) & (F.col("surer") < F.col("sure"))).select("tokens")
+    return found.join(kept, "tokens").select(
+        F.xxhash64("tokens").alias("rule"), "tokens", "size", "rarest", "confidence", "support"
+    )
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str, str]], url_col: str = "url", support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
-    """Appends ``host, path, rule, verdict, confidence`` (of the surest mined rule, else null)."""
+def match(token_sets: DataFrame, rules: DataFrame, *also: str) -> DataFrame:
+    """``set, confidence, support`` of each token set (set, tokens) and each rule whose tokens it all holds (``wanted``)."""
+    index = rules.select(F.col("rarest").alias("token"), F.col("tokens").alias("wanted"), "confidence", "support")
+    called = token_sets.select("set", "tokens", F.explode("tokens").alias("token")).join(index, "token")
+    return called.where(F.size(F.array_except("wanted", "tokens")) == 0).select("set", "confidence", "support", *also)
+
+
+def choose(judged: DataFrame) -> tuple[float, float]:
+    """The pair of ``GRID`` that judges held-out hosts best. ``judged``: host, tokens, verdict or null."""
+    held_out = F.crc32(F.col("host").cast("binary")) % 3 == 0
+    judged = common.shared_table(judged.select("host", "tokens", "verdict"), "judged-urls")
+    strictest = max(GRID, key=lambda g: (g[1], g[0]))
+    rules = mine(judged.where(~held_out), min(s for s, _ in GRID), min(c for _, c in GRID))
+    urls = judged.where(held_out & F.col("verdict").isNotNull()).select(F.array_join("tokens", " ").alias("set"), "tokens", (F.col("verdict") == "block").alias("bad"))
+    hits = match(urls.select("set", "tokens").distinct(), rules)
+    fires = [((F.col("support") >= s) & (F.col("confidence") >= c)) for s, c in GRID]
+    fired = hits.groupBy("set").agg(*[F.bool_or(f).alias(f"g{i}") for i, f in enumerate(fires)])
+    tried = urls.groupBy("set", "bad").agg(F.count("*").alias("n")).join(fired, "set", "left")
+    counts = tried.agg(
+        F.sum(F.when(F.col("bad"), F.col("n"))).alias("all"),
+        *[F.sum(F.when(F.col(f"g{i}") & F.col("bad"), F.col("n"))).alias(f"t{i}") for i in range(len(GRID))],
+        *[F.sum(F.when(F.col(f"g{i}") & ~F.col("bad"), F.col("n"))).alias(f"f{i}") for i in range(len(GRID))],
+    ).first()
+
+    def measure(i: int) -> float:
+        right, wrong, all_ = counts[f"t{i}"] or 0, counts[f"f{i}"] or 0, counts["all"] or 0
+        return (1 + BETA**2) * right / (right + wrong + BETA**2 * all_) if right else 0.0
+
+    best = max(range(len(GRID)), key=lambda i: (measure(i), GRID[i][1], GRID[i][0]))
+    return GRID[best] if measure(best) else strictest
+
+
+def judge(
+    pages: DataFrame,
+    rules: list[tuple[str, str, str]],
+    url_col: str = "url",
+    support: float | None = None,
+    confidence: float | None = None,
+) -> DataFrame:
+    """Appends ``host, path, rule, verdict, confidence`` (of the surest mined rule, else null).
+
+    Support and confidence are chosen on held-out hosts unless given."""
     new = ["host", "path", "rule", "verdict", "confidence"]
     url = F.col(url_col)
     rows = pages.drop(*[c for c in new if c != url_col])
     rows = rows.withColumns({"_host": host_of(url), "_path": path_of(url)})
     rows = rows.withColumns({"_given": given(rules, F.col("_host"), F.col("_path")), "_tokens": tokens_of(url, F.col("_host"), F.col("_path"))})
-    rows = rows.withColumn("_set", F.array_join("_tokens", " "))
-    mined = mine(rows.select(F.col("_tokens").alias("tokens"), F.col("_given.verdict").alias("verdict")), support, confidence)
-    sets = rows.where("_given IS NULL").select(F.col("_set").alias("set"), F.col("_tokens").alias("tokens")).distinct()
-    blocked = match(sets, mined).select(F.col("set").alias("_set"), "confidence")
-    out = rows.join(blocked, "_set", "left")
+    judged = rows.select(F.col("_host").alias("host"), F.col("_tokens").alias("tokens"), F.col("_given.verdict").alias("verdict"))
+    if support is None or confidence is None:
+        chosen = choose(judged)
+        support, confidence = support or chosen[0], confidence or chosen[1]
+    mined = mine(judged, support, confidence)
+    open_ = F.col("_given").isNull() & (F.size("_tokens") > 0)
+    sets = rows.where(open_).select(F.array_join("_tokens", " ").alias("set"), F.col("_tokens").alias("tokens")).distinct()
+    blocked = match(sets, mined).groupBy("set").agg(F.max("confidence").alias("confidence"))
+    # only urls that the mined rules are to judge meet them
+    met = rows.where(open_).withColumn("set", F.array_join("_tokens", " ")).join(blocked, "set", "left").drop("set")
+    out = rows.where(~open_).withColumn("confidence", F.lit(None).cast("double")).unionByName(met)
     method = F.when(F.col("confidence").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
     return out.select(
         *[c for c in pages.columns if c == url_col or c not in new],
         F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_given.rule").alias("rule"),
-        F.coalesce("_given.verdict", method).alias("verdict"), F.when(F.col("_given").isNull(), F.col("confidence")).alias("confidence"),
+        F.coalesce("_given.verdict", method).alias("verdict"), "confidence",
     )
