@@ -1,8 +1,10 @@
 """Layout, implied tags, visibility and odd markup."""
 
+import random
+
 import pytest
 
-from tidepool.llm.html import extract, parse, render
+from tidepool.llm.html import DEEPEST, extract, parse, render
 from tidepool.llm.queries import QUERIES
 
 
@@ -96,3 +98,114 @@ def test_query(spark):
     for r in rows:
         assert r["text"] == show(pages[r["page_id"]] or "") and r["n_chars"] == len(r["text"])
         assert "<p>" not in r["text"] and "track(" not in r["text"]
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<table><tr><td rowspan=2>Fruit<td>apple<tr><td>pear<tr><td>Nut<td>fig</table>", "Fruit  apple\n       pear\nNut    fig"),
+        ("<table><tr><td>a<td rowspan=0>b<td>c<tr><td>d<td>e<tr><td>f<td>g</table>", "a  b  c\nd     e\nf     g"),
+        ("<table><tr><td rowspan=2 colspan=2>xy<td>1<tr><td>2<tr><td>p<td>q<td>3</table>", "xy    1\n      2\np  q  3"),
+        ("<table><tr><td colspan=1000>a<td colspan=1000>b<tr><td>c</table>", "a  b\nc"),
+        ("<p style='visibility:hidden'>a <b style='visibility: visible'>b</b> c</p>d", "b\n\nd"),
+        ("<ul style='visibility:hidden'><li>a<li style='visibility:visible'>b</ul>", "- b"),
+        ("<table><tr><td style='visibility:hidden'>abc<td>d<tr><td>efg<td>h</table>", "     d\nefg  h"),
+        ("a<dialog>b</dialog><dialog open>c</dialog>d", "a\nc\nd"),
+        ("<details>x<summary>S</summary><p>body</details>y", "S\ny"),
+        ("<details open><summary>S</summary>body</details>", "S\nbody"),
+        ("<style>.x, p.y{color:red;display:none}</style><i class='a x'>1</i><p class=y>2</p><b class=y>3</b>", "3"),
+        ("<style>#k{display:none} i#k{display:inline}</style><i id=k>1</i><b id=k>2</b>", "1"),
+        ("<style>i{visibility:hidden}</style><i>a<b style='visibility:visible'>b</b></i>", "b"),
+        ("<style>@media print{.x{display:none}} /* .x{display:none} */ .z{display:none}</style><i class=x>a</i><i class=z>b</i>", "a"),
+        ("<style media=print>i{display:none}</style><i>a</i>", "a"),
+        ("<style>.x{display:none}</style><i class=x style='display:inline'>a</i>", "a"),
+        ("<style>@import 'x'; .x{display:none}</style><i class=x>a</i>b", "b"),
+        ("<p style='/* display:none */ color:red'>a", "a"),
+        ("<i style='not-display:none'>a</i>", "a"),
+    ],
+)
+def test_spans_visibility_and_styles(html, text):
+    assert show(html) == text
+
+
+def _grid(rows):
+    """Column of every cell by marking squares, one by one."""
+    taken, out = set(), []
+    for y, row in enumerate(rows):
+        x, places = 0, []
+        for text, wide, high in row:
+            while (y, x) in taken:
+                x += 1
+            places.append((text, x, wide))
+            taken |= {(y + b, x + a) for a in range(wide) for b in range(high)}
+            x += wide
+        out.append(places)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_cells_stand_in_their_columns(seed):
+    rnd = random.Random(seed)
+    rows = [[(f"c{y}x{x}" + "z" * rnd.randrange(4), rnd.choice([1, 1, 1, 2, 3]), rnd.choice([1, 1, 1, 2, 3])) for x in range(rnd.randrange(1, 5))] for y in range(6)]
+    # a cell over several columns is not padded for: here its text always fits
+    rows = [[(t if w == 1 else chr(0x4E00 + 10 * y + x), w, h) for x, (t, w, h) in enumerate(row)] for y, row in enumerate(rows)]
+    html = "".join("<tr>" + "".join(f"<td colspan={w} rowspan={h}>{t}</td>" for t, w, h in row) for row in rows)
+    lines = show(f"<table>{html}</table>").split("\n")
+    grid = _grid(rows)
+    # equal columns begin at equal places, later columns further right, and nothing runs into what follows
+    place = {}
+    for line, cells in zip(lines, grid, strict=True):
+        for text, x, _ in cells:
+            place.setdefault(x, set()).add(line.index(text))
+        assert line.split() == [t for t, _, _ in cells]
+    assert all(len(p) == 1 for p in place.values())
+    assert [min(place[x]) for x in sorted(place)] == sorted({min(p) for p in place.values()})
+
+
+def _tree(rnd, depth):
+    """Nested elements, and the words of theirs that are seen."""
+    html, seen = [], []
+
+    def grow(level, visible, laid_out):
+        for _ in range(rnd.randrange(1, 4)):
+            if level == 0 or rnd.random() < 0.4:
+                word = f"w{rnd.randrange(10**6)}"
+                html.append(f" {word} ")
+                if visible and laid_out:
+                    seen.append(word)
+                continue
+            kind = rnd.choice(["none", "hidden", "visible", "plain", "plain", "class", "shown", "dialog", "details", "attribute"])
+            tag = {"dialog": "dialog", "details": "details"}.get(kind, rnd.choice(["div", "span", "p"][: 2 if level > 1 else 3]))
+            attributes = {"none": " style='display:none'", "hidden": " style='visibility:hidden'", "visible": " style='visibility:visible'",
+                          "class": " class='gone'", "shown": " class='back'", "attribute": " hidden"}.get(kind, "")
+            tag = "div" if tag == "p" else tag
+            html.append(f"<{tag}{attributes}>")
+            grow(level - 1, {"hidden": False, "visible": True, "shown": True}.get(kind, visible),
+                 laid_out and kind not in ("none", "class", "dialog", "details", "attribute"))
+            html.append(f"</{tag}>")
+
+    grow(depth, True, True)
+    return "<style>.gone{display:none}.back{visibility:visible}</style>" + "".join(html), seen
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_words_seen_are_those_of_a_plain_walk(seed):
+    html, seen = _tree(random.Random(seed), 5)
+    assert show(html).split() == seen
+
+
+def test_deep_lists_and_quotes_grow_with_the_page_only():
+    for piece, count in (("<ul><li>x", 60_000), ("<blockquote>x", 60_000), ("<ol><li>x<blockquote>", 30_000)):
+        text = show(piece * count)
+        assert text.count("x") == count and len(text) < count * (DEEPEST + 16)
+
+
+def test_a_page_of_five_megabytes_of_nested_lists():
+    import tracemalloc
+
+    html = "<ul><li>x" * 560_000
+    tracemalloc.start()
+    text = show(html)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert text.count("x") == 560_000 and len(text) < 30 * 2**20 and peak < 200 * len(html)

@@ -4,16 +4,22 @@ Markup is cut into tokens, a tree builder adds the end tags that HTML leaves out
 (paragraphs before blocks, list items, table cells and rows, options, the head
 before the first text or tag that it cannot hold) and ignores end tags that match nothing, and a renderer walks the tree:
 
-* elements that are never shown (scripts, styles, templates, the head) and those
-  hidden by ``hidden``, ``display:none`` or ``visibility:hidden`` give nothing;
+* elements that are never shown (scripts, styles, templates, the head), closed dialogs,
+  what a closed ``details`` holds besides its summary, and elements with ``hidden`` or
+  ``display:none`` give nothing; ``visibility`` is inherited, and shown again where it says so;
+* style rules count too: those of the page's ``style`` elements whose selectors name an
+  element, classes and an id (no combinators; none inside of at-rules), by specificity and order,
+  behind the element's own style;
 * drawings give the text of their ``text`` elements, formulas all but annotations;
 * runs of white space become one blank, except in preformatted text;
 * blocks stand on lines of their own; paragraphs, headings, lists, tables and
   quotes are set off by an empty line;
-* list items begin with ``- `` or their number and are indented by depth;
+* list items begin with ``- `` or their number and are indented by depth, up to
+  ``DEEPEST`` blanks: deeper ones stand there too, so the text grows with the page only;
 * table cells stand in columns, padded to the widest cell of the column that has
   at most ``WIDEST`` characters; a wider cell is not cut and not padded for, so
-  one long cell does not blow up its column.
+  one long cell does not blow up its column. A cell that spans rows stands in the first
+  and keeps its columns free in the others.
 
 Cases: null or empty html gives the empty text; broken markup never fails (an
 unclosed comment or tag ends with the page); nesting of any depth is walked without
@@ -23,7 +29,9 @@ recursion; very long pages are rendered whole.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,6 +40,10 @@ from pyspark.sql import types as T
 from . import common
 
 WIDEST = 40
+#: Blanks before a line of nested lists and quotes, at most.
+DEEPEST = 40
+#: Fixed values of HTML: columns and rows that a cell can span.
+SPANS = {"colspan": 1000, "rowspan": 65534}
 
 # Fixed values of HTML: element kinds.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -73,15 +85,75 @@ BORDERS = {"td": {"table"}, "th": {"table"}, "tr": {"table"}, "li": {"ul", "ol"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-_HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_DECLARATION = re.compile(r"(?:^|[;{\s])(display|visibility)\s*:\s*([a-z-]+)", re.I)
+_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_SELECTOR = re.compile(r"([a-z][a-z0-9]*|\*)?((?:[.#][\w-]+)*)", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
+def _declared(style: str) -> dict[str, str]:
+    """The last ``display`` and ``visibility`` of a style."""
+    return {m[1].lower(): m[2].lower() for m in _DECLARATION.finditer(re.sub(r"/\*.*?(?:\*/|\Z)", " ", style, flags=re.S))}
+
+
+class Styles:
+    """Rules on ``display`` and ``visibility`` of a page's style elements."""
+
+    def __init__(self) -> None:
+        #: By an id, class or element that the selector names: (specificity, order, element, classes, id, declared).
+        self.rules: dict[str, list[tuple]] = {}
+        self.order = 0
+
+    def add(self, text: str) -> None:
+        text = re.sub(r"/\*.*?(?:\*/|\Z)|<!--|-->", " ", text, flags=re.S)
+        plain, at = [], 0
+        for m in re.finditer(r"@[^;{}]*", text):  # without at-rules and their blocks
+            if m.start() < at:
+                continue
+            plain.append(text[at : m.start()])
+            at, depth = m.end(), 0
+            for brace in re.finditer(r"[{};]", text[m.end() :]):
+                depth += {"{": 1, "}": -1, ";": 0}[brace[0]]
+                at = m.end() + brace.end()
+                if depth <= 0:
+                    break
+            else:
+                at = len(text)
+        for m in _RULE.finditer("".join([*plain, text[at:]])):
+            declared = _declared(m[2])
+            for selector in m[1].split(",") if declared else ():
+                if found := _SELECTOR.fullmatch(selector.strip()):
+                    element, names = (found[1] or "").lower().strip("*"), re.findall(r"[.#][\w-]+", found[2])
+                    ids, classes = [x[1:] for x in names if x[0] == "#"], {x[1:] for x in names if x[0] == "."}
+                    self.order += 1
+                    rule = ((len(ids), len(classes), bool(element)), self.order, element, classes, set(ids), declared)
+                    key = f"#{ids[0]}" if ids else f".{min(classes)}" if classes else element or "*"
+                    self.rules.setdefault(key, []).append(rule)
+
+    def of(self, node: Node) -> dict[str, str]:
+        """What holds for an element: its rules, then its own style."""
+        declared: dict[str, str] = {}
+        low = node.attributes.lower() if node.attributes else ""
+        if self.rules:
+            classes = (node.get("class") or "").split() if "class" in low else []
+            id_ = node.get("id") if "id" in low else None
+            keys = ["*", node.tag, *(f".{c}" for c in classes), *([f"#{id_}"] if id_ else [])]
+            rules = [r for k in dict.fromkeys(keys) for r in self.rules.get(k, ())]
+            for rule in sorted(rules, key=lambda r: r[:2]):
+                if (not rule[2] or rule[2] == node.tag) and rule[3] <= set(classes) and rule[4] <= {id_}:
+                    declared |= rule[5]
+        if "style" in low:
+            declared |= _declared(node.get("style") or "")
+        return declared
+
+
 class Node:
-    __slots__ = ("tag", "attributes", "children")
+    __slots__ = ("tag", "attributes", "children", "styles", "shown")
 
     def __init__(self, tag: str, attributes: str = "") -> None:
         self.tag, self.attributes, self.children = tag, attributes, []
+        self.styles: Styles | None = None  # at the root: the page's
+        self.shown: bool | None = None  # what the element says of its visibility, once rendered
 
     def get(self, name: str) -> str | None:
         for m in _ATTRIBUTE.finditer(self.attributes):
@@ -89,20 +161,41 @@ class Node:
                 return unescape(next((g for g in m.groups()[1:] if g is not None), ""))
         return None
 
-    def hidden(self) -> bool:
+    def span(self, name: str) -> int:
+        """Columns or rows spanned; rows 0: all that follow."""
+        value = self.get(name) or "1"
+        span = int(value) if re.fullmatch("[0-9]{1,9}", value) else 1
+        return min(span or (SPANS[name] if name == "rowspan" else 1), SPANS[name])
+
+    def hidden(self, styles: Styles) -> bool:
+        """Is nothing of the element laid out? Notes its visibility."""
         if self.tag in NEVER:
             return True
-        if not self.attributes or self.attributes.isspace():
+        if self.tag == "dialog" and self.get("open") is None:
+            return True
+        if not styles.rules and (not self.attributes or self.attributes.isspace()):
             return False
         low = self.attributes.lower()
-        if "hidden" in low and (self.get("hidden") is not None or (self.tag == "input" and self.get("type") == "hidden")):
+        declared = styles.of(self)
+        if declared.get("visibility") in ("hidden", "collapse", "visible"):
+            self.shown = declared["visibility"] == "visible"
+        if declared.get("display") == "none":
             return True
-        return "style" in low and bool(_HIDDEN_STYLE.search(self.get("style") or ""))
+        if "hidden" not in low:
+            return False
+        return self.get("hidden") is not None and "display" not in declared or self.tag == "input" and self.get("type") == "hidden"
+
+    def laid_out(self) -> list[Node | str]:
+        """The children, of closed details the first summary alone."""
+        if self.tag == "details" and self.get("open") is None:
+            return [c for c in self.children if isinstance(c, Node) and c.tag == "summary"][:1]
+        return self.children
 
 
 def parse(html: str) -> Node:
     """The tree of a page, under a root without a tag."""
     root = Node("")
+    root.styles = Styles()
     stack = [root]
     counts: dict[str, int] = {}  # open elements by tag
 
@@ -179,6 +272,8 @@ def parse(html: str) -> Node:
             end = re.compile(f"</{re.escape(tag)}(?=[\\s/>]|\\Z)[^>]*(?:>|\\Z)", re.I).search(html, at)
             text = html[at : end.start()] if end else html[at:]
             node.children.append(unescape(text) if tag in ("title", "textarea") else text)
+            if tag == "style" and not foreign and (node.get("media") or "all").strip().lower() in ("all", "screen"):
+                root.styles.add(text)
             at = end.end() if end else n
         elif tag not in VOID and not (m[3] or "").endswith("/") or tag in BLOCK and tag not in VOID:
             stack.append(node)
@@ -228,24 +323,43 @@ class Lines:
         return "\n".join(self.lines).strip("\n")
 
 
-def _cells(rows: list[list[tuple[str, int]]]) -> list[str]:
-    """Rows of (text, columns spanned) as lines with aligned columns."""
-    widths: list[int] = []
+def _placed(rows: list[list[tuple[str, int, int]]]) -> list[list[tuple[str, int, int]]]:
+    """Rows of (text, columns spanned, rows spanned) as rows of (text, first column, end)."""
+    out, taken = [], []  # (first column, end, rows left) of the cells that reach down from above
     for row in rows:
-        at = 0
-        for text, span in row:
-            widths += [0] * (at + span - len(widths))
-            if span == 1 and len(text) <= WIDEST:
-                widths[at] = max(widths[at], len(text))
-            at += span
+        above, at, k, cells = sorted(taken), 0, 0, []
+        for text, wide, high in row:
+            while k < len(above) and above[k][0] <= at:
+                at = max(at, above[k][1])
+                k += 1
+            cells.append((text, at, at + wide))
+            if high > 1:
+                taken.append((at, at + wide, high))
+            at += wide
+        taken = [(a, b, left - 1) for a, b, left in taken if left > 1]
+        out.append(cells)
+    return out
+
+
+def _cells(rows: list[list[tuple[str, int, int]]]) -> list[str]:
+    """Rows of (text, columns spanned, rows spanned) as lines with aligned columns."""
+    placed = _placed(rows)
+    # only columns in which a cell begins count
+    begun = sorted({a for row in placed for _, a, _ in row})
+    widths = [0] * len(begun)
+    spans = [[(text, bisect_left(begun, a), bisect_left(begun, b)) for text, a, b in row] for row in placed]
+    for row in spans:
+        for text, a, b in row:
+            if b - a == 1 and len(text) <= WIDEST:
+                widths[a] = max(widths[a], len(text))
+    starts = list(accumulate((w + 2 for w in widths), initial=0))
     out = []
-    for row in rows:
-        at, line = 0, ""
-        for k, (text, span) in enumerate(row):
-            width = sum(widths[at : at + span]) + 2 * (span - 1)
-            line += text if k == len(row) - 1 else text.ljust(width) + "  "
-            at += span
-        out.append(line.rstrip())
+    for row in spans:
+        line, due = [], 0  # what is written would end at ``due`` if no cell were too wide
+        for text, a, b in row:
+            line += [" " * max(starts[a] - due, 0), text.ljust(starts[b] - starts[a] - 2) + "  "]
+            due = max(starts[b], due)
+        out.append("".join(line).rstrip())
     return [x for x in out if x]
 
 
@@ -256,13 +370,15 @@ def render(root: Node) -> str:
     outer: list[tuple[Lines, list]] = []  # around each open cell
     tables: list[list] = []  # rows of each open table
     lists: list[list] = []  # [kind, number] of each open list
+    quotes: list[str] = []  # indents around the open quotes
     pre = 0
     drawn: list[bool] = []  # is text shown in each open drawing, and in each of its texts?
+    shown = [True]  # is it visible, in each open element that says so?
     todo: list[tuple[Node | str, bool]] = [(root, True)]
     while todo:
         node, enter = todo.pop()
         if isinstance(node, str):
-            if drawn and not drawn[-1]:
+            if drawn and not drawn[-1] or not shown[-1]:
                 continue
             if pre:
                 pieces = node.replace("\r\n", "\n").split("\n")
@@ -277,14 +393,16 @@ def render(root: Node) -> str:
             continue
         tag = node.tag
         if enter:
-            if node.hidden() or drawn and tag in UNDRAWN:
+            if node.hidden(root.styles) or drawn and tag in UNDRAWN:
                 continue
+            if node.shown is not None and tag not in VOID:
+                shown.append(node.shown)
             if tag == "br":
                 if out.parts:
                     out.end()
                 continue
             todo.append((node, False))
-            todo += [(c, True) for c in reversed(node.children)]
+            todo += [(c, True) for c in reversed(node.laid_out())]
             if tag == "svg" or drawn and tag in DRAWN:
                 drawn.append(tag != "svg")
                 out.blank = True
@@ -303,26 +421,30 @@ def render(root: Node) -> str:
             elif tag in ("ul", "ol", "menu", "dir"):
                 start = node.get("start") if tag == "ol" else None
                 lists.append([tag, int(start) - 1 if start and re.fullmatch(r"-?[0-9]{1,9}", start) else 0, out.indent])
-                out.indent += "  " * (len(lists) > 1)
+                if len(lists) > 1 and len(out.indent) < DEEPEST:
+                    out.indent += "  "
             elif tag == "li":
                 if lists:
                     lists[-1][1] += 1
                 out.prefix = f"{lists[-1][1]}. " if lists and lists[-1][0] == "ol" else "- "
             elif tag == "blockquote":
-                out.indent += "  "
+                quotes.append(out.indent)
+                if len(out.indent) < DEEPEST:
+                    out.indent += "  "
             elif tag == "pre":
                 pre += 1
-            elif tag == "hr":
+            elif tag == "hr" and shown[-1]:
                 out.line("---")
             continue
+        if node.shown is not None:
+            shown.pop()
         if tag == "svg" or drawn and tag in DRAWN:
             drawn.pop()
             out.blank = True
         if tag in ("td", "th") and tables:
             text = _SPACE.sub(" ", out.result())
             out, lists = outer.pop()
-            span = node.get("colspan") or "1"
-            tables[-1][-1].append((text, max(1, min(int(span), 1000)) if re.fullmatch("[0-9]{1,4}", span) else 1))
+            tables[-1][-1].append((text, node.span("colspan"), node.span("rowspan")))
         elif tag == "table":
             out.end()
             for line in _cells(tables.pop()):
@@ -337,7 +459,7 @@ def render(root: Node) -> str:
             elif tag == "li":
                 out.prefix = ""
             elif tag == "blockquote":
-                out.indent = out.indent[:-2]
+                out.indent = quotes.pop()
     return out.result()
 
 
