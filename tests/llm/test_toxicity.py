@@ -70,7 +70,7 @@ def test_held_out_accuracy(spark, model):
     toxic, clean = rows[rows.toxic == 1].score, rows[rows.toxic == 0].score
     rank = rows.score.rank()
     area = (rank[rows.toxic == 1].sum() - len(toxic) * (len(toxic) + 1) / 2) / (len(toxic) * len(clean))
-    assert area > 0.93 and (toxic >= 0.7).mean() > 0.8 and (clean >= 0.7).mean() < 0.01
+    assert area > 0.93 and (toxic >= 0.7).mean() >= 0.9 and (clean >= 0.7).sum() <= 3
 
 
 def test_gapped_and_inserted_letters(spark, model):
@@ -124,13 +124,73 @@ def test_query(spark):
     assert all(r["predicted"] == int(r["score"] >= 0.7) for r in rows)
 
 
-def test_a_cut_of_the_words_keeps_the_statistics(spark, monkeypatch):
-    """Commonness is summed over all words, and drawn words stand for those left out."""
-    rows = [(f"word{k}x", k % 7 == 0, k % 3, 0, 1 + k % 5, k % 4) for k in range(300)]
-    stats = spark.createDataFrame([(w, int(t), 0, o0, o1) for w, t, _, _, o0, o1 in rows], "word string, t0 long, t1 long, o0 long, o1 long")
-    monkeypatch.setattr(X, "FIT_WORDS", 100)
-    found, stands_for = X._chosen_words(stats)
-    assert len(found) == len(stands_for) < 300 and stands_for.sum() == pytest.approx(300) and stands_for.min() == 1 < stands_for.max()
-    names = [r[0] for r in rows]
-    for got, expected in zip(X._held_in(stats), X._held(names, [np.array([r[k] for r in rows], float) for k in (4, 5)]), strict=True):
-        assert np.allclose(got, expected) and expected.sum() > 0
+def _counted(seed=1, n=400):
+    rng = np.random.default_rng(seed)
+    bad = ["idiot", "moron", "scum", "trash", "worthless"]
+    names = bad + [b[:k] + "x" + b[k:] for b in bad for k in (1, 2)] + ["".join(rng.choice(list("abcdeiost"), rng.integers(2, 9))) for _ in range(n)]
+    names = list(dict.fromkeys(names))
+    toxic = np.array([float(rng.integers(3, 20)) if k < 15 else float(rng.random() < 0.03) for k in range(len(names))])
+    other = np.array([0.0 if k < 13 else float(rng.integers(1, 9)) for k in range(len(names))])
+    return names, toxic, other
+
+
+def test_folded_weights_give_the_machines_margins():
+    names, toxic, other = _counted()
+    machine = X.fit_words(names, toxic, other, 40, 200)
+    words = X.words_of([" ".join(names), "idioot mor0n w.o.r.t.h.l.e.s.s fine unseen"])
+    assert X.margins(words, machine.folded(), machine.bias) == pytest.approx(machine.margins(words), abs=2e-4)
+
+
+def test_machine_is_the_least_loss_over_all_words():
+    """Against gradient steps from the fitted point: no direction lowers the loss of all words."""
+    names, toxic, other = _counted(2)
+    machine = X.fit_words(names, toxic, other, 40, 200)
+    scale = ((1 + X._held(X.words_of(names), other)) ** -X.COMMONNESS).astype(np.float32)
+    assert np.allclose(scale, machine.scale)
+    marks = X._spelled(machine.marks)
+    inner = X.kernel(machine.marks, machine.marks, scale).astype(float)
+    spelled, share = X._put_in(marks, names, toxic, other)
+    rows = [(w, 1.0, c) for w, c in zip(names, toxic) if c] + [(w, -1.0, c) for w, c in zip(names, other) if c] + [(w, 1.0, c) for w, c in zip(spelled, share)]
+    k = X.kernel(X.words_of([w for w, _, _ in rows]), machine.marks, scale).astype(float)
+    y, weight = np.array([r[1] for r in rows]), X.COST * np.array([r[2] for r in rows])
+
+    def loss(per_mark, bias):
+        return weight @ np.maximum(0, 1 - y * (k @ per_mark + bias)) ** 2 + 0.5 * per_mark @ inner @ per_mark + 0.5e-6 * bias**2
+
+    at = loss(machine.per_mark, machine.bias)
+    rng = np.random.default_rng(0)
+    values, vectors = np.linalg.eigh(inner)
+    for _ in range(40):
+        step = vectors @ (rng.normal(size=len(marks)) * 1e-3 / np.sqrt(np.maximum(values, 1e-6)))
+        assert loss(machine.per_mark + step, machine.bias) > at - 1e-3 * at and loss(machine.per_mark, machine.bias + rng.normal() * 1e-2) > at - 1e-6 * at
+
+
+def test_every_fit_sees_all_its_words(spark):
+    """Three machines from counted words by Spark are those of fitting directly."""
+    names, toxic, other = _counted(3, 150)
+    rng = np.random.default_rng(4)
+    t0, o0 = (np.floor(c * rng.random(len(names))) for c in (toxic, other))
+    stats = spark.createDataFrame([(w, int(a), int(b - a), int(c), int(d - c)) for w, a, b, c, d in zip(names, t0, toxic, o0, other)], "word string, t0 long, t1 long, o0 long, o1 long").repartition(5)
+    sizes = {(0, 1): 20, (1, 1): 25, (0, 0): 90, (1, 0): 110}
+    for folds, (weights, bias) in zip(X._FITS, X._machines(stats, sizes), strict=True):
+        t, o = (sum((first if f == 0 else whole - first) for f in folds) for first, whole in ((t0, toxic), (o0, other)))
+        own = sorted(k for k in range(len(names)) if t[k] + o[k])
+        own.sort(key=lambda k: names[k])
+        machine = X.fit_words([names[k] for k in own], t[own], o[own], sum(sizes[f, 1] for f in folds), sum(sizes[f, 0] for f in folds))
+        assert np.allclose(machine.folded(), weights, atol=1e-5) and machine.bias == pytest.approx(bias)
+
+
+def test_held_counts_words_by_subsequence():
+    w = X.words_of(["idiot idiom", "scum"])
+    held = X._held(w, np.array([2.0, 3.0, 5.0]))
+    assert held.sum() == pytest.approx(sum(c * sum(_subsequences_unweighted(x)) for x, c in (("idiot", 2), ("idiom", 3), ("scum", 5))))
+
+
+def _subsequences_unweighted(word):
+    s = "\0" + word + "\0"
+    for size in (3, 4, 5):
+        for i in range(len(s)):
+            for rest in combinations(range(i + 1, min(len(s), i + size + 1)), size - 1):
+                skipped = rest[-1] - i + 1 - size
+                if skipped <= (size > 3) and "\0" not in s[i + 1 : rest[-1]]:
+                    yield 1

@@ -12,10 +12,11 @@ Fitting, on a bounded sample of ``SAMPLE_ROWS`` labelled texts (all, if fewer):
 Spark counts in how many toxic and other texts each word stands; the words with
 the strongest and most frequent ties to toxic texts, and the commonest words,
 become Nyström landmarks; a linear support vector machine with squared hinge loss
-is fitted on the landmark features of words, among them spellings of the landmarks
-with one letter put in. A text's score is a logistic
+is fitted on the landmark features of all words of the sample, row block by row block, and of
+spellings of the landmarks with one letter put in. A text's score is a logistic
 function of its largest word margins, fitted on margins from models of the other
-half of the sample.
+half of the sample. The machines of the two halves and of the whole are fitted by a task
+each, from the counted words; only their weights come to the driver.
 
 Scoring: landmarks, Nyström map and support vector machine are all linear in the
 subsequence counts, so they fold into one weight per subsequence (hashed to
@@ -39,21 +40,16 @@ from pyspark.sql import types as T
 from . import common
 
 #: Labelled texts that the model is fitted on, at most (in expectation: ids are drawn by hash).
-SAMPLE_ROWS = 16_000
-#: Words that the machine is fitted on, at most: half of them the most frequent in toxic texts, the others
-#: drawn by hash and weighted for those not drawn (the most frequent clean words come besides).
-FIT_WORDS = 30_000
+SAMPLE_ROWS = 6_000
 #: Text bytes whose letters are laid out in arrays at once (some eighty bytes a letter).
 SLICE_BYTES = 1 << 19
 LANDMARKS = 192
 COMMON_LANDMARKS = 48
-#: Tasks that sum up how common each subsequence is, of a vector each.
-HELD_TASKS = 8
 SKIP = 0.7
 BITS = 20
-COST = 0.2
+COST = 0.5
 #: Weight of a landmark's spellings with one letter put in, as a share of the landmark's.
-PUT_IN = 0.03
+PUT_IN = 0.1
 FEATURES = 3
 #: How fast a subsequence loses weight with the number of words that hold it.
 COMMONNESS = 0.25
@@ -234,9 +230,10 @@ def _newton(x: np.ndarray, y: np.ndarray, weight: np.ndarray, hinge: bool, ridge
     v, penalty = np.zeros(n), np.full(n, ridge)
     penalty[-1] = 1e-6
     blocks = [slice(s, s + 4096) for s in range(0, len(x), 4096)]
+    exact = np.float32 if x.dtype == np.float16 else np.float64
 
     def margin(u: np.ndarray) -> np.ndarray:
-        return y * np.concatenate([x[b] @ u[:-1] for b in blocks] + [np.zeros(0)]) + y * u[-1]
+        return y * np.concatenate([x[b].astype(exact) @ u[:-1].astype(exact) for b in blocks] + [np.zeros(0)]) + y * u[-1]
 
     def loss(z: np.ndarray, u: np.ndarray) -> float:
         each = np.maximum(0, 1 - z) ** 2 if hinge else np.logaddexp(0, -z)
@@ -251,9 +248,9 @@ def _newton(x: np.ndarray, y: np.ndarray, weight: np.ndarray, hinge: bool, ridge
             slope, curve = -p, p * (1 - p)
         gradient, hessian = penalty * v, np.diag(penalty + 1e-9)
         for b in blocks:
-            part = np.hstack([x[b], np.ones((len(x[b]), 1))]).astype(float)
-            gradient += part.T @ (weight * y * slope)[b]
-            hessian += (part * (weight * curve)[b, None]).T @ part
+            part = np.hstack([x[b].astype(exact), np.ones((len(x[b]), 1), exact)])
+            gradient += part.T @ (weight * y * slope)[b].astype(exact)
+            hessian += (part * (weight * curve)[b, None].astype(exact)).T @ part
         step = np.linalg.solve(hessian, gradient)
         rate, now = 1.0, loss(z, v)
         while rate > 1e-4 and loss(margin(v - rate * step), v - rate * step) > now:
@@ -297,49 +294,61 @@ def _put_in(chosen: list[str], names: list[str], toxic: np.ndarray, other: np.nd
     return spelled, np.array(share)
 
 
-def _held(names: list[str], counts: list[np.ndarray]) -> list[np.ndarray]:
-    """How many of the words, by each of the counts, hold each subsequence."""
-    every = words_of(names)
-    out = [np.zeros(1 << BITS) for _ in counts]
-    for start in range(0, len(names), 2000):
-        owner, h, _ = _sparse(_block(every, start, min(start + 2000, len(names))), np.ones(1 << BITS, np.float32))
-        for held, count in zip(out, counts, strict=True):
-            held += np.bincount(h, count[start + owner], 1 << BITS)
+def _held(every: Words, counts: np.ndarray) -> np.ndarray:
+    """How many of the words, each as often as it counts, hold each subsequence."""
+    out = np.zeros(1 << BITS)
+    for start in range(0, len(every.starts), 2000):
+        owner, h, _ = _sparse(_block(every, start, min(start + 2000, len(every.starts))), np.ones(1 << BITS, np.float32))
+        out += np.bincount(h, counts[start + owner], 1 << BITS)
     return out
 
 
-def fit_words(
-    names: list[str], toxic: np.ndarray, other: np.ndarray, n_toxic: float, n_other: float, held: np.ndarray, stands_for: np.ndarray
-) -> tuple[np.ndarray, float]:
-    """Subsequence weights and bias of the word machine.
+@dataclass
+class Machine:
+    """Support vector machine on the landmarks' kernel: a word's margin is its kernel row times ``per_mark``, and ``bias``."""
 
-    ``held``: how many clean words of the whole sample hold each subsequence;
-    ``stands_for``: the number of words that each of ``names`` stands for in the loss.
-    """
+    marks: Words
+    scale: np.ndarray
+    per_mark: np.ndarray
+    bias: float
+
+    def margins(self, words: Words) -> np.ndarray:
+        return kernel(words, self.marks, self.scale) @ self.per_mark + self.bias
+
+    def folded(self) -> np.ndarray:
+        """One weight per subsequence: what is linear in the counts, multiplied out."""
+        weights = np.zeros(1 << BITS, np.float32)
+        w, h, value = _sparse(self.marks, self.scale)
+        per_word = self.per_mark / _norms(self.marks)
+        np.add.at(weights, h, (per_word[w] * value * self.scale[h]).astype(np.float32))
+        return weights
+
+
+def fit_words(names: list[str], toxic: np.ndarray, other: np.ndarray, n_toxic: float, n_other: float) -> Machine:
+    """The machine of these words: in how many toxic and other texts each stands, of how many."""
     every = words_of(names)
-    scale = ((1 + held) ** -COMMONNESS).astype(np.float32)
+    scale = ((1 + _held(every, other)) ** -COMMONNESS).astype(np.float32)
     chosen = _landmarks(names, toxic, other, n_toxic, n_other, scale)
     marks = words_of(chosen)
     inner = kernel(marks, marks, scale)
     values, vectors = np.linalg.eigh((inner + inner.T) / 2)
     ok = values > 1e-8 * values.max()
-    root = vectors[:, ok] / np.sqrt(values[ok])  # Nyström map of kernel rows
-    x = (kernel(every, marks, scale) @ root.astype(np.float32)).astype(np.float32)
-    used = [(toxic > 0, 1.0, toxic), (other > 0, -1.0, other)]
-    rows = np.concatenate([np.flatnonzero(u) for u, _, _ in used])
-    y = np.concatenate([np.full(int(u.sum()), s) for u, s, _ in used])
-    weight = np.concatenate([(c * stands_for)[u] for u, _, c in used])
-    x = x[rows]
+    root = (vectors[:, ok] / np.sqrt(values[ok])).astype(np.float32)  # Nyström map of kernel rows
     spelled, share = _put_in(chosen, names, toxic, other)
+    both = np.flatnonzero((toxic > 0) & (other > 0))
+    rows = len(names) + len(both) + len(spelled)
+    x = np.zeros((rows, root.shape[1]), np.float16)
+    for start in range(0, len(names), 4096):
+        end = min(start + 4096, len(names))
+        x[start:end] = kernel(_block(every, start, end), marks, scale) @ root
+    # a word of both kinds of texts stands for either
+    x[len(names) : len(names) + len(both)] = x[both]
+    y = np.concatenate([np.where(toxic > 0, 1.0, -1.0), np.full(len(both), -1.0), np.ones(len(spelled))])
+    weight = np.concatenate([np.where(toxic > 0, toxic, other), other[both], share])
     if spelled:
-        more = kernel(words_of(spelled), marks, scale) @ root.astype(np.float32)
-        x, y, weight = np.vstack([x, more.astype(np.float32)]), np.concatenate([y, np.ones(len(more))]), np.concatenate([weight, share])
+        x[len(names) + len(both) :] = kernel(words_of(spelled), marks, scale) @ root
     v = _newton(x, y, COST * weight, hinge=True, ridge=1.0)
-    per_mark = (root @ v[:-1]) / _norms(marks)
-    weights = np.zeros(1 << BITS, np.float32)
-    w, h, value = _sparse(marks, scale)
-    np.add.at(weights, h, (per_mark[w] * value * scale[h]).astype(np.float32))
-    return weights, float(v[-1])
+    return Machine(marks, scale, root.astype(float) @ v[:-1], float(v[-1]))
 
 
 # --- with Spark ---------------------------------------------------------------------------
@@ -388,43 +397,53 @@ def _word_rows(batches):
             )
 
 
-def _held_rows(batches):
-    """(place, a, b): how many clean words of each fold hold each subsequence, summed over the task."""
-    held = [np.zeros(1 << BITS) for _ in range(2)]
-    for batch in batches:
-        names, *counts = (batch.column(k) for k in range(3))
-        for own, more in zip(held, _held(names.to_pylist(), [np.asarray(c.to_pylist(), float) for c in counts]), strict=True):
-            own += more
-    place = np.flatnonzero(held[0] + held[1])
-    for start in range(0, len(place), 100_000):
-        at = place[start : start + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *[pa.array(h[at]) for h in held]], names=["place", "a", "b"])
-
-
-def _held_in(stats: DataFrame) -> list[np.ndarray]:
-    """For each fold: how many clean words hold each subsequence, over all words of the sample."""
-    rows = common.arrow(stats.select("word", "o0", "o1").coalesce(HELD_TASKS), _held_rows, "place int, a double, b double")
-    sums = rows.groupBy("place").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).toPandas()
-    out = []
-    for name in "ab":
-        held = np.zeros(1 << BITS)
-        held[sums["place"].to_numpy()] = sums[name].to_numpy()
-        out.append(held)
-    return out
+#: Which fold's counts each machine is fitted on: those that judge fold 0 and fold 1, and the model itself.
+_FITS = ((1,), (0,), (0, 1))
+
+
+def _fitted(sizes: dict[tuple[int, int], int]):
+    """Machines from counted words (fit, word, toxic, other), the rows of a fit one after the other."""
+
+    def done(fit: int, names: list[str], toxic: np.ndarray, other: np.ndarray) -> pa.RecordBatch:
+        n_toxic, n_other = (sum(n for (f, t), n in sizes.items() if f in _FITS[fit] and (t == 1) == kind) for kind in (True, False))
+        machine = fit_words(names, toxic, other, n_toxic, n_other)
+        values = [[fit], [machine.folded().astype("<f4").tobytes()], [machine.bias]]
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, (pa.int32(), pa.binary(), pa.float64()), strict=True)], names=["fit", "weights", "bias"])
+
+    def run(batches):
+        fit, names, counts = None, [], []
+        for batch in batches:
+            own = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(own)) + 1).tolist(), len(own)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if b == a:
+                    continue
+                if fit is not None and own[a] != fit:
+                    yield done(fit, names, *np.concatenate(counts, 1))
+                    names, counts = [], []
+                fit = int(own[a])
+                names += batch.column(1)[a:b].to_pylist()
+                counts.append(np.array([batch.column(k)[a:b].to_numpy() for k in (2, 3)], float))
+        if fit is not None:
+            yield done(fit, names, *np.concatenate(counts, 1))
+        common.release_memory()
+
+    return run
+
 
+def _machines(stats: DataFrame, sizes: dict[tuple[int, int], int]) -> list[tuple[np.ndarray, float]]:
+    """Weights and bias of each fit. A fit's words, bounded by the sample, are one task's."""
+    def counted(kind: str, folds: tuple[int, ...]) -> Column:
+        total = F.col(f"{kind}{folds[0]}")
+        for f in folds[1:]:
+            total = total + F.col(f"{kind}{f}")
+        return total
 
-def _chosen_words(stats: DataFrame) -> tuple[dict, np.ndarray]:
-    """Counts of the words to fit on, and the number of words that each stands for."""
-    half = FIT_WORDS // 2
-    clean = [stats.orderBy(c.desc(), "word").limit(COMMON_LANDMARKS) for c in (F.col("o0"), F.col("o1"), F.col("o0") + F.col("o1"))]
-    top = stats.orderBy((F.col("t0") + F.col("t1")).desc(), "word").limit(half)
-    found = {r["word"]: r for part in (top, *clean) for r in part.collect()}
-    sure = len(found)
-    drawn = stats.orderBy(F.xxhash64("word"), "word").limit(half + sure).collect()
-    drawn = [r for r in drawn if r["word"] not in found][:half]
-    left = stats.count() - sure
-    found |= {r["word"]: r for r in drawn}
-    return found, np.concatenate((np.ones(sure), np.full(len(drawn), left / max(1, len(drawn)))))
+    copies = F.array(*[F.struct(F.lit(k).alias("fit"), counted("t", f).alias("toxic"), counted("o", f).alias("other")) for k, f in enumerate(_FITS)])
+    rows = stats.select("word", F.explode(copies).alias("c")).select("c.fit", "word", "c.toxic", "c.other").where("toxic + other > 0")
+    placed = rows.repartitionByRange(len(_FITS), "fit").sortWithinPartitions("fit", "word")
+    found = common.arrow(placed, _fitted(sizes), "fit int, weights binary, bias double").collect()
+    return [(np.frombuffer(r["weights"], "<f4"), r["bias"]) for r in sorted(found, key=lambda r: r["fit"])]
 
 
 def _pooled_rows(models):
@@ -459,16 +478,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         count(0, True).alias("t0"), count(1, True).alias("t1"), count(0, False).alias("o0"), count(1, False).alias("o1")
     )
     stats = common.shared_table(stats, "toxicity-words")
-    found, stands_for = _chosen_words(stats)
-    held = _held_in(stats)
-    names = list(found)
-    t, o = (np.array([[found[w][k + f] for w in names] for f in "01"], float) for k in "to")
-    other_half = [fit_words(names, t[f], o[f], toxic_n[f], other_n[f], held[f], stands_for) for f in (1, 0)]
+    *other_half, (weights, bias) = _machines(stats, sizes)
     sent = spark.sparkContext.broadcast(other_half)
     features = common.arrow(sample, _pooled_rows(sent), "toxic int, a double, b double, c double").toPandas()
     y = np.where(features["toxic"].to_numpy() == 1, 1.0, -1.0)
     logistic = _newton(features[list("abc")].to_numpy(), y, np.ones(len(y)), hinge=False, ridge=0.05)
-    weights, bias = fit_words(names, t.sum(0), o.sum(0), sum(toxic_n), sum(other_n), held[0] + held[1], stands_for)
     return Model(weights, bias, logistic)
 
 
