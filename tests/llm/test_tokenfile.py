@@ -101,3 +101,23 @@ def test_query(spark, library):
         assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
     assert len(rows) == len(texts)
+
+
+def test_many_null_ids_are_spread_and_come_first(spark, tmp):
+    rng = np.random.default_rng(3)
+    rows = [(None if k % 3 else k, rng.integers(0, 1000, rng.integers(0, 9)).tolist()) for k in range(900)]
+    packed = [(i, bytearray(np.array(x, X.item_type(1000)).tobytes())) for i, x in rows]
+    df = spark.createDataFrame(packed, "doc_id long, ids binary").repartition(7)
+    X.write(df, str(tmp / "t"), vocabulary=1000)
+    parts = spark.read.parquet(str(tmp / "t")).where("part < 0").select("part").distinct().count()
+    assert parts > 4
+    got = sorted(X.read(spark, str(tmp / "t")).collect(), key=lambda r: (r["start"], r["n_tokens"]))
+    assert [r["doc_id"] for r in got if r["n_tokens"]][-1] == max(i for i, x in rows if i is not None and x)
+    assert all(r["doc_id"] is None for r in got if r["start"] < sum(len(x) for i, x in rows if i is None) and r["n_tokens"])
+    at = 0
+    for r in got:
+        assert r["start"] == at and len(r["ids"]) == 4 * r["n_tokens"]
+        at += r["n_tokens"]
+    key = lambda i, ids: (i is not None, i or 0, ids)
+    read = sorted(key(r["doc_id"], np.frombuffer(r["ids"], "<u4").tolist()) for r in got)
+    assert read == sorted(key(i, ids) for i, ids in rows)

@@ -218,14 +218,18 @@ def _part_of(ids: DataFrame, parts: int) -> Column:
     """The number of the range of ids that a row's id falls into.
 
     The ranges come from range-partitioning the ids alone; their first ids, one a
-    range, are all that the driver sees. Null ids are in the first range.
+    range, are all that the driver sees. Null ids come before, in parts of their own
+    with numbers below 0: as many as their share of the rows calls for, ranges of their token ids' hash.
     """
-    firsts = ids.repartitionByRange(parts, "doc_id").groupBy(F.spark_partition_id().alias("p")).agg(F.min("doc_id").alias("first"))
-    bounds = sorted(r["first"] for r in firsts.collect() if r["first"] is not None)
-    if not bounds:
-        return F.lit(0)
-    above = F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col("doc_id"))
-    return F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.size(above))
+    known = ids.where(F.col("doc_id").isNotNull())
+    firsts = known.repartitionByRange(parts, "doc_id").groupBy(F.spark_partition_id().alias("p")).agg(F.min("doc_id").alias("first"))
+    bounds = sorted(r["first"] for r in firsts.collect())
+    size = ids.agg(F.count("*").alias("n"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).first()
+    null_parts = -(-parts * size["nulls"] // max(size["n"], 1))
+    share = F.xxhash64("ids") / F.lit(2.0**64) + F.lit(0.5)
+    null_part = F.least(F.floor(share * null_parts), F.lit(null_parts - 1)) - F.lit(null_parts)
+    above = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col("doc_id"))) if bounds else F.lit(0)
+    return F.when(F.col("doc_id").isNull(), null_part).otherwise(above)
 
 
 def write(encoded: DataFrame, path: str, vocabulary: int, id_col: str = "doc_id", ids_col: str = "ids", target: int = SEGMENT_IDS, ids_from: DataFrame | None = None) -> None:
