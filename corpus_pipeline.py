@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm import bpe, common, decontam, jaccard, secrets, toxicity
@@ -34,22 +34,24 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Texts without words are no copies of each other and all stay.
     """
-    found = jaccard.join(docs.select("doc_id", "text"))
+    blank = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    worded = docs.where(~blank)
+    found = jaccard.join(worded.select("doc_id", "text"))
     # the root names a component; ids do not, as they may be null or repeat in unrelated texts
     first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "node", "text_key")).alias("first")
-    copies = found.where("root IS NOT NULL").groupBy("root").agg(first).select("first.doc_id", "first.node", "first.text_key")
-    stays = copies.unionByName(found.where("root IS NULL").select("doc_id", "node", "text_key").distinct())
-    null, name, key, empty, at = common.fresh(docs, "null", "name", "key", "empty", "at")
+    copies = found.groupBy("root").agg(first).select("first.doc_id", "first.text_key")
+    null, name, key, row = common.fresh(docs, "null", "name", "key", "row")
 
     def keyed(df: DataFrame, text_key) -> DataFrame:
         plain = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
         return df.withColumns({null: F.col("doc_id").isNull(), name: plain, key: text_key})
 
-    chosen = keyed(stays, F.col("text_key")).select(null, name, key, F.col("node").isNull().alias(empty))
-    kept = keyed(docs, F.xxhash64("text")).join(chosen, [null, name, key])
-    # of rows that repeat id and text, one stays; the join has dealt them out by these columns
-    again = Window.partitionBy(null, name, key).orderBy(F.lit(0))
-    return kept.withColumn(at, F.row_number().over(again)).where((F.col(at) == 1) | F.col(empty)).select(docs.columns)
+    chosen = keyed(copies, F.col("text_key")).select(null, name, key)
+    kept = keyed(worded, F.xxhash64("text")).join(chosen, [null, name, key])
+    # of rows that repeat id and text one stays; they are reduced before the shuffle, however many
+    own = F.struct(*docs.columns)
+    again = kept.groupBy(null, name, key).agg(F.min_by(own, F.xxhash64(*docs.columns)).alias(row))
+    return again.select(f"{row}.*").unionByName(docs.where(blank))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
