@@ -126,6 +126,64 @@ cc0 | waived | 85 | has waived all copyright
 public-domain | placed | 70 | placed in(to)? the public domain
 proprietary | reserved | 40 | all rights reserved
 proprietary | unauthorized | 70 | unauthorized (copying|use|reproduction|distribution) .{0,60}is (strictly )?prohibited
+mit | substantial | 85 | shall be included in all copies or substantial portions of the software
+mit | noninfringement | 75 | merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable
+bsd | redistributions | 85 | redistributions of source code must retain the above copyright notice this list of conditions
+bsd | redistributions | 85 | redistributions in binary form must reproduce the above copyright notice this list of conditions
+bsd | exemplary | 60 | direct indirect incidental special exemplary or consequential damages
+bsd | acknowledgement | 85 | all advertising materials mentioning features or use of this software must display the following acknowledgement
+isc | disclaims | 75 | the author disclaims all warranties with regard to this software
+gpl | verbatim | 70 | everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed
+gpl | verbatim | 80 | you may convey verbatim copies of the program s source code as you receive it
+gpl | transferring | 80 | you may charge a fee for the physical act of transferring a copy
+gpl | received | 75 | you should have received a copy of the gnu general public license
+lgpl | received | 85 | you should have received a copy of the gnu (lesser|library) general public license
+agpl | received | 88 | you should have received a copy of the gnu affero general public license
+agpl | remotely | 85 | all users interacting with it remotely through a computer network
+gfdl | invariant | 85 | with no invariant sections no front cover texts and no back cover texts
+apache | perpetual | 80 | hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license
+apache | prominent | 75 | you must cause any modified files to carry prominent notices stating that you changed the files
+apache | unless | 70 | unless required by applicable law or agreed to in writing software distributed under the license
+mpl | obtain | 88 | if a copy of the mpl was not distributed with this file you can obtain one
+epl | accompanying | 85 | this program and the accompanying materials are made available under the terms of the eclipse public license
+cddl | contents | 85 | the contents of this file are subject to the terms of the common development and distribution license
+npl | contents | 85 | the contents of this file are subject to the netscape public license
+artistic | intent | 85 | the intent of this document is to state the conditions under which a package may be copied
+zlib | altered | 85 | altered source versions must be plainly marked as such
+zlib | arising | 70 | in no event will the authors be held liable for any damages arising from the use of this software
+boost | processor | 85 | solely in the form of machine executable object code generated by a source language processor
+unlicense | anyone | 85 | anyone is free to copy modify publish use compile sell or distribute this software
+unlicense | heirs | 85 | for the benefit of the public at large and to the detriment of our heirs and successors
+python | psf | 85 | psf hereby grants licensee a nonexclusive royalty free world wide license
+php | php | 80 | products derived from this software may not be called php
+openssl | openssl | 80 | this product includes software developed by the openssl project
+openssl | cryptographic | 80 | this product includes cryptographic software written by eric young
+x11 | consortium | 80 | the name of the x consortium shall not be used in advertising
+ofl | font | 85 | this font software is licensed under the sil open font license
+ofl | font | 80 | no modified version of the font software may use the reserved font name
+ms-pl | infringed | 80 | if you bring a patent claim against any contributor over patents that you claim are infringed by the software
+sspl | functionality | 85 | if you make the functionality of the program or a modified version available to third parties as a service
+busl | production | 85 | redistribute and make non production use of the licensed work
+elastic | hosted | 85 | you may not provide the software to third parties as a hosted or managed service
+cc-by | redistribute | 75 | copy and redistribute the material in any medium or format
+cc-by | credit | 75 | you must give appropriate credit provide a link to the license and indicate if changes were made
+cc-by-sa | remix | 85 | if you remix transform or build upon the material you must distribute your contributions under the same license as the original
+cc-by-nc | commercial | 75 | you may not use the material for commercial purposes
+cc-by-nd | remix | 85 | if you remix transform or build upon the material you may not distribute the modified material
+cc0 | neighboring | 80 | copyright and related or neighboring rights
+public-domain | domain | 70 | (dedicated to|released into) the public domain
+proprietary | reproduced | 70 | may not be (copied or )?reproduced .{0,60}without (the )?(prior )?(express )?written (permission|consent)
+proprietary | reproduced | 65 | no part of this (publication|work|document) may be reproduced
+vim | charityware | 85 | vim is charityware
+beerware | beer | 85 | you can buy me a beer in return
+json | evil | 85 | the software shall be used for good not evil
+w3c | royalty | 80 | with or without modification for any purpose and without fee or royalty is hereby granted
+cecill | french | 85 | governed by the cecill( b| c)? license under french law
+eupl | eupl | 85 | licensed under the eupl
+postgresql | agreement | 85 | for any purpose without fee and without a written agreement is hereby granted
+sleepycat | accompanied | 85 | redistributions in any form must be accompanied by information on how to obtain complete source code
+perl | perl | 85 | modify it under the same terms as perl itself
+ruby | restriction | 70 | you may make and give away verbatim copies of the source form of the software without restriction
 proprietary | confidential | 60 | proprietary and confidential
 """
 
@@ -204,7 +262,6 @@ TEMPLATES = (
     (80, "(released|distributed|available|published|provided|redistributed|offered|shared) under( the)?( terms of( the)?)?( a| an)? {name}"),
     (75, "(subject to|covered by|governed by)( the)?( terms of( the)?)? {name}"),
     (65, "see( the)? {name} for( more)?( details)?"),
-    (100, "spdx license identifier {name}"),
 )
 
 #: The phrases that are always reported, with their labels.

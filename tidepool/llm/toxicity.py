@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 from . import common
 
 #: Labelled texts that the model is fitted on, at most (in expectation: ids are drawn by hash).
-SAMPLE_ROWS = 6_000
+SAMPLE_ROWS = 4_000
 #: Text bytes whose letters are laid out in arrays at once (some eighty bytes a letter).
 SLICE_BYTES = 1 << 19
 LANDMARKS = 192
@@ -208,8 +208,9 @@ def kernel(a: Words, b: Words, scale: np.ndarray) -> np.ndarray:
     np.add.at(table, (col, wb), vb)
     table /= _norms(b)
     out = np.zeros((len(a.starts), len(b.starts)), np.float32)
-    for start in range(0, len(out), 500):
-        end = min(start + 500, len(out))
+    step = max(50, 60_000 // max(len(b.starts), 1))  # the rows that meet are laid out for so many words at once
+    for start in range(0, len(out), step):
+        end = min(start + step, len(out))
         wa, ha, va = _sparse(_block(a, start, end), scale)
         at = np.minimum(np.searchsorted(features, ha), len(features) - 1)
         hit = np.flatnonzero(features[at] == ha)
@@ -426,6 +427,7 @@ def _fitted(sizes: dict[tuple[int, int], int]):
                 counts.append(np.array([batch.column(k)[a:b].to_numpy() for k in (2, 3)], float))
         if fit is not None:
             yield done(fit, names, *np.concatenate(counts, 1))
+        names, counts = [], []
         common.release_memory()
 
     return run
