@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator():
     numbers = [int(name[2:].split("_")[0]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
