@@ -55,11 +55,11 @@ BLOCK = 512
 #: Rounds in which each node's nearest one is verified.
 ROUNDS = 1
 #: Pairs that a task remembers to have given already.
-GIVEN = 200_000
+GIVEN = 50_000
 #: Ids (8 bytes each) that may be sent to all tasks instead of shuffling texts.
 SENT_IDS = 1_000_000
 #: Nodes whose keys a task remembers to have given already.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 #: Bands: sizes from FIRST * 4**k; blocks for each size at the band's start.
 FIRST, BAND, BLOCKS = 4, 4, 1.15
 

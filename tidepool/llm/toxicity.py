@@ -29,6 +29,7 @@ labelled texts of both kinds every score is the share of toxic texts (0 if none)
 
 from __future__ import annotations
 
+import gc
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,7 +41,7 @@ from pyspark.sql import types as T
 from . import common
 
 #: Labelled texts that the model is fitted on, at most (in expectation: ids are drawn by hash).
-SAMPLE_ROWS = 4_000
+SAMPLE_ROWS = 2_500
 #: Text bytes whose letters are laid out in arrays at once (some eighty bytes a letter).
 SLICE_BYTES = 1 << 19
 LANDMARKS = 192
@@ -428,6 +429,7 @@ def _fitted(sizes: dict[tuple[int, int], int]):
         if fit is not None:
             yield done(fit, names, *np.concatenate(counts, 1))
         names, counts = [], []
+        gc.collect()
         common.release_memory()
 
     return run
