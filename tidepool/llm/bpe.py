@@ -315,22 +315,50 @@ def model_of(path: str) -> Model:
     return _MODELS[path]
 
 
+def _encoder(path: str, text_col: str):
+    """From a slice of rows to the token ids of their texts."""
+    model = model_of(path)
+
+    def compute(part: pa.RecordBatch) -> pa.ListArray:
+        ids = encode_texts(model, common.texts_of(part, text_col))
+        offsets = np.zeros(len(ids) + 1, np.int32)
+        np.cumsum([len(x) // 4 for x in ids], out=offsets[1:])
+        values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+        return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+    return compute
+
+
+def _decoder(path: str):
+    """From lists of token ids to their texts."""
+    model = model_of(path)
+    names = np.empty(max(model.names) + 2, object)
+    for i, s in model.names.items():
+        names[i] = s
+
+    def compute(column: pa.Array) -> pa.Array:
+        out = []
+        for k in range(len(column)):
+            ids = column[k].values
+            ids = np.zeros(0, np.int64) if ids is None else ids.drop_null().to_numpy(zero_copy_only=False)
+            found = names[np.where((ids >= 0) & (ids < len(names) - 1), ids, len(names) - 1)].tolist()
+            out.append(" ".join(found if None not in found else [s for s in found if s is not None]))
+        return pa.array(out, pa.string())
+
+    return compute
+
+
+_IDS = T.ArrayType(T.IntegerType())
+
+
 def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """Appends the token ids of whole texts as ``array<int>``."""
 
     def make():
-        model = model_of(path)
+        own = _encoder(path, text_col)
+        return lambda part: [own(part)]
 
-        def compute(part: pa.RecordBatch) -> list[pa.Array]:
-            ids = encode_texts(model, common.texts_of(part, text_col))
-            offsets = np.zeros(len(ids) + 1, np.int32)
-            np.cumsum([len(x) // 4 for x in ids], out=offsets[1:])
-            values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-            return [pa.ListArray.from_arrays(pa.array(offsets), values)]
-
-        return compute
-
-    return common.with_arrow_columns(df, text_col, [T.StructField(ids_col, T.ArrayType(T.IntegerType()))], make)
+    return common.with_arrow_columns(df, text_col, [T.StructField(ids_col, _IDS)], make)
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -338,21 +366,23 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "deco
     takes name no decoder, so the library joins the token names by one space."""
 
     def make():
-        model = model_of(path)
-        names = np.empty(max(model.names) + 2, object)
-        for i, s in model.names.items():
-            names[i] = s
+        own = _decoder(path)
+        return lambda part: [own(part.column(part.schema.get_field_index(ids_col)))]
+
+    return common.with_arrow_columns(df, ids_col, [T.StructField(text_col, T.StringType())], make)
+
+
+def round_trip(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` in one pass: one Python worker a task instead of two, and one model."""
+
+    def make():
+        forth, back = _encoder(path, text_col), _decoder(path)
 
         def compute(part: pa.RecordBatch) -> list[pa.Array]:
-            column = part.column(part.schema.get_field_index(ids_col))
-            out = []
-            for k in range(part.num_rows):
-                ids = column[k].values
-                ids = np.zeros(0, np.int64) if ids is None else ids.drop_null().to_numpy(zero_copy_only=False)
-                found = names[np.where((ids >= 0) & (ids < len(names) - 1), ids, len(names) - 1)].tolist()
-                out.append(" ".join(found if None not in found else [s for s in found if s is not None]))
-            return [pa.array(out, pa.string())]
+            ids = forth(part)
+            return [ids, back(ids)]
 
         return compute
 
-    return common.with_arrow_columns(df, ids_col, [T.StructField(text_col, T.StringType())], make)
+    fields = [T.StructField(ids_col, _IDS), T.StructField(decoded_col, T.StringType())]
+    return common.with_arrow_columns(df, text_col, fields, make)

@@ -31,9 +31,7 @@ def tokenizer(name: str) -> str:
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer("word_bpe_49k.json")
     docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, path).drop("text")
-    decoded = bpe.decode(encoded, path)
-    return decoded.select(
+    return bpe.round_trip(docs, path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),

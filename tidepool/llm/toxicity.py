@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 from . import common
 
 #: Labelled texts that the model is fitted on, at most (in expectation: ids are drawn by hash).
-SAMPLE_ROWS = 2_500
+SAMPLE_ROWS = 3_000
 #: Text bytes whose letters are laid out in arrays at once (some eighty bytes a letter).
 SLICE_BYTES = 1 << 19
 LANDMARKS = 192
