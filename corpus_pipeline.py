@@ -64,7 +64,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by their kind in brackets."""
     (spans,) = common.fresh(docs, "spans")
-    clean = secrets.redact(secrets.scan(docs, spans_col=spans), spans_col=spans)
+    clean = secrets.scan_and_redact(docs, spans_col=spans)
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         clean = clean.withColumn("n_chars", F.when(F.size(spans) > 0, length).otherwise(F.col("n_chars")))
@@ -74,8 +74,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each kept text and the text that they decode to."""
     path = tokenizer("word_bpe_49k.json")
-    ids = bpe.encode(docs.select("doc_id", "text"), path).drop("text")
-    return bpe.decode(ids, path).withColumn("n_tokens", F.size("ids").cast("long"))
+    coded = bpe.round_trip(docs.select("doc_id", "text"), path).drop("text")
+    return coded.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES: list[tuple[str, Stage]] = [
