@@ -37,7 +37,7 @@ from . import common
 
 #: Entries of a worker's caches before they are emptied (about 200 bytes each): encoded
 #: words, stretches between white space, and checked pairs of tokens.
-WORD_ENTRIES, STRETCH_ENTRIES, PAIR_ENTRIES = 500_000, 250_000, 200_000
+WORD_ENTRIES, STRETCH_ENTRIES, PAIR_ENTRIES = 650_000, 325_000, 250_000
 _INF = np.int64(1) << 40
 _NEVER = 1 << 40
 
