@@ -47,6 +47,44 @@ def _docs(spark, n):
     return part_documents(part)
 
 
+def _plan(df):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted").split("\n\n")[0]
+
+
+def test_numbering_shuffles_the_rows_only_by_their_order(spark):
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where the rows are too large for it
+        df = with_row_numbers(spark.range(2_000).withColumn("x", F.hash("id")), ["x"])
+        assert "BroadcastHashJoin" in _plan(df) and "SortMergeJoin" not in _plan(df)
+        assert [r.seq for r in df.orderBy("x", "id").select("seq").collect()] == list(range(1, 2_001))
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+def test_documents_of_one_split_are_built_by_several_tasks(spark):
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else few small rows are put together again
+    try:
+        one = spark.range(400).selectExpr("id AS p_partkey", "'red ring' AS p_name", "'B' AS p_brand", "'T' AS p_type", "CAST(id AS int) AS p_size").coalesce(1)
+        tasks = [r.n for r in part_documents(one).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert len(tasks) == 4 and max(tasks) < 200 and sum(tasks) == 400
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_unparsed_fallback_documents_give_the_script_of_parsed_ones(spark):
+    docs = _docs(spark, 9).unionByName(_docs(spark, 2).withColumn("datasource", F.lit(None).cast("string")))
+    main = catalog.parse_documents(docs.where("datasource < 'ds4'"))
+    of = lambda fallback: [tuple(r) for r in export.script(main, fallback).orderBy("seq").collect()]
+    rows = of(docs.withColumn("further", F.lit(1)))
+    assert [r[:2] for r in rows] == [r[:2] for r in of(catalog.parse_documents(docs))]
+    assert sorted(str(r[2]) for r in rows) == sorted(str(r[2]) for r in of(catalog.parse_documents(docs)))
+    assert sum("'ds7'" in str(r[2]) for r in rows) > 2
+
+
 def _script(spark, n, **kw):
     rows = export.script(catalog.parse_documents(_docs(spark, n)), **kw).collect()
     return [(r.table, r.statement) for r in sorted(rows, key=lambda r: r.seq)]

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.text import path_key, sql_bool, sql_json, sql_value
 from tidepool.operators import catalog
-from tidepool.operators.ordering import with_row_numbers
+from tidepool.operators.ordering import staged, with_row_numbers
 from tidepool.sources.files import write_files
 
 # Fixed value: rows per pushed batch, as in the catalog export.
@@ -222,10 +222,11 @@ def script(parsed: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
     """(seq, table, statement): a full refresh of the five exported tables.
 
     Deletes come first; then datasets by name, dependencies by alias, schemas by
-    name, tables and columns by their place. Parsed ``fallback`` documents follow
-    where the datasource has no document of its own: each dataset row, then each of
-    its schemas, with its tables, each with its columns."""
-    parsed = catalog.parsed_once(parsed)
+    name, tables and columns by their place. ``fallback`` documents follow where the
+    datasource has no document of its own: each dataset row, then each of its schemas,
+    with its tables, each with its columns. Given unparsed, only those that follow are
+    parsed. The statements are staged before they are numbered."""
+    parsed = catalog.parsed_once(parsed.drop("_lineage"))  # no statement shows it
     table_rows, column_rows = catalog.tables(parsed), catalog.columns(parsed)
     empty = parsed.sparkSession.range(1).select(F.posexplode(F.array(*[F.lit(t) for t in EXPORTED])).alias("n", "t"))
     deletes = empty.select(
@@ -243,7 +244,10 @@ def script(parsed: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
         _ordered(export_columns_joined(table_rows, column_rows), 5, "catalog_columns", None, ["column_index"], "id"),
     ]
     if fallback is not None:
-        own = catalog.parsed_once(fallback.join(parsed.select("datasource"), "datasource", "left_anti"))
+        own = fallback.join(parsed.select("datasource"), "datasource", "left_anti")
+        if "_schemas" not in own.columns:
+            own = catalog.parse_documents(own)
+        own = catalog.parsed_once(own.drop("_lineage"))
         columns = catalog.columns(own, positions=True).select(
             path_key("datasource", "schema_name", "table_name", "column_name").alias("id"),
             "datasource", "schema_name", "table_name", "column_name", "title",
@@ -259,4 +263,4 @@ def script(parsed: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
-    return with_row_numbers(rows, _ORDER).select("seq", "table", "statement")
+    return with_row_numbers(staged(rows, "statements"), _ORDER).select("seq", "table", "statement")

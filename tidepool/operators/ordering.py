@@ -27,7 +27,9 @@ def with_row_numbers(df: DataFrame, order: Sequence[str], out: str = "seq", star
     gets its place in its partition. The sorted rows are staged, because ranges
     are drawn from a sample and a lost task must not deal them anew. Then the
     partitions are counted, and the rows before each (a sum over one row per
-    partition) are added to the places."""
+    partition, few enough to be broadcast) are added to the places.
+
+    ``df`` is computed up to three times, twice for that sample: stage it where that is dear."""
     placed = (
         df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in order])
         .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order])
@@ -39,4 +41,4 @@ def with_row_numbers(df: DataFrame, order: Sequence[str], out: str = "seq", star
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     number = F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + F.lit(start)
-    return rows.join(before, "_part").select(*df.columns, number.cast("bigint").alias(out))
+    return rows.join(F.broadcast(before), "_part").select(*df.columns, number.cast("bigint").alias(out))

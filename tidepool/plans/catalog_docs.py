@@ -93,7 +93,11 @@ _DOCUMENT_EXPRS = [
 
 
 def part_documents(part: DataFrame) -> DataFrame:
-    words = part.selectExpr(
+    """One document per part row. A document is some hundred times the bytes its row
+    takes in a file, so the narrow rows are dealt out first: few file splits would
+    leave all documents to as few tasks."""
+    columns = ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]
+    words = part.select(*columns).repartition(*columns).selectExpr(
         "*",
         "split(p_name, ' ')[0] AS w1",
         "coalesce(get(split(p_name, ' '), 1), split(p_name, ' ')[0]) AS w2",

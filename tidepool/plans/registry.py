@@ -444,7 +444,7 @@ def q_export_tables(spark: SparkSession, sf: str) -> DataFrame:
 def q_export_script(spark: SparkSession, sf: str) -> DataFrame:
     """Full refresh in order: documents with a cover are exported, the others come as fallbacks."""
     docs = part_documents(table(spark, sf, "part"))
-    return export.script(catalog.parse_documents(docs.where("cover IS NOT NULL")), catalog.parse_documents(docs))
+    return export.script(catalog.parse_documents(docs.where("cover IS NOT NULL")), docs)
 
 
 @query("self_fallback")
