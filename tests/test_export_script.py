@@ -153,6 +153,21 @@ def test_pushed_batches_hold_the_script_once_in_order(spark, tmp):
         assert sum((got[k] for k in sorted(got)), []) == [f"S{k};" for k in range(1, 1001)]
 
 
+def test_pushed_batches_are_read_back_by_one_listing(spark, tmp):
+    from tidepool.plans.registry import QUERIES
+
+    spark.range(60).selectExpr(
+        "id AS p_partkey", "concat('red', id, ' ring') AS p_name", "'B' AS p_brand", "'T' AS p_type", "CAST(id AS int) AS p_size"
+    ).write.parquet(str(tmp / "part.parquet"))
+    batches = QUERIES["push_script"](spark, str(tmp))
+    script = [r.statement for r in QUERIES["export_script"](spark, str(tmp)).orderBy("seq").collect()]
+    expected = ["\n".join(script[i : i + 200]) for i in range(0, len(script), 200)]
+    assert len(expected) > 2 and [(r.batch, r.n_chars) for r in batches.orderBy("batch").collect()] == [(k, len(s)) for k, s in enumerate(expected)]
+    # not a listing for each file
+    location = next(x for x in batches._sc._jvm.PythonSQLUtils.explainString(batches._jdf.queryExecution(), "formatted").split("\n") if x.startswith("Location"))
+    assert "/push-" in location and "batch-" not in location
+
+
 def test_a_task_that_fails_after_some_batches_leaves_none(spark, tmp):
     df = spark.createDataFrame([(f"batch-{k}.sql", f"S{k};") for k in range(6)], "path string, content string").coalesce(1)
     bad = df.select(F.when(F.col("path") == "batch-3.sql", "../out").otherwise(F.col("path")).alias("path"), "content")
@@ -175,3 +190,20 @@ def test_a_task_that_runs_twice_writes_each_batch_once(spark, tmp):
     writer.commit([writer.write(iter([batch])), None])
     assert {p.relative_to(tmp / "p").as_posix(): p.read_text() for p in (tmp / "p").rglob("*") if p.is_file()} == {"a/1": "x", "a/2": ""}
     assert not list((tmp / "p").glob("_*"))
+
+
+def test_a_commit_moves_many_files_and_keeps_the_last_of_a_name(tmp):
+    import pyarrow as pa
+
+    from tidepool.sources.files import NamedFilesWriter
+
+    writer = NamedFilesWriter(str(tmp / "p"))
+    rows = [{"path": f"{k % 3}/{k}", "content": f"x{k}"} for k in range(100)]
+    told = [writer.write(iter([pa.RecordBatch.from_pylist(r)])) for r in (rows, [{"path": "0/0", "content": "z"}])]
+    writer.commit(told)
+    assert {p.relative_to(tmp / "p").as_posix(): p.read_text() for p in (tmp / "p").rglob("*") if p.is_file()} == {r["path"]: r["content"] for r in rows} | {"0/0": "z"}
+    assert not list((tmp / "p").glob("_*"))
+    twice = NamedFilesWriter(str(tmp / "q"))
+    with pytest.raises(FileExistsError, match="same file twice"):  # none is moved
+        twice.commit([twice.write(iter([pa.RecordBatch.from_pylist([*rows, rows[0]])]))])
+    assert not list((tmp / "q").iterdir())

@@ -1047,7 +1047,8 @@ def q_push_script(spark: SparkSession, sf: str) -> DataFrame:
     """The ordered export script pushed in numbered batches of statements and read back."""
     out = _scratch(spark, "push")
     export.push(q_export_script(spark, sf), out)
-    text = spark.read.text(f"{out}/*.sql", wholetext=True)
+    # the folder is listed once; a pattern in the path would make every file a listing of its own
+    text = spark.read.text(out, wholetext=True, pathGlobFilter="*.sql")
     return text.select(
         F.regexp_extract(F.col("_metadata.file_name"), r"batch-(\d+)\.sql", 1).cast("bigint").alias("batch"),
         F.length("value").cast("bigint").alias("n_chars"),

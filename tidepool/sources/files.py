@@ -13,6 +13,7 @@ from __future__ import annotations
 import posixpath
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -20,6 +21,9 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+# Fixed value: files that the commit moves at a time (a move waits for the store).
+MOVERS = 16
+
 
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a URI, or of a plain local path."""
@@ -72,14 +76,23 @@ class NamedFilesWriter(DataSourceArrowWriter):
 
     def commit(self, messages: list[Written | None]) -> None:
         fs, folder = file_system(self.folder)
-        made = set()
+        staged: dict[str, str] = {}  # of files of the same name the last task's stays
         for path in (p for m in messages if m for p in m.paths):
-            target = f"{folder}/{path.split('/', 2)[2]}"
-            above = posixpath.dirname(target)
-            if above not in made:
-                fs.create_dir(above, recursive=True)
-                made.add(above)
-            fs.move(f"{folder}/{path}", target)
+            name = path.split("/", 2)[2]
+            if staged.get(name) == path:
+                self._clear(fs, folder)
+                raise FileExistsError(f"one task wrote the same file twice: {name!r}")
+            staged[name] = path
+        for above in {posixpath.dirname(f"{folder}/{name}") for name in staged}:
+            fs.create_dir(above, recursive=True)
+
+        def move(names: list[str]) -> None:
+            for name in names:
+                fs.move(f"{folder}/{staged[name]}", f"{folder}/{name}")
+
+        names = list(staged)
+        with ThreadPoolExecutor(MOVERS) as pool:
+            list(pool.map(move, [names[k::MOVERS] for k in range(MOVERS)]))
         self._clear(fs, folder)
 
     def abort(self, messages: list[Written | None]) -> None:
